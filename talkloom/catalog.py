@@ -1,0 +1,6 @@
+"""All registered queries over the driver tables, with the SQL they must equal."""
+
+from __future__ import annotations
+
+QUERIES = {}
+ORACLE_SQL = {}
