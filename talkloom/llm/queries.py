@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import zlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.llm import decontaminate, packing, quality_rules, tokens
-from talkloom.llm.common import map_texts
+from talkloom.llm import decontaminate, packing, quality_rules, simhash, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,11 +92,17 @@ def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), size=1024, end_id=2)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, bits=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op5_token_records": op5_token_records,
     "op6_decontaminate": op6_decontaminate,
     "op8_quality_rules": op8_quality_rules,
     "op9_pack": op9_pack,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE_SQL = {"op6_decontaminate": OP6_SQL, "op8_quality_rules": OP8_SQL}
