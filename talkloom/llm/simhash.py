@@ -91,11 +91,9 @@ def links(distinct: DataFrame, bits: int = 2, segments: int = 9, most: int = 64)
 
     Runs shared by at most ``most`` fingerprints give pairs, filtered and checked.  The
     fingerprints of larger ones (a large group of near copies) would give pairs without bound;
-    these go through the points half-way between: two fingerprints within 2r (or 2r + 1) bits
-    both lie within r (one of them r + 1) bits of a common point, and all within r bits of one
-    point are within 2r of each other, so each point links its own to their least member.
-    That way is exact for an even number of bits; an odd number uses it for ``bits - 1`` and the
-    pairs for the rest.
+    these meet in the points half-way between: of two within ``bits``, one lies within
+    ``bits // 2`` bits of some point and the other within the rest of it.  Whatever lies near
+    that point is within ``bits`` of the least of its nearer ones, so that one gets the links.
     """
     ring = Ring(bits, segments)
     keyed = distinct.select("fp", F.explode(ring.keys(F.col("fp"))).alias("k")).select("fp", "k.start", "k.run")
@@ -107,12 +105,12 @@ def links(distinct: DataFrame, bits: int = 2, segments: int = 9, most: int = 64)
     pairs = small.join(other, ["start", "run"]).filter(F.col("fp") > F.col("other")).filter(ring.viable(F.col("start"), difference))
     edges = pairs.select(F.col("fp").alias("u"), F.col("other").alias("v"))
     if sizes.filter(F.col("n") > most).limit(1).count():
-        if bits % 2:
-            raise ValueError("large groups need an even number of bits")
         crowded = keyed.join(sizes.filter(F.col("n") > most).select("start", "run"), ["start", "run"]).select("fp").distinct()
-        near = written(crowded.select("fp", F.explode(points(F.col("fp"), bits // 2)).alias("point")), "points")
-        centre = near.groupBy("point").agg(F.min("fp").alias("least"), F.max("fp").alias("last")).filter("least < last").drop("last")
-        edges = edges.unionByName(near.join(centre, "point").filter("fp > least").select(F.col("fp").alias("u"), F.col("least").alias("v")))
+        near = written(crowded.select("fp", F.explode(points(F.col("fp"), (bits + 1) // 2)).alias("point")), "points")
+        inner = F.when(F.bit_count(F.col("fp").bitwiseXOR(F.col("point"))) <= bits // 2, F.col("fp"))
+        centre = near.groupBy("point").agg(F.min(inner).alias("centre"), F.count("*").alias("n")).filter("n > 1 AND centre IS NOT NULL")
+        star = near.join(centre.drop("n"), "point").filter(F.col("fp") != F.col("centre"))
+        edges = edges.unionByName(star.select(F.greatest("fp", "centre").alias("u"), F.least("fp", "centre").alias("v")))
     return edges.distinct()
 
 
