@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.llm import decontaminate, packing, quality_rules, simhash, tokens
+from talkloom.llm import decontaminate, language_model, packing, quality_rules, simhash, tokens
+from talkloom.llm.common import remainder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,14 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn = remainder(F.col("doc_id"), 5) != 1
+    scored = language_model.score_texts(table(spark, sf_dir, "documents"), learn)
+    return scored.select(
+        "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"
+    )
+
+
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = tokens.write_records(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
     read = tokens.read_records(index)
@@ -98,6 +107,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_class_lm": op1_class_lm,
     "op5_token_records": op5_token_records,
     "op6_decontaminate": op6_decontaminate,
     "op8_quality_rules": op8_quality_rules,
