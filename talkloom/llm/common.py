@@ -55,6 +55,14 @@ def remainder(column: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % modulus
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 1,000 texts, unless the session asks for another size: whole
+    texts are large rows, and a batch is held several times over."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, "1000")
+
+
 def map_texts(
     df: DataFrame,
     text: str,
@@ -68,6 +76,7 @@ def map_texts(
     ``make`` runs once in each task and returns a function from a batch of texts (and of the
     ``carry`` columns) to the new columns.  Only these columns are read from ``df``.
     """
+    small_batches(df.sparkSession)
     chosen = df.select(
         *[df[c] for c in keep], *[df[c].alias(f"__{c}") for c in carry], df[text].cast("string").alias("__text")
     )
@@ -99,6 +108,7 @@ def scan_texts(
     """Any number of output rows: ``make()`` returns a generator function over a batch's
     (kept columns, texts) that yields tuples of columns; with ``finish`` it is called once more
     with ``(None, None)`` after the last batch, for what a task has summed up."""
+    small_batches(df.sparkSession)
     chosen = df.select(*[df[c] for c in keep], df[text].cast("string").alias("__text"))
     kinds = [ARROW[t] for _, t in fields]
     names = [n for n, _ in fields]
@@ -119,3 +129,40 @@ def scan_texts(
             yield from out(work(None, None))
 
     return chosen.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in fields))
+
+
+def in_blocks(docs: DataFrame, columns: Sequence[Column], name: str) -> DataFrame:
+    """A copy of ``columns`` in the shared folder with ``rid``, a number for each row, and
+    ``block``, the file that holds it: tasks that scan the copy find what other jobs prepared for
+    their block as a side file, so the texts themselves are never shuffled."""
+    spark = docs.sparkSession
+    copy = docs.select(*columns, F.monotonically_increasing_id().alias("rid"), F.spark_partition_id().alias("block"))
+    path = new_path(spark, name)
+    copy.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(copy.schema).parquet(path)
+
+
+def open_store(path: str):
+    """(pyarrow file system, path in it) of a place in the shared folder, local or remote."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+
+
+def write_side_files(df: DataFrame, name: str) -> str:
+    """Write ``df`` as one folder for each value of its column ``block``; returns the place."""
+    path = new_path(df.sparkSession, name)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(parts, "block").write.partitionBy("block").option("compression", "zstd").parquet(path)
+    return path
+
+
+def read_side_file(path: str, block: int, columns: list[str]) -> pa.Table | None:
+    """What was written for ``block``, or None."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    store, folder = open_store(path)
+    found = store.get_file_info(fs.FileSelector(f"{folder}/block={block}", allow_not_found=True))
+    tables = [pq.read_table(f.path, filesystem=store, columns=columns, partitioning=None) for f in found if f.path.endswith(".parquet")]
+    return pa.concat_tables(tables) if tables else None

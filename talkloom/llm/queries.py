@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.llm import decontaminate, language_model, packing, quality_rules, simhash, tokens
+from talkloom.llm import decontaminate, language_model, packing, quality_rules, simhash, suffix_dedup, tokens
 from talkloom.llm.common import remainder
 
 
@@ -27,6 +27,11 @@ def op1_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), suffix_dedup.DedupConfig(length=400))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = tokens.write_records(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
     read = tokens.read_records(index)
@@ -108,6 +113,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_class_lm": op1_class_lm,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op5_token_records": op5_token_records,
     "op6_decontaminate": op6_decontaminate,
     "op8_quality_rules": op8_quality_rules,
