@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.llm import decontaminate, language_model, packing, quality_rules, simhash, suffix_dedup, tokens
+from talkloom.llm import decontaminate, language_model, packing, quality_classifier, quality_rules, simhash, suffix_dedup, tokens
 from talkloom.llm.common import remainder
 
 
@@ -32,6 +32,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality_classifier.score_quality(docs, labels, lambda key: remainder(key, 5) != 0)
+    return scored.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = tokens.write_records(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
     read = tokens.read_records(index)
@@ -114,6 +120,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_class_lm": op1_class_lm,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_quality": op3_quality,
     "op5_token_records": op5_token_records,
     "op6_decontaminate": op6_decontaminate,
     "op8_quality_rules": op8_quality_rules,
