@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.llm import decontaminate, language_model, packing, quality_classifier, quality_rules, simhash, suffix_dedup, tokens
+from talkloom.llm import decontaminate, language_id, language_model, packing, quality_classifier, quality_rules, simhash, suffix_dedup, tokens
 from talkloom.llm.common import remainder
 
 
@@ -38,6 +38,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.identify_languages(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 3) != 1)
+    return found.select("doc_id", (~F.col("learn")).alias("held_out"), "lang_pred", "score")
+
+
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = tokens.write_records(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
     read = tokens.read_records(index)
@@ -121,6 +126,7 @@ QUERIES = {
     "op1_class_lm": op1_class_lm,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality": op3_quality,
+    "op4_language_id": op4_language_id,
     "op5_token_records": op5_token_records,
     "op6_decontaminate": op6_decontaminate,
     "op8_quality_rules": op8_quality_rules,
