@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.llm import decontaminate, language_id, language_model, packing, quality_classifier, quality_rules, simhash, suffix_dedup, tokens
+from talkloom.llm import decontaminate, language_id, language_model, packing, quality_classifier, quality_rules, simhash, suffix_dedup, tokens, toxicity
 from talkloom.llm.common import remainder
 
 
@@ -81,6 +81,12 @@ FROM doc LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score_toxicity(docs, labels, lambda key: remainder(key, 3) != 1)
+    return scored.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted", "evidence_ids")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_host_rules(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -129,6 +135,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_token_records": op5_token_records,
     "op6_decontaminate": op6_decontaminate,
+    "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_pack": op9_pack,
     "op10_simhash": op10_simhash,
