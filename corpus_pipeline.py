@@ -1,15 +1,94 @@
-"""A training corpus from raw documents, in stages."""
+"""A training corpus from raw documents: five stages, each one operator of :mod:`talkloom.llm`.
+
+Every stage takes ``(spark, docs, sf_dir)`` and works on all that the one before it kept.  All
+but the last return the columns of ``documents``; other columns of the input are left behind.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from talkloom.llm import decontaminate, packing, quality_classifier, simhash, suffix_dedup
+from talkloom.llm.common import in_blocks, read_side_file, remainder, scan_texts, write_side_files, written
+from talkloom.llm.queries import table, tokenizer
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go.  It learns from the labels of ``sf_dir``, from
+    documents whose id has a remainder other than 0, as the query op3 does."""
+    learn = lambda key: remainder(key, 5) != 0
+    scored = quality_classifier.score_quality(docs, table(spark, sf_dir, "labels"), learn, keep=COLUMNS)
+    return scored.filter("predicted = 1").select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the row with the least id stays (of equal ids, one row).
+
+    Fingerprints of five-word shingles link at three differing bits or fewer, which for
+    documents of some length means a similarity far above 0.8.
+    """
+    copy = in_blocks(docs, [F.col(c) for c in COLUMNS], "documents")
+    keyed = copy.select(F.struct("doc_id", "rid", "block").alias("key"), "text")
+    found = simhash.near_duplicates(keyed, shingle=5, bits=3, segments=13, id_col="key")
+    folder = write_side_files(found.filter(F.col("key").eqNullSafe(F.col("component_id"))).select("key.block", "key.rid"), "survivors")
+
+    def make():
+        state = {"block": None, "rows": set()}
+
+        def work(kept, texts):
+            import pyarrow as pa
+
+            mask = []
+            for block, rid in zip(kept[-2].to_pylist(), kept[-1].to_pylist(), strict=True):
+                if block != state["block"]:
+                    rows = read_side_file(folder, block, ["rid"])
+                    state["block"], state["rows"] = block, set(rows.column("rid").to_pylist() if rows is not None else ())
+                mask.append(rid in state["rows"])
+            mask = pa.array(mask, pa.bool_())
+            columns = [c.filter(mask) for c in (kept[0], pa.array(texts, pa.string()), *kept[1:4])]
+            yield columns
+
+        return work
+
+    fields = [("doc_id", docs.schema["doc_id"].dataType.simpleString()), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint")]
+    return scan_texts(copy, "text", ["doc_id", "lang", "source", "n_chars", "block", "rid"], make, fields)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 250 bytes (about fifty words) that occur elsewhere are cut out of all texts."""
+    config = suffix_dedup.DedupConfig(length=250)
+    cut = suffix_dedup.remove_repeats(docs, config, keep=("doc_id", "lang", "source"), as_text=True)
+    return cut.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("bigint").alias("n_chars"))
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), keep=COLUMNS)
+    return found.filter("n_hit = 0").select(*COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 1024 tokens, one row for each piece of a document."""
+    return packing.pack_documents(docs, tokenizer("byte_bpe_50k.json"), size=1024, end_id=2)
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("repeats", repeats),
+    ("benchmark", benchmark),
+    ("pack", pack),
+]
 
-STAGES: list = []
+#: SQL can express neither the classifier nor the fingerprints; tests use brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

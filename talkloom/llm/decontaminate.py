@@ -131,10 +131,11 @@ def find_contamination(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
+    keep: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """One row for each document: its words, merged hit spans [start, end) and matched items.
 
-    ``(id, n_words, n_hit, starts, ends, item_ids)``; item ids as strings, sorted.  Null and
+    ``(*keep (the id, unless given), n_words, n_hit, starts, ends, item_ids)``; item ids as strings, sorted.  Null and
     empty texts have no words and no hits; items without words match nothing; an empty
     benchmark leaves every document clean; repeated rows give repeated results.  The benchmark
     is the query set: it is joined in blocks of ``block_bytes`` of text, the only thing sent to
@@ -177,9 +178,10 @@ def find_contamination(
 
         return make
 
-    state = docs.select(id_col, text_col)
+    keep = keep or (id_col,)
+    state = docs.select(*dict.fromkeys((*keep, text_col)))
     for i, block in enumerate(indexes[:-1]):
         state = written(
-            map_texts(state, text_col, [id_col, text_col], matcher(block), fields, carried if i else ()).drop("n_words", "n_hit"), "hits"
+            map_texts(state, text_col, list(dict.fromkeys((*keep, text_col))), matcher(block), fields, carried if i else ()).drop("n_words", "n_hit"), "hits"
         )
-    return map_texts(state, text_col, [id_col], matcher(indexes[-1] if indexes else None), fields, carried if len(indexes) > 1 else ())
+    return map_texts(state, text_col, keep, matcher(indexes[-1] if indexes else None), fields, carried if len(indexes) > 1 else ())

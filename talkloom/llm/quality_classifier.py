@@ -194,29 +194,23 @@ def score_quality(
     ``score`` is the calibrated probability of label 1.  Null and empty texts have zero
     statistics and are scored by them; rows without a label, or with a null one, are not
     fitted; with no labels at all the score is 0.5.  Repeated rows are scored one by one, an
-    empty table gives an empty result.  Statistics are computed once, in one pass over the
-    texts; everything after that is about them.
+    empty table gives an empty result.  One pass over the texts yields the small table that is
+    joined with the labels, another scores; texts are never shuffled.
     """
     config = config or QualityConfig()
-    key = F.col(id_col)
-    taken = written(
-        document_statistics(docs.select(*[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)], key.alias("key"), F.col(text_col).alias("text")), (*(f"keep_{i}" for i in range(len(keep))), "key"), "text"),
-        "statistics",
-    )
+    rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
     marked = labels.select(F.col(label_id).alias("key"), F.col(label_col).cast("double").alias("label")).filter("label IS NOT NULL")
     chosen = marked.filter(learn(F.col("key")))
-    labelled = written(taken.select("key", "stats").join(chosen, "key"), "labelled")
+    labelled = written(document_statistics(rows, ("key",), "text").join(chosen, "key"), "labelled")
     model = fit(labelled, config, remainder(F.concat(F.col("key").cast("string"), F.lit("/fold")), 5) == 0)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    names = [*(f"keep_{i}" for i in range(len(keep))), "score", "predicted"]
-    kinds = ", ".join(f"keep_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
 
-    def run(batches):
-        for batch in batches:
-            stats = _matrix(batch.column(len(keep)))
-            score = sent.value.score(stats) if sent.value is not None and len(stats) else np.full(len(stats), 0.5)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(score), pa.array((score >= config.threshold).astype(np.int32))], names)
+    def make():
+        def work(texts):
+            stats = np.array([statistics(t) for t in texts])
+            score = sent.value.score(stats) if sent.value is not None and len(texts) else np.full(len(texts), 0.5)
+            return [score, (score >= config.threshold).astype(np.int32)]
 
-    scored = taken.select(*names[:-2], "stats").mapInArrow(run, f"{kinds}, score double, predicted int")
-    return scored.withColumnsRenamed({f"keep_{i}": c for i, c in enumerate(keep)})
+        return work
 
+    return map_texts(docs, text_col, keep, make, [("score", "double"), ("predicted", "int")])

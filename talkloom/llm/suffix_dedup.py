@@ -329,11 +329,12 @@ def repeated_runs(blocks: DataFrame, config: DedupConfig) -> DataFrame:
     return out
 
 
-def remove_repeats(docs: DataFrame, config: DedupConfig | None = None, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, config: DedupConfig | None = None, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", as_text: bool = False) -> DataFrame:
     """Every row with the bytes removed that a repeated string of ``length`` bytes covers.
 
     ``(*keep, n_bytes, n_removed, n_spans, starts, ends, kept)``: ``kept`` (binary) is the text's
-    UTF-8 without the removed spans ``[start, end)``.  All occurrences go, the first as well;
+    UTF-8 without the removed spans ``[start, end)``; with ``as_text`` a string, from which
+    characters that a span's edge cut through are gone too.  All occurrences go, the first as well;
     strings overlap, and a text may repeat itself.  Null is the empty text; texts shorter than
     ``length`` stay whole; equal rows remove each other; an empty table gives an empty result.
     """
@@ -359,7 +360,7 @@ def remove_repeats(docs: DataFrame, config: DedupConfig | None = None, keep: tup
                     spans.append([first, end])
             edges = [0, *(x for s in spans for x in s), len(data)]
             kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-            return len(data), len(data) - len(kept), len(spans), [a for a, _ in spans], [b for _, b in spans], kept
+            return len(data), len(data) - len(kept), len(spans), [a for a, _ in spans], [b for _, b in spans], kept.decode("utf-8", "ignore") if as_text else kept
 
         def work(kept, texts):
             rows = [one(b, r, t) for b, r, t in zip(kept[-2].to_pylist(), kept[-1].to_pylist(), texts, strict=True)]
@@ -368,6 +369,6 @@ def remove_repeats(docs: DataFrame, config: DedupConfig | None = None, keep: tup
 
         return work
 
-    made = [("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("starts", "array<int>"), ("ends", "array<int>"), ("kept", "binary")]
+    made = [("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("starts", "array<int>"), ("ends", "array<int>"), ("kept", "string" if as_text else "binary")]
     fields = [*((n, docs.schema[c].dataType.simpleString()) for c, n in zip(keep, names, strict=True)), *made]
     return scan_texts(blocks, "text", [*names, "block", "rid"], make, fields).withColumnsRenamed(dict(zip(names, keep, strict=True)))
