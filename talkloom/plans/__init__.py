@@ -1 +1 @@
-
+"""Jobs and views made of operators."""

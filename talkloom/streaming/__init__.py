@@ -1 +1 @@
-
+"""Operators on Structured Streaming."""
