@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkloom.llm.common import scan_texts, written
-from talkloom.llm.tokens import TextEncoder
+from talkloom.llm.tokens import encoder
 
 Plan = list[tuple[tuple[int, ...], int]]  # lengths of a sequence, and how many such sequences
 
@@ -133,7 +133,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, size: int, end_id: int, id_
     fields = [("piece", "int"), ("start", "bigint"), ("length", "int"), ("ids_crc32", "bigint"), ("part", "int"), ("nth", "bigint")]
 
     def make():
-        encode, seen, part = TextEncoder(tokenizer_path, "I"), defaultdict(int), TaskContext.get().partitionId()
+        encode, seen, part = encoder(tokenizer_path, "I"), defaultdict(int), TaskContext.get().partitionId()
         end = np.array([end_id], dtype="<u4").tobytes()
 
         def work(kept, texts):

@@ -10,6 +10,7 @@ reader can seek to any record in any order.
 from __future__ import annotations
 
 import array
+import functools
 import re
 import struct
 import uuid
@@ -22,11 +23,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from talkloom.llm.common import new_path, written
+from talkloom.llm.common import new_path, open_store, written
 
 #: White space other than blank and line feed, and the two marks used below.
 _OTHER_SPACE = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000\\x00\\x01]")
-_CACHE = 400_000
+_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_CACHE = 650_000
 
 
 class TextEncoder:
@@ -44,33 +46,92 @@ class TextEncoder:
         self.tokenizer.encode_special_tokens = True
         self.code = code
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.firsts: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array.array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends, self.starts = np.zeros(max(vocabulary.values()) + 1, bool), np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            self.ends[i], self.starts[i] = token.endswith("</w>"), token.startswith("\u0120")
+        self.word_ends, self.line = bool(self.ends.any()), vocabulary.get("\u010a", -1)
+        self.marks = {m: self._whole(m) for m in ("", ",", ".")}
+
+    def _ids(self, ids: list[int]) -> bytes:
+        return array.array(self.code, ids).tobytes()
+
+    def _whole(self, text: str) -> bytes:
+        return self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids) if text else b""
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode unseen words, many in one text.
+
+        A word of Latin letters is one piece, so its ids end where the vocabulary's marks say;
+        the ids of other words are told apart by where they start in the text.
+        """
+        words, spaced, lined, rest, made = self.words, {}, {}, [], []
+        for w in new:
+            if (known := self.older.get(w)) is not None:
+                words[w] = known
+                continue
+            mark = w[-1:] if w[-1:] in (",", ".") else ""
+            body = w[: len(w) - len(mark)]
+            bare = body[1:] if body[:1] == "\x01" else body
+            if not _LATIN.fullmatch(bare):
+                rest.append(w)
+                continue
+            if self.word_ends:  # case and white space make no difference
+                body = bare = bare.lower()
+            if body not in words:
+                (spaced if body is bare else lined)[body] = None
+            if body != w:
+                made.append((w, body, mark))
+        for part, space, ends in ((list(spaced), " ", self.word_ends), (list(lined), "", False)):
+            for i in range(0, len(part), 2000):
+                some = part[i : i + 2000]
+                joined = "".join(space + w for w in some).replace("\x01", "\n")
+                ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids)
+                if ends:
+                    cuts = np.append(0, np.flatnonzero(self.ends[ids]) + 1)
+                else:
+                    cuts = np.append(np.flatnonzero(self.starts[ids] if space else ids == self.line), len(ids))
+                data, bounds = self._ids(ids.tolist()), (cuts * array.array(self.code).itemsize).tolist()
+                words.update(zip(some, (data[a:b] for a, b in zip(bounds, bounds[1:], strict=False)), strict=True))
+        for w, body, mark in made:
+            words[w] = words[body] + self.marks[mark]
+        for i in range(0, len(rest), 1000):
+            part = ["\n" + w[1:] if w[:1] == "\x01" else " " + w for w in rest[i : i + 1000]]
+            done = self.tokenizer.encode("".join(part), add_special_tokens=False)
+            data, starts = self._ids(done.ids), [a for a, _ in done.offsets]
+            bounds = np.searchsorted(starts, np.cumsum([0, *map(len, part)])) * (len(data) // max(1, len(starts)))
+            words.update(zip(rest[i : i + 1000], (data[a:b] for a, b in zip(bounds, bounds[1:], strict=False)), strict=True))
 
     def __call__(self, text: str | None) -> bytes:
         """The ids as little-endian bytes."""
         if not text:
             return b""
-        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or _OTHER_SPACE.search(text):
-            return self._encode([text])[0]
+        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[-1] in " \n" or _OTHER_SPACE.search(text):
+            return self._whole(text)
         first, *rest = text.replace("\n", " \x01").split(" ")
         if (head := self.firsts.get(first)) is None:
             if len(self.firsts) > _CACHE // 8:
                 self.firsts.clear()
-            head = self.firsts[first] = self._encode([first])[0] if first else b""
+            head = self.firsts[first] = self._whole(first)
         words = self.words
         try:
             return head + b"".join([words[w] for w in rest])
         except KeyError:
-            if len(words) > _CACHE:
-                words.clear()
-            new = [w for w in dict.fromkeys(rest) if w not in words]
-            words.update(zip(new, self._encode(["\n" + w[1:] if w[:1] == "\x01" else " " + w for w in new]), strict=True))
+            if len(words) > _CACHE:  # what is still in use moves over from the older half
+                self.older, self.words = words, {}
+                words = self.words
+            self._learn([w for w in dict.fromkeys(rest) if w not in words])
             return head + b"".join([words[w] for w in rest])
 
 
+@functools.lru_cache(maxsize=2)
+def encoder(path: str, code: str) -> TextEncoder:
+    """The worker's encoder: tasks that follow each other in a worker share the words it knows."""
+    return TextEncoder(path, code)
+
+
 # CRC-32C would need a library or slow Python; zlib's CRC-32 is masked in the same way.
 def masked_crc(data: bytes) -> int:
     crc = zlib.crc32(data)
@@ -94,13 +155,6 @@ def unframe(data: bytes, at: int = 0) -> bytes:
     return payload
 
 
-def _open(path: str):
-    """(file system, path) of a folder in the shared store, local or remote."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
 def write_records(
     docs: DataFrame,
     tokenizer_path: str,
@@ -130,7 +184,7 @@ def write_records(
     end = array.array(code, [end_id]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, out, at, first = TextEncoder(tokenizer_path, code), None, 0, 0
+        encode, out, at, first = encoder(tokenizer_path, code), None, 0, 0
         part = TaskContext.get().partitionId()
         name = f"{part:08d}-{uuid.uuid4().hex}.rec"
         try:
@@ -138,7 +192,7 @@ def write_records(
                 if not batch.num_rows:
                     continue
                 if out is None:
-                    store, where = _open(folder)
+                    store, where = open_store(folder)
                     store.create_dir(where)
                     out = store.open_output_stream(f"{where}/{name}")
                 places, counts, firsts = [], [], []
@@ -183,7 +237,7 @@ def read_records(index: DataFrame, code: str = "H", id_col: str = "doc_id") -> D
                 some, ids = batch.slice(i, 500), []
                 for file, byte in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
                     if file != name:
-                        store, where = _open(file)
+                        store, where = open_store(file)
                         name, data = file, store.open_input_file(where)
                     data.seek(byte)
                     head = data.read(12)
