@@ -177,7 +177,7 @@ def learn_languages(train: DataFrame, config: LangConfig, text: str = "text", la
         for r in rows:
             counts.setdefault(r[name], np.zeros(len(langs)))[column[r["lang"]]] = r["n"]
         tokens, kinds = totals[size].T
-        base = np.log(tokens + config.add * (kinds.max() + 1) + 1e-9)
+        base = np.log(tokens + config.add * (kinds.max(initial=0) + 1) + 1e-9)
         return {k: np.log(v + config.add) - base for k, v in counts.items()}
 
     kept_words = table(_most(words, ["lang"], "word", config.words), 0, "word")
