@@ -142,7 +142,7 @@ def stitch_tiles(tiles: DataFrame, most: int = 10) -> DataFrame:
     for c in ("x0", "x1", "y0", "y1", "lines"):
         rows = rows.withColumn(f"p_{c}", F.lag(c).over(order))
     near = (F.col("x0") == F.col("p_x0")) & (F.col("x1") == F.col("p_x1")) & (F.col("p_y0") < F.col("y0")) & (F.col("y0") < F.col("p_y1"))
-    bare = lambda c: F.transform(c, F.trim)
+    bare = lambda c: F.transform(c, lambda x: F.trim(x))
     before, after = bare(F.col("p_lines")), bare(F.col("lines"))
     room = F.least(F.lit(most), F.size("p_lines"), F.size("lines"))
     match = F.filter(
