@@ -34,11 +34,8 @@ def chat_breakdowns(messages: DataFrame) -> DataFrame:
         "chat_id", F.coalesce("sender_id", F.lit("unknown")).alias("sender"), F.coalesce("kind", F.lit("unknown")).alias("kind"),
         F.coalesce(times.local_month(F.col("timestamp")), F.lit("unknown")).alias("month"),
     )
-    rows.createOrReplaceTempView("__breakdown")
-    found = rows.sparkSession.sql(
-        """SELECT chat_id, sender, kind, month, grouping_id(chat_id, sender, kind, month) AS g, count(*) AS n FROM __breakdown
-           GROUP BY GROUPING SETS ((chat_id, sender), (chat_id, kind), (chat_id, month), (chat_id))"""
-    )
+    sets = [[F.col("chat_id"), F.col("sender")], [F.col("chat_id"), F.col("kind")], [F.col("chat_id"), F.col("month")], [F.col("chat_id")]]
+    found = rows.groupingSets(sets, "chat_id", "sender", "kind", "month").agg(F.grouping_id().alias("g"), F.count("*").alias("n"))
     name = F.when(F.col("g") == 3, "sender").when(F.col("g") == 5, "kind").when(F.col("g") == 6, "month").otherwise("all")
     return found.select("chat_id", name.alias("dimension"), F.coalesce("sender", "kind", "month", F.lit("")).alias("value"), "n")
 

@@ -74,8 +74,7 @@ def run_stages(candidates: DataFrame, ledger_path: str, stages: dict[str, Callab
 def build_reader(records: DataFrame, path: str, size: int = 2000) -> bool:
     """Chunked reader data, built again only if the records have changed; returns whether it was."""
     spark = records.sparkSession
-    parts = records.groupBy(F.pmod(F.xxhash64("record_id"), F.lit(256)).alias("bucket")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("record_id")), ","), 256).alias("d"))
-    digest = parts.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("d")), ","), 256)).first()[0] or ""  # 256 digests at most
+    digest = records.agg(snapshot.set_digest(F.sha2("record_id", 256))).first()[0]
     if _exists(spark, f"{path}/input") and spark.read.parquet(f"{path}/input").first()["digest"] == digest:
         return False
     write_chunks(records, f"{path}/reader", ["timestamp", "source", "seq", "record_id"], size, overwrite=True)
