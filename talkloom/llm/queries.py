@@ -32,6 +32,21 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP2_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT r, i, md5(substr(h, 2 * i + 1, 800)) AS g FROM d, unnest(range(0, length(h) // 2 - 399)) AS t(i)),
+rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY g) AS c FROM win) WHERE c > 1),
+isle AS (SELECT r, i, sum(f) OVER (PARTITION BY r ORDER BY i) AS k FROM (
+  SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 400 THEN 0 ELSE 1 END AS f FROM rep)),
+span AS (SELECT r, min(i) AS a, max(i) + 400 AS b FROM isle GROUP BY r, k),
+cut AS (SELECT r, a, b FROM span UNION ALL SELECT r, length(h) // 2, NULL FROM d),
+piece AS (SELECT r, a, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a, b NULLS LAST), 0) AS s FROM cut),
+kept AS (SELECT r, string_agg(substr(h, 2 * s + 1, 2 * (a - s)), '' ORDER BY a, s) AS k FROM piece JOIN d USING (r) GROUP BY r)
+SELECT doc_id, length(h) // 2 AS n_bytes, (length(h) - length(k)) // 2 AS n_removed, (SELECT count(*) FROM span WHERE span.r = d.r) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (r)
+"""
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = quality_classifier.score_quality(docs, labels, lambda key: remainder(key, 5) != 0)
@@ -141,4 +156,4 @@ QUERIES = {
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL = {"op6_decontaminate": OP6_SQL, "op8_quality_rules": OP8_SQL}
+ORACLE_SQL = {"op2_suffix_dedup": OP2_SQL, "op6_decontaminate": OP6_SQL, "op8_quality_rules": OP8_SQL}
