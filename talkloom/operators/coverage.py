@@ -60,3 +60,17 @@ def request_conflicts(requests: DataFrame, key: str, *fields: str) -> DataFrame:
     """Requests whose alternative fields name different things."""
     values = F.array_distinct(F.array_compact(F.array(*[F.nullif(F.trim(F.col(f).cast("string")), F.lit("")) for f in fields])))
     return requests.select(key, F.when(F.size(values) > 1, "rejected").when(F.size(values) == 0, "missing").otherwise("ok").alias("status"), F.when(F.size(values) == 1, F.get(values, F.lit(0))).alias("value"))
+
+
+def with_failures(rows: DataFrame, failures: DataFrame, key: str = "record_id") -> DataFrame:
+    """Rows keep their place when an enrichment (key, error) failed; the failure is a warning."""
+    joined = rows.join(failures.groupBy(key).agg(F.min("error").alias("__error")), key, "left")
+    warning = F.array_append(F.coalesce("warnings", F.array().cast("array<string>")), F.concat(F.lit("enrichment_failed: "), "__error"))
+    return joined.withColumn("warnings", F.when(F.col("__error").isNull(), F.col("warnings")).otherwise(warning)).drop("__error")
+
+
+def pagination_coverage(pages: DataFrame) -> DataFrame:
+    """By chat, of page rows (chat_id, has_more, failed): was everything read, and if not, why."""
+    more, failed = F.bool_or("has_more"), F.bool_or("failed")
+    reasons = F.array_compact(F.array(F.when(failed, "page_failed"), F.when(more, "more_pages")))
+    return pages.groupBy("chat_id").agg(F.count("*").alias("pages"), reasons.alias("reasons")).withColumn("pagination_complete", F.size("reasons") == 0)

@@ -177,3 +177,19 @@ def discover(queries: DataFrame, candidates: DataFrame, limit: int, names: tuple
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
     totals = best.groupBy("query").agg((F.count("*") <= limit).alias("complete"))
     return ranked.join(totals, "query").filter(F.lit(bool(asked)))
+
+
+def discover_everywhere(queries: DataFrame, sources: dict[str, DataFrame], limit: int) -> tuple[DataFrame, DataFrame]:
+    """The same over several sources: candidates with their source, and each source's status.
+
+    A source without the needed columns fails alone; the others answer.
+    """
+    spark = queries.sparkSession
+    out, statuses = None, []
+    for name, candidates in sources.items():
+        ok = all(c in candidates.columns for c in ("uid", "uin", "nick", "remark"))
+        statuses.append((name, ok))
+        if ok:
+            part = discover(queries, candidates, limit).withColumn("source", F.lit(name))
+            out = part if out is None else out.unionByName(part)
+    return out, spark.createDataFrame(statuses, "source string, ok boolean")

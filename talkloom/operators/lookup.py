@@ -71,3 +71,9 @@ def only_match(candidates: DataFrame, key: str, exact: Column, complete: Column)
     return candidates.groupBy(key).agg(
         n.alias("exact"), F.when(n == 0, "not_found").when((n == 1) & F.bool_and(complete), "ok").otherwise("ambiguous").alias("status")
     )
+
+
+def overlapping_sides(around: DataFrame) -> DataFrame:
+    """Targets whose sides share a record: their order was not consistent."""
+    before, after = around.filter("side = 'before'"), around.filter("side = 'after'")
+    return before.select("target_id", "record_id").intersect(after.select("target_id", "record_id")).select("target_id").distinct()

@@ -184,3 +184,8 @@ def safe_references(messages: DataFrame, verdicts: DataFrame) -> DataFrame:
 def jobs(requests: DataFrame, key: str = "audio_sha256") -> DataFrame:
     """One job for each content, however many requests ask for it."""
     return requests.groupBy(key).agg(F.count("*").alias("requests"), F.min("request_id").alias("first_request"))
+
+
+def refresh_missing(messages: DataFrame, have: DataFrame, resources: DataFrame) -> DataFrame:
+    """Resources for those messages (record_id, identity columns) that have no media yet."""
+    return match_resources(messages.join(have.select("record_id").distinct(), "record_id", "left_anti"), resources)

@@ -132,3 +132,44 @@ def stages_for(category: Column, references: Column) -> Column:
 def bound_scope(outer: Column, nested: Column) -> tuple[Column, Column]:
     """The nested value with gaps filled from the outer one, and whether they contradict."""
     return F.coalesce(nested, outer), F.coalesce(outer != nested, F.lit(False))
+
+
+def allowed_columns(df: DataFrame, allowed: tuple[str, ...], media: bool = True) -> DataFrame:
+    """Only columns that may be shown, and media only on request."""
+    return df.select(*[c for c in allowed if c in df.columns and (media or c != "media")])
+
+
+def reader_items(rows: DataFrame) -> DataFrame:
+    """What a reader shows of rows (record_id, kind, text, transcript, image_texts, images, videos,
+    stickers, available): category, displayed text, text found in images, and whether any file is
+    there."""
+    from talkloom.functions.media import category
+
+    kind = category(F.col("kind"), F.col("images"), F.col("videos"), F.col("stickers"))
+    found = F.array_join(F.filter("image_texts", lambda t: F.trim(t) != ""), "\n")
+    shown = F.when(kind == "voice", texts.first_filled(F.col("transcript"), F.col("text"))).otherwise(texts.first_filled(F.col("text"), F.col("transcript")))
+    return rows.select(
+        "record_id", kind.alias("category"), F.coalesce(shown, F.concat(F.lit("["), "kind", F.lit("]"))).alias("shown"), found.alias("image_text"),
+        F.coalesce("available", F.lit(False)).alias("available"),
+    )
+
+
+def reader_totals(items: DataFrame) -> DataFrame:
+    return items.agg(F.count("*").alias("records"), F.count_if(F.col("category") != "text").alias("media_records"), F.count_if("available").alias("with_files"))
+
+
+def recall_info(fields: Column, values: Column) -> Column:
+    """What a withdrawal notice says, of decoded payload fields and their texts: the prompt, who
+    withdrew what of whom, and everybody's names, each once."""
+    pick = lambda number: F.try_element_at(F.map_from_entries(F.arrays_zip(F.array_distinct(fields), F.transform(F.array_distinct(fields), lambda f: F.get(values, F.array_position(fields, f).cast("int") - 1)))), F.lit(number))
+    names = [pick(n) for n in (47706, 47705, 47715, 47714)]
+    return F.struct(
+        pick(47713).alias("prompt"), pick(47703).alias("actor_uid"), pick(47704).alias("target_uid"),
+        F.array_distinct(F.array_compact(F.array(*[texts.filled(n) for n in names]))).alias("participants"),
+    )
+
+
+def ordered_distinct(*lists: Column) -> Column:
+    """All values in order of first appearance, across lists that may be null."""
+    empty = F.array().cast("array<string>")
+    return F.array_distinct(F.concat(*[F.coalesce(x, empty) for x in lists]))

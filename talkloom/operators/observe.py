@@ -70,3 +70,17 @@ def latest_of(messages: DataFrame, most: int) -> DataFrame:
     """The newest ``most`` rows of each chat."""
     order = Window.partitionBy("chat_id").orderBy(F.desc("timestamp"), F.desc("seq"), F.desc("msg_id"))
     return messages.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= most).drop("__r")
+
+
+def first_events(events: DataFrame, limit: int, descending: bool = False) -> DataFrame:
+    """The first ``limit`` withdrawals of each chat in either order."""
+    keys = [F.desc(c) if descending else F.asc(c) for c in ("timestamp", "seq", "msg_id")]
+    return events.withColumn("__r", F.row_number().over(Window.partitionBy("chat_id").orderBy(*keys))).filter(F.col("__r") <= limit).drop("__r")
+
+
+def recall_report(messages: DataFrame, recall: Column, cache: DataFrame, live: DataFrame, window: int = 3600, size: int = 3, most: int = 5) -> DataFrame:
+    """Withdrawals end to end: (chat_id, msg_id, preceding, following, recovered_text, candidates)."""
+    events = recall_context(messages, recall, size).select("chat_id", "msg_id", "timestamp", "preceding", "following")
+    exact = exact_recoveries(events, cache).withColumnRenamed("text", "recovered_text")
+    near = recall_candidates(events, cache, live, window, most).groupBy("chat_id", F.col("event_id").alias("msg_id")).agg(F.array_sort(F.collect_list(F.struct("rank", "msg_id", "seconds"))).alias("candidates"))
+    return events.join(exact, ["chat_id", "msg_id"], "left").join(near, ["chat_id", "msg_id"], "left")

@@ -141,3 +141,25 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("u_"), "c_custkey").alias("uid"), (F.col("c_custkey") + 10000).cast("string").alias("uin"), F.col("c_name").alias("nick"), F.col("c_mktsegment").alias("remark"),
         F.concat(F.lit("c"), F.col("c_custkey") % 10).alias("chat_id"),
     )
+
+
+NESTED = "chat_id string, id struct<server_id_str:string,local_id:bigint>, create_time bigint, time_iso string, sender_wxid string, sender string, is_from_me boolean, kind string, text string, identity_status string, warnings array<string>"
+
+
+def read_nested(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Pages of the nested source as JSON lines: (rows, lines that are none)."""
+    lines = spark.read.schema(f"{NESTED}, __corrupt string").option("columnNameOfCorruptRecord", "__corrupt").json(path)
+    return lines.filter("__corrupt IS NULL AND id IS NOT NULL").drop("__corrupt"), lines.filter("__corrupt IS NOT NULL OR id IS NULL").select(F.coalesce("__corrupt", F.to_json(F.struct("*"))).alias("line"))
+
+
+def read_coverage(good: DataFrame, bad: DataFrame) -> DataFrame:
+    """Unreadable lines never count as an empty result: one row with counts and a status."""
+    rows, lost = good.agg(F.count("*").alias("rows")), bad.agg(F.count("*").alias("unreadable"))  # one row each
+    status = F.when(F.col("unreadable") == 0, "ok").when(F.col("rows") == 0, "failed").otherwise("partial")
+    return rows.crossJoin(lost).withColumn("status", status)
+
+
+def artifact_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Every data file below a path with its size and digest, for a job's manifest."""
+    files = file_inventory(spark, path)
+    return files.filter(~F.col("name").startswith("_") & ~F.col("name").startswith(".")).select("path", "bytes", "sha256")

@@ -331,3 +331,27 @@ def test_views(spark, chat):
 def test_numbering_needs_no_single_task(spark, chat):
     plan = snapshot.numbered(chat, ["timestamp", "seq", "record_id"])
     assert [r.position for r in plan.orderBy("timestamp", "seq", "record_id").collect()] == list(range(1, 61))
+
+
+def test_nested_source_and_coverage(spark, tmp_path):
+    path = tmp_path / "pages.jsonl"
+    path.write_text('{"chat_id":"c","id":{"server_id_str":"1","local_id":2},"create_time":5,"kind":"text"}\nbroken\n{"error":"x"}\n', "utf-8")
+    good, bad = readers.read_nested(spark, str(path))
+    assert [r.id.local_id for r in good.collect()] == [2] and bad.count() == 2
+    assert readers.read_coverage(good, bad).first().status == "partial"
+    assert readers.read_coverage(good.filter("false"), bad).first().status == "failed"
+    assert readers.read_coverage(good, bad.filter("false")).first().status == "ok"
+    assert readers.artifact_manifest(spark, str(tmp_path)).first().bytes == path.stat().st_size
+
+
+def test_recall_info(spark):
+    row = spark.createDataFrame([([47713, 47706, 47715, 47703], ["gone", "Ann", "Ann", "u_1"])], "fields array<int>, texts array<string>")
+    info = row.select(normalize.recall_info(F.col("fields"), F.col("texts")).alias("i")).first().i
+    assert (info.prompt, info.actor_uid, info.target_uid, info.participants) == ("gone", "u_1", None, ["Ann"])
+
+
+def test_sources_fail_alone(spark):
+    people = spark.createDataFrame([("u_1", "11", "Ann", "x"), ("u_2", "22", "Anna", "y")], "uid string, uin string, nick string, remark string")
+    found, statuses = identity.discover_everywhere(spark.createDataFrame([("Ann",)], "query string"), {"a": people, "b": people.drop("nick")}, 5)
+    assert [(r.id, r.score, r.source) for r in found.orderBy("rank").collect()] == [("u_1", 0, "a"), ("u_2", 1, "a")]
+    assert {r.source: r.ok for r in statuses.collect()} == {"a": True, "b": False}
