@@ -27,12 +27,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the row with the least id stays (of equal ids, one row).
 
-    Fingerprints of five-word shingles link at three differing bits or fewer, which for
-    documents of some length means a similarity far above 0.8.
+    Fingerprints of five-word shingles link at two differing bits or fewer, as in the query op10,
+    which for documents of some length means a similarity far above 0.8.
     """
     copy = in_blocks(docs, [F.col(c) for c in COLUMNS], "documents")
     keyed = copy.select(F.struct("doc_id", "rid", "block").alias("key"), "text")
-    found = simhash.near_duplicates(keyed, shingle=5, bits=3, segments=13, id_col="key")
+    found = simhash.near_duplicates(keyed, shingle=5, bits=2, id_col="key")
     folder = write_side_files(found.filter(F.col("key").eqNullSafe(F.col("component_id"))).select("key.block", "key.rid"), "survivors")
 
     def make():
