@@ -308,7 +308,8 @@ def repeated_runs(blocks: DataFrame, config: DedupConfig) -> DataFrame:
     """``(block, rid, first, number)``: all runs of suffixes whose first ``length`` bytes start
     anywhere else too."""
     runs = written(anchor_runs(blocks, config), "runs")
-    shared = runs.groupBy("anchor").agg(F.count("*").alias("uses")).filter("uses > 1").select("anchor")
+    # written by itself, so that the join below is between plain exchanges and a hot anchor can be split
+    shared = written(runs.groupBy("anchor").agg(F.count("*").alias("uses")).filter("uses > 1").select("anchor"), "anchors")
     several = written(runs.join(shared, "anchor", "left_semi"), "shared")
     row = F.struct("block", "rid", "first", "number")
     contents = written(several.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(row).alias("row")), "contents")
