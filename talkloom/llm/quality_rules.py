@@ -126,5 +126,7 @@ def apply_host_rules(
     """
     rules = rules or HostRules()
     counted = written(count_rules(docs, rules, id_col, text_col, host_col), "rules")
-    verdicts = host_verdicts(counted, rules).select("host", "host_kept")
+    verdicts = written(host_verdicts(counted, rules).select("host", "host_kept"), "hosts")
+    if verdicts.count() <= 100_000:
+        verdicts = F.broadcast(verdicts)  # few enough to send; a hot host then needs no exchange
     return counted.join(verdicts, "host", "left").withColumn("kept", ~F.col("base_failed") & F.col("host_kept"))
