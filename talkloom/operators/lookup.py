@@ -22,8 +22,9 @@ def locate(messages: DataFrame, targets: DataFrame) -> DataFrame:
     return found.groupBy("target_id", "chat_id", "record_id").agg(n.alias("matches"), status.alias("status"))
 
 
-def positions(messages: DataFrame) -> DataFrame:
-    """Place of each message in its chat, and how often its id occurs within its second.
+def positions(messages: DataFrame, record: str = "record_id") -> DataFrame:
+    """Place of each message in its chat by (timestamp, seq, ``record``), and how often its id
+    occurs within its second.
 
     Chats are counted by day first, so a huge chat is numbered in many tasks: the place in the
     day by a window of that day, plus all earlier days of the chat.
@@ -33,8 +34,8 @@ def positions(messages: DataFrame) -> DataFrame:
     counts = rows.groupBy("chat_id", "__day").agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.partitionBy("chat_id").orderBy("__day").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select("chat_id", "__day", F.coalesce(before, F.lit(0)).alias("__before"))
-    order = Window.partitionBy("chat_id", "__day").orderBy("timestamp", "seq", "record_id")
-    same = Window.partitionBy("chat_id", "__day", "timestamp", "record_id")
+    order = Window.partitionBy("chat_id", "__day").orderBy("timestamp", "seq", record)
+    same = Window.partitionBy("chat_id", "__day", "timestamp", record)
     placed = rows.withColumn("__r", F.row_number().over(order)).withColumn("same_second", F.count("*").over(same))
     return placed.join(starts, ["chat_id", "__day"]).withColumn("position", F.col("__before") + F.col("__r")).drop("__day", "__n", "__before", "__r")
 

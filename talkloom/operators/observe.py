@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from talkloom.operators.lookup import positions
+
 
 def fold_observations(log: DataFrame, keys: tuple[str, ...] = ("chat_id", "msg_id"), columns: tuple[str, ...] = ("text", "kind")) -> DataFrame:
     """The cache that replaying ``log`` (keys, observed_at, recoverable, columns) would give.
@@ -37,11 +39,20 @@ def upsert_counts(log: DataFrame, keys: tuple[str, ...] = ("chat_id", "msg_id"),
 
 
 def recall_context(messages: DataFrame, recall: Column, size: int = 3) -> DataFrame:
-    """Every withdrawal with the ids of the rows before and after it in its chat."""
-    order = Window.partitionBy("chat_id").orderBy("timestamp", "seq", "msg_id")
-    marked = messages.withColumn("__recall", recall)
-    near = marked.withColumn("preceding", F.collect_list("msg_id").over(order.rowsBetween(-size, -1))).withColumn("following", F.collect_list("msg_id").over(order.rowsBetween(1, size)))
-    return near.filter("__recall").drop("__recall")
+    """Every withdrawal with the ids of the rows before and after it in its chat.
+
+    Neighbours are joined by their place in the chat, so a huge chat is not ordered in one task.
+    """
+    placed = positions(messages.withColumn("__recall", recall), "msg_id")
+    events = placed.filter("__recall").select(*messages.columns, "position")
+    steps = F.array(*[F.lit(i) for i in range(-size, size + 1) if i])
+    wanted = events.select("chat_id", F.col("msg_id").alias("__event"), F.col("position").alias("__at"), F.explode(steps).alias("__step"))
+    near = wanted.withColumn("position", F.col("__at") + F.col("__step")).join(placed.select("chat_id", "position", "msg_id"), ["chat_id", "position"])
+    side = lambda mine, name: F.transform(F.array_sort(F.collect_list(F.when(mine, F.struct("__step", "msg_id")))), lambda x: x["msg_id"]).alias(name)
+    found = near.groupBy("chat_id", "__at").agg(side(F.col("__step") < 0, "preceding"), side(F.col("__step") > 0, "following"))
+    joined = events.join(found.withColumnRenamed("__at", "position"), ["chat_id", "position"], "left")
+    none = F.array().cast(f"array<{messages.schema['msg_id'].dataType.simpleString()}>")
+    return joined.select(*messages.columns, F.coalesce("preceding", none).alias("preceding"), F.coalesce("following", none).alias("following"))
 
 
 def exact_recoveries(events: DataFrame, cache: DataFrame) -> DataFrame:

@@ -98,9 +98,9 @@ def chunk_index(rows: DataFrame, size: int = 2000) -> DataFrame:
 
 
 def day_headings(rows: DataFrame, day: str = "day", order: tuple[str, ...] = ("timestamp", "seq", "record_id")) -> DataFrame:
-    """Whether a row is the first of its local day in its chat."""
-    previous = F.lag(day).over(Window.partitionBy("chat_id").orderBy(*order))
-    return rows.withColumn("new_day", previous.isNull() | (previous != F.col(day)))
+    """Whether a row is the first of its local day in its chat; each day is ordered by itself."""
+    first = F.row_number().over(Window.partitionBy("chat_id", day).orderBy(*order)) == 1
+    return rows.withColumn("new_day", first)
 
 
 def capped_export(rows: DataFrame, limit: int, order: list[str]) -> tuple[DataFrame, bool]:
