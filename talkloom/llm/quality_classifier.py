@@ -74,7 +74,7 @@ class QualityConfig:
     bins: int = 1000
     seed: int = 11
     threshold: float = 0.3
-    #: At most so many labelled rows are fitted: those least by a hash of their id.
+    #: About so many labelled rows are fitted at most: those least by a hash of their id.
     most_rows: int = 2_000_000
 
 
@@ -150,7 +150,8 @@ def fit(labelled: DataFrame, config: QualityConfig, fold: Column) -> QualityMode
     if not count:
         return None
     if count > config.most_rows:
-        labelled = labelled.orderBy(F.xxhash64("key"), "key").limit(config.most_rows)
+        share = int((1 << 30) * config.most_rows / count)
+        labelled = labelled.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < share)
     rows = labelled.filter(~fold)
     size = len(STATISTICS)
     sums = rows.select(

@@ -148,3 +148,10 @@ def test_language_odd_rows(odd, empty):
     found = li.identify_languages(odd, learn).collect()
     assert len(found) == odd.count() and {r.lang_pred for r in found} == {"und"}
     assert li.identify_languages(empty, learn).count() == 0
+
+
+def test_a_bounded_sample_is_fitted(labelled):
+    docs, labels = labelled
+    config = qc.QualityConfig(most_rows=100, features=32)
+    found = qc.score_quality(docs, labels, lambda k: remainder(k, 5) != 0, config=config).toPandas()
+    assert (found.predicted == (found.doc_id % 4 != 0)).mean() > 0.9
