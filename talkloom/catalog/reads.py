@@ -61,6 +61,12 @@ def merge_primary_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("chat_id", "msg_id", "timestamp", "seq", "sender_uid", "sender_uin", "text", "fts_only")
 
 
+@query(over("SELECT chat_id, msg_id, timestamp, text, fts_only FROM merged WHERE timestamp >= 1704556800 AND timestamp < 1704643200"))
+def merge_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = combine.merge_in_range(readers.events_primary(spark, sf_dir), readers.events_index(spark, sf_dir), TimeRange.of(date="2024-01-07"))
+    return merged.select("chat_id", "msg_id", "timestamp", "text", "fts_only")
+
+
 @query(over("SELECT ri.* FROM ri WHERE NOT EXISTS (SELECT 1 FROM rm WHERE rm.chat_id = ri.chat_id AND rm.msg_id = ri.msg_id)"))
 def index_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combine.index_orphans(readers.events_primary(spark, sf_dir), readers.events_index(spark, sf_dir))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from talkloom.functions.times import TimeRange
+
 KEYS = ["chat_id", "msg_id"]
 
 
@@ -30,3 +32,16 @@ def index_orphans(primary: DataFrame, index: DataFrame) -> DataFrame:
 
 def live_ids(primary: DataFrame, index: DataFrame) -> DataFrame:
     return primary.select(*KEYS).unionByName(index.select(*KEYS)).distinct()
+
+
+def merge_in_range(primary: DataFrame, index: DataFrame, time: TimeRange) -> DataFrame:
+    """The merged messages of a time range, with the range at both scans.
+
+    A filter on the merged time cannot pass the outer join, for the time may come from either
+    side.  Here the primary is cut first and takes its texts from the index whatever their time;
+    of the index alone only rows in the range are looked up among the primary's keys.
+    """
+    inside = primary.filter(time.holds(F.col("timestamp")))
+    matched = index.join(inside.select(*KEYS), KEYS, "left_semi")
+    orphans = index_orphans(primary, index.filter(time.holds(F.col("timestamp"))))
+    return merge_primary_index(inside, matched.unionByName(orphans))
