@@ -355,3 +355,16 @@ def test_sources_fail_alone(spark):
     found, statuses = identity.discover_everywhere(spark.createDataFrame([("Ann",)], "query string"), {"a": people, "b": people.drop("nick")}, 5)
     assert [(r.id, r.score, r.source) for r in found.orderBy("rank").collect()] == [("u_1", 0, "a"), ("u_2", 1, "a")]
     assert {r.source: r.ok for r in statuses.collect()} == {"a": True, "b": False}
+
+
+def test_small_projections(spark):
+    df = spark.createDataFrame([("a", "secret", "m")], "record_id string, token string, media string")
+    assert normalize.allowed_columns(df, ("record_id", "media", "absent"), media=False).columns == ["record_id"]
+    assert normalize.source_facts(df.withColumn("warnings", F.array(F.lit("w"))), ("media",)).columns == ["record_id", "token"]
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    assert one(normalize.stages_for(F.lit("voice"), F.lit(0))) == ["voice"] and one(normalize.stages_for(F.lit("image"), F.lit(2))) == ["media", "ocr"]
+    filled, clash = normalize.bound_scope(F.lit("c1"), F.lit(None).cast("string"))
+    assert one(filled) == "c1" and one(clash) is False and one(normalize.bound_scope(F.lit("c1"), F.lit("c2"))[1]) is True
+    none = F.lit(None).cast("string")
+    chat = lambda kind, uid, group: one(normalize.canonical_chat_id(F.lit(kind), F.lit(uid).cast("string"), F.lit(group).cast("string"), none, F.lit("other")))
+    assert chat("private", " ", "g") is None and chat("private", "u", None) == "u" and chat("group", None, "7") == "7" and chat("group", None, None) == "other"
