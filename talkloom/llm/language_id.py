@@ -45,13 +45,14 @@ def count_words(train: DataFrame, text: str, lang: str) -> DataFrame:
     """``(lang, word, n)`` over all training texts; each task sums its own first."""
 
     def make():
-        seen: Counter = Counter()
+        seen: dict[str, Counter] = {}
 
         def flush():
-            some = list(seen.items())
-            for i in range(0, len(some), 50_000):
-                part = some[i : i + 50_000]
-                yield [k[0] for k, _ in part], [k[1] for k, _ in part], [n for _, n in part]
+            for own, counts in seen.items():
+                words, n = list(counts), list(counts.values())
+                for i in range(0, len(words), 50_000):
+                    part = words[i : i + 50_000]
+                    yield [own] * len(part), part, n[i : i + 50_000]
             seen.clear()
 
         def work(kept, texts):
@@ -59,9 +60,9 @@ def count_words(train: DataFrame, text: str, lang: str) -> DataFrame:
                 yield from flush()
                 return
             for own, t in zip(kept[0].to_pylist(), texts, strict=True):
-                seen.update([(own, w) for w in words_of(t)])
-                if len(seen) > _FLUSH:
-                    yield from flush()
+                seen.setdefault(own, Counter()).update(words_of(t))
+            if sum(map(len, seen.values())) > _FLUSH:
+                yield from flush()
 
         return work
 
@@ -111,16 +112,37 @@ class LangModel:
     """Log frequencies of kept words and n-grams, one row each, a column for each language."""
 
     def __init__(self, langs: list[str], prior: np.ndarray, words: dict[str, np.ndarray], grams: list[dict[str, np.ndarray]]):
-        self.langs, self.prior, self.words, self.grams = langs, prior, words, grams
-
-    def unseen(self, word: str) -> np.ndarray:
-        """Mean log frequency of the longest of its n-grams that are known at all."""
-        for size in range(len(self.grams), 0, -1):
-            table = self.grams[size - 1]
-            rows = [table[g] for g in grams_of(word, size) if g in table]
-            if rows:
-                return np.mean(rows, axis=0)
-        return np.zeros(len(self.langs))
+        self.langs, self.prior, self.words = langs, prior, words
+        self.grams: list[dict[str, int]] = []
+        rows: list[np.ndarray] = []
+        for table in grams:
+            self.grams.append({g: i for i, g in enumerate(table, len(rows))})
+            rows += table.values()
+        self.rows = np.array(rows) if rows else np.zeros((0, len(langs)))
+        self._scorer: Scorer | None = None
+
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """For each word the mean log frequency of the longest of its n-grams that are known."""
+        out, flat, starts, known = np.zeros((len(words), len(self.langs))), [], [], []
+        for i, word in enumerate(words):
+            for size in range(len(self.grams), 0, -1):
+                table = self.grams[size - 1]
+                found = [table[g] for g in grams_of(word, size) if g in table]
+                if found:
+                    known.append(i)
+                    starts.append(len(flat))
+                    flat += found
+                    break
+        if known:
+            sums = np.add.reduceat(self.rows[flat], starts, axis=0)
+            out[known] = sums / np.diff([*starts, len(flat)])[:, None]
+        return out
+
+    def scorer(self) -> Scorer:
+        """One for all tasks of a worker."""
+        if self._scorer is None:
+            self._scorer = Scorer(self)
+        return self._scorer
 
 
 class Scorer:
@@ -142,20 +164,23 @@ class Scorer:
         langs = self.model.langs
         if not langs or not any(map(str.isalpha, words)):
             return "und", 0.0
-        if len(self.index) + len(words) > len(self.table):
-            self._reset()
         index = self.index
-        try:
-            places = [index[w] for w in words]
-        except KeyError:
-            for w in dict.fromkeys(words):
-                if w not in index and len(index) < len(self.table):
-                    self.table[len(index)] = self.model.unseen(w)
-                    index[w] = len(index)
-            places = [index[w] for w in words if w in index]
-        total = self.model.prior + self.table[places].sum(axis=0, dtype=np.float64)
-        if len(places) < len(words):  # more distinct words than the table holds
-            total += sum(self.model.unseen(w) for w in words if w not in index)
+        new = [w for w in dict.fromkeys(words) if w not in index]
+        if len(index) + len(new) > len(self.table) and len(index) > len(self.model.words):
+            self._reset()
+            index = self.index
+            new = [w for w in dict.fromkeys(words) if w not in index]
+        rest = new[max(0, len(self.table) - len(index)) :]  # more than the table holds
+        if kept := new[: len(new) - len(rest)]:
+            at = len(index)
+            self.table[at : at + len(kept)] = self.model.unseen(kept)
+            index.update(zip(kept, range(at, at + len(kept)), strict=True))
+        total = self.model.prior.copy()
+        if rest:
+            counts = Counter(words)
+            total += np.array([counts[w] for w in rest]) @ self.model.unseen(rest)
+            words = [w for w in words if w in index]
+        total += self.table[[index[w] for w in words]].sum(axis=0, dtype=np.float64)
         best = int(np.argmax(total))
         return langs[best], float(1 / np.exp(total - total[best]).sum())
 
@@ -205,7 +230,7 @@ def identify_languages(
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        score = Scorer(sent.value)
+        score = sent.value.scorer()
         return lambda texts: list(zip(*map(score, texts), strict=True)) or [[], []]
 
     return map_texts(rows, "text", [id_col, "learn"], make, [("lang_pred", "string"), ("score", "double")])
