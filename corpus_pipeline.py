@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.llm import decontaminate, packing, quality_classifier, simhash, suffix_dedup
+from talkloom.llm import decontaminate, jaccard, packing, quality_classifier, suffix_dedup
 from talkloom.llm.common import in_blocks, read_side_file, remainder, scan_texts, write_side_files, written
 from talkloom.llm.queries import table, tokenizer
 
@@ -27,12 +27,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the row with the least id stays (of equal ids, one row).
 
-    Fingerprints of five-word shingles link at two differing bits or fewer, as in the query op10,
-    which for documents of some length means a similarity far above 0.8.
+    Documents link whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
     """
     copy = in_blocks(docs, [F.col(c) for c in COLUMNS], "documents")
-    keyed = copy.select(F.struct("doc_id", "rid", "block").alias("key"), "text")
-    found = simhash.near_duplicates(keyed, shingle=5, bits=2, id_col="key")
+    keyed = copy.select(F.struct("doc_id", "rid", "block").alias("key"), "text", "block", "rid")
+    found = jaccard.near_duplicates(keyed, shingle=5, similarity=0.8)
     folder = write_side_files(found.filter(F.col("key").eqNullSafe(F.col("component_id"))).select("key.block", "key.rid"), "survivors")
 
     def make():
