@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkloom.catalog.base import Registry
@@ -142,14 +142,21 @@ def review_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", F.array_join(reasons, ",").alias("reasons"))
 
 
+def _varint(n: Column) -> Column:
+    """A length as a number of one to five bytes, seven bits in each, the least first."""
+    n = n.cast("bigint")
+    digits = [F.shiftright(n, 7 * i) for i in range(6)]
+    pairs = [F.lpad(F.hex(a % 128 + F.when(b > 0, 128).otherwise(0)), 2, "0") for a, b in zip(digits, digits[1:], strict=False)]
+    return F.unhex(F.concat_ws("", pairs[0], *[F.when(a > 0, p) for a, p in zip(digits[1:], pairs[1:], strict=False)]))
+
+
 @query()
 def decode_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts wrapped as field 45101 in field 1, and walked again; tests compare them one by one."""
+    """Whole texts wrapped as field 45101 in field 1, and walked again; tests compare them one by one."""
     field = F.unhex(F.lit("EA8216"))  # tag of field 45101, length-delimited
-    d = readers.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.encode(F.substring("text", 1, 100), "utf-8").alias("t"))
-    small = lambda n: F.unhex(F.when(n < 128, F.lpad(F.hex(n), 2, "0")).otherwise(F.concat(F.lpad(F.hex(n % 128 + 128), 2, "0"), F.lpad(F.hex(F.floor(n / 128)), 2, "0"))))
-    inner = d.withColumn("i", F.concat(field, small(F.length("t")), "t"))
-    wrapped = inner.select("conv_id", "turn", F.concat(F.unhex(F.lit("0A")), small(F.length("i")), "i").alias("payload"))
+    d = readers.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.encode("text", "utf-8").alias("t"))
+    inner = d.withColumn("i", F.concat(field, _varint(F.length("t")), "t"))
+    wrapped = inner.select("conv_id", "turn", F.concat(F.unhex(F.lit("0A")), _varint(F.length("i")), "i").alias("payload"))
     found = payload.decode_payloads(wrapped)
     return found.select("conv_id", "turn", F.array_join("texts", "|").alias("text"), "unknown", "malformed", "truncated")
 
