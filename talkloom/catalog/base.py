@@ -56,7 +56,7 @@ rm AS (SELECT 'c' || (user_id % 10) AS chat_id, event_id AS msg_id, epoch_us(ts)
   (user_id + 10000)::VARCHAR AS sender_uin, CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'signup' THEN 3 WHEN 'error' THEN 4 ELSE 17 END AS type_code,
   CASE WHEN event_id % 2 = 0 THEN 5 ELSE 1 END AS msg_code, value FROM events WHERE event_id % 11 <> 0),
 ri AS (SELECT 'c' || (user_id % 10) AS chat_id, event_id AS msg_id, epoch_us(ts) // 1000000 + 5 AS timestamp, event_id % 7 AS seq, 'u_' || user_id AS sender_uid, props AS text
-  FROM events WHERE event_id % 3 <> 1),
+  FROM events WHERE event_id % 3 <> 1 OR event_id % 11 = 0),
 merged AS (SELECT coalesce(m.chat_id, i.chat_id) AS chat_id, coalesce(m.msg_id, i.msg_id) AS msg_id, CASE WHEN m.msg_id IS NOT NULL THEN m.timestamp ELSE i.timestamp END AS timestamp,
   coalesce(m.seq, i.seq) AS seq, coalesce(m.sender_uid, i.sender_uid) AS sender_uid, m.sender_uin, m.type_code, m.msg_code, i.text, m.msg_id IS NULL AS fts_only
   FROM rm m FULL JOIN ri i ON m.chat_id = i.chat_id AND m.msg_id = i.msg_id),

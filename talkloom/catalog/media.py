@@ -16,7 +16,7 @@ query = Registry()
 FILES = """files AS (SELECT lower(to_hex(doc_id % 60)) || CASE WHEN doc_id % 2 = 0 THEN repeat('a', 20) ELSE 'x' END || '.png' AS name, '2024-0' || (doc_id % 3 + 1) AS month,
   CASE doc_id % 4 WHEN 0 THEN 'Ori' WHEN 1 THEN 'OriTemp' WHEN 2 THEN 'Thumb' ELSE 'ThumbTemp' END AS family, CASE WHEN doc_id % 5 = 0 THEN sha256(text) ELSE 'same' || (doc_id % 60) END AS sha256, doc_id % 9 <> 0 AS readable FROM documents),
 hints AS (SELECT event_id AS msg_id, '2024-0' || (event_id % 3 + 1) AS month, o AS occurrence, lower(to_hex((event_id + o) % 80)) || CASE WHEN (event_id + o) % 2 = 0 THEN repeat('a', 20) ELSE 'x' END || '.png' AS hint
-  FROM events, (SELECT unnest([0, 1, 2]) AS o) WHERE event_id % 10 = 0)"""
+  FROM events, (SELECT unnest([0, 1, 2]) AS o))"""
 
 
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e, n = readers.table(spark, sf_dir, "events").filter("event_id % 10 = 0"), F.col("event_id")
+    e, n = readers.table(spark, sf_dir, "events"), F.col("event_id")
     one = lambda o: F.concat(F.lower(F.hex((n + o) % 80)), F.when((n + o) % 2 == 0, "a" * 20).otherwise("x"), F.lit(".png"))
     return e.select(n.alias("msg_id"), F.concat(F.lit("2024-0"), n % 3 + 1).alias("month"), F.array(one(0), one(1), one(2)).alias("hints"))
 
@@ -127,6 +127,40 @@ def tile_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("p_partkey", *[F.col(c).cast("bigint").alias(c) for c in ("index", "x0", "y0", "x1", "y1")])
 
 
+@query("""WITH hit AS (SELECT d.doc_id AS ref_id, 'p' || f.doc_id AS path, f.n_chars AS bytes, 0 AS how FROM documents d JOIN documents f ON f.doc_id % 2 = 0 AND md5(f.text) = md5(d.text)
+  UNION SELECT d.doc_id, 'p' || l.doc_id, l.n_chars, 1 FROM documents d JOIN documents l ON l.doc_id % 100 = 50 AND l.doc_id // 100 = d.doc_id // 10)
+SELECT ref_id, path, CASE how WHEN 0 THEN 'content' ELSE 'resource' END AS evidence FROM (SELECT *, row_number() OVER (PARTITION BY ref_id ORDER BY how, bytes DESC, path) AS r FROM hit) WHERE r = 1""")
+def match_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d, n = readers.table(spark, sf_dir, "documents"), F.col("doc_id")
+    path = F.concat(F.lit("p"), "doc_id").alias("path")
+    wanted = d.select(n.alias("ref_id"), F.md5("text").alias("md5"), F.floor(n / 10).alias("resource_id"))
+    files = d.filter("doc_id % 2 = 0").select(F.md5("text").alias("md5"), path, F.col("n_chars").alias("bytes"))
+    return media.match_digests(wanted, files, d.filter("doc_id % 100 = 50").select(F.floor(n / 100).alias("resource_id"), path))
+
+
+@query("""WITH f AS (SELECT doc_id % 100 AS r, '2024-0' || (doc_id % 7 // 2 + 1) AS month, 'p' || doc_id AS path, doc_id % 3 = 0 AS cover FROM documents),
+ m AS (SELECT r, month, min(path) FILTER (NOT cover) AS video, min(path) FILTER (cover) AS cover FROM f GROUP BY ALL),
+ a AS (SELECT r, arg_max(video, month) FILTER (video IS NOT NULL) AS video, arg_max(cover, month) FILTER (cover IS NOT NULL) AS cover FROM m GROUP BY r)
+SELECT event_id AS ref_id, coalesce(m.video, a.video) AS video, coalesce(m.cover, a.cover) AS cover FROM events JOIN a ON a.r = user_id % 100 LEFT JOIN m ON m.r = a.r AND m.month = '2024-0' || (event_id % 3 + 1)""")
+def match_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("doc_id")
+    files = readers.table(spark, sf_dir, "documents").select((n % 100).alias("resource_id"), F.concat(F.lit("2024-0"), F.floor(n % 7 / 2) + 1).alias("month"), F.concat(F.lit("p"), "doc_id").alias("path"), (n % 3 == 0).alias("is_cover"))
+    wanted = readers.table(spark, sf_dir, "events").select(F.col("event_id").alias("ref_id"), (F.col("user_id") % 100).alias("resource_id"), F.concat(F.lit("2024-0"), F.col("event_id") % 3 + 1).alias("month"))
+    return media.match_videos(wanted, files)
+
+
+@query("""SELECT event_id AS msg_ref, CASE WHEN event_id % 4 = 0 THEN 'not_found' WHEN event_id % 10 = 1 THEN 'ambiguous' ELSE 'ok' END AS status,
+  CASE WHEN event_id % 4 <> 0 AND event_id % 10 <> 1 THEN sha256(props) END AS sha256 FROM events""")
+def match_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e, n = readers.table(spark, sf_dir, "events"), F.col("event_id")
+    chat, seconds = F.concat(F.lit("c"), F.col("user_id") % 10), times.epoch_of("ts")
+    name = lambda more, ending: F.concat_ws("_", F.md5(chat), n, seconds, F.concat(n, F.lit(more + ending)))
+    files = e.filter("event_id % 4 <> 0").select(name("", ".wav").alias("name"), F.sha2("props", 256).alias("sha256"))
+    again = e.filter("event_id % 4 <> 0").select(name("_acc", ".silk").alias("name"), F.sha2(F.concat("props", F.when(n % 10 == 1, "x").otherwise("")), 256).alias("sha256"))
+    rows = e.select(n.alias("msg_ref"), chat.alias("chat_id"), n.alias("server_id"), n.alias("local_id"), seconds.alias("timestamp"))
+    return media.match_audio(rows, files.unionByName(again))
+
+
 @query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN strftime(make_timestamp((s + 28800) * 1000000), '%Y-%m') ELSE strftime(make_timestamp((s + 28800) * 1000000), '%Y-%m') END AS month FROM (SELECT event_id, epoch_us(ts) // 1000000 AS s FROM events)")
 def message_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     seconds = times.epoch_of("ts")
@@ -138,7 +172,7 @@ def message_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 def review_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = readers.table(spark, sf_dir, "events")
     segment = F.struct((F.col("value") / -40).alias("avg_logprob"), F.when(F.col("user_id") % 4 == 3, 0.9).otherwise(0.1).alias("no_speech_prob"))
-    reasons = on.review_reasons(F.array(segment, segment), F.lit("spoken words"), F.lit(10.0), F.when(F.col("event_id") % 5 == 0, 0.001).otherwise(0.2))
+    reasons = on.review_reasons(F.array(segment, segment), F.lit("spoken words"), F.lit(10.0), F.when(F.col("event_id") % 5 == 0, 0.0005).otherwise(0.2))
     return e.select("event_id", F.array_join(reasons, ",").alias("reasons"))
 
 
@@ -150,9 +184,9 @@ def _varint(n: Column) -> Column:
     return F.unhex(F.concat_ws("", pairs[0], *[F.when(a > 0, p) for a, p in zip(digits[1:], pairs[1:], strict=False)]))
 
 
-@query()
+@query("SELECT conv_id, turn, coalesce(text, '') AS text, CASE WHEN text = '' THEN 1 ELSE 0 END AS unknown, false AS malformed, false AS truncated FROM conversations")
 def decode_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole texts wrapped as field 45101 in field 1, and walked again; tests compare them one by one."""
+    """Whole texts wrapped as field 45101 in field 1, and walked again."""
     field = F.unhex(F.lit("EA8216"))  # tag of field 45101, length-delimited
     d = readers.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.encode("text", "utf-8").alias("t"))
     inner = d.withColumn("i", F.concat(field, _varint(F.length("t")), "t"))

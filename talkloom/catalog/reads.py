@@ -15,16 +15,74 @@ from talkloom.sources import readers, sinks
 query = Registry()
 
 
-@query(over("SELECT chat_id, msg_id, timestamp, seq, sender_uid, sender_uin, type_code, msg_code FROM rm"))
+def _stored(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Events as stored message tables with numeric column names; private ones lack some columns."""
+    e, n = readers.table(spark, sf_dir, "events"), F.col("event_id")
+    raw = e.select(
+        n.alias("40001"), times.epoch_of("ts").alias("40050"), (n % 7).alias("40003"), F.concat(F.lit("u_"), "user_id").alias("40020"), F.col("user_id").alias("40027"),
+        (n % 3).cast("int").alias("40012"), F.col("user_id").alias("40033"), F.col("props").alias("41701"), F.col("event_type").alias("41702"),
+    )
+    return {"group": raw.filter("`40027` % 2 = 0"), "private": raw.filter("`40027` % 2 = 1").drop("40033", "41702")}
+
+
+STORED = """SELECT event_id AS msg_id, epoch_us(ts) // 1000000 AS create_time, event_id % 7 AS seq, 'u_' || user_id AS sender_uid, user_id AS peer_num, {},
+  CASE WHEN user_id % 2 = 0 THEN 'group' ELSE 'private' END AS chat_type FROM events"""
+
+
+@query(STORED.format("event_id % 3 AS type_code, NULL::BIGINT AS msg_code, CASE WHEN user_id % 2 = 0 THEN user_id::VARCHAR END AS sender_uin"))
 def scan_primary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = readers.scan_primary(_stored(spark, sf_dir))
+    return found.select("msg_id", "create_time", "seq", "sender_uid", "peer_num", "type_code", "msg_code", "sender_uin", "chat_type")
+
+
+@query(STORED.format("props AS text, CASE WHEN user_id % 2 = 0 THEN event_type END AS aux_text"))
+def scan_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.scan_index(_stored(spark, sf_dir)).select("msg_id", "create_time", "seq", "sender_uid", "peer_num", "text", "aux_text", "chat_type")
+
+
+@query(over("SELECT chat_id, msg_id, timestamp, seq, sender_uid, sender_uin, type_code, msg_code FROM rm"))
+def primary_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.events_primary(spark, sf_dir).drop("value")
 
 
 @query(over("SELECT chat_id, msg_id, timestamp, seq, sender_uid, text FROM ri"))
-def scan_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+def index_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.events_index(spark, sf_dir)
 
 
+@query(over("SELECT record_id, CASE WHEN seq % 4 = 0 THEN 'as it came ' || seq ELSE text END AS text, direction FROM w"))
+def source_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    voice = F.when(F.col("seq") % 4 == 0, F.concat(F.lit("as it came "), "seq"))
+    rows = w_messages(spark, sf_dir).withColumns({"original_voice_text": voice, "warnings": F.array(F.lit("derived")), "image_text": F.lit("derived")})
+    return normalize.source_facts(rows, ("image_text",)).select("record_id", "text", "direction")
+
+
+@query(over("""SELECT record_id, CASE WHEN seq % 3 = 0 THEN '[voice] spoken ' || seq ELSE text END AS text, CASE WHEN seq % 3 = 0 THEN text END AS original_voice_text,
+  CASE WHEN seq % 3 = 0 THEN 'other' ELSE 'no transcript|other' END AS warnings FROM w"""))
+def attach_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = w_messages(spark, sf_dir).withColumn("warnings", F.array(F.lit("no transcript"), F.lit("other")))
+    status = F.when(F.col("seq") % 3 == 0, "ok").otherwise("failed")
+    heard = rows.filter("seq % 3 < 2").select("record_id", status.alias("status"), F.concat(F.lit("spoken "), "seq").alias("transcript"))
+    return normalize.attach_transcripts(rows, heard).select("record_id", "text", "original_voice_text", F.array_join("warnings", "|").alias("warnings"))
+
+
+@query(over("""SELECT source, record_id FROM (SELECT *, row_number() OVER (ORDER BY timestamp DESC, source DESC, seq DESC, message_id DESC, record_id DESC) AS r FROM msgs
+  WHERE timestamp < 1704816000) WHERE r > 50 AND r <= 100"""))
+def merged_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second page of all sources as of a fixed time, by the cursor of the first."""
+    rows = messages(spark, sf_dir).filter(TimeRange.of(end="2024-01-09").holds(F.col("timestamp")))
+    scope = {"descending": True, "snapshot": 1704816000, "chats": "all"}
+    first = paging.keyset_page(rows, 50, **scope)
+    return paging.keyset_page(rows, 50, first.next_cursor, **scope).rows.select("source", "record_id")
+
+
+@query(r"""SELECT page_id, nullif(regexp_extract(html, '<a\b[^>]*?\shref\s*=\s*["'']([^"'']*)["'']', 1), '') AS href, nullif(regexp_extract(html, '<a\b[^>]*?\sclass\s*=\s*["'']([^"'']*)["'']', 1), '') AS class
+  FROM pages WHERE length(html) <= 2000000 AND NOT regexp_matches(upper(html), '<!(DOCTYPE|ENTITY)') AND regexp_matches(html, '<a\b')""")
+def node_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    node = texts.node_attributes(F.col("html"), "a", ["href", "class"])
+    return readers.table(spark, sf_dir, "pages").select("page_id", node.alias("n")).filter("n IS NOT NULL").select("page_id", "n.href", "n.class")
+
+
 @query("SELECT c_custkey::VARCHAR AS uid, NULL::VARCHAR AS uin, c_name AS nick, c_mktsegment AS remark FROM customer")
 def scan_optional_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = {"uid": ("c_custkey", "string"), "uin": ("absent", "string"), "nick": ("c_name", "string"), "remark": ("c_mktsegment", "string")}
@@ -165,9 +223,11 @@ def timeline_after_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page.select("source", "record_id", "timestamp")
 
 
-@query(over("SELECT record_id FROM (SELECT record_id, timestamp, seq FROM q ORDER BY timestamp DESC, seq DESC, record_id DESC LIMIT 40 OFFSET 25)"))
+@query(over("""SELECT record_id, total, CASE WHEN total > 65 THEN 65 END AS next_offset FROM (SELECT record_id, count(*) OVER () AS total, timestamp, seq FROM q
+  ORDER BY timestamp DESC, seq DESC, record_id DESC LIMIT 40 OFFSET 25)"""))
 def offset_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paging.offset_page(q_messages(spark, sf_dir), 40, 25, ("timestamp", "seq", "record_id"), descending=True).select("record_id")
+    page = paging.offset_page(q_messages(spark, sf_dir), 40, 25, ("timestamp", "seq", "record_id"), descending=True)
+    return page.rows.select("record_id", F.lit(page.total).cast("bigint").alias("total"), F.lit(page.next_offset).cast("int").alias("next_offset"))
 
 
 TARGETS = "targets AS (SELECT event_id AS target_id, 'c' || (user_id % 10) AS chat_id, 'c' || (user_id % 10) || ':' || event_id AS record_id FROM events WHERE event_type = 'purchase')"

@@ -114,9 +114,9 @@ def merge_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT user_id AS record_id, count(*) AS given, CASE WHEN count(DISTINCT event_type) > 1 THEN 'conflict' ELSE 'ok' END AS status, CASE WHEN count(DISTINCT event_type) = 1 THEN min(event_type) END AS patch
-  FROM events WHERE value < 3 GROUP BY user_id""")
+  FROM events GROUP BY user_id""")
 def conflicting_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = readers.table(spark, sf_dir, "events").filter("value < 3").select(F.col("user_id").alias("record_id"), F.col("event_type").alias("patch"))
+    rows = readers.table(spark, sf_dir, "events").select(F.col("user_id").alias("record_id"), F.col("event_type").alias("patch"))
     return enrich.conflicting_updates(rows, ("record_id",))
 
 

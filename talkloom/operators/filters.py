@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -11,35 +12,33 @@ from talkloom.functions import texts
 from talkloom.functions.times import TimeRange
 
 _SENDER = {"uid": "sender_uid", "uin": "sender_uin", "name": "sender_name", "direction": "direction"}
-_DIRECTIONS = ("from_me", "from_contact", "from_member", "unknown")
+#: A selector says its namespace by a prefix, or else by its shape, the first that fits.
+_SELECTOR = re.compile(
+    r"(?P<prefix>uid|uin|name|direction):(?P<value>.*)"
+    r"|(?P<uin>\d+)|(?P<uid>u_.*)|(?P<direction>from_me|from_contact|from_member|unknown)|(?P<name>.+)",
+    re.DOTALL,
+)
 
 
 def sender_selector(selector: str = "", **named: str) -> tuple[str, str] | None:
-    """(column, value) of a selector; only one namespace at a time.
+    """(column, value) of a selector, or None for none; only one namespace at a time.
 
-    ``uid: uin: name: direction:`` prefixes say which; else digits are a uin, ``u_`` begins a
-    uid, a direction word is one, and anything else is an exact name.
+    ``uid: uin: name: direction:`` prefixes say which, and so do arguments of these names; else
+    digits are a uin, ``u_`` begins a uid, a direction word is one, and anything else is an exact
+    name.
     """
-    given = [(k, str(v).strip()) for k, v in named.items() if v not in (None, "")]
-    if any(k not in _SENDER for k, _ in given):
-        raise ValueError("unknown sender namespace")
-    text = (selector or "").strip()
-    if len(given) + bool(text) > 1:
-        raise ValueError("one sender namespace at a time")
-    if given:
-        return _SENDER[given[0][0]], given[0][1]
-    if not text:
+    unknown = set(named) - set(_SENDER)
+    asked = [(selector or "").strip(), *(f"{k}:{v}" for k, v in named.items() if v not in (None, "") and k in _SENDER)]
+    asked = [x for x in asked if x]
+    if unknown or len(asked) > 1:
+        raise ValueError("one sender namespace at a time, of uid, uin, name and direction")
+    if not asked:
         return None
-    prefix, colon, value = text.partition(":")
-    if colon and prefix in _SENDER:
-        if not value.strip():
-            raise ValueError("an empty sender selector")
-        return _SENDER[prefix], value.strip()
-    if text.isdigit():
-        return "sender_uin", text
-    if text.startswith("u_"):
-        return "sender_uid", text
-    return ("direction", text) if text in _DIRECTIONS else ("sender_name", text)
+    found = _SELECTOR.fullmatch(asked[0])
+    namespace, value = (found["prefix"], found["value"]) if found["prefix"] else (found.lastgroup, asked[0])
+    if not value.strip():
+        raise ValueError("an empty sender selector")
+    return _SENDER[namespace], value.strip()
 
 
 def select_senders(messages: DataFrame, selectors: DataFrame) -> DataFrame:

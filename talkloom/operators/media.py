@@ -18,26 +18,29 @@ def resolve_images(messages: DataFrame, files: DataFrame) -> DataFrame:
     """Image hints of messages (msg_id, month, hints) in an inventory (name, month, family, sha256,
     readable, path).
 
-    Names that are hashes are looked up in every month, others in the message's own.  The first
+    Names that are hashes are looked up in every month, others in the message's own.  Files are
+    summed up by name (and month) first, so a hint meets one row however many files share it.  The first
     family with a readable file counts; differing contents within it are ambiguous.  One row for
     each occurrence of a hint, repeated ones included: (msg_id, occurrence, hint, status, sha256,
     variant, matched_files).
     """
     hints = messages.select("msg_id", "month", F.posexplode("hints").alias("occurrence", "hint"))
-    hashed = hints.withColumn("hashed", F.col("hint").rlike(HASH_NAME))
-    inventory = files.select(F.lower("name").alias("key"), F.col("month").alias("file_month"), "family", "sha256", "readable")
-    joined = hashed.withColumn("key", F.lower("hint")).join(inventory, "key").filter(F.col("hashed") | (F.col("file_month") == F.col("month")))
+    hashed = hints.withColumn("hashed", F.col("hint").rlike(HASH_NAME)).withColumn("key", F.lower("hint"))
     place = F.array_position(F.array(*map(F.lit, FAMILIES)), F.col("family"))
-    by_family = joined.filter(place > 0).groupBy("msg_id", "occurrence", place.alias("place")).agg(
-        F.count("*").alias("files"), F.count_distinct(F.when(F.col("readable"), F.col("sha256"))).alias("contents"), F.min(F.when(F.col("readable"), F.col("sha256"))).alias("sha256")
-    )
-    chosen = by_family.groupBy("msg_id", "occurrence").agg(
-        F.min(F.when(F.col("contents") > 0, F.struct("place", "contents", "sha256"))).alias("best"), F.sum("files").alias("matched_files")
-    )
-    out = hashed.join(chosen, ["msg_id", "occurrence"], "left")
+    known = files.select(F.lower("name").alias("key"), F.col("month").alias("file_month"), place.alias("place"), F.when(F.col("readable"), F.col("sha256")).alias("sha256")).filter("place > 0")
+
+    def verdicts(keys: list[str]) -> DataFrame:
+        """One row for each name (and month): files in all, and the contents of its best family."""
+        by_family = known.groupBy(*keys, "place").agg(F.count("*").alias("files"), F.min("sha256").alias("sha256"), F.max("sha256").alias("other"))
+        best = F.min(F.when(F.col("sha256").isNotNull(), F.struct("place", (F.col("sha256") != F.col("other")).alias("several"), "sha256")))
+        return by_family.groupBy(*keys).agg(best.alias("best"), F.sum("files").alias("matched_files"))
+
+    anywhere = hashed.filter("hashed").join(verdicts(["key"]), "key", "left")
+    same_month = hashed.filter("NOT hashed OR hashed IS NULL").join(verdicts(["key", "file_month"]).withColumnRenamed("file_month", "month"), ["key", "month"], "left")
+    out = anywhere.unionByName(same_month)
     status = (
         F.when(F.col("matched_files").isNull(), "not_found").when(F.col("best").isNull(), "unreadable")
-        .when(F.col("best.contents") > 1, "ambiguous_cache_files").otherwise("available")
+        .when(F.col("best.several"), "ambiguous_cache_files").otherwise("available")
     )
     ok = status == "available"
     return out.select(
@@ -100,11 +103,16 @@ def match_digests(wanted: DataFrame, files: DataFrame, links: DataFrame) -> Data
 
 def match_videos(wanted: DataFrame, files: DataFrame) -> DataFrame:
     """Videos (ref_id, resource_id, month) to files (resource_id, month, path, is_cover): that of
-    the month before that of any other; a cover is no video and is given beside it."""
-    joined = wanted.join(files.withColumnRenamed("month", "file_month"), "resource_id")
-    order = Window.partitionBy("ref_id", "is_cover").orderBy((F.col("file_month") == F.col("month")).desc(), F.desc("file_month"), "path")
-    best = joined.withColumn("__r", F.row_number().over(order)).filter("__r = 1")
-    return best.groupBy("ref_id").agg(F.max(F.when(~F.col("is_cover"), F.col("path"))).alias("video"), F.max(F.when(F.col("is_cover"), F.col("path"))).alias("cover"))
+    the month before that of the latest other; a cover is no video and is given beside it.
+
+    Files are summed up by resource and month first, so a resource with many files costs a row.
+    """
+    own = lambda cover: F.min(F.when(F.col("is_cover") == cover, F.col("path")))
+    of_month = files.groupBy("resource_id", "month").agg(own(False).alias("video"), own(True).alias("cover"))
+    latest = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("month"))).alias(f"any_{c}")
+    of_any = of_month.groupBy("resource_id").agg(latest("video"), latest("cover"))
+    joined = wanted.join(of_any, "resource_id").join(of_month, ["resource_id", "month"], "left")
+    return joined.select("ref_id", F.coalesce("video", "any_video").alias("video"), F.coalesce("cover", "any_cover").alias("cover"))
 
 
 AUDIO_NAME = r"^([0-9a-f]{32})_(\d+)_(\d+)_(\d+)(?:_([A-Za-z0-9]+))?\.[a-z0-9]+$"

@@ -24,7 +24,7 @@ def fold_observations(log: DataFrame, keys: tuple[str, ...] = ("chat_id", "msg_i
 
 def upsert_counts(log: DataFrame, keys: tuple[str, ...] = ("chat_id", "msg_id"), columns: tuple[str, ...] = ("text", "kind")) -> DataFrame:
     """By chat: observations that added a record, updated it, or left a recoverable one alone."""
-    order = Window.partitionBy(*keys).orderBy("observed_at")
+    order = Window.partitionBy(*keys).orderBy("observed_at", "recoverable", *columns)  # ties by content
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     content = F.struct("recoverable", "observed_at", *columns)
     kept = F.max(content).over(earlier)
@@ -65,14 +65,26 @@ def recall_candidates(events: DataFrame, cache: DataFrame, live: DataFrame, wind
     records (chat_id, msg_id, timestamp) that are no longer live, at most ``window`` seconds
     older, nearest first, ``most`` of them.
 
-    An interval join kept an equality join: both sides are dealt into buckets of the window's
-    length, and an event looks into its own bucket and the one before.
+    An interval join kept an equality join.  Of the records of one second, and of one step (a
+    64th of the window), no event can need more than the nearest ``most``; these alone are kept.
+    An event meets the seconds of its own step and the kept records of the steps before it, so
+    a hot chat or second costs an event a bounded number of rows.
     """
+    step = max(1, window // 64)
     exact = exact_recoveries(events, cache).select("chat_id", "msg_id")
-    open_ = events.join(exact, ["chat_id", "msg_id"], "left_anti").select("chat_id", F.col("msg_id").alias("event_id"), F.col("timestamp").alias("event_ts"))
-    asked = open_.select("*", F.explode(F.array(F.floor(F.col("event_ts") / window), F.floor(F.col("event_ts") / window) - 1)).alias("bucket"))
-    gone = cache.filter("recoverable").join(live, ["chat_id", "msg_id"], "left_anti").select("chat_id", "msg_id", "timestamp", F.floor(F.col("timestamp") / window).alias("bucket"))
-    pairs = asked.join(gone, ["chat_id", "bucket"]).withColumn("seconds", F.col("event_ts") - F.col("timestamp")).filter(F.col("seconds").between(0, window) & (F.col("event_ts") > 0))
+    open_ = events.filter("timestamp > 0").join(exact, ["chat_id", "msg_id"], "left_anti")
+    open_ = open_.select("chat_id", F.col("msg_id").alias("event_id"), F.col("timestamp").alias("event_ts"), F.floor(F.col("timestamp") / step).alias("at"))
+    gone = cache.filter("recoverable").join(live, ["chat_id", "msg_id"], "left_anti").select("chat_id", "msg_id", "timestamp", F.floor(F.col("timestamp") / step).alias("step"))
+
+    def nearest(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
+        return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("__r") <= most).drop("__r")
+
+    seconds = nearest(gone, ["chat_id", "timestamp"], ["msg_id"])
+    steps = nearest(seconds, ["chat_id", "step"], [F.desc("timestamp"), "msg_id"])
+    first = F.floor((F.col("event_ts") - window) / step)
+    earlier = open_.filter(first < F.col("at")).select("chat_id", "event_id", "event_ts", F.explode(F.sequence(first, F.col("at") - 1)).alias("step")).join(steps, ["chat_id", "step"])
+    own = open_.withColumnRenamed("at", "step").join(seconds, ["chat_id", "step"]).select(*earlier.columns)
+    pairs = own.unionByName(earlier).withColumn("seconds", F.col("event_ts") - F.col("timestamp")).filter(F.col("seconds").between(0, window))
     order = Window.partitionBy("chat_id", "event_id").orderBy("seconds", "msg_id")
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most).select("chat_id", "event_id", "rank", "msg_id", "seconds")
 

@@ -85,10 +85,42 @@ def keyset_page(
     return Page(rows, more, encode_cursor(list(marks[limit - 1]), own) if more else None)
 
 
-def offset_page(messages: DataFrame, limit: int, offset: int, keys: tuple[str, ...] = ORDER, descending: bool = False) -> DataFrame:
+def clamped(value: object, default: int, least: int, most: int) -> int:
+    """A bound of a native read: within its range, the default where it is no number."""
+    try:
+        number = int(value)
+    except (TypeError, ValueError):
+        number = default
+    return min(max(number, least), most)
+
+
+@dataclass(frozen=True)
+class OffsetPage:
+    rows: DataFrame
+    total: int
+    next_offset: int | None
+
+
+def offset_rows(messages: DataFrame, limit: int, offset: int, keys: tuple[str, ...] = ORDER, descending: bool = False) -> DataFrame:
     return messages.orderBy(*order_columns(keys, descending)).offset(offset).limit(limit)
 
 
+def offset_page(
+    messages: DataFrame, limit: object = 50, offset: object = 0, keys: tuple[str, ...] = ORDER, descending: bool = False, display_descending: bool | None = None
+) -> OffsetPage:
+    """Rows from ``offset`` on, the exact total, and the next page's offset (None after the last).
+
+    Limit and offset are clamped to 1..1,000 and 0..1,000,000,000; rows are shown in the order of
+    the query unless another is asked for.
+    """
+    limit, offset = clamped(limit, 50, 1, 1000), clamped(offset, 0, 0, 1_000_000_000)
+    total = messages.count()
+    rows = offset_rows(messages, limit, offset, keys, descending)
+    if display_descending is not None and display_descending != descending:
+        rows = rows.orderBy(*order_columns(keys, display_descending))
+    return OffsetPage(rows, total, offset + limit if offset + limit < total else None)
+
+
 def merge_sources(*sources: DataFrame) -> DataFrame:
     """All sources under one schema; the source column tells them apart, nothing is dropped."""
     out = sources[0]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from talkloom.sources.scratch import kept
+
 
 def without_duplicates(rows: DataFrame, order: list[str], by: tuple[str, ...] = ("source", "fp")) -> DataFrame:
     """The first row of each fingerprint within a source."""
@@ -35,10 +37,29 @@ def export_summary(rows: DataFrame) -> DataFrame:
     )
 
 
+def dealt_by_range(rows: DataFrame, order: list[str], parts: int | None = None) -> DataFrame:
+    """``rows`` in parts by range of ``order``, with the number of each part as ``__part``.
+
+    Written once: a range exchange samples its input, so two runs of it may cut elsewhere, and
+    whatever is counted by part must be counted on the very rows that were dealt.
+    """
+    count = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return kept(rows.repartitionByRange(count, *order).withColumn("__part", F.spark_partition_id()), "dealt")
+
+
 def order_violations(rows: DataFrame, position: str = "position") -> DataFrame:
-    """By chat, how often time runs backwards along the given order."""
-    back = F.lag("timestamp").over(Window.partitionBy("chat_id").orderBy(position)) > F.col("timestamp")
-    return rows.select("chat_id", back.alias("back")).groupBy("chat_id").agg(F.count_if("back").alias("violations"))
+    """By chat, how often time runs backwards along the given order.
+
+    A chat is cut by ranges of its positions: steps inside a part are counted there, and those
+    from one part to the next by the parts' first and last rows.
+    """
+    dealt = dealt_by_range(rows.select("chat_id", position, "timestamp"), ["chat_id", position])
+    back = F.lag("timestamp").over(Window.partitionBy("chat_id", "__part").orderBy(position)) > F.col("timestamp")
+    parts = dealt.withColumn("__back", back).groupBy("chat_id", "__part").agg(
+        F.count_if("__back").alias("inside"), F.min_by("timestamp", position).alias("first"), F.max_by("timestamp", position).alias("last")
+    )
+    step = F.lag("last").over(Window.partitionBy("chat_id").orderBy("__part")) > F.col("first")
+    return parts.withColumn("__step", step).groupBy("chat_id").agg((F.sum("inside") + F.count_if("__step")).alias("violations"))
 
 
 def set_digest(fp: Column | str) -> Column:
@@ -76,9 +97,7 @@ def numbered(rows: DataFrame, order: list[str], parts: int | None = None) -> Dat
     Rows are dealt by range, numbered within each part, and the parts' sizes are added up: the
     only window without a key runs over one row a part.  ``order`` must be total.
     """
-    spark = rows.sparkSession
-    count = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(count, *order).withColumn("__part", F.spark_partition_id())
+    dealt = dealt_by_range(rows, order, parts)
     placed = dealt.withColumn("__r", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
     sizes = dealt.groupBy("__part").agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))

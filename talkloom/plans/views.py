@@ -39,6 +39,16 @@ def forward_history(forwards: DataFrame) -> DataFrame:
     return forwards.groupBy("target_chat").agg(F.max("timestamp").alias("last_forward"), F.count("*").alias("forwards"))
 
 
+def contacts(people: DataFrame, friends_only: bool = False, groups_only: bool = False, kinds: tuple[str, ...] = ()) -> DataFrame:
+    """Contacts (..., contact_type) by type: only friends, only groups, or some types; what to
+    look among when a chat is resolved by :func:`identity.discover`."""
+    if friends_only and groups_only:
+        raise ValueError("either friends or groups")
+    kind = F.lower(F.col("contact_type"))
+    out = people.filter(kind == "friend") if friends_only else people.filter(kind == "group") if groups_only else people
+    return out.filter(kind.isin(*[k.lower() for k in kinds])) if kinds else out
+
+
 def contact_stats(contacts: DataFrame, kind: str = "contact_type") -> DataFrame:
     return contacts.groupBy(kind).agg(F.count("*").alias("n"))
 

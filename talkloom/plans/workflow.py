@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from talkloom.functions import texts, times
 from talkloom.operators import enrich, snapshot
 from talkloom.operators.paging import scope_hash
+from talkloom.sources.scratch import kept
 from talkloom.sources.sinks import write_chunks, write_manifest
 
 
@@ -23,36 +24,103 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def export_snapshot(messages: DataFrame, path: str, **scope) -> DataFrame:
-    """Write the buckets (chat, local day) that a snapshot of this scope lacks; returns what was
-    done with each bucket.
+def committed(spark: SparkSession, path: str) -> DataFrame | None:
+    """The commits of a snapshot (version, scope, rows), or None if it has none yet."""
+    return spark.read.parquet(f"{path}/commits") if _exists(spark, f"{path}/commits") else None
 
-    Buckets already written are read again only as digests; one whose history has changed is
-    refused (ValueError), and so is a scope other than the snapshot's own.
+
+def snapshot_records(spark: SparkSession, path: str) -> DataFrame:
+    """All records of committed versions; what a broken run left behind is not read."""
+    last = committed(spark, path).agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{path}/records").filter(F.col("version") <= last)
+
+
+def export_snapshot(messages: DataFrame, path: str, until: int | None = None, **scope) -> DataFrame:
+    """Write the records that a snapshot of this scope lacks; returns the verdict on each bucket
+    (chat, local day): same, added or grown.
+
+    Records before ``until`` (seconds) are read, all of them if it is None.  Whole buckets are
+    compared by digest; of those that differ, records are compared one by one: new ones are
+    added, so a last day may grow, but a record that is gone or no longer the same is changed
+    history and refused (ValueError), and so is a scope other than the snapshot's own.
+
+    A run writes its records and the digests of all buckets under a version number of its own and
+    publishes both by one small commit at the end.  A run that breaks off before it leaves nothing
+    that is read, and the next run writes over it.
     """
     spark = messages.sparkSession
     own = scope_hash(**scope)
-    rows = messages.withColumn("day", times.local_day(F.col("timestamp"))).withColumn("fp", texts.fingerprint(*[c for c in messages.columns]))
+    given = messages if until is None else messages.filter(F.col("timestamp") < until)
+    rows = given.withColumn("day", times.local_day(F.col("timestamp"))).withColumn("fp", texts.fingerprint(*given.columns))
     rows = snapshot.resolve_collisions(snapshot.without_duplicates(rows, ["timestamp", "seq", "record_id"]))
-    digests = snapshot.bucket_digests(rows)
-    if _exists(spark, f"{path}/digests"):
-        if spark.read.parquet(f"{path}/scope").first()["scope"] != own:
+    digests = kept(snapshot.bucket_digests(rows), "digests")
+    commits = committed(spark, path)
+    bucket, one = ["chat_id", "day"], ["chat_id", "day", "source", "fp"]
+    if commits is None:
+        version, new = 1, rows
+        verdicts = digests.select(*bucket, F.lit("added").alias("verdict"))
+    else:
+        last = commits.orderBy(F.desc("version")).first()
+        if last["scope"] != own:
             raise ValueError("the snapshot has another scope")
-        verdicts = snapshot.compare_digests(spark.read.parquet(f"{path}/digests"), digests)
-        if verdicts.filter("verdict IN ('changed', 'removed')").limit(1).count():
+        version = last["version"] + 1
+        old = spark.read.parquet(f"{path}/digests").filter(F.col("version") == last["version"]).drop("version")
+        verdicts = kept(snapshot.compare_digests(old, digests).replace("changed", "grown", "verdict"), "verdicts")
+        grown = verdicts.filter("verdict = 'grown'").select(*bucket)
+        before = snapshot_records(spark, path).withColumn("day", F.col("day").cast("string")).join(grown, bucket, "left_semi").select(*one)
+        lost = before.join(rows.select(*one), one, "left_anti")
+        if verdicts.filter("verdict = 'removed'").limit(1).count() or lost.limit(1).count():
             raise ValueError("history has changed under the snapshot")
-    else:
-        verdicts = digests.select("chat_id", "day", F.lit("added").alias("verdict"))
-        write_manifest(spark.createDataFrame([(own,)], "scope string"), f"{path}/scope")
-    new = verdicts.filter("verdict = 'added'").select("chat_id", "day")
-    rows.join(new, ["chat_id", "day"], "left_semi").write.mode("append").partitionBy("day").parquet(f"{path}/records")
-    digests.join(new, ["chat_id", "day"], "left_semi").write.mode("append").parquet(f"{path}/digests")
-    kept = spark.read.parquet(f"{path}/records")
-    counts = kept.groupBy("source").agg(F.count("*").alias("rows"), F.min("timestamp").alias("first_time"), F.max("timestamp").alias("last_time"), F.lit(True).alias("complete"))
+        new = rows.join(verdicts.filter("verdict IN ('added', 'grown')").select(*bucket), bucket, "left_semi").join(before, one, "left_anti")
+    new.write.mode("overwrite").partitionBy("day").parquet(f"{path}/records/version={version}")
+    digests.write.mode("overwrite").parquet(f"{path}/digests/version={version}")
+    _commit(spark, path, version, own)
+    records = snapshot_records(spark, path)
+    counts = records.groupBy("source").agg(F.count("*").alias("rows"), F.min("timestamp").alias("first_time"), F.max("timestamp").alias("last_time"), F.lit(True).alias("complete"))
     write_manifest(counts, f"{path}/manifest")
     return verdicts
 
 
+def _commit(spark: SparkSession, path: str, version: int, scope: str) -> None:
+    """One row in one file, which appears whole or not at all."""
+    row = spark.createDataFrame([(scope,)], "scope string")
+    row.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/version={version}")
+
+
+def media_inventory(records: DataFrame, path: str, kinds: tuple[str, ...], before: int, resume: bool = False, **scope) -> DataFrame:
+    """Metadata of records of some kinds before a time (exclusive), one part for each kind:
+    returns the manifest (kind, rows, first_time, last_time).
+
+    ``records`` (source, record_id, kind, timestamp, ...); repeated identities are one row.  A
+    fresh inventory needs a fresh place.  With ``resume`` the scope and the time must be those of
+    the saved one (further kinds may follow), every saved part must have as many rows as its
+    manifest says and only rows of its kind, and complete parts are not written again.
+    """
+    spark, own = records.sparkSession, scope_hash(before=before, **scope)
+    exists = _exists(spark, f"{path}/manifest")
+    if exists != resume:
+        raise ValueError("nothing to resume here" if resume else "choose a fresh place for the inventory")
+    schema = "kind string, rows bigint, first_time bigint, last_time bigint, scope string"
+    saved = {r["kind"]: r for r in spark.read.schema(schema).parquet(f"{path}/manifest").collect()} if resume else {}  # a row for each kind
+    if any(r["scope"] != own for r in saved.values()) or set(saved) - set(kinds):
+        raise ValueError("the saved inventory has another scope")
+    if saved:
+        found = spark.read.parquet(f"{path}/parts").groupBy("part").agg(F.count("*").alias("n"), F.count_if(~F.col("kind").eqNullSafe(F.col("part"))).alias("foreign"))
+        sizes = {r["part"]: r for r in found.collect()}
+        if any((sizes[k]["n"], sizes[k]["foreign"]) != (r["rows"], 0) if k in sizes else r["rows"] for k, r in saved.items()):
+            raise ValueError("a saved part does not match its manifest")
+    missing = [k for k in kinds if k not in saved]
+    wanted = records.filter(F.col("kind").isin(*missing) & (F.col("timestamp") < before)).dropDuplicates(["source", "record_id", "kind", "timestamp"])
+    wanted.withColumn("part", F.col("kind")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(f"{path}/parts")
+    if missing:
+        written = spark.read.schema(wanted.schema.add("part", "string")).parquet(f"{path}/parts").filter(F.col("part").isin(*missing))
+        counts = written.groupBy("part").agg(F.count("*").alias("rows"), F.min("timestamp").alias("first_time"), F.max("timestamp").alias("last_time"))
+        all_kinds = spark.createDataFrame([(k,) for k in missing], "part string").join(counts, "part", "left")
+        state = all_kinds.select(F.col("part").alias("kind"), F.coalesce("rows", F.lit(0)).alias("rows"), "first_time", "last_time", F.lit(own).alias("scope"))
+        state.coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+    return spark.read.schema(schema).parquet(f"{path}/manifest").drop("scope")
+
+
 def run_stages(candidates: DataFrame, ledger_path: str, stages: dict[str, Callable[[DataFrame], DataFrame]], recorded_at: int, **options) -> DataFrame:
     """Run each stage on what the ledger lacks, in order, and append the outcome.
 
@@ -72,9 +140,11 @@ def run_stages(candidates: DataFrame, ledger_path: str, stages: dict[str, Callab
 
 
 def build_reader(records: DataFrame, path: str, size: int = 2000) -> bool:
-    """Chunked reader data, built again only if the records have changed; returns whether it was."""
+    """Chunked reader data, built again only if any content of the records or an option has
+    changed; returns whether it was."""
     spark = records.sparkSession
-    digest = records.agg(snapshot.set_digest(F.sha2("record_id", 256))).first()[0]
+    contents = records.agg(snapshot.set_digest(texts.fingerprint(*records.columns))).first()[0]
+    digest = scope_hash(contents=contents, columns=sorted(records.columns), size=size)
     if _exists(spark, f"{path}/input") and spark.read.parquet(f"{path}/input").first()["digest"] == digest:
         return False
     write_chunks(records, f"{path}/reader", ["timestamp", "source", "seq", "record_id"], size, overwrite=True)

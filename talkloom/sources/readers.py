@@ -116,7 +116,7 @@ def events_primary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    return e.filter("event_id % 3 <> 1").select(
+    return e.filter("event_id % 3 <> 1 OR event_id % 11 = 0").select(
         F.concat(F.lit("c"), F.col("user_id") % 10).alias("chat_id"), F.col("event_id").alias("msg_id"), (epoch_of("ts") + 5).alias("timestamp"),
         (F.col("event_id") % 7).alias("seq"), F.concat(F.lit("u_"), "user_id").alias("sender_uid"), F.col("props").alias("text"),
     )

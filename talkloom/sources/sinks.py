@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from talkloom.functions import texts, times
 from talkloom.operators.snapshot import chunk_index, day_headings, numbered
+from talkloom.sources.scratch import kept
 
 
 def write_jsonl(rows: DataFrame, path: str, order: list[str], overwrite: bool = False) -> None:
@@ -28,17 +29,30 @@ def markdown_lines(messages: DataFrame) -> DataFrame:
 
 
 def write_markdown(messages: DataFrame, path: str, overwrite: bool = False) -> None:
-    """One folder a chat, lines in order."""
-    lines = markdown_lines(messages)
-    dealt = lines.repartition("chat_id").sortWithinPartitions("chat_id", "timestamp", "seq", "record_id")
+    """One folder a chat; its files, taken by name, hold its lines in order.
+
+    Lines are dealt by range, so a huge chat is written by many tasks.
+    """
+    order = ["chat_id", "timestamp", "seq", "record_id"]
+    dealt = markdown_lines(messages).repartitionByRange(*order).sortWithinPartitions(*order)
     dealt.select("chat_id", F.col("line").alias("value")).write.mode("overwrite" if overwrite else "errorifexists").partitionBy("chat_id").text(path)
 
 
+#: Chunks that share a folder.
+CHUNKS_OF_FOLDER = 1000
+
+
 def write_chunks(items: DataFrame, path: str, order: list[str], size: int = 2000, overwrite: bool = False) -> DataFrame:
-    """Items in chunks of ``size`` in one order, a folder each, and the index of chunks."""
-    placed = numbered(items, order).withColumn("chunk_id", F.floor((F.col("position") - 1) / size) + 1)
+    """Items in chunks of ``size`` in one order, and the index of chunks.
+
+    A row has its ``position`` and ``chunk_id``; 1,000 chunks share a folder (``folder``), in
+    files by range of positions, so a reader of one chunk opens one folder and a file or two.
+    """
+    placed = kept(numbered(items, order).withColumn("chunk_id", F.floor((F.col("position") - 1) / size) + 1), "chunks")
     mode = "overwrite" if overwrite else "errorifexists"
-    placed.repartition("chunk_id").sortWithinPartitions("chunk_id", "position").write.mode(mode).partitionBy("chunk_id").json(f"{path}/items")
+    folder = F.floor((F.col("chunk_id") - 1) / CHUNKS_OF_FOLDER)
+    dealt = placed.withColumn("folder", folder).repartitionByRange("position").sortWithinPartitions("position")
+    dealt.write.mode(mode).partitionBy("folder").json(f"{path}/items")
     index = chunk_index(placed, size)
     index.write.mode(mode).json(f"{path}/index")
     return index

@@ -2,17 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from talkloom.operators.observe import fold_observations
 
 
-def stream_cache(observations: DataFrame, name: str, checkpoint: str, keys: tuple[str, ...] = ("chat_id", "msg_id")) -> StreamingQuery:
-    """The observation cache in update mode: the fold is an aggregate, so state is one row a message."""
+def stream_cache(observations: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("chat_id", "msg_id")) -> StreamingQuery:
+    """The observation cache in update mode: the fold is an aggregate, so state is one row a
+    message, kept by Spark; each batch writes only the messages it changed, under its number.
+
+    :func:`read_cache` gives the table; a batch that is run again replaces its own rows.
+    """
+
+    def commit(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
     folded = fold_observations(observations, keys)
-    return folded.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", checkpoint).start()
+    return folded.writeStream.outputMode("update").foreachBatch(commit).option("checkpointLocation", checkpoint).start()
+
+
+def read_cache(spark: SparkSession, path: str, keys: tuple[str, ...] = ("chat_id", "msg_id")) -> DataFrame:
+    """The latest row of each message of a cache written by :func:`stream_cache`."""
+    rows = spark.read.parquet(path)
+    columns = [c for c in rows.columns if c not in (*keys, "batch")]
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), "batch").alias("row"))
+    return latest.select(*keys, *[f"row.{c}" for c in columns])
 
 
 def stream_recoveries(events: DataFrame, cached: DataFrame, window: int, late: str = "10 minutes") -> DataFrame:
@@ -30,9 +46,11 @@ def stream_without_duplicates(messages: DataFrame, time: Column, late: str = "1
 
 
 def append_snapshot(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """A resumable export: each batch's new records land in the dataset by source and day once."""
+    """A resumable export: each batch's records land in the dataset under the batch's number, once
+    even if the batch is run again.  Records that come twice are the caller's to drop
+    (:func:`stream_without_duplicates`)."""
 
     def commit(batch: DataFrame, number: int) -> None:
-        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return messages.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -151,10 +151,10 @@ def test_stream_equals_batch(spark, tmp_path):
     schema = "chat_id string, msg_id int, observed_at int, recoverable boolean, text string, kind string"
     log = spark.createDataFrame(rows, schema)
     log.repartition(5).write.parquet(f"{tmp_path}/in")
-    query = streams.stream_cache(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in"), "folded", f"{tmp_path}/cp")
+    query = streams.stream_cache(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in"), f"{tmp_path}/folded", f"{tmp_path}/cp")
     query.processAllAvailable()
     query.stop()
-    assert sorted(spark.table("folded").collect()) == sorted(observe.fold_observations(log).collect())
+    assert sorted(streams.read_cache(spark, f"{tmp_path}/folded").collect()) == sorted(observe.fold_observations(log).collect())
 
 
 def test_stream_joins_and_duplicates(spark, tmp_path):
@@ -187,6 +187,60 @@ def test_snapshot_resumes_and_refuses(spark, chat, tmp_path):
         workflow.export_snapshot(chat.withColumn("text", F.lit("new")), path, chats="all")
 
 
+def test_snapshot_grows_and_survives_a_broken_run(spark, chat, tmp_path, monkeypatch):
+    path = f"{tmp_path}/snap"
+    workflow.export_snapshot(chat.filter("seq < 3"), path, chats="all")
+    kept = workflow.snapshot_records(spark, path).count()
+    with monkeypatch.context() as broken:
+        broken.setattr(workflow, "_commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            workflow.export_snapshot(chat.filter("seq < 4"), path, chats="all")
+    assert workflow.snapshot_records(spark, path).count() == kept  # nothing of the broken run is read
+    verdicts = {r.verdict for r in workflow.export_snapshot(chat, path, chats="all").collect()}
+    records = workflow.snapshot_records(spark, path)
+    assert verdicts == {"grown"} and records.count() == 60 == records.select("record_id").distinct().count()
+    assert {r.verdict for r in workflow.export_snapshot(chat, path, chats="all").collect()} == {"same"}
+    with pytest.raises(ValueError, match="history"):
+        workflow.export_snapshot(chat.filter("record_id <> 'c0:10'"), path, chats="all")
+
+
+def test_media_inventory(spark, chat, tmp_path):
+    path = f"{tmp_path}/inventory"
+    rows = chat.withColumn("kind", F.when(F.col("seq") == 1, "image").when(F.col("seq") == 2, "voice").otherwise("text"))
+    twice = rows.unionByName(rows)
+    first = {r.kind: r.rows for r in workflow.media_inventory(twice, path, ("image",), 1_700_400_000, chat="all").collect()}
+    want = {r.kind: r.n for r in rows.filter("timestamp < 1700400000").groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    assert first == {"image": want["image"]}
+    with pytest.raises(ValueError, match="fresh"):
+        workflow.media_inventory(rows, path, ("image",), 1_700_400_000, chat="all")
+    both = {r.kind: r.rows for r in workflow.media_inventory(twice, path, ("image", "voice", "video"), 1_700_400_000, resume=True, chat="all").collect()}
+    assert both == {"image": want["image"], "voice": want["voice"], "video": 0}
+    with pytest.raises(ValueError, match="scope"):
+        workflow.media_inventory(rows, path, ("image", "voice", "video"), 1_700_400_001, resume=True, chat="all")
+    with pytest.raises(ValueError, match="nothing"):
+        workflow.media_inventory(rows, f"{tmp_path}/none", ("image",), 5, resume=True)
+    spark.read.parquet(f"{path}/parts").limit(1).drop("part").write.mode("append").parquet(f"{path}/parts/part=image")
+    with pytest.raises(ValueError, match="match"):
+        workflow.media_inventory(rows, path, ("image", "voice", "video"), 1_700_400_000, resume=True, chat="all")
+
+
+def test_reader_follows_contents_and_options(spark, chat, tmp_path):
+    path = str(tmp_path)
+    assert workflow.build_reader(chat, path, 25) and not workflow.build_reader(chat, path, 25)
+    assert workflow.build_reader(chat, path, 30)
+    assert workflow.build_reader(chat.withColumn("text", F.concat("text", F.lit("!"))), path, 30)
+    items = spark.read.json(f"{path}/reader/items")
+    assert sorted(r.position for r in items.collect()) == list(range(1, 61)) and items.filter("text LIKE '%!'").count() == 60
+
+
+def test_offset_pages(chat):
+    page = paging.offset_page(chat, 25, 50)
+    assert (page.rows.count(), page.total, page.next_offset) == (10, 60, None)
+    page = paging.offset_page(chat, "25", 0, descending=True, display_descending=False)
+    assert (page.total, page.next_offset) == (60, 25) and [r.timestamp for r in page.rows.collect()] == sorted(r.timestamp for r in page.rows.collect())
+    assert paging.clamped("x", 50, 1, 1000) == 50 and paging.clamped(0, 50, 1, 1000) == 1 and paging.clamped(5000, 50, 1, 1000) == 1000
+
+
 def test_stages_and_reader(spark, chat, tmp_path):
     candidates = chat.select("source", "record_id", F.lit("ocr").alias("stage"), F.lit("v1").alias("version"))
     stage = lambda df: df.select("source", "record_id", F.when(F.col("record_id") == "c0:0", "broken").otherwise("ok").alias("status"))
@@ -248,10 +302,30 @@ def test_payload_walk():
     found = payload.walk(data)
     assert found["texts"] == ["héllo", "two"] and found["images"] == [name.decode()] and not found["malformed"]
     assert payload.walk(data[:-1])["malformed"] and payload.walk(b"")["texts"] == [] and payload.walk(None)["texts"] == []
-    deep = b"\x00\x01"
+    deep = field(3, number(5 << 3) + number(7))
     for _ in range(12):
-        deep = field(1, deep + b"")
-    assert payload.walk(field(1, b"x") * 3000)["truncated"]
+        deep = field(1, deep)
+    assert payload.walk(deep)["truncated"] and payload.walk(field(1, b"x") * 3000)["truncated"]
+    assert payload.walk(field(1, b"x") * 2048)["unknown"] == 2048 and not payload.walk(field(1, b"x") * 2048)["truncated"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.recursive(st.lists(st.one_of(st.text(min_size=1, max_size=9), st.integers(0, 1 << 40)), max_size=4), lambda inner: st.lists(st.one_of(st.text(min_size=1, max_size=9), inner), max_size=4), max_leaves=12))
+def test_payload_tree(tree):
+    want = []
+
+    def build(node):
+        out = b""
+        for x in node:
+            if isinstance(x, str):
+                out += field(45101, x.encode())
+                want.extend([x] if all(c.isprintable() or c in "\t\r\n" for c in x) else [])
+            else:
+                out += number(3 << 3) + number(x) if isinstance(x, int) else field(2, build(x))
+        return out
+
+    plain = [x for x in payload.walk(build(tree))["texts"]]
+    assert [x for x in plain if x in want] == plain and set(want) <= set(plain)
 
 
 def test_decode_only_what_is_missing(spark):
@@ -279,6 +353,10 @@ def test_text_functions(spark):
     segment = F.array(F.struct(F.lit(-0.1).alias("avg_logprob"), F.lit(0.1).alias("no_speech_prob")))
     assert one(on.review_reasons(segment, F.lit("abcabcabcabc"), F.lit(9.0), F.lit(0.1))) == ["repetition"]
     assert one(on.review_reasons(segment, F.lit("x" * 0), F.lit(9.0), F.lit(0.1))) == ["level_mismatch"]
+    level = lambda text, loud: one(on.review_reasons(segment, F.lit(text), F.lit(9.0), F.lit(loud).cast("double")))
+    assert [level("hi", 0.0009), level("hi", 0.001), level("", 0.008), level("", 0.0081), level("", None)] == [["level_mismatch"], [], [], ["level_mismatch"], []]
+    assert one(texts.urls(F.lit('see https://b.c/d?e "http://a" /download?x=1>'))) == ["/download?x=1", "http://a", "https://b.c/d?e"]
+    assert one(texts.file_names(F.lit("年报 2.docx"))) == ["年报 2.docx"]
 
 
 def test_media_matching(spark):
@@ -328,6 +406,18 @@ def test_views(spark, chat):
     assert schema.filter("column_name = 'record_id'").first().data_type == "string" and spark.sql("SELECT count(*) AS n FROM chat_messages").first().n == 60
 
 
+def test_numbering_of_three_million_rows(spark, tmp_path):
+    rows = spark.range(3_000_000).select(F.xxhash64("id").alias("timestamp"), "id", F.col("id").cast("string").alias("record_id"))
+    snapshot.numbered(rows, ["timestamp", "id"], parts=16).write.parquet(f"{tmp_path}/placed")
+    placed = spark.read.parquet(f"{tmp_path}/placed")
+    found = placed.agg(F.count("*").alias("n"), F.count_distinct("position").alias("places"), F.min("position").alias("a"), F.max("position").alias("b")).first()
+    assert tuple(found) == (3_000_000, 3_000_000, 1, 3_000_000)
+    other = placed.select((F.col("position") + 1).alias("position"), F.col("timestamp").alias("before"))
+    assert placed.join(other, "position").filter("before > timestamp").count() == 0
+    chunks = snapshot.chunk_index(placed, 20_000)
+    assert chunks.filter("n <> 20000").count() == 0 and chunks.count() == 150
+
+
 def test_numbering_needs_no_single_task(spark, chat):
     plan = snapshot.numbered(chat, ["timestamp", "seq", "record_id"])
     assert [r.position for r in plan.orderBy("timestamp", "seq", "record_id").collect()] == list(range(1, 61))
