@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -11,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from talkloom.sources.scratch import kept, shared_dir
+
 ARROW = {
     "bigint": pa.int64(),
     "int": pa.int32(),
@@ -26,18 +27,6 @@ ARROW = {
 }
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where the cluster names none (local tests) is a temporary one set.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="talkloom-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/talkloom/{name}-{uuid.uuid4().hex}"
 
@@ -45,9 +34,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: computed once, lineage cut,
     and safe from lost executors.  The files live as long as the checkpoint folder does."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return kept(df, name)
 
 
 def remainder(column: Column, modulus: int) -> Column:
@@ -55,12 +42,15 @@ def remainder(column: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % modulus
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most 1,000 texts, unless the session asks for another size: whole
-    texts are large rows, and a batch is held several times over."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(name) == "10000":
-        spark.conf.set(name, "1000")
+#: Rows of a batch that are worked on at once; Spark bounds a batch's bytes.
+PIECE = 1000
+
+
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut into pieces: whole texts are large, and a piece is held several times over."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, PIECE):
+            yield batch.slice(i, PIECE)
 
 
 def map_texts(
@@ -76,7 +66,6 @@ def map_texts(
     ``make`` runs once in each task and returns a function from a batch of texts (and of the
     ``carry`` columns) to the new columns.  Only these columns are read from ``df``.
     """
-    small_batches(df.sparkSession)
     chosen = df.select(
         *[df[c] for c in keep], *[df[c].alias(f"__{c}") for c in carry], df[text].cast("string").alias("__text")
     )
@@ -89,7 +78,7 @@ def map_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
+        for batch in pieces(batches):
             made = work(*(batch.column(i).to_pylist() for i in (-1, *range(width, width + len(carry)))))
             new = [x if isinstance(x, pa.Array) else pa.array(x, k) for x, k in zip(made, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], *new], names)
@@ -108,7 +97,6 @@ def scan_texts(
     """Any number of output rows: ``make()`` returns a generator function over a batch's
     (kept columns, texts) that yields tuples of columns; with ``finish`` it is called once more
     with ``(None, None)`` after the last batch, for what a task has summed up."""
-    small_batches(df.sparkSession)
     chosen = df.select(*[df[c] for c in keep], df[text].cast("string").alias("__text"))
     kinds = [ARROW[t] for _, t in fields]
     names = [n for n, _ in fields]
@@ -123,7 +111,7 @@ def scan_texts(
                     [x if isinstance(x, pa.Array) else pa.array(x, k) for x, k in zip(made, kinds, strict=True)], names
                 )
 
-        for batch in batches:
+        for batch in pieces(batches):
             yield from out(work([batch.column(i) for i in range(width)], batch.column(width).to_pylist()))
         if finish:
             yield from out(work(None, None))
@@ -149,20 +137,36 @@ def open_store(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
-def write_side_files(df: DataFrame, name: str) -> str:
-    """Write ``df`` as one folder for each value of its column ``block``; returns the place."""
-    path = new_path(df.sparkSession, name)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df.repartition(parts, "block").write.partitionBy("block").option("compression", "zstd").parquet(path)
-    return path
+class SideFiles:
+    """A table dealt by ``block`` into a bounded number of folders, for tasks that scan blocks.
+
+    A folder holds the rows of several blocks in order, so a block is a few row groups of a file
+    or two, and there are as many folders as shuffle partitions, not as blocks.
+    """
 
+    def __init__(self, path: str, folders: int):
+        self.path, self.folders = path, folders
 
-def read_side_file(path: str, block: int, columns: list[str]) -> pa.Table | None:
-    """What was written for ``block``, or None."""
-    import pyarrow.parquet as pq
-    from pyarrow import fs
+    def read(self, block: int, columns: list[str]) -> pa.Table | None:
+        """What was written for ``block``, or None."""
+        import pyarrow.parquet as pq
+        from pyarrow import fs
 
-    store, folder = open_store(path)
-    found = store.get_file_info(fs.FileSelector(f"{folder}/block={block}", allow_not_found=True))
-    tables = [pq.read_table(f.path, filesystem=store, columns=columns, partitioning=None) for f in found if f.path.endswith(".parquet")]
-    return pa.concat_tables(tables) if tables else None
+        store, folder = open_store(self.path)
+        found = store.get_file_info(fs.FileSelector(f"{folder}/folder={block % self.folders}", allow_not_found=True))
+        files = [f.path for f in found if f.path.endswith(".parquet")]
+        tables = [pq.read_table(f, filesystem=store, columns=columns, partitioning=None, filters=[("block", "=", block)]) for f in files]
+        return pa.concat_tables(tables) if tables else None
+
+    def frame(self, spark: SparkSession, columns: str) -> DataFrame:
+        """The whole table."""
+        return spark.read.schema(columns).parquet(self.path)
+
+
+def write_side_files(df: DataFrame, name: str, order: Sequence[str] = ()) -> SideFiles:
+    """Write ``df`` by its column ``block`` (not negative), within a block by ``order``."""
+    path = new_path(df.sparkSession, name)
+    folders = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("folder", (F.col("block") % folders).cast("int")).repartition(folders, "folder").sortWithinPartitions("folder", "block", *order)
+    dealt.write.partitionBy("folder").option("compression", "zstd").option("parquet.block.size", str(4 << 20)).parquet(path)
+    return SideFiles(path, folders)

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from talkloom.llm.common import map_texts, read_side_file, scan_texts, write_side_files, written
+from talkloom.llm.common import map_texts, scan_texts, write_side_files, written
 from talkloom.llm.components import connected
 
 SEED = 42
@@ -71,7 +71,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             classes, sets = [], []
             for block, rid, text in zip(kept[0].to_pylist(), kept[1].to_pylist(), texts, strict=True):
                 if block != state["block"]:
-                    rows = read_side_file(folder, block, ["rid", "cls"])
+                    rows = folder.read(block, ["rid", "cls"])
                     state["block"], state["rows"] = block, dict(zip(*(c.to_pylist() for c in rows.columns), strict=True)) if rows is not None else {}
                 if rid in state["rows"]:
                     classes.append(state["rows"][rid])

@@ -2,111 +2,225 @@
 
     P(w | v) = a * P(class(w) | class(v)) * P(w | class(w)) + (1 - a) * P(w)
 
-* The most frequent words (``core``, a bound on what is sent around) are clustered by the
-  exchange algorithm on their bigram counts; rounds run as Spark jobs in which every task
-  moves its own words against the classes of the round before.
-* Every other word, however rare, takes the one class under which its neighbours over the
-  whole corpus are likeliest: one exchange step, in one sorted pass.
-* The vocabulary is never sent whole to anyone.  Documents are copied once in blocks; each
-  block asks for its own words and is given a lexicon of just these, as a file.
+* Texts are tokenized once: a block (what one task reads, or a bounded part of it) is written as
+  numbers of its own vocabulary, and all later passes work on these numbers.
+* The vocabulary is never sent whole to anyone.  A block's words are joined with the counts over
+  the corpus, and the answer waits for the block as a side file.
+* The most frequent words (``core``) start the clustering on their own bigrams.  Then every word
+  seen ``least`` times or more, however many these are, is exchanged in Spark rounds against the
+  classes of all its neighbours.  Rarer words take the class likeliest under theirs at the end.
 * Unseen words are one event, with a class of its own whose chance after each class is that of
   words seen once.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkloom.llm.common import in_blocks, read_side_file, scan_texts, write_side_files, written
+from talkloom.llm.common import SideFiles, pieces, write_side_files, written
 
-END = b""  # no word is empty
-_FLUSH = 300_000
+END = b""  # no word is empty; number 0 of every block
+_BLOCKS_OF_TASK = 1 << 20
+_BLOCK_WORDS, _BLOCK_TOKENS = 1_000_000, 8_000_000
+_LISTED = 50_000
+_EVIDENCE = "h1 bigint, h2 bigint, block bigint, local int, total bigint, class int, places array<int>, counts array<int>"
+_EVIDENCE_NAMES = ["h1", "h2", "block", "local", "total", "class", "places", "counts"]
 
 
 @dataclass(frozen=True)
 class LmConfig:
+    """``core``: words that start the clustering, for ``rounds`` rounds; ``least``: count from
+    which a word is exchanged, ``sweeps`` times after it has got its first class."""
+
     classes: int = 48
     core: int = 1500
     rounds: int = 8
+    least: int = 16
+    sweeps: int = 2
     class_weight: float = 0.9
     transition_add: float = 0.5
     emission_add: float = 0.5
 
 
-def words_of(text: str | None) -> list[bytes]:
+def words_of(text: bytes | str | None) -> list[bytes]:
     """Words, A-Z lower-cased, and the end token."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    data = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text or b""
+    words = data.lower().split()
     words.append(END)
     return words
 
 
-# -- core words -----------------------------------------------------------------------------
-
+# -- blocks ---------------------------------------------------------------------------------
+
+
+def encoded_blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column) -> DataFrame:
+    """Texts as numbers: rows ``(id, learn, block, ids)``, and after a block's texts its words
+    ``(block, first, h1, h2, n)``: 128-bit hashes and training counts of the numbers from ``first``."""
+    chosen = docs.select(
+        F.col(id_col).alias("id"), F.coalesce(learn, F.lit(False)).alias("learn"), F.col(text_col).cast("string").cast("binary").alias("text")
+    )
+    ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, block = TaskContext.get().partitionId() * _BLOCKS_OF_TASK, None
+        names = ["id", "learn", "block", "ids", "first", "h1", "h2", "n"]
+        own: dict[bytes, int] = {END: 0}
+        counts, tokens, kind = np.zeros(1, np.int64), 0, None
+
+        def listed():
+            digest = xxhash.xxh3_128_digest
+            hashes = np.frombuffer(b"".join([digest(w) for w in own]), "<i8").reshape(-1, 2)
+            n = np.zeros(len(own), np.int64)
+            n[: len(counts)] = counts
+            for i in range(0, len(own), _LISTED):
+                part = slice(i, i + _LISTED)
+                lists = [pa.array([x], longs) for x in (hashes[part, 0], hashes[part, 1], n[part])]
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.bool_()), pa.array([block]), pa.nulls(1, ints), pa.array([i], pa.int32()), *lists], names)
+
+        for batch in pieces(batches):
+            if block is not None and (len(own) > _BLOCK_WORDS or tokens > _BLOCK_TOKENS):
+                yield from listed()
+                own, counts, tokens, block = {END: 0}, np.zeros(1, np.int64), 0, None
+            if block is None:
+                block, number = number, number + 1
+            kind, take = batch.column(0).type, own.setdefault
+            rows = [[take(w, len(own)) for w in words_of(t)] for t in batch.column(2).to_pylist()]
+            offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+            flat = np.fromiter((i for r in rows for i in r), np.int32, offsets[-1])
+            used = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(bool), np.diff(offsets))
+            more = np.bincount(flat[used], minlength=len(counts))
+            more[: len(counts)] += counts
+            counts, tokens = more, tokens + len(flat)
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+            n = len(rows)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(np.full(n, block)), lists, pa.nulls(n, pa.int32()), pa.nulls(n, longs), pa.nulls(n, longs), pa.nulls(n, longs)], names
+            )
+        if block is not None:
+            yield from listed()
+
+    schema = f"id {docs.schema[id_col].dataType.simpleString()}, learn boolean, block bigint, ids array<int>, first int, h1 array<bigint>, h2 array<bigint>, n array<bigint>"
+    return written(chosen.mapInArrow(run, schema), "encoded")
+
+
+def by_block(encoded: DataFrame, keep: list[str], make: Callable, schema: str, learn: bool) -> DataFrame:
+    """``make()`` gives a generator function over ``(block, flat ids, offsets, kept columns)`` of
+    whole blocks (or of a task's share of one) that yields batches; it is called once more with
+    ``None`` for what a task has summed up.  With ``learn`` only training texts are read."""
+    rows = encoded.filter("ids IS NOT NULL AND learn" if learn else "ids IS NOT NULL").select("block", "ids", *keep)
 
-def core_words(train: DataFrame, text: str, size: int) -> list[bytes]:
-    """The ``size`` most frequent words, over tasks that report those with a share worth having.
+    def run(batches):
+        work = make()
 
-    A word with a share of 1 in 20 * size of all tokens has it in some task, so no frequent
-    word goes unreported; each task reports at most 20 * size words.
-    """
+        def done(block, held):
+            table = pa.Table.from_batches(held).combine_chunks()
+            ids = table.column(1).chunk(0)
+            offsets = ids.offsets.to_numpy()
+            return work(block, ids.flatten().to_numpy(), (offsets - offsets[0]).astype(np.int64), table.columns[2:])
 
-    def make():
-        seen: Counter = Counter()
-
-        def work(_, texts):
-            if texts is None:
-                least = max(1, sum(seen.values()) // (20 * size))
-                some = [(w, n) for w, n in seen.items() if n >= least]
-                if some:
-                    yield tuple(zip(*some, strict=True))
-                return
-            for t in texts:
-                seen.update(words_of(t))
-            if len(seen) > 4 * _FLUSH:  # what is this rare so far won't matter
-                least = sorted(seen.values(), reverse=True)[2 * _FLUSH]
-                for w in [w for w, n in seen.items() if n <= least]:
-                    del seen[w]
+        current, held = None, []
+        for batch in batches:
+            blocks = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if a < b:
+                    if held and blocks[a] != current:
+                        yield from done(current, held)
+                        held = []
+                    current = int(blocks[a])
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield from done(current, held)
+        yield from work(None, None, None, None)
+
+    return rows.mapInArrow(run, schema)
+
+
+def shared_words(encoded: DataFrame, least: int) -> tuple[DataFrame, SideFiles]:
+    """The words that more than one block has, or that are seen ``least`` times: ``(h1, h2,
+    total)``; and for each block all its words ``(local, total, h1, h2)``, the last two only of
+    those.  What a single block has counted needs no exchange but this one."""
+    listed = encoded.filter("h1 IS NOT NULL").select("block", "first", F.posexplode(F.arrays_zip("h1", "h2", "n")).alias("at", "w"))
+    words = listed.select("block", (F.col("first") + F.col("at")).alias("local"), "w.h1", "w.h2", "w.n")
+    counted = words.groupBy("h1", "h2").agg(F.sum("n").alias("total"), F.count("*").alias("blocks"))
+    shared = written(counted.filter((F.col("blocks") > 1) | (F.col("total") >= least)).select("h1", "h2", "total"), "words")
+    known = shared.select("h1", "h2", "total", F.lit(True).alias("known")).hint("shuffle_hash")
+    joined = words.join(known, ["h1", "h2"], "left")
+    own = [F.when(F.col("known"), F.col(c)).alias(c) for c in ("h1", "h2")]
+    return shared, write_side_files(joined.select("block", "local", F.coalesce("total", "n").alias("total"), *own), "words-of-block", ["local"])
+
+
+class Blocks:
+    """The words of the block at hand: counts, hashes and classes (-1: none)."""
+
+    def __init__(self, words: SideFiles, placed: tuple[SideFiles, ...] = ()):
+        self.words, self.placed = words, placed
+
+    def read(self, block: int) -> None:
+        table = self.words.read(block, ["local", "total", "h1", "h2"])
+        order, size = table.column(0).to_numpy(), len(table)
+        self.total = np.zeros(size, np.int64)
+        self.total[order] = table.column(1).to_numpy()
+        self.shared = np.zeros(size, bool)
+        self.shared[order] = table.column(2).is_valid().to_numpy()
+        # a word of this block alone goes by its place, should two tasks share the block
+        self.h1, self.h2 = np.full(size, -1 - block), np.arange(size)
+        at = order[self.shared[order]]
+        self.h1[at], self.h2[at] = (table.column(i).drop_null().to_numpy() for i in (2, 3))
+        self.classes = np.full(size, -1, np.int64)
+        for side in self.placed:
+            found = side.read(block, ["local", "class"])
+            if found is not None:
+                self.classes[found.column(0).to_numpy()] = found.column(1).to_numpy()
+
+
+def neighbours_of(flat: np.ndarray) -> np.ndarray:
+    """The number before each number; before the first stands the end of a text."""
+    return np.concatenate([[0], flat[:-1]])
 
-        return work
 
-    found = scan_texts(train, text, [], make, [("word", "binary"), ("n", "bigint")], finish=True)
-    top = found.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    return [bytes(r[0]) for r in top.collect()]  # bounded by ``size``
+# -- core words -----------------------------------------------------------------------------
 
 
-def core_bigrams(train: DataFrame, text: str, core) -> DataFrame:
+def core_bigrams(encoded: DataFrame, words: SideFiles, core: np.ndarray) -> DataFrame:
     """``(word, next, next_n, before, before_n)``: one row for each core word with a core neighbour."""
+    order = np.lexsort((core[:, 1], core[:, 0]))
+    sent = encoded.sparkSession.sparkContext.broadcast((core[order], order))
 
     def make():
-        ids = {w: i for i, w in enumerate(core.value)}
-        size = len(ids)
+        (table, order), own = sent.value, Blocks(words)
+        size = len(table)
         counts = np.zeros(size * size, dtype=np.int64)
 
-        def work(_, texts):
-            if texts is None:
+        def work(block, flat, offsets, _):
+            if block is None:
                 some = np.flatnonzero(counts)
                 for i in range(0, len(some), 100_000):
                     part = some[i : i + 100_000]
-                    yield (part // size).astype(np.int32), (part % size).astype(np.int32), counts[part]
+                    yield pa.RecordBatch.from_arrays([pa.array((part // size).astype(np.int32)), pa.array((part % size).astype(np.int32)), pa.array(counts[part])], ["a", "b", "n"])
                 return
-            for t in texts:
-                get = ids.get
-                row = np.array([get(w, -1) for w in (END, *words_of(t))], dtype=np.int64)
-                both = (row[:-1] >= 0) & (row[1:] >= 0)
-                codes, n = np.unique(row[:-1][both] * size + row[1:][both], return_counts=True)
-                counts[codes] += n
+            own.read(block)
+            at = np.searchsorted(table[:, 0], own.h1)
+            safe = np.minimum(at, size - 1)
+            hit = own.shared & (table[safe, 0] == own.h1) & (table[safe, 1] == own.h2)
+            core_id = np.where(hit, order[safe], -1)
+            a, b = core_id[neighbours_of(flat)], core_id[flat]
+            both = (a >= 0) & (b >= 0)
+            codes, n = np.unique(a[both] * size + b[both], return_counts=True)
+            counts[codes] += n
 
         return work
 
-    rows = scan_texts(train, text, [], make, [("a", "int"), ("b", "int"), ("n", "bigint")], finish=True)
+    rows = by_block(encoded, [], make, "a int, b int, n bigint", learn=True)
     pairs = written(rows.groupBy("a", "b").agg(F.sum("n").alias("n")), "bigrams")
     after = pairs.groupBy(F.col("a").alias("word")).agg(F.collect_list("b").alias("next"), F.collect_list("n").alias("next_n"))
     before = pairs.groupBy(F.col("b").alias("word")).agg(F.collect_list("a").alias("before"), F.collect_list("n").alias("before_n"))
@@ -118,16 +232,19 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
 
 
 def best_class(out: np.ndarray, into: np.ndarray, own: float, now: int, table: np.ndarray) -> tuple[int, float]:
-    """Best class of a word, and the gain in log-likelihood over staying.
+    """Best class of a word, and the gain in log-likelihood over staying (over nothing, if it has
+    no class, -1, and ``table`` does without it).
 
     ``out``/``into``: its neighbour counts by class, without itself; ``own``: how often it
     follows itself; ``table``: class bigrams including it.
     """
     size = len(table)
-    base = table.copy()
-    base[now] -= out
-    base[:, now] -= into
-    base[now, now] -= own
+    base = table
+    if now >= 0:
+        base = table.copy()
+        base[now] -= out
+        base[:, now] -= into
+        base[now, now] -= own
     rows, cols = base.sum(1) + into, base.sum(0) + out  # sums, but for what the word itself begins or ends
     n_out, n_in = out.sum() + own, into.sum() + own
     by_row = _xlogx(base + out) - _xlogx(base)
@@ -138,7 +255,7 @@ def best_class(out: np.ndarray, into: np.ndarray, own: float, now: int, table: n
     gain = by_row.sum(1) - by_row[index, index] + by_col.sum(0) - by_col[index, index] + cross
     gain -= _xlogx(rows + n_out) - _xlogx(rows) + _xlogx(cols + n_in) - _xlogx(cols)
     best = int(np.argmax(gain))
-    return best, float(gain[best] - gain[now])
+    return best, float(gain[best] - (gain[now] if now >= 0 else 0.0))
 
 
 def exchange(neighbours: DataFrame, count: int, config: LmConfig) -> np.ndarray:
@@ -179,8 +296,7 @@ def exchange(neighbours: DataFrame, count: int, config: LmConfig) -> np.ndarray:
     best = (-np.inf, classes)
     for turn in range(config.rounds + 1):
         table = _class_table(neighbours, classes, k)
-        likelihood = _xlogx(table).sum() - _xlogx(table.sum(1)).sum() - _xlogx(table.sum(0)).sum()
-        best = max(best, (likelihood, classes), key=lambda x: x[0])
+        best = max(best, (likelihood_of(table), classes), key=lambda x: x[0])
         if turn == config.rounds:
             break
         moves = groups.applyInPandas(mover(context.broadcast((classes, table)), turn), "word int, class int").collect()  # at most ``core`` rows
@@ -190,6 +306,11 @@ def exchange(neighbours: DataFrame, count: int, config: LmConfig) -> np.ndarray:
     return best[1]
 
 
+def likelihood_of(table: np.ndarray) -> float:
+    """Log-likelihood of the classes' bigrams, but for what no exchange changes."""
+    return float(_xlogx(table).sum() - _xlogx(table.sum(1)).sum() - _xlogx(table.sum(0)).sum())
+
+
 def _class_table(neighbours: DataFrame, classes: np.ndarray, k: int) -> np.ndarray:
     sent = neighbours.sparkSession.sparkContext.broadcast(classes)
 
@@ -208,182 +329,238 @@ def _class_table(neighbours: DataFrame, classes: np.ndarray, k: int) -> np.ndarr
 # -- all words ------------------------------------------------------------------------------
 
 
-def block_words(blocks: DataFrame, text: str, core, classes, k: int) -> DataFrame:
-    """``(word, block, n, places, counts)``: a block's distinct words, how often training texts
-    of it have them, and the classes of their core neighbours (k and above: of the next word)."""
+def _batch(h1, h2, block, local, total, classes, places, counts, ends) -> pa.RecordBatch:
+    lists = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(x.astype(np.int32))) for x in (places, counts)]
+    block = np.full(len(local), block, np.int64)
+    plain = [pa.array(x) for x in (h1, h2, block, local.astype(np.int32), total, classes.astype(np.int32))]
+    return pa.RecordBatch.from_arrays([*plain, *lists], _EVIDENCE_NAMES)
+
+
+def _table_batch(table: np.ndarray) -> pa.RecordBatch:
+    """A task's class bigrams as one row without a word."""
+    some = np.flatnonzero(table)
+    nothing = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32())]
+    return pa.RecordBatch.from_arrays([*nothing, pa.array([some], pa.list_(pa.int32())), pa.array([table[some]], pa.list_(pa.int32()))], _EVIDENCE_NAMES)
+
+
+def _from_core(own: Blocks, core: tuple[np.ndarray, np.ndarray] | None) -> None:
+    """Give the block's core words their classes."""
+    if core is not None:
+        table, classes = core
+        safe = np.minimum(np.searchsorted(table[:, 0], own.h1), len(table) - 1)
+        hit = own.shared & (table[safe, 0] == own.h1) & (table[safe, 1] == own.h2)
+        own.classes[hit] = classes[safe[hit]]
+
+
+def frequent_evidence(encoded: DataFrame, words: SideFiles, placed: tuple[SideFiles, ...], core, k: int, least: int, listed: bool = True) -> DataFrame:
+    """For each block its words seen ``least`` times, with their classes and the classes of their
+    neighbours: places below k of the word before, below 2k of the word after, 2k for itself; and
+    rows without a word that hold the tasks' class bigrams (these alone, unless ``listed``)."""
 
     def make():
-        ids = {w: int(c) for w, c in zip(core.value, classes.value, strict=True)}
-        state = {"block": None, "words": {}, "codes": [], "seen": 0}
-
-        def flush():
-            words, held = state["words"], state["block"]
-            if words:
-                codes = np.concatenate(state["codes"]) if state["codes"] else np.zeros(0, np.int64)
-                found, n = np.unique(codes, return_counts=True)
-                owner, place = found // (2 * k + 1), found % (2 * k + 1)
-                total = np.zeros(len(words), np.int64)
-                total[owner[place == 2 * k]] = n[place == 2 * k]
-                keep = place < 2 * k
-                ends = np.concatenate([[0], np.cumsum(np.bincount(owner[keep], minlength=len(words)))]).astype(np.int32)
-                lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x[keep].astype(np.int32))) for x in (place, n)]
-                columns = [pa.array(list(words), pa.binary()), pa.array(np.full(len(words), held, np.int32)), pa.array(total), *lists]
-                for i in range(0, len(words), 20_000):
-                    yield [c.slice(i, 20_000) for c in columns]
-            state["words"], state["codes"], state["seen"] = {}, [], 0
-
-        def work(kept, texts):
-            if texts is None:
-                yield from flush()
+        own, table = Blocks(words, placed), np.zeros(k * k, np.int64)
+
+        def work(block, flat, offsets, _):
+            if block is None:
+                yield _table_batch(table)
                 return
-            for block, learn, t in zip(kept[0].to_pylist(), kept[1].to_pylist(), texts, strict=True):
-                if block != state["block"] or len(state["words"]) > 2 * _FLUSH or state["seen"] > 5_000_000:
-                    yield from flush()
-                    state["block"] = block
-                words, own = words_of(t), state["words"]
-                row = np.array([own.setdefault(w, len(own)) for w in words], dtype=np.int64) * (2 * k + 1)
-                state["seen"] += len(words)
-                if not learn:
-                    continue
-                get = ids.get
-                near = np.array([get(w, -1) for w in (END, *words)], dtype=np.int64)
-                before, after = near[:-1], near[2:]
-                state["codes"] += [row + 2 * k, (row + before)[before >= 0], (row[:-1] + k + after)[after >= 0]]
+            own.read(block)
+            _from_core(own, core.value if core is not None else None)
+            some = np.flatnonzero(own.total >= least)
+            row = np.full(len(own.total), -1, np.int64)
+            row[some] = np.arange(len(some))
+            before, width = neighbours_of(flat), 2 * k + 1
+            a, b = own.classes[before], own.classes[flat]
+            both = (a >= 0) & (b >= 0)
+            table[:] += np.bincount(a[both] * k + b[both], minlength=k * k)
+            ra, rb, same = row[before], row[flat], before == flat
+            one, two = (rb >= 0) & (a >= 0) & ~same, (ra >= 0) & (b >= 0) & ~same
+            if not listed:
+                return
+            codes = [rb[one] * width + a[one], ra[two] * width + k + b[two], rb[same & (rb >= 0)] * width + 2 * k]
+            cells = np.bincount(np.concatenate(codes), minlength=len(some) * width)
+            filled = np.flatnonzero(cells)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(filled // width, minlength=len(some)))])
+            for i in range(0, len(some), _LISTED // 5):
+                j = min(i + _LISTED // 5, len(some))
+                own_cells, part = filled[ends[i] : ends[j]], some[i:j]
+                yield _batch(own.h1[part], own.h2[part], block, part, own.total[part], own.classes[part], own_cells % width, cells[own_cells], ends[i : j + 1] - ends[i])
 
         return work
 
-    fields = [("word", "binary"), ("block", "int"), ("n", "bigint"), ("places", "array<int>"), ("counts", "array<int>")]
-    return scan_texts(blocks, text, ["block", "learn"], make, fields, finish=True)
+    return written(by_block(encoded, [], make, _EVIDENCE, learn=True), "evidence")
 
 
-def lexicon(requests: DataFrame, core, classes, logs, k: int) -> DataFrame:
-    """``(block, word, n, class, first)``: for each block its words that training texts have.
+def rare_evidence(encoded: DataFrame, words: SideFiles, placed: tuple[SideFiles, ...], logs, k: int) -> DataFrame:
+    """The same for the words without a class.  Where this task has seen all of a word it gives the
+    class at once; only words of several blocks have places and counts to be summed."""
 
-    Rows come sorted by word; a word's rows are summed, its class chosen, and the answer goes
-    to every block that asked; only one word's blocks are held at a time.
-    """
+    def make():
+        own = Blocks(words, placed)
+
+        def work(block, flat, offsets, _):
+            if block is None:
+                return
+            own.read(block)
+            open_ = (own.classes < 0) & (own.total > 0)
+            before, width = neighbours_of(flat), 2 * k
+            a, b = own.classes[before], own.classes[flat]
+            one, two = open_[flat] & (a >= 0), open_[before] & (b >= 0)
+            cells, n = np.unique(np.concatenate([flat[one] * width + a[one], before[two] * width + k + b[two]]), return_counts=True)
+            some = np.flatnonzero(open_)
+            row = np.full(len(open_), -1, np.int64)
+            row[some] = np.arange(len(some))
+            owner = row[cells // width]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(some)))])
+            whole = ~own.shared[some] & (np.bincount(flat, minlength=len(open_))[some] == own.total[some])
+            for i in range(0, len(some), _LISTED // 5):
+                j = min(i + _LISTED // 5, len(some))
+                part, here = some[i:j], slice(ends[i], ends[j])
+                table = np.zeros((j - i, width))
+                table[owner[here] - i, cells[here] % width] = n[here]
+                classes = np.where(whole[i:j], likeliest(table, logs.value), -1)
+                left = np.repeat(~whole[i:j], np.diff(ends[i : j + 1]))
+                sizes = np.where(whole[i:j], 0, np.diff(ends[i : j + 1]))
+                yield _batch(own.h1[part], own.h2[part], block, part, own.total[part], classes, (cells[here] % width)[left], n[here][left], np.concatenate([[0], np.cumsum(sizes)]))
+
+        return work
+
+    return written(by_block(encoded, [], make, _EVIDENCE, learn=True), "rare")
+
+
+def likeliest(table: np.ndarray, logs: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """For rows of neighbour counts the likeliest class: chance of the neighbours under it, times
+    its share of words (all there is to go by where no neighbour has a class)."""
+    weights, prior = logs
+    return np.argmax(table @ weights + prior, axis=1)
+
+
+def summed(evidence: DataFrame, width: int, decide: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """``(block, local, total, class, first)``: the rows of each word summed, its class decided by
+    ``decide(table, classes, hashes)`` and given to every block that has the word (``first``: one
+    of them).  A word has at most a row for each block and comes sorted, batch by batch."""
+    names = ["block", "local", "total", "class", "first"]
 
     def run(batches):
-        fixed = dict(zip(core.value, classes.value.tolist(), strict=True))
-        weights = logs.value  # (2k, k): log chance of the neighbour under each class
-        word, total, score, blocks = None, 0, np.zeros(k), []
-
-        def answer(out):
-            if word is not None and total:
-                place = fixed.get(word)
-                place = int(np.argmax(score)) if place is None else place
-                own = sorted(set(blocks))
-                out[0] += own
-                out[1] += [word] * len(own)
-                out[2] += [total] * len(own)
-                out[3] += [place] * len(own)
-                out[4] += [True] + [False] * (len(own) - 1)
-
-        def made(out):
-            kinds = [pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.bool_()]
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["block", "word", "n", "class", "first"])
+        word, sums, now, total, asked = None, None, -1, 0, []
+
+        def answer(tables, classes, hashes, totals, runs):
+            """runs: blocks and locals of each word."""
+            sizes = [len(x) for x, _ in runs]
+            found = np.repeat(decide(np.array(tables), np.array(classes), np.array(hashes)), sizes)
+            first = np.zeros(sum(sizes), bool)
+            first[np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(int)] = True
+            columns = [np.concatenate([x for x, _ in runs]), np.concatenate([x for _, x in runs]), np.repeat(totals, sizes), found.astype(np.int32), first]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            out: list[list] = [[], [], [], [], []]
-            words = batch.column(0)
-            change = np.flatnonzero(np.concatenate([[True], pc.not_equal(words.slice(1), words.slice(0, len(words) - 1)).to_numpy(zero_copy_only=False)]))
-            lists, counts = batch.column(3), batch.column(4)
+            h1, h2, blocks, local, totals, classes = (batch.column(i).to_numpy() for i in range(6))
+            starts = np.flatnonzero(np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]))
+            bounds = np.append(starts, len(h1))
+            lists, counts = batch.column(6), batch.column(7)
             ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
             places, n = lists.flatten().to_numpy(), counts.flatten().to_numpy()
-            runs = np.zeros((len(change), k))
-            bounds = np.append(change, len(words))
-            for i in range(0, len(change), 2000):  # bounded pieces of the (entry, class) table
-                stop = min(i + 2000, len(change))
-                a, b = ends[bounds[i]], ends[bounds[stop]]
-                if a == b:
-                    continue
-                owner = np.repeat(np.arange(stop - i), np.diff(ends[bounds[i : stop + 1]]))
-                table = np.zeros((stop - i, 2 * k))
-                np.add.at(table, (owner, places[a:b]), n[a:b])
-                runs[i:stop] = table @ weights
-            totals = np.add.reduceat(batch.column(2).to_numpy(), change)
-            names, asked = words.take(pa.array(change)).to_pylist(), batch.column(1).to_pylist()
-            for j, name in enumerate(names):
-                if name != word:
-                    answer(out)
-                    word, total, score, blocks = name, 0, np.zeros(k), []
-                total += int(totals[j])
-                score = score + runs[j]
-                blocks += asked[bounds[j] : bounds[j + 1]]
-                if len(out[0]) > 200_000:
-                    yield made(out)
-                    out = [[], [], [], [], []]
-            yield made(out)
-        out = [[], [], [], [], []]
-        answer(out)
-        yield made(out)
-
-    spark = requests.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = requests.repartition(parts, "word").sortWithinPartitions("word")
-    return dealt.mapInArrow(run, "block int, word binary, n bigint, class int, first boolean")
-
-
-class Lexicon:
-    """The words of the block at hand, read from its file."""
-
-    def __init__(self, folder: str):
-        self.folder = folder
-        self.block = None
-        self.words: dict[bytes, int] = {}
-        self.counts = np.zeros(1, np.int64)
-        self.classes = np.zeros(1, np.int64)
-
-    def of(self, block: int) -> Lexicon:
-        if block != self.block:
-            self.block, self.words = block, {}
-            table = read_side_file(self.folder, block, ["word", "n", "class"])
-            if table is not None:
-                self.words = {w: i for i, w in enumerate(table.column("word").to_pylist(), 1)}
-                self.counts = np.concatenate([[0], table.column("n").to_numpy()])
-                self.classes = np.concatenate([[0], table.column("class").to_numpy()])
-        return self
-
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        get = self.words.get
-        return np.array([get(w, 0) for w in words], dtype=np.int64)
-
-
-def transitions(blocks: DataFrame, text: str, folder: str, k: int) -> np.ndarray:
+            owner = np.repeat(np.arange(len(starts)), np.diff(ends[bounds]))
+            tables = np.bincount(owner * width + places, n, len(starts) * width).reshape(-1, width)
+            runs = [(blocks[a:b], local[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+            hashes = np.stack([h1[starts], h2[starts]], 1)
+            if word is not None and (hashes[0] == word).all():
+                tables[0] += sums
+                runs[0] = tuple(np.concatenate([x[i] for x in (*asked, runs[0])]) for i in (0, 1))
+            elif word is not None:
+                whole = tuple(np.concatenate([x[i] for x in asked]) for i in (0, 1))
+                yield answer([sums], [now], [word], [total], [whole])
+            last = len(starts) - 1
+            if last:
+                yield answer(tables[:-1], classes[starts[:-1]], hashes[:-1], totals[starts[:-1]], runs[:-1])
+            word, sums, now, total, asked = hashes[last], tables[last], int(classes[starts[last]]), int(totals[starts[last]]), [runs[last]]
+        if word is not None:
+            yield answer([sums], [now], [word], [total], [tuple(np.concatenate([x[i] for x in asked]) for i in (0, 1))])
+
+    parts = int(evidence.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = evidence.repartition(parts, "h1", "h2").sortWithinPartitions("h1", "h2")
+    return dealt.mapInArrow(run, "block bigint, local int, total bigint, class int, first boolean")
+
+
+def collected_table(evidence: DataFrame, k: int) -> np.ndarray:
+    """The class bigrams of all tasks: at most k * k rows come here."""
+    rows = evidence.filter("h1 IS NULL").select(F.explode(F.arrays_zip("places", "counts")).alias("c"))
+    table = np.zeros(k * k)
+    for code, n in rows.groupBy("c.places").agg(F.sum("c.counts")).collect():
+        table[code] = n
+    return table.reshape(k, k)
+
+
+def place_frequent(encoded: DataFrame, words: SideFiles, core: np.ndarray, core_classes: np.ndarray, config: LmConfig) -> tuple[SideFiles, list[float]]:
+    """Classes of all words seen ``least`` times, and the likelihood before each round.
+
+    In the first round words without a class get one by the classes of their core neighbours;
+    then rounds over all of them follow, each for a part of the words, by hash.
+    """
+    context, k = encoded.sparkSession.sparkContext, config.classes
+    order = np.lexsort((core[:, 1], core[:, 0]))
+    start = context.broadcast((core[order], core_classes[order]))
+    placed: tuple[SideFiles, ...] = ()
+    likelihoods = []
+
+    def mover(table, turn):
+        def decide(tables, classes, hashes):
+            out = classes.copy()
+            for i in range(len(tables)):
+                now = int(classes[i])
+                if now < 0 or turn and hashes[i, 1] % config.sweeps == turn - 1:
+                    place, gain = best_class(tables[i, k : 2 * k], tables[i, :k], tables[i, 2 * k], now, table.value)
+                    out[i] = place if now < 0 or gain > 1e-9 else now
+            return out
+
+        return decide
+
+    for turn in range(config.sweeps + 1):
+        evidence = frequent_evidence(encoded, words, placed, start if not turn else None, k, config.least)
+        table = collected_table(evidence, k)
+        likelihoods.append(likelihood_of(table))
+        found = summed(evidence.filter("h1 IS NOT NULL"), 2 * k + 1, mover(context.broadcast(table), turn))
+        placed = (write_side_files(found, "frequent", ["local"]),)
+    return placed[0], likelihoods
+
+
+_PLACED = "block bigint, local int, total bigint, class int, first boolean"
+
+
+def transitions(encoded: DataFrame, words: SideFiles, placed: tuple[SideFiles, ...], k: int) -> np.ndarray:
     """Class bigrams of all training tokens, (k + 1, k + 1): index k stands for words seen once,
     which are counted there besides their own class."""
+    width = k + 1
 
     def make():
-        own, table = Lexicon(folder), np.zeros((k + 1) * (k + 1), np.int64)
+        own, table = Blocks(words, placed), np.zeros(width * width, np.int64)
 
-        def work(kept, texts):
-            if texts is None:
+        def work(block, flat, offsets, _):
+            if block is None:
                 some = np.flatnonzero(table)
-                if len(some):
-                    yield some.astype(np.int32), table[some]
+                yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(table[some])], ["code", "n"])
                 return
-            for block, t in zip(kept[0].to_pylist(), texts, strict=True):
-                lexicon = own.of(block)
-                ids = lexicon.ids([END, *words_of(t)])
-                classes, once = lexicon.classes[ids], lexicon.counts[ids] == 1
-                a, b = classes[:-1], classes[1:]
-                for rows, cols in ((a, b), (a[once[1:]], k), (k, b[once[:-1]]), (k, np.full((once[1:] & once[:-1]).sum(), k))):
-                    np.add.at(table, rows * (k + 1) + cols, 1)
+            own.read(block)
+            before = neighbours_of(flat)
+            a, b, once = own.classes[before], own.classes[flat], own.total == 1
+            oa, ob = once[before], once[flat]
+            for codes in (a * width + b, a[ob] * width + k, k * width + b[oa], np.full((oa & ob).sum(), width * width - 1)):
+                table[:] += np.bincount(codes, minlength=len(table))
 
         return work
 
-    found = scan_texts(blocks.filter("learn"), text, ["block"], make, [("code", "int"), ("n", "bigint")], finish=True)
-    table = np.zeros((k + 1) * (k + 1))
+    found = by_block(encoded, [], make, "code int, n bigint", learn=True)
+    table = np.zeros(width * width)
     for code, n in found.groupBy("code").agg(F.sum("n")).collect():  # at most (k + 1) squared rows
         table[code] = n
-    return table.reshape(k + 1, k + 1)
+    return table.reshape(width, width)
 
 
 @dataclass(frozen=True)
 class LmModel:
-    """What scoring needs besides the lexicons: small tables."""
+    """What scoring needs besides the blocks' words: small tables."""
 
     tokens: int
     words: int
@@ -392,74 +569,92 @@ class LmModel:
     chances: np.ndarray  # (k + 1, k + 1) transitions, index k: the unseen word
     config: LmConfig
 
-    def score(self, lexicon: Lexicon, words: list[bytes]) -> tuple[int, int, float, float]:
-        """Tokens, known tokens, base and model log10 probability."""
+    def chance(self, totals: np.ndarray, classes: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Base and model chance of each token, by its number in ``totals`` and ``classes``."""
         c, k = self.config, len(self.sizes)
-        ids = lexicon.ids([END, *words])
-        counts = lexicon.counts[ids[1:]]
-        classes = np.where(ids > 0, lexicon.classes[ids], k)
-        base = (counts + 0.5) / (self.tokens + 0.5 * (self.words + 1))
-        now = classes[1:]
-        known = now < k
-        safe = np.where(known, now, 0)
-        emission = np.where(known, (counts + c.emission_add) / (self.sizes[safe] + c.emission_add * self.kinds[safe]), 1.0)
-        chance = c.class_weight * self.chances[classes[:-1], now] * emission + (1 - c.class_weight) * base
-        return len(words), int(known.sum()), float(np.log10(base).sum()), float(np.log10(chance).sum())
-
-
-def score_texts(docs: DataFrame, learn: Column, config: LmConfig | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Learn from the rows where ``learn`` is true, score all rows.
-
-    ``(id, learn, n_tokens, n_known, train_tokens, base_score, score, perplexity)``.  Null and
-    empty texts are the end token alone.  Repeated rows count as often as they occur.  With no
-    row to learn from, every token is unseen and both scores are 0.  An empty table gives an
-    empty result.
-    """
-    config = config or LmConfig()
-    spark, k = docs.sparkSession, config.classes
+        base = (totals + 0.5) / (self.tokens + 0.5 * (self.words + 1))
+        place = np.where(totals > 0, classes, k)
+        known = place < k
+        safe = np.where(known, place, 0)
+        emission = np.where(known, (totals + c.emission_add) / (self.sizes[safe] + c.emission_add * self.kinds[safe]), 1.0)
+        of_base = base[flat]
+        return of_base, c.class_weight * self.chances[place[neighbours_of(flat)], place[flat]] * emission[flat] + (1 - c.class_weight) * of_base
+
+
+def learn_model(encoded: DataFrame, config: LmConfig) -> tuple[LmModel, SideFiles, tuple[SideFiles, ...]]:
+    """The small tables, the blocks' words and the side files of their classes."""
+    spark, k = encoded.sparkSession, config.classes
     context = spark.sparkContext
-    copied = [F.col(id_col), F.col(text_col).cast("string").alias("text"), F.coalesce(learn, F.lit(False)).alias("learn")]
-    blocks = in_blocks(docs, copied, "documents")
-    train = blocks.filter("learn")
-
-    core = context.broadcast(core_words(train, "text", config.core))
-    neighbours = core_bigrams(train, "text", core)
-    placed = exchange(neighbours, len(core.value), config)
-    table = _class_table(neighbours, placed, k) + config.transition_add
+    shared, words = shared_words(encoded, config.least)
+    top = shared.filter("total > 0").orderBy(F.desc("total"), "h1", "h2").limit(config.core).collect()  # bounded by ``core``
+    core = np.array([(r["h1"], r["h2"]) for r in top], np.int64).reshape(-1, 2)
+    placed: tuple[SideFiles, ...] = ()
+    share, table = np.zeros(k), np.zeros((k, k))
+    if len(core):
+        core_classes = exchange(core_bigrams(encoded, words, core), len(core), config)
+        frequent, _ = place_frequent(encoded, words, core, core_classes, config)
+        placed = (frequent,)
+        for place, n in frequent.frame(spark, _PLACED).filter("first").groupBy("class").count().collect():  # k rows
+            share[place] = n
+        table = collected_table(frequent_evidence(encoded, words, placed, None, k, config.least, listed=False), k)
+    table = table + config.transition_add
     to_next = np.log(table / table.sum(1, keepdims=True))
     # for a word of class c: chance of c after the class before it, of the next class after c
-    logs = context.broadcast(np.concatenate([to_next, to_next.T]))
-    classes = context.broadcast(placed.astype(np.int64))
+    logs = context.broadcast((np.concatenate([to_next, to_next.T]), np.log(share + 0.5)))
+    rare = rare_evidence(encoded, words, placed, logs, k)
+    decided = rare.filter("class >= 0").select("block", "local", "total", "class", F.lit(True).alias("first"))
+    later = summed(rare.filter("class < 0"), 2 * k, lambda tables, classes, hashes: likeliest(tables, logs.value))
+    placed = (*placed, write_side_files(decided.unionByName(later), "classes", ["local"]))
 
-    folder = write_side_files(lexicon(block_words(blocks, "text", core, classes, k), core, classes, logs, k), "lexicon")
-    kinds = spark.read.schema("word binary, n bigint, class int, first boolean, block int").parquet(folder)
     sizes = np.zeros((2, k))
-    for place, tokens, words in kinds.filter("first").groupBy("class").agg(F.sum("n"), F.count("*")).collect():  # k rows
-        sizes[:, place] = tokens, words
-
-    counts = transitions(blocks, "text", folder, k)
+    for side in placed:
+        for place, tokens, kinds in side.frame(spark, _PLACED).filter("first").groupBy("class").agg(F.sum("total"), F.count("*")).collect():  # k rows
+            sizes[:, place] += tokens, kinds
+    counts = transitions(encoded, words, placed, k)
     once, plain = counts[:, k], counts[:, :k]
     unseen = (once + 0.5) / (plain.sum(1) + 1.0)
     smooth = (plain + config.transition_add) / (plain.sum(1, keepdims=True) + config.transition_add * k)
     chances = np.concatenate([(1 - unseen)[:, None] * smooth, unseen[:, None]], axis=1)
     if not sizes[1].sum():
         chances[:, :k], chances[:, k] = 0.0, 1.0
-    model = context.broadcast(LmModel(int(sizes[0].sum()), int(sizes[1].sum()), sizes[0], sizes[1], chances, config))
+    return LmModel(int(sizes[0].sum()), int(sizes[1].sum()), sizes[0], sizes[1], chances, config), words, placed
+
+
+def score_texts(docs: DataFrame, learn: Column, config: LmConfig | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Learn from the rows where ``learn`` is true, score all rows.
+
+    ``(id, learn, n_tokens, n_known, train_tokens, base_score, score, perplexity)``.  Null and
+    empty texts are the end token alone; whole texts count, however long.  Repeated rows count as
+    often as they occur; a null id is kept; a null ``learn`` is false.  Words of equal count and
+    evidence are ordered by hash.  With no row to learn from, every token is unseen and both
+    scores are 0.  Columns other than id, text and those of ``learn`` are not read.  An empty
+    table gives an empty result.
+    """
+    config = config or LmConfig()
+    context = docs.sparkSession.sparkContext
+    encoded = encoded_blocks(docs, id_col, text_col, learn)
+    found, words, placed = learn_model(encoded, config)
+    model = context.broadcast(found)
+    names = [id_col, "learn", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]
 
     def make():
-        own = Lexicon(folder)
+        own = Blocks(words, placed)
 
-        def work(kept, texts):
-            rows = [model.value.score(own.of(b), words_of(t)) for b, t in zip(kept[2].to_pylist(), texts, strict=True)]
-            n, known, base, score = zip(*rows, strict=True) if rows else ((), (), (), ())
-            total = [model.value.tokens] * len(n)
-            perplexity = [10 ** (-s / m) for s, m in zip(score, n, strict=True)]
-            yield [kept[0], kept[1], n, known, total, base, score, perplexity]
+        def work(block, flat, offsets, kept):
+            if block is None:
+                return
+            own.read(block)
+            base, chance = model.value.chance(own.total, own.classes, flat)
+            begins, n = offsets[:-1], np.diff(offsets)
+            known = np.add.reduceat((own.total[flat] > 0).astype(np.int64), begins)
+            base, score = (np.add.reduceat(np.log10(x), begins) for x in (base, chance))
+            total = np.full(len(n), model.value.tokens)
+            columns = [x.combine_chunks() for x in kept]
+            columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(x) for x in (n, known, total, base, score, 10 ** (-score / n)))], names)
 
         return work
 
-    fields = [
-        (id_col, docs.schema[id_col].dataType.simpleString()), ("learn", "boolean"), ("n_tokens", "bigint"), ("n_known", "bigint"),
-        ("train_tokens", "bigint"), ("base_score", "double"), ("score", "double"), ("perplexity", "double"),
-    ]
-    return scan_texts(blocks, "text", [id_col, "learn", "block"], make, fields)
+    kind = docs.schema[id_col].dataType.simpleString()
+    schema = f"`{id_col}` {kind}, learn boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, perplexity double"
+    return by_block(encoded, ["id", "learn"], make, schema, learn=False)

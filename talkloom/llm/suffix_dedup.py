@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkloom.llm.common import in_blocks, read_side_file, scan_texts, write_side_files, written
+from talkloom.llm.common import in_blocks, scan_texts, write_side_files, written
 
 #: A perfect difference set: every difference modulo 31 occurs exactly once.
 MODULUS, COVER = 31, (0, 1, 3, 8, 12, 18)
@@ -242,7 +242,7 @@ def fetch_stretches(blocks: DataFrame, wanted: DataFrame, length: int) -> DataFr
             out = []
             for block, rid, text in zip(kept[0].to_pylist(), kept[1].to_pylist(), texts, strict=True):
                 if block != state["block"]:
-                    state["block"], state["rows"] = block, _by_row(read_side_file(folder, block, ["rid", "first", "number", "anchor", "n"]))
+                    state["block"], state["rows"] = block, _by_row(folder.read(block, ["rid", "first", "number", "anchor", "n"]))
                 own = state["rows"].get(rid)
                 if own:
                     data = text.encode("utf-8", "surrogatepass")
@@ -350,7 +350,7 @@ def remove_repeats(docs: DataFrame, config: DedupConfig | None = None, keep: tup
 
         def one(block, rid, text):
             if block != state["block"]:
-                state["block"], state["rows"] = block, _by_row(read_side_file(folder, block, ["rid", "first", "number"]))
+                state["block"], state["rows"] = block, _by_row(folder.read(block, ["rid", "first", "number"]))
             data = (text or "").encode("utf-8", "surrogatepass")
             spans: list[list[int]] = []
             for first, number in sorted(state["rows"].get(rid, ())):

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from talkloom.llm import language_model as lm
@@ -37,17 +38,92 @@ def test_probabilities_sum_to_one():
     rng = np.random.default_rng(2)
     k, words = 3, 12
     counts, classes = rng.integers(1, 9, words), rng.integers(0, k, words)
-    lexicon = lm.Lexicon("")
-    lexicon.words = {str(i).encode(): i + 1 for i in range(words)}
-    lexicon.counts, lexicon.classes = np.append(0, counts), np.append(0, classes)
-    lexicon.words[lm.END] = 1
     chances = rng.random((k + 1, k + 1))
     chances /= chances.sum(1, keepdims=True)
     sizes = np.array([counts[classes == c].sum() for c in range(k)], float)
     kinds = np.array([(classes == c).sum() for c in range(k)], float)
     model = lm.LmModel(int(counts.sum()), words, sizes, kinds, chances, lm.LmConfig(classes=k))
-    total = sum(10 ** model.score(lexicon, [w])[3] for w in [*(str(i).encode() for i in range(words)), b"never seen"])
-    assert total == pytest.approx(1.0)
+    totals, places = np.append(counts, 0), np.append(classes, -1)  # the last is never seen
+    for before in range(words + 1):
+        total = sum(model.chance(totals, places, np.array([before, w]))[1][1] for w in range(words + 1))
+        assert total == pytest.approx(1.0)
+
+
+def test_score_equals_direct_sums(spark, corpus):
+    """Classes, transitions, emissions and scores recomputed by plain loops over all texts."""
+    config = lm.LmConfig(classes=4, core=6, rounds=3, least=9, sweeps=2)
+    learn = remainder(F.col("doc_id"), 5) != 1
+    encoded = lm.encoded_blocks(corpus.repartition(5), "doc_id", "text", learn)
+    model, words, placed = lm.learn_model(encoded, config)
+    name = {xxhash.xxh3_128_digest(w): w for r in corpus.collect() for w in lm.words_of(r.text)}
+    numbered = {}  # (block, number): word
+    for r in encoded.filter("h1 IS NOT NULL").collect():
+        for i, (x, y) in enumerate(zip(r.h1, r.h2, strict=True)):
+            numbered[r.block, r.first + i] = name[np.array([x, y], "<i8").tobytes()]
+    classes = {}
+    for side in placed:
+        for r in side.frame(spark, lm._PLACED).collect():
+            word = numbered[r.block, r.local]
+            assert classes.setdefault(word, r["class"]) == r["class"]  # one class in all blocks
+    texts = [(r.learn, [numbered[r.block, i] for i in r.ids]) for r in encoded.filter("ids IS NOT NULL").collect()]
+    known = [ws for learned, ws in texts if learned]
+    counts = Counter(w for ws in known for w in ws)
+    assert set(classes) == set(counts)
+    pairs = Counter((a, b) for ws in known for a, b in zip([lm.END, *ws], ws, strict=False))
+
+    k = config.classes
+    frequent = {w for w, n in counts.items() if n >= config.least}
+    table = np.full((k, k), config.transition_add)
+    kinds = np.zeros(k)
+    for w in frequent:
+        kinds[classes[w]] += 1
+    for (a, b), n in pairs.items():
+        if a in frequent and b in frequent:
+            table[classes[a], classes[b]] += n
+    to_next = np.log(table / table.sum(1, keepdims=True))
+    for w in set(counts) - frequent:  # rare words: the likeliest class under their neighbours
+        score = np.log(kinds + 0.5)
+        for (a, b), n in pairs.items():
+            if b == w and a in frequent:
+                score = score + n * to_next[classes[a]]
+            if a == w and b in frequent:
+                score = score + n * to_next[:, classes[b]]
+        assert score[classes[w]] == pytest.approx(score.max())
+
+    sizes, kinds, move, once = np.zeros(k), np.zeros(k), np.zeros((k + 1, k)), np.zeros(k + 1)
+    for w, n in counts.items():
+        sizes[classes[w]] += n
+        kinds[classes[w]] += 1
+    for (a, b), n in pairs.items():
+        for row in (classes[a], *([k] if counts[a] == 1 else [])):
+            move[row, classes[b]] += n
+            once[row] += n * (counts[b] == 1)
+    total, vocabulary = sum(counts.values()), len(counts)
+    scored = {r.doc_id: r for r in lm.score_texts(corpus.repartition(5), learn, config).collect()}
+    for r in corpus.collect():
+        want, before = 0.0, lm.END
+        for w in lm.words_of(r.text):
+            at = classes[before] if counts[before] else k
+            unseen = (once[at] + 0.5) / (move[at].sum() + 1)
+            base = (counts[w] + 0.5) / (total + 0.5 * (vocabulary + 1))
+            if counts[w]:
+                c = classes[w]
+                chance = (1 - unseen) * (move[at, c] + 0.5) / (move[at].sum() + 0.5 * k) * (counts[w] + 0.5) / (sizes[c] + 0.5 * kinds[c])
+            else:
+                chance = unseen
+            want += math.log10(0.9 * chance + 0.1 * base)
+            before = w
+        assert scored[r.doc_id].score == pytest.approx(want)
+
+
+def test_rounds_over_all_words_gain(corpus):
+    config = lm.LmConfig(classes=4, core=6, rounds=1, least=2, sweeps=3)
+    encoded = lm.encoded_blocks(corpus.repartition(3), "doc_id", "text", F.lit(True))
+    shared, words = lm.shared_words(encoded, config.least)
+    core = np.array([(r.h1, r.h2) for r in shared.orderBy(F.desc("total")).limit(config.core).collect()], np.int64)
+    placed = lm.exchange(lm.core_bigrams(encoded, words, core), len(core), config)
+    found, likelihoods = lm.place_frequent(encoded, words, core, placed, config)
+    assert likelihoods[-1] > likelihoods[1]  # from the first classes of all words on
 
 
 def test_best_class_gain_is_the_change_of_likelihood():
@@ -74,7 +150,7 @@ def test_best_class_gain_is_the_change_of_likelihood():
 
 def test_odd_rows(odd, empty):
     learn = remainder(F.col("doc_id"), 5) != 1
-    config = lm.LmConfig(classes=3, core=10, rounds=2)
+    config = lm.LmConfig(classes=3, core=10, rounds=2, least=2)
     found = lm.score_texts(odd, learn, config).collect()
     assert len(found) == odd.count()
     assert {r.n_tokens for r in found if r.doc_id in (1, 2, 3)} == {1}
