@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkloom.llm import decontaminate, jaccard, packing, quality_classifier, suffix_dedup
-from talkloom.llm.common import in_blocks, read_side_file, remainder, scan_texts, write_side_files, written
+from talkloom.llm.common import in_blocks, remainder, scan_texts, write_side_files, written
 from talkloom.llm.queries import table, tokenizer
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -43,7 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
             mask = []
             for block, rid in zip(kept[-2].to_pylist(), kept[-1].to_pylist(), strict=True):
                 if block != state["block"]:
-                    rows = read_side_file(folder, block, ["rid"])
+                    rows = folder.read(block, ["rid"])
                     state["block"], state["rows"] = block, set(rows.column("rid").to_pylist() if rows is not None else ())
                 mask.append(rid in state["rows"])
             mask = pa.array(mask, pa.bool_())
