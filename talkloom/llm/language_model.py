@@ -30,7 +30,9 @@ from talkloom.llm.common import SideFiles, pieces, write_side_files, written
 
 END = b""  # no word is empty; number 0 of every block
 _BLOCKS_OF_TASK = 1 << 20
-_BLOCK_WORDS, _BLOCK_TOKENS = 1_000_000, 8_000_000
+#: What bounds a block, and so the memory of a task; tokens that are worked on at once.
+_BLOCK_WORDS, _BLOCK_TOKENS = 600_000, 3_000_000
+_STEP = 500_000
 _LISTED = 50_000
 _EVIDENCE = "h1 bigint, h2 bigint, block bigint, local int, total bigint, class int, places array<int>, counts array<int>"
 _EVIDENCE_NAMES = ["h1", "h2", "block", "local", "total", "class", "places", "counts"]
@@ -176,16 +178,18 @@ class Blocks:
         self.h1, self.h2 = np.full(size, -1 - block), np.arange(size)
         at = order[self.shared[order]]
         self.h1[at], self.h2[at] = (table.column(i).drop_null().to_numpy() for i in (2, 3))
-        self.classes = np.full(size, -1, np.int64)
+        self.classes = np.full(size, -1, np.int32)
         for side in self.placed:
             found = side.read(block, ["local", "class"])
             if found is not None:
                 self.classes[found.column(0).to_numpy()] = found.column(1).to_numpy()
 
 
-def neighbours_of(flat: np.ndarray) -> np.ndarray:
-    """The number before each number; before the first stands the end of a text."""
-    return np.concatenate([[0], flat[:-1]])
+def steps(flat: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(numbers before, numbers), some at a time; before the first stands the end of a text."""
+    for i in range(0, len(flat), _STEP):
+        now = flat[i : i + _STEP]
+        yield np.concatenate([flat[i - 1 : i] if i else np.zeros(1, flat.dtype), now[:-1]]), now
 
 
 # -- core words -----------------------------------------------------------------------------
@@ -212,11 +216,12 @@ def core_bigrams(encoded: DataFrame, words: SideFiles, core: np.ndarray) -> Data
             at = np.searchsorted(table[:, 0], own.h1)
             safe = np.minimum(at, size - 1)
             hit = own.shared & (table[safe, 0] == own.h1) & (table[safe, 1] == own.h2)
-            core_id = np.where(hit, order[safe], -1)
-            a, b = core_id[neighbours_of(flat)], core_id[flat]
-            both = (a >= 0) & (b >= 0)
-            codes, n = np.unique(a[both] * size + b[both], return_counts=True)
-            counts[codes] += n
+            core_id = np.where(hit, order[safe], -1).astype(np.int32)
+            for before, now in steps(flat):
+                a, b = core_id[before], core_id[now]
+                both = (a >= 0) & (b >= 0)
+                codes, n = np.unique(a[both] * size + b[both], return_counts=True)
+                counts[codes] += n
 
         return work
 
@@ -367,18 +372,23 @@ def frequent_evidence(encoded: DataFrame, words: SideFiles, placed: tuple[SideFi
             own.read(block)
             _from_core(own, core.value if core is not None else None)
             some = np.flatnonzero(own.total >= least)
-            row = np.full(len(own.total), -1, np.int64)
+            row = np.full(len(own.total), -1, np.int32)
             row[some] = np.arange(len(some))
-            before, width = neighbours_of(flat), 2 * k + 1
-            a, b = own.classes[before], own.classes[flat]
-            both = (a >= 0) & (b >= 0)
-            table[:] += np.bincount(a[both] * k + b[both], minlength=k * k)
-            ra, rb, same = row[before], row[flat], before == flat
-            one, two = (rb >= 0) & (a >= 0) & ~same, (ra >= 0) & (b >= 0) & ~same
+            width = 2 * k + 1
+            cells = np.zeros(len(some) * width if listed else 0, np.int32)
+            for before, now in steps(flat):
+                a, b = own.classes[before], own.classes[now]
+                both = (a >= 0) & (b >= 0)
+                table[:] += np.bincount(a[both] * k + b[both], minlength=k * k)
+                if not listed:
+                    continue
+                ra, rb, same = row[before], row[now], before == now
+                one, two = (rb >= 0) & (a >= 0) & ~same, (ra >= 0) & (b >= 0) & ~same
+                codes = [rb[one] * width + a[one], ra[two] * width + (k + b[two]), rb[same & (rb >= 0)] * width + 2 * k]
+                found, n = np.unique(np.concatenate(codes), return_counts=True)
+                cells[found] += n.astype(np.int32)
             if not listed:
                 return
-            codes = [rb[one] * width + a[one], ra[two] * width + k + b[two], rb[same & (rb >= 0)] * width + 2 * k]
-            cells = np.bincount(np.concatenate(codes), minlength=len(some) * width)
             filled = np.flatnonzero(cells)
             ends = np.concatenate([[0], np.cumsum(np.bincount(filled // width, minlength=len(some)))])
             for i in range(0, len(some), _LISTED // 5):
@@ -403,10 +413,12 @@ def rare_evidence(encoded: DataFrame, words: SideFiles, placed: tuple[SideFiles,
                 return
             own.read(block)
             open_ = (own.classes < 0) & (own.total > 0)
-            before, width = neighbours_of(flat), 2 * k
-            a, b = own.classes[before], own.classes[flat]
-            one, two = open_[flat] & (a >= 0), open_[before] & (b >= 0)
-            cells, n = np.unique(np.concatenate([flat[one] * width + a[one], before[two] * width + k + b[two]]), return_counts=True)
+            width, codes = 2 * k, []
+            for before, now in steps(flat):
+                a, b = own.classes[before], own.classes[now]
+                one, two = open_[now] & (a >= 0), open_[before] & (b >= 0)
+                codes += [now[one] * width + a[one], before[two] * width + (k + b[two])]
+            cells, n = np.unique(np.concatenate([np.zeros(0, np.int32), *codes]), return_counts=True)
             some = np.flatnonzero(open_)
             row = np.full(len(open_), -1, np.int64)
             row[some] = np.arange(len(some))
@@ -543,11 +555,11 @@ def transitions(encoded: DataFrame, words: SideFiles, placed: tuple[SideFiles, .
                 yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(table[some])], ["code", "n"])
                 return
             own.read(block)
-            before = neighbours_of(flat)
-            a, b, once = own.classes[before], own.classes[flat], own.total == 1
-            oa, ob = once[before], once[flat]
-            for codes in (a * width + b, a[ob] * width + k, k * width + b[oa], np.full((oa & ob).sum(), width * width - 1)):
-                table[:] += np.bincount(codes, minlength=len(table))
+            once = own.total == 1
+            for before, now in steps(flat):
+                a, b, oa, ob = own.classes[before], own.classes[now], once[before], once[now]
+                for codes in (a * width + b, a[ob] * width + k, k * width + b[oa], np.full((oa & ob).sum(), width * width - 1)):
+                    table[:] += np.bincount(codes, minlength=len(table))
 
         return work
 
@@ -570,15 +582,17 @@ class LmModel:
     config: LmConfig
 
     def chance(self, totals: np.ndarray, classes: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Base and model chance of each token, by its number in ``totals`` and ``classes``."""
+        """Base and model chance of each token of whole texts, by its number in ``totals`` and
+        ``classes``."""
         c, k = self.config, len(self.sizes)
         base = (totals + 0.5) / (self.tokens + 0.5 * (self.words + 1))
         place = np.where(totals > 0, classes, k)
         known = place < k
         safe = np.where(known, place, 0)
         emission = np.where(known, (totals + c.emission_add) / (self.sizes[safe] + c.emission_add * self.kinds[safe]), 1.0)
+        before = np.concatenate([np.zeros(1, flat.dtype), flat[:-1]])
         of_base = base[flat]
-        return of_base, c.class_weight * self.chances[place[neighbours_of(flat)], place[flat]] * emission[flat] + (1 - c.class_weight) * of_base
+        return of_base, c.class_weight * self.chances[place[before], place[flat]] * emission[flat] + (1 - c.class_weight) * of_base
 
 
 def learn_model(encoded: DataFrame, config: LmConfig) -> tuple[LmModel, SideFiles, tuple[SideFiles, ...]]:
@@ -644,10 +658,13 @@ def score_texts(docs: DataFrame, learn: Column, config: LmConfig | None = None,
             if block is None:
                 return
             own.read(block)
-            base, chance = model.value.chance(own.total, own.classes, flat)
-            begins, n = offsets[:-1], np.diff(offsets)
-            known = np.add.reduceat((own.total[flat] > 0).astype(np.int64), begins)
-            base, score = (np.add.reduceat(np.log10(x), begins) for x in (base, chance))
+            n, parts = np.diff(offsets), []
+            cuts = np.unique(np.append(np.searchsorted(offsets, np.arange(0, offsets[-1], _STEP)), len(n)))
+            for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):  # whole texts, about a step of tokens
+                some, begins = flat[offsets[i] : offsets[j]], offsets[i:j] - offsets[i]
+                chances = model.value.chance(own.total, own.classes, some)
+                parts.append([np.add.reduceat((own.total[some] > 0).astype(np.int64), begins), *(np.add.reduceat(np.log10(x), begins) for x in chances)])
+            known, base, score = (np.concatenate(x) for x in zip(*parts, strict=True))
             total = np.full(len(n), model.value.tokens)
             columns = [x.combine_chunks() for x in kept]
             columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns]
