@@ -5,12 +5,15 @@ among the grams of those bytes (its anchor), so equal ones share a bucket, and n
 suffixes mostly share an anchor: text goes to buckets in stretches, not byte by byte.
 
 1. All suffixes of all texts are dealt into runs of one anchor.  Anchors that occur once hold
-   no repeats; runs with equal content repeat as a whole and are only counted.
-2. The remaining distinct stretches are sorted one bucket at a time (:func:`repeated_starts`).
-   Ranks of a difference cover modulo 31, computed to a depth just short of ``length``, settle
-   the long ties, so memory is a few arrays of the bucket's size.
+   no repeats; runs with equal content count as one stretch that occurs so many times.
+2. The distinct stretches are sorted one bucket at a time (:func:`repeated_starts`).  Ranks of a
+   difference cover modulo 31, computed to a depth just short of ``length``, settle the long
+   ties, so memory is a few arrays of the bucket's size.
 3. An anchor with more distinct stretches than a bucket should hold (a passage in very many
-   documents, at its edges) is settled suffix by suffix, by digests counted by Spark.
+   documents, at its edges) is dealt again by the anchors of another hash function.  What even
+   those leave together is settled suffix by suffix, by digests counted by Spark, so that no
+   bucket grows with the number of documents that share a passage.
+4. What was found of a stretch goes to the blocks that hold it, once for each block.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkloom.llm.common import in_blocks, scan_texts, write_side_files, written
+from talkloom.llm.common import SideFiles, in_blocks, pieces, scan_texts, write_side_files, written
 
 #: A perfect difference set: every difference modulo 31 occurs exactly once.
 MODULUS, COVER = 31, (0, 1, 3, 8, 12, 18)
@@ -138,7 +141,7 @@ def repeated_starts(stretches: list[bytes], length: int) -> list[np.ndarray]:
 # -- anchors --------------------------------------------------------------------------------
 
 _TABLE = np.random.default_rng(20240501).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
 def _powers(base: int, size: int) -> np.ndarray:
@@ -150,11 +153,12 @@ def _powers(base: int, size: int) -> np.ndarray:
 class Anchors:
     """Runs of suffixes with one anchor, for texts of any length."""
 
-    def __init__(self, config: DedupConfig):
-        self.length, self.gram = config.length, config.gram
+    def __init__(self, config: DedupConfig, turn: int = 0):
+        """``turn``: which of two hash functions chooses the anchors."""
+        self.length, self.gram, base = config.length, config.gram, _BASES[turn]
         self.window = self.length - self.gram + 1
         size = 2 * _CHUNK + 4 * self.length
-        self.powers, self.inverse = _powers(_BASE, size), _powers(pow(_BASE, -1, 1 << 64), size)
+        self.powers, self.inverse = _powers(base, size), _powers(pow(base, -1, 1 << 64), size)
 
     def _least(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each window of grams the place of its least hash (leftmost), and all hashes."""
@@ -177,7 +181,8 @@ class Anchors:
         return (least & np.uint64((1 << 21) - 1)).astype(np.int64), h
 
     def runs(self, texts: list[bytes]):
-        """(text index, first suffix, suffixes, anchor, content digest) as lists, in pieces."""
+        """(text index, first suffix, suffixes, anchor, content digest, whether the anchor occurs
+        more than once in the run) as lists, in pieces."""
         held: list[tuple[int, int, bytes]] = []
         size = 0
         for i, text in enumerate(texts):
@@ -202,18 +207,24 @@ class Anchors:
         owner = np.repeat(np.arange(len(held)), counts)
         starts = np.repeat(begins - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
         anchor = least[starts]
-        new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])]))
+        values = hashes[anchor].view(np.int64)
+        same = owner[1:] == owner[:-1]
+        # where the next anchor has the same hash (periodic text) the run goes on
+        new = np.flatnonzero(np.concatenate([[True], (values[1:] != values[:-1]) | ~same]))
+        moved = np.concatenate([[False], (anchor[1:] != anchor[:-1]) & same])
+        moved[new] = False
+        several = np.add.reduceat(moved.astype(np.int64), new) > 0 if len(new) else np.zeros(0, bool)
         number = np.diff(np.append(new, len(starts)))
         first, owner = starts[new], owner[new]
         ends = first + number + self.length - 1
         digest = xxhash.xxh3_128_digest
         content = [digest(joined[a:b]) for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
         texts, offsets = (np.array([h[j] for h in held], dtype=np.int64) for j in (0, 1))
-        return texts[owner], first - begins[owner] + offsets[owner], number, hashes[anchor[new]].view(np.int64), content
+        return texts[owner], first - begins[owner] + offsets[owner], number, values[new], content, several
 
 
 def anchor_runs(blocks: DataFrame, config: DedupConfig) -> DataFrame:
-    """``(block, rid, anchor, content, first, number)`` for every run of every text."""
+    """``(block, rid, anchor, content, first, number, several)`` for every run of every text."""
     import pyarrow as pa
 
     def make():
@@ -221,19 +232,24 @@ def anchor_runs(blocks: DataFrame, config: DedupConfig) -> DataFrame:
 
         def work(kept, texts):
             data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-            for text, first, number, anchor, content in anchors.runs(data):
+            for text, first, number, anchor, content, several in anchors.runs(data):
                 rows = pa.array(text)
-                yield kept[0].take(rows), kept[1].take(rows), pa.array(anchor), pa.array(content, pa.binary()), pa.array(first.astype(np.int32)), pa.array(number.astype(np.int32))
+                yield kept[0].take(rows), kept[1].take(rows), pa.array(anchor), pa.array(content, pa.binary()), pa.array(first.astype(np.int32)), pa.array(number.astype(np.int32)), pa.array(several)
 
         return work
 
-    fields = [("block", "int"), ("rid", "bigint"), ("anchor", "bigint"), ("content", "binary"), ("first", "int"), ("number", "int")]
+    fields = [("block", "int"), ("rid", "bigint"), ("anchor", "bigint"), ("content", "binary"), ("first", "int"), ("number", "int"), ("several", "boolean")]
     return scan_texts(blocks, "text", ["block", "rid"], make, fields)
 
 
+_STRETCH = [("anchor", "bigint"), ("content", "binary"), ("n", "bigint"), ("kinds", "bigint")]
+
+
 def fetch_stretches(blocks: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The bytes of runs: ``wanted`` (block, rid, first, number, anchor, n) and ``bytes``."""
-    folder = write_side_files(wanted.select("block", "rid", "first", "number", "anchor", "n"), "wanted")
+    """The bytes of ``wanted`` runs (block, rid, first, number, anchor, content, n, kinds):
+    ``(anchor, content, n, kinds, bytes)``."""
+    names = ["first", "number", *(name for name, _ in _STRETCH)]
+    folder = write_side_files(wanted.select("block", "rid", *names), "wanted")
 
     def make():
         state = {"block": None, "rows": {}}
@@ -242,18 +258,17 @@ def fetch_stretches(blocks: DataFrame, wanted: DataFrame, length: int) -> DataFr
             out = []
             for block, rid, text in zip(kept[0].to_pylist(), kept[1].to_pylist(), texts, strict=True):
                 if block != state["block"]:
-                    state["block"], state["rows"] = block, _by_row(folder.read(block, ["rid", "first", "number", "anchor", "n"]))
+                    state["block"], state["rows"] = block, _by_row(folder.read(block, ["rid", *names]))
                 own = state["rows"].get(rid)
                 if own:
                     data = text.encode("utf-8", "surrogatepass")
-                    out += [(block, rid, a, n, anchor, c, data[a : a + n + length - 1]) for a, n, anchor, c in own]
+                    out += [(*more, data[a : a + n + length - 1]) for a, n, *more in own]
             for i in range(0, len(out), 20_000):
                 yield tuple(zip(*out[i : i + 20_000], strict=True))
 
         return work
 
-    fields = [("block", "int"), ("rid", "bigint"), ("first", "int"), ("number", "int"), ("anchor", "bigint"), ("n", "bigint"), ("bytes", "binary")]
-    return scan_texts(blocks, "text", ["block", "rid"], make, fields)
+    return scan_texts(blocks, "text", ["block", "rid"], make, [*_STRETCH, ("bytes", "binary")])
 
 
 def _by_row(table) -> dict[int, list[tuple]]:
@@ -269,65 +284,118 @@ def _spans(flags: np.ndarray) -> tuple[list[int], list[int]]:
     return edges[::2].tolist(), (edges[1::2] - edges[::2]).tolist()
 
 
+_FOUND = "anchor bigint, content binary, start int, number int"
+
+
 def sort_buckets(stretches: DataFrame, buckets: int, length: int) -> DataFrame:
-    """``(block, rid, first, number)``: runs of repeated suffixes in stretches that are alone."""
+    """``(anchor, content, start, number)``: runs of repeated suffixes in ``stretches`` (anchor,
+    content, n, base, bucket key, bytes), where ``base`` is the stretch's place in its content."""
 
     def settle(rows: pd.DataFrame) -> pd.DataFrame:
         flags = repeated_starts(rows["bytes"].tolist(), length)
         out = []
-        for block, rid, first, n, own in zip(rows["block"], rows["rid"], rows["first"], rows["n"], flags, strict=True):
-            if n == 1:
-                out += [(block, rid, first + a, size) for a, size in zip(*_spans(own), strict=True)]
-        return pd.DataFrame(out, columns=["block", "rid", "first", "number"])
+        for anchor, content, n, base, own in zip(rows["anchor"], rows["content"], rows["n"], rows["base"], flags, strict=True):
+            own |= n > 1
+            out += [(anchor, content, base + a, size) for a, size in zip(*_spans(own), strict=True)]
+        return pd.DataFrame(out, columns=["anchor", "content", "start", "number"])
+
+    grouped = stretches.groupBy(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"))
+    return grouped.applyInPandas(settle, _FOUND)
+
+
+def deal_again(stretches: DataFrame, config: DedupConfig) -> DataFrame:
+    """Stretches cut by the anchors of the second hash function; ``key``: both anchors."""
+    import pyarrow as pa
+
+    names = ["anchor", "content", "n", "base", "key", "bytes"]
 
-    grouped = stretches.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket"))
-    return grouped.applyInPandas(settle, "block int, rid bigint, first int, number int")
+    def cut(batches):
+        anchors = Anchors(config, turn=1)
+        for batch in pieces(batches):
+            given, own, n, data = (batch.column(i).to_pylist() for i in range(4))
+            for text, first, number, anchor, _, _ in anchors.runs(data):
+                rows, ends = text.tolist(), (first + number + config.length - 1).tolist()
+                columns = [
+                    pa.array([given[r] for r in rows], pa.int64()), pa.array([own[r] for r in rows], pa.binary()), pa.array([n[r] for r in rows], pa.int64()), pa.array(first.astype(np.int32)),
+                    pa.array([xxhash.xxh3_64_intdigest(f"{given[r]} {a}") - (1 << 63) for r, a in zip(rows, anchor.tolist(), strict=True)], pa.int64()),
+                    pa.array([data[r][a:b] for r, a, b in zip(rows, first.tolist(), ends, strict=True)], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return stretches.select("anchor", "content", "n", "bytes").mapInArrow(cut, "anchor bigint, content binary, n bigint, base int, key bigint, bytes binary")
 
 
 def count_suffixes(stretches: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with too many stretches: one digest for each suffix, counted."""
+    """The same as :func:`sort_buckets` for what both anchors leave together: one digest for each
+    suffix, counted."""
     import pyarrow as pa
 
+    names = ["anchor", "content", "start", "n", "suffix"]
+
     def cut(batches):
         digest = xxhash.xxh3_128_digest
-        for batch in batches:
-            for row in batch.to_pylist():
-                data, n = row["bytes"], row["number"]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["block"]] * n, pa.int32()), pa.array([row["rid"]] * n, pa.int64()), pa.array(range(row["first"], row["first"] + n), pa.int32()),
-                     pa.array([row["n"]] * n, pa.int64()), pa.array([digest(data[i : i + length]) for i in range(n)], pa.binary())],
-                    ["block", "rid", "first", "n", "suffix"],
-                )
-
-    suffixes = written(stretches.mapInArrow(cut, "block int, rid bigint, first int, n bigint, suffix binary"), "suffixes")
+        for batch in pieces(batches):
+            for anchor, content, n, base, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                size = len(data) - length + 1
+                columns = [
+                    pa.array([anchor] * size, pa.int64()), pa.array([content] * size, pa.binary()), pa.array(range(base, base + size), pa.int32()),
+                    pa.array([n] * size, pa.int64()), pa.array([digest(data[i : i + length]) for i in range(size)], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    rows = stretches.select("anchor", "content", "n", "base", "bytes").mapInArrow(cut, "anchor bigint, content binary, start int, n bigint, suffix binary")
+    suffixes = written(rows, "suffixes")
     several = suffixes.groupBy("suffix").agg(F.sum("n").alias("total")).filter("total > 1").select("suffix")
-    return suffixes.filter("n = 1").join(several, "suffix", "left_semi").select("block", "rid", "first", F.lit(1).alias("number"))
+    return suffixes.join(several, "suffix", "left_semi").select("anchor", "content", "start", F.lit(1).alias("number"))
+
+
+def repeated_parts(stretches: DataFrame, config: DedupConfig) -> DataFrame:
+    """``(anchor, content, start, number)`` of all distinct stretches."""
 
+    def in_order(rows: DataFrame) -> DataFrame:
+        size = rows.agg(F.sum(F.octet_length("bytes")).cast("bigint")).first()[0] or 0
+        return sort_buckets(rows, max(1, -(-size // config.bucket_bytes)), config.length)
 
-def repeated_runs(blocks: DataFrame, config: DedupConfig) -> DataFrame:
-    """``(block, rid, first, number)``: all runs of suffixes whose first ``length`` bytes start
-    anywhere else too."""
+    out = in_order(stretches.filter(F.col("kinds") <= config.most).withColumn("key", F.col("anchor")).withColumn("base", F.lit(0)))
+    hot = stretches.filter(F.col("kinds") > config.most)
+    if hot.limit(1).count():
+        again = written(deal_again(hot, config), "again")
+        sizes = written(again.groupBy("key").count().filter(F.col("count") > config.most).select("key"), "sizes")
+        out = out.unionByName(in_order(again.join(sizes, "key", "left_anti")))
+        if sizes.limit(1).count():
+            out = out.unionByName(count_suffixes(again.join(sizes, "key", "left_semi"), config.length))
+    return out
+
+
+def repeated_runs(blocks: DataFrame, config: DedupConfig) -> tuple[SideFiles, SideFiles]:
+    """For each block its runs of anchors that recur ``(rid, first, anchor, content)``, and what
+    repeats of their contents ``(anchor, content, start, number)``."""
     runs = written(anchor_runs(blocks, config), "runs")
     # written by itself, so that the join below is between plain exchanges and a hot anchor can be split
-    shared = written(runs.groupBy("anchor").agg(F.count("*").alias("uses")).filter("uses > 1").select("anchor"), "anchors")
-    several = written(runs.join(shared, "anchor", "left_semi"), "shared")
+    anchors = runs.groupBy("anchor").agg(F.count("*").alias("uses"), F.max("several").alias("several")).filter("uses > 1 OR several")
+    shared = written(runs.join(written(anchors.select("anchor"), "anchors"), "anchor", "left_semi"), "shared")
     row = F.struct("block", "rid", "first", "number")
-    contents = written(several.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(row).alias("row")), "contents")
-    whole = several.join(contents.filter("n > 1").select("anchor", "content"), ["anchor", "content"], "left_semi")
-    whole = whole.select("block", "rid", "first", "number")
-
-    kinds = written(contents.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "kinds")
-    open_ = contents.join(kinds, "anchor").select("anchor", "n", "kinds", "row.*")
-    stretches = written(
-        fetch_stretches(blocks, open_, config.length).join(kinds, "anchor").select("block", "rid", "first", "number", "anchor", "n", "bytes", "kinds"), "stretches"
-    )
-    sizes = stretches.filter(F.col("kinds") <= config.most).agg(F.sum(F.octet_length("bytes")).cast("bigint")).first()[0] or 0
-    out = whole.unionByName(
-        sort_buckets(stretches.filter(F.col("kinds") <= config.most), max(1, -(-sizes // config.bucket_bytes)), config.length)
-    )
-    if kinds.filter(F.col("kinds") > config.most).limit(1).count():
-        out = out.unionByName(count_suffixes(stretches.filter(F.col("kinds") > config.most), config.length))
-    return out
+    contents = written(shared.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(row).alias("row")), "contents")
+    kinds = contents.groupBy("anchor").agg(F.count("*").alias("kinds"))
+    stretches = written(fetch_stretches(blocks, contents.join(kinds, "anchor").select("anchor", "content", "n", "kinds", "row.*"), config.length), "stretches")
+    found = written(repeated_parts(stretches, config), "found")
+    asked = shared.select("block", "anchor", "content").distinct()
+    answers = asked.join(found, ["anchor", "content"]).select("block", "anchor", "content", "start", "number")
+    return write_side_files(shared.select("block", "rid", "first", "anchor", "content"), "runs-of-block"), write_side_files(answers, "repeats")
+
+
+def _repeats_of(block: int, runs: SideFiles, repeats: SideFiles) -> dict[int, list[tuple[int, int]]]:
+    """The block's repeated suffixes: (first, number) of each row."""
+    parts: dict[tuple, list[tuple[int, int]]] = {}
+    found = repeats.read(block, ["anchor", "content", "start", "number"])
+    for anchor, content, start, number in zip(*(c.to_pylist() for c in found.columns), strict=True) if found is not None else ():
+        parts.setdefault((anchor, content), []).append((start, number))
+    rows: dict[int, list[tuple[int, int]]] = {}
+    own = runs.read(block, ["rid", "first", "anchor", "content"]) if parts else None
+    for rid, first, anchor, content in zip(*(c.to_pylist() for c in own.columns), strict=True) if own is not None else ():
+        if some := parts.get((anchor, content)):
+            rows.setdefault(rid, []).extend((first + start, number) for start, number in some)
+    return rows
 
 
 def remove_repeats(docs: DataFrame, config: DedupConfig | None = None, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", as_text: bool = False) -> DataFrame:
@@ -337,20 +405,22 @@ def remove_repeats(docs: DataFrame, config: DedupConfig | None = None, keep: tup
     UTF-8 without the removed spans ``[start, end)``; with ``as_text`` a string, from which
     characters that a span's edge cut through are gone too.  All occurrences go, the first as well;
     strings overlap, and a text may repeat itself.  Null is the empty text; texts shorter than
-    ``length`` stay whole; equal rows remove each other; an empty table gives an empty result.
+    ``length`` stay whole; texts of any length are cut into pieces that overlap, so that nothing is
+    missed; equal rows remove each other; an id may be null or shared; other columns are not read;
+    an empty table gives an empty result.
     """
     config = config or DedupConfig()
     length = config.length
     names = [f"keep_{i}" for i in range(len(keep))]
     blocks = in_blocks(docs, [*(F.col(c).alias(n) for c, n in zip(keep, names, strict=True)), F.col(text_col).cast("string").alias("text")], "documents")
-    folder = write_side_files(repeated_runs(blocks, config), "repeats")
+    runs, repeats = repeated_runs(blocks, config)
 
     def make():
         state = {"block": None, "rows": {}}
 
         def one(block, rid, text):
             if block != state["block"]:
-                state["block"], state["rows"] = block, _by_row(folder.read(block, ["rid", "first", "number"]))
+                state["block"], state["rows"] = block, _repeats_of(block, runs, repeats)
             data = (text or "").encode("utf-8", "surrogatepass")
             spans: list[list[int]] = []
             for first, number in sorted(state["rows"].get(rid, ())):

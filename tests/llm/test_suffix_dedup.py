@@ -59,14 +59,27 @@ def test_long_texts_go_in_pieces(spark, monkeypatch):
     texts.append(texts[0] + bytes(random.Random(1).randrange(97, 123) for _ in range(5000)) + texts[0])
     config = sd.DedupConfig(length=160)
     runs = [r for part in sd.Anchors(config).runs(texts) for r in zip(*part, strict=True)]
-    covered = {(int(i), int(a) + k) for i, a, n, _, _ in runs for k in range(n)}
+    covered = {(int(i), int(a) + k) for i, a, n, *_ in runs for k in range(n)}
     assert covered == {(i, k) for i, t in enumerate(texts) for k in range(len(t) - 159)}
     anchors = {}
-    for i, a, n, anchor, _ in runs:
+    for i, a, n, anchor, *_ in runs:
         for k in range(a, a + n):
             assert anchors.setdefault(texts[i][k : k + 160], anchor) == anchor
 
 
+def test_periodic_and_very_long_texts(spark):
+    """A repeated character is one run, not one for each byte; texts of a megabyte are whole."""
+    rng = random.Random(8)
+    letters = bytes(rng.randrange(97, 123) for _ in range(1_200_000))
+    texts = [b"z" * 200_000, letters, letters[700_000:700_300] + b"#ail", b"ab" * 400 + letters[:100]]
+    config = sd.DedupConfig()
+    runs = [r for part in sd.Anchors(config).runs(texts) for r in zip(*part, strict=True)]
+    assert sum(r[0] == 0 for r in runs) == 1
+    rows = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(2)
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in sd.remove_repeats(rows, sd.DedupConfig(length=160)).collect()}
+    assert found == {0: (200_000, 200_000, 1), 1: (1_200_000, 300, 1), 2: (304, 300, 1), 3: (900, 800, 1)}
+
+
 def test_odd_rows(odd, empty):
     found = sd.remove_repeats(odd, sd.DedupConfig(length=160)).collect()
     assert len(found) == odd.count()
