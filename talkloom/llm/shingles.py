@@ -1,10 +1,10 @@
-"""Near copies by the exact Jaccard similarity of their word shingles: a self-join by prefixes.
+"""Word shingles, and the prefixes by which similar sets of them meet.
 
-Put the shingles of every text in one order that holds for all.  Of two texts with similarity t
-or more, each has at least ``ceil(t * n)`` of its n shingles in common with the other, so the
-first ``n - ceil(t * n) + 1`` shingles of both, their prefixes, share one.  Texts that share a
-shingle of their prefixes are compared in full; no pair is lost.  The order has shingles that a
-sample finds frequent last: any order gives the same result, this one gives fewer candidates.
+Put the shingles of every text in one order that holds for all.  Of two texts with Jaccard
+similarity t or more, each has at least ``ceil(t * n)`` of its n shingles in common with the
+other, so the first ``n - ceil(t * n) + 1`` shingles of both, their prefixes, share one.  The order
+has shingles that a sample finds frequent last: any order gives the same pairs, this one gives
+fewer candidates.
 """
 
 from __future__ import annotations
@@ -13,20 +13,19 @@ import math
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talkloom.llm.common import map_texts, scan_texts, write_side_files, written
-from talkloom.llm.components import connected
 
 SEED = 42
 
 
-def shingles(text: str | None, size: int) -> np.ndarray:
-    """XXH64 of all distinct shingles, ascending; a shorter text is one shingle."""
+def shingle_hashes(text: str | None, size: int) -> np.ndarray:
+    """XXH64 of all shingles, repeats included; a shorter text is one shingle, none has none."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64)
     joined, digest = b" ".join(words), xxhash.xxh64_intdigest
     if len(words) <= size:
         hashes = [digest(joined, SEED)]
@@ -34,7 +33,12 @@ def shingles(text: str | None, size: int) -> np.ndarray:
         ends = np.cumsum([len(w) + 1 for w in words])
         starts = [0, *ends[:-size].tolist()]
         hashes = [digest(joined[a:b], SEED) for a, b in zip(starts, (ends[size - 1 :] - 1).tolist(), strict=True)]
-    return np.unique(np.array(hashes, np.uint64).view(np.int64))
+    return np.array(hashes, np.uint64)
+
+
+def shingles(text: str | None, size: int) -> np.ndarray:
+    """The distinct ones, ascending."""
+    return np.unique(shingle_hashes(text, size).view(np.int64))
 
 
 def prefix(own: np.ndarray, frequent: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
@@ -81,66 +85,3 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         return work
 
     return scan_texts(docs, "text", ["block", "rid"], make, [("cls", "bigint"), ("shingles", "array<bigint>")])
-
-
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``(key, component_id)`` of every row of ``docs(key, text, block, rid)``, where ``block`` and
-    ``rid`` are those of :func:`in_blocks`: the least key it reaches by similar pairs.
-
-    Texts with the same shingles meet as one class before any search; those without words are one
-    class.  Of texts that share a prefix shingle all are first compared with the least, and then
-    with each other as far as that has not linked them yet, so a large group of near copies
-    costs a row for each text and not for each pair.
-    """
-    frequent, counts = frequent_shingles(docs, shingle)
-    order = docs.sparkSession.sparkContext.broadcast((frequent, counts))
-
-    def make():
-        def work(texts):
-            sets = [shingles(t, shingle) for t in texts]
-            classes = [xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets]
-            return [np.array(classes, np.uint64).view(np.int64).tolist(), [len(s) for s in sets], [prefix(s, *order.value, similarity) for s in sets]]
-
-        return work
-
-    marked = written(map_texts(docs, "text", ["key", "block", "rid"], make, [("cls", "bigint"), ("n", "bigint"), ("prefix", "array<bigint>")]), "prefixes")
-    classes = written(marked.groupBy("cls").agg(F.min("key").alias("least_key"), F.max("n").alias("n"), F.min(F.struct("block", "rid")).alias("place")), "classes")
-
-    by_token = Window.partitionBy("token")
-    tokens = marked.select("cls", F.explode("prefix").alias("token")).select("cls", "token", F.min("cls").over(by_token).alias("lo"), F.max("cls").over(by_token).alias("hi"))
-    shared = tokens.filter("lo < hi").select("cls", "token").distinct()
-    shared = written(shared.join(classes.select("cls", "n"), "cls"), "shared")
-    lists = written(shared.groupBy("cls").agg(F.collect_list("token").alias("tokens")), "lists")  # at most a prefix each
-
-    def fits(a: Column, b: Column) -> Column:
-        return F.least(a, b) >= F.greatest(a, b) * similarity - 1e-9
-
-    def similar(pairs: DataFrame, name: str) -> DataFrame:
-        """Of ``(u, v, nu, nv)``, first those whose prefixes have enough in common: up to where
-        the first prefix ends, all common shingles lie in both; after it one text has
-        ``ceil(t * n) - 1`` more.  Then those whose whole sets are similar."""
-        near = pairs.join(lists.select(F.col("cls").alias("u"), F.col("tokens").alias("a")), "u").join(lists.select(F.col("cls").alias("v"), F.col("tokens").alias("b")), "v")
-        rest = F.ceil(F.greatest("nu", "nv") * similarity - 1e-9) - 1
-        need = F.ceil((F.col("nu") + F.col("nv")) * (similarity / (1 + similarity)) - 1e-9)
-        near = written(near.filter(F.size(F.array_intersect("a", "b")) + rest >= need).select("u", "v"), f"{name}-near")
-        wanted = near.select(F.col("u").alias("cls")).union(near.select("v")).distinct().join(classes, "cls").select("cls", "place.*")
-        sets = written(shingle_sets(docs, wanted, shingle), "sets")
-        both = near.join(sets.select(F.col("cls").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("cls").alias("v"), F.col("shingles").alias("b")), "v")
-        common = F.size(F.array_intersect("a", "b"))
-        return written(both.filter(common >= (F.size("a") + F.size("b") - common) * similarity - 1e-9).select("u", "v"), name)
-
-    heads = shared.groupBy("token").agg(F.min(F.struct("cls", "n")).alias("head"))
-    first = shared.join(heads, "token").filter((F.col("cls") > F.col("head.cls")) & fits(F.col("n"), F.col("head.n")))
-    first = written(first.select(F.col("cls").alias("u"), F.col("head.cls").alias("v"), F.col("n").alias("nu"), F.col("head.n").alias("nv")).distinct(), "first")
-    linked = similar(first, "linked")
-    placed = shared.join(connected(linked).withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    mixed = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
-    placed = written(placed.join(mixed, "token"), "placed")
-    other = placed.select("token", F.col("cls").alias("v"), F.col("n").alias("m"), F.col("root").alias("other"))
-    second = placed.join(other, "token").filter((F.col("cls") > F.col("v")) & (F.col("root") != F.col("other")) & fits(F.col("n"), F.col("m")))
-    second = written(second.select(F.col("cls").alias("u"), "v", F.col("n").alias("nu"), F.col("m").alias("nv")).distinct().join(first, ["u", "v"], "left_anti"), "second")
-    roots = connected(linked.unionByName(similar(second, "linked-later")))
-
-    named = classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "least_key", F.coalesce("root", "cls").alias("root"))
-    least = named.groupBy("root").agg(F.min("least_key").alias("component_id"))
-    return marked.select("key", "cls").join(named.join(least, "root").select("cls", "component_id"), "cls").select("key", "component_id")

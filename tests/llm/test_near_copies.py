@@ -4,7 +4,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from talkloom.llm import jaccard
+from talkloom.llm import shingles, simhash
 
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -37,7 +37,7 @@ def corpus():
 
 
 def brute_force(texts):
-    sets = [set(jaccard.shingles(t, 5).tolist()) for t in texts]
+    sets = [set(shingles.shingles(t, 5).tolist()) for t in texts]
     root = list(range(len(texts)))
 
     def find(i):
@@ -66,7 +66,7 @@ def test_pipeline_stage_drops_near_copies(spark):
 def test_order_of_frequent_shingles_is_only_an_order(spark, monkeypatch):
     texts = corpus()
     docs = spark.createDataFrame(list(enumerate(texts)), "key bigint, text string").select("key", "text", F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("rid"))
-    found = jaccard.frequent_shingles
-    monkeypatch.setattr(jaccard, "frequent_shingles", lambda d, size: found(d, size, share=2, least=2))
-    rows = jaccard.near_duplicates(docs).collect()
+    found = simhash.frequent_shingles
+    monkeypatch.setattr(simhash, "frequent_shingles", lambda d, size: found(d, size, share=2, least=2))
+    rows = simhash.near_copies(docs).collect()
     assert {r.key for r in rows if r.key == r.component_id} == brute_force(texts)
