@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.llm import decontaminate, jaccard, packing, quality_classifier, suffix_dedup
+from talkloom.llm import decontaminate, packing, quality_classifier, simhash, suffix_dedup
 from talkloom.llm.common import in_blocks, remainder, scan_texts, write_side_files, written
 from talkloom.llm.queries import table, tokenizer
 
@@ -31,7 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     copy = in_blocks(docs, [F.col(c) for c in COLUMNS], "documents")
     keyed = copy.select(F.struct("doc_id", "rid", "block").alias("key"), "text", "block", "rid")
-    found = jaccard.near_duplicates(keyed, shingle=5, similarity=0.8)
+    found = simhash.near_copies(keyed, shingle=5, similarity=0.8)
     folder = write_side_files(found.filter(F.col("key").eqNullSafe(F.col("component_id"))).select("key.block", "key.rid"), "survivors")
 
     def make():
