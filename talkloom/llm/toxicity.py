@@ -1,10 +1,13 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and word beginnings that the labelled examples tie to the label; their TF-IDF
-is weighed by how surely they are tied to it, and a last coordinate says how much of it a text
-holds in all.  Examples lie in blocks with an inverted index each; for every term the index
-knows the greatest weight in each block, so a query visits blocks by falling upper bound and
-stops as soon as no block can hold a nearer example: the result is that of comparing all.
+Terms are all words of the labelled examples; document frequencies are counted over all texts.
+A term's inverse document frequency is raised by how surely the labels tie it to toxic texts, so
+that a few telling words can outweigh many that say nothing; no term is left out.  Examples lie in
+blocks of similar ones.  A query adds up the postings of the terms that can matter most; the
+greatest weights that the other terms have in each block bound what is still open there, and only
+examples that can reach the nearest are compared in full: the result is that of comparing all.
+Votes weigh by squared cosine, and an isotonic fit on the examples themselves, each without its
+own vote and those of its copies, turns them into chances.
 """
 
 from __future__ import annotations
@@ -12,142 +15,141 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkloom.llm.common import map_texts, scan_texts, written
+from talkloom.llm.quality_classifier import isotonic
 
 _WORD = re.compile(r"[^\W\d_]+")
-_BEGINNINGS = (4, 5, 6, 7, 8)
-_LEVELS = 8
+_COPY = 0.999
 
 
 @dataclass(frozen=True)
 class ToxicConfig:
-    """``examples``: at most so many labelled rows are used, those least by a hash of their id;
-    ``terms``: so many of the terms most surely tied to the label.  Both bound what is sent."""
+    """``examples``, ``example_bytes``: at most so many labelled texts of so many bytes in all are
+    used, whole, in the order of a hash of their ids.  They bound what is sent to tasks."""
 
-    examples: int = 20_000
-    terms: int = 4_096
-    least_texts: int = 5
-    least_tie: float = 1.5  # log odds ratio, lower end of a 90 % interval
+    examples: int = 5_000
+    example_bytes: int = 24 << 20
+    tie_weight: float = 5.0
     neighbours: int = 15
-    level_weight: float = 0.5
     prior_weight: float = 0.2
     block: int = 64
     threshold: float = 0.7
 
 
-def forms_of(word: str) -> list[str]:
-    return [word, *(f"{word[:n]}*" for n in _BEGINNINGS if len(word) > n)]
+def words_of(text: str | None) -> list[str]:
+    return _WORD.findall(text.lower()) if text else []
 
 
-def words_of(text: str | None) -> Counter:
-    return Counter(_WORD.findall(text.lower())) if text else Counter()
-
-
-def tied_terms(examples: DataFrame, positive: int, negative: int, config: ToxicConfig) -> list[tuple[str, float, int]]:
-    """``(term, tie, texts)`` of the chosen terms, strongest first."""
-
-    def make():
-        seen: Counter = Counter()
-
-        def flush():
-            keys = list(seen)
-            terms = sorted({k[0] for k in keys})
-            for i in range(0, len(terms), 50_000):
-                part = terms[i : i + 50_000]
-                yield part, [seen[t, 1] for t in part], [seen[t, 0] for t in part]
-            seen.clear()
-
-        def work(kept, texts):
-            if texts is None:
-                yield from flush()
-                return
-            for label, text in zip(kept[0].to_pylist(), texts, strict=True):
-                seen.update([(f, label) for f in {f for w in words_of(text) for f in forms_of(w)}])
-                if len(seen) > 400_000:
-                    yield from flush()
-
-        return work
-
-    fields = [("term", "string"), ("pos", "bigint"), ("neg", "bigint")]
-    counted = scan_texts(examples, "text", ["label"], make, fields, finish=True).groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    a, b = (F.col("pos") + 0.5) / (positive + 1.0), (F.col("neg") + 0.5) / (negative + 1.0)
-    tie = F.log(a * (1 - b) / (b * (1 - a))) - 1.64 * F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
-    chosen = counted.filter(F.col("pos") >= config.least_texts).select("term", tie.alias("tie"), (F.col("pos") + F.col("neg")).alias("texts"))
-    return [tuple(r) for r in chosen.filter(F.col("tie") > config.least_tie).orderBy(F.desc("tie"), "term").limit(config.terms).collect()]
+def bounded_examples(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column], config: ToxicConfig) -> DataFrame:
+    """``(key, label, text)`` of the chosen rows; bounded after the join too, should ids repeat."""
+    order = [F.xxhash64("key"), F.col("key"), F.col("label")]
+    chosen = written(labels.filter(F.col("label").isNotNull() & learn(F.col("key"))).distinct().orderBy(*order).limit(config.examples), "chosen")
+    joined = docs.filter(F.col("text").isNotNull()).join(F.broadcast(chosen), "key").withColumn("rank", F.xxhash64("text"))
+    some = joined.orderBy(*order, "rank", "text").limit(config.examples)  # config.examples rows from here on
+    so_far = F.sum(F.octet_length("text")).over(Window.orderBy(*order, "rank", "text").rowsBetween(Window.unboundedPreceding, 0))
+    return written(some.withColumn("so_far", so_far).filter(F.col("so_far") <= config.example_bytes).select("key", "label", "text"), "examples")
 
 
 class Terms:
-    """Unit vectors of texts over the chosen terms: (coordinates, values), ascending."""
+    """The words of the examples, their weights, and unit vectors of texts over them."""
+
+    def __init__(self, words: list[str], weight: np.ndarray):
+        self.words, self.weight = words, weight
+        self.index = {w: i for i, w in enumerate(words)}
 
-    def __init__(self, chosen: list[tuple[str, float, int]], texts: int, config: ToxicConfig):
-        self.index = {t: i for i, (t, _, _) in enumerate(chosen)}
-        self.tie = np.array([tie for _, tie, _ in chosen])
-        self.weight = np.array([np.log1p(texts / n) * tie for _, tie, n in chosen])
-        self.level_weight = config.level_weight
-        self.memo: dict[str, list[int]] = {}
+    def __reduce__(self):
+        return Terms, (self.words, self.weight)
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        counts: dict[int, int] = {}
-        memo, index = self.memo, self.index
-        for word, n in words_of(text).items():
-            found = memo.get(word)
-            if found is None:
-                if len(memo) > 500_000:
-                    memo.clear()
-                found = memo[word] = [index[f] for f in forms_of(word) if f in index]
-            for i in found:
-                counts[i] = counts.get(i, 0) + n
-        if not counts:
-            return np.zeros(0, np.int64), np.zeros(0)
-        at = np.array(sorted(counts), dtype=np.int64)
-        values = (1 + np.log(np.array([counts[i] for i in at.tolist()]))) * self.weight[at]
-        level = min(_LEVELS - 1, int(np.log2(1 + self.tie[at].sum())))
+        """(coordinates, values), ascending; empty for a text without a known word."""
+        get = self.index.get
+        counts = Counter([i for i in map(get, words_of(text)) if i is not None])
+        at = np.array(sorted(counts), dtype=np.int32)
+        values = (1 + np.log(np.array([counts[i] for i in at.tolist()], float))) * self.weight[at]
         norm = np.linalg.norm(values)
-        at, values = np.append(at, len(self.index) + level), np.append(values, self.level_weight * norm)
-        return at, values / np.linalg.norm(values)
+        return (at, values / norm) if norm else (at[:0], values[:0])
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of several ranges, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class BlockMaxIndex:
-    """Examples in blocks of similar ones, an inverted index for each, and block maxima."""
+    """Examples in blocks of similar ones: postings and block maxima of each term, and the
+    examples' own vectors."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], labels: list[int], ids: list, coordinates: int, size: int):
         # neighbours in order share their weightiest coordinate, which keeps block maxima tight
         order = sorted(range(len(vectors)), key=lambda i: (int(vectors[i][0][np.argmax(vectors[i][1])]), -float(vectors[i][1].max()), str(ids[i])))
         self.labels, self.ids = np.array([labels[i] for i in order], float), [str(ids[i]) for i in order]
-        self.size, self.blocks = size, []
-        self.most = np.zeros((coordinates, -(-len(order) // size)), np.float64)
-        for b in range(0, len(order), size):
-            part = [vectors[i] for i in order[b : b + size]]
-            terms = np.unique(np.concatenate([at for at, _ in part]))
-            postings = np.zeros((len(terms), len(part)))
-            for j, (at, values) in enumerate(part):
-                postings[np.searchsorted(terms, at), j] = values
-            self.blocks.append((terms, postings))
-            self.most[terms, b // size] = postings.max(axis=1)
+        self.coordinates, self.size, self.blocks = coordinates, size, -(-len(order) // size)
+        lengths = np.array([len(vectors[i][0]) for i in order])
+        self.own_starts, self.own_sizes = np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths
+        self.own_terms = np.concatenate([vectors[i][0] for i in order]).astype(np.int32)
+        self.own_values = np.concatenate([vectors[i][1] for i in order])
+        rows = np.repeat(np.arange(len(order), dtype=np.int32), lengths)
+        by_term = np.argsort(self.own_terms, kind="stable")
+        self.places, self.values = rows[by_term], self.own_values[by_term]
+        self.sizes = np.bincount(self.own_terms, minlength=coordinates)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        cells = self.own_terms[by_term].astype(np.int64) * self.blocks + self.places // size
+        first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+        self.most_values = np.maximum.reduceat(self.values, first)
+        self.most_blocks = (cells[first] % self.blocks).astype(np.int32)
+        self.most_sizes = np.bincount(cells[first] // self.blocks, minlength=coordinates)
+        self.most_starts = np.cumsum(self.most_sizes) - self.most_sizes
+        self.most = np.zeros(coordinates)
+        used = np.flatnonzero(self.sizes)
+        self.most[used] = np.maximum.reduceat(self.most_values, self.most_starts[used])
+
+    def _added(self, at: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """What these terms give to the cosine of every example."""
+        sizes = self.sizes[at]
+        some = _ranges(self.starts[at], sizes)
+        return np.bincount(self.places[some], self.values[some] * np.repeat(values, sizes), len(self.labels))
+
+    def cosines(self, at: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """With all examples."""
+        return self._added(at, values)
 
     def nearest(self, at: np.ndarray, values: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples, nearest first, ties by place."""
-        bounds = values @ self.most[at]
-        best = np.zeros(0)
-        places = np.zeros(0, np.int64)
-        for b in np.argsort(-bounds, kind="stable"):
-            if len(best) >= k and bounds[b] < best[k - 1] - 1e-12 or bounds[b] <= 0:
-                break
-            terms, postings = self.blocks[b]
-            slot = np.minimum(np.searchsorted(terms, at), len(terms) - 1)
-            hit = terms[slot] == at
-            own = values[hit] @ postings[slot[hit]]
-            best = np.concatenate([best, own])
-            places = np.concatenate([places, b * self.size + np.arange(len(own))])
-            top = np.lexsort((places, -best))[:k]
-            best, places = best[top], places[top]
-        return places[best > 0], best[best > 0]
+        order = np.argsort(-(values * self.most[at]), kind="stable")
+        cut = 1 + int(np.searchsorted(np.cumsum(self.sizes[at[order]]), 2 * len(self.labels)))
+        head, tail = order[:cut], order[cut:]
+        found = self._added(at[head], values[head])
+        places = np.arange(len(found))
+        if len(tail):
+            least = np.partition(found, -k)[-k] if k < len(found) else 0.0
+            rest, sizes = at[tail], self.most_sizes[at[tail]]
+            some = _ranges(self.most_starts[rest], sizes)
+            room = np.bincount(self.most_blocks[some], self.most_values[some] * np.repeat(values[tail], sizes), self.blocks)
+            places = np.flatnonzero(found + room[places // self.size] >= least - 1e-9)
+            if self.own_sizes[places].sum() < 2 * self.sizes[rest].sum():
+                query = np.zeros(self.coordinates)
+                query[at] = values
+                own = _ranges(self.own_starts[places], self.own_sizes[places])
+                parts = query[self.own_terms[own]] * self.own_values[own]
+                found = np.add.reduceat(parts, np.cumsum(self.own_sizes[places]) - self.own_sizes[places])
+            else:
+                found = (found + self._added(rest, values[tail]))[places]
+        return self._best(places, found, k)
+
+    def _best(self, places: np.ndarray, found: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(found) > 4 * k:
+            some = np.flatnonzero(found >= np.partition(found, -k)[-k])
+            places, found = places[some], found[some]
+        top = np.lexsort((places, -found))[:k]
+        top = top[found[top] > 0]
+        return places[top], found[top]
 
 
 @dataclass(frozen=True)
@@ -156,28 +158,94 @@ class ToxicModel:
     index: BlockMaxIndex | None
     base: float
     config: ToxicConfig
+    knots: tuple[np.ndarray, np.ndarray] = field(default=(np.array([0.0, 1.0]), np.array([0.0, 1.0])))
+
+    def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
+        """Votes by squared cosine, drawn to the base rate."""
+        weights, c = cosines**2, self.config
+        return float((weights @ self.index.labels[places] + c.prior_weight * self.base) / (weights.sum() + c.prior_weight))
+
+    def held_back(self, text: str | None) -> float:
+        """The vote on an example, without itself and its copies."""
+        at, values = self.terms.vector(text)
+        if not len(at):
+            return self.base
+        found = self.index.cosines(at, values)
+        found[found > _COPY] = 0.0
+        return self.vote(*self.index._best(np.arange(len(found)), found, self.config.neighbours))
 
     def score(self, text: str | None) -> tuple[float, list[str], list[float]]:
-        """Votes of the nearest examples by squared cosine, drawn to the base rate."""
-        c = self.config
+        """The calibrated chance, and the nearest examples with their cosines."""
         at, values = self.terms.vector(text)
         if not len(at) or self.index is None:
             return self.base, [], []
-        places, cosines = self.index.nearest(at, values, c.neighbours)
-        weights = cosines**2
-        score = (weights @ self.index.labels[places] + c.prior_weight * self.base) / (weights.sum() + c.prior_weight)
+        places, cosines = self.index.nearest(at, values, self.config.neighbours)
+        score = np.clip(np.interp(self.vote(places, cosines), *self.knots), 0.0, 1.0)
         return float(score), [self.index.ids[i] for i in places], cosines.tolist()
 
 
+def count_terms(examples: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Words of the examples, and how many toxic and other ones have each."""
+
+    def make():
+        def work(kept, texts):
+            seen = Counter((w, label) for label, text in zip(kept[0].to_pylist(), texts, strict=True) for w in set(words_of(text)))
+            words = sorted({w for w, _ in seen})
+            yield words, [seen[w, 1] for w in words], [seen[w, 0] for w in words]
+
+        return work
+
+    rows = scan_texts(examples, "text", ["label"], make, [("word", "string"), ("pos", "bigint"), ("neg", "bigint")])
+    table = rows.groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).toArrow()  # bounded by config.example_bytes
+    words = table.column("word").to_pylist()
+    order = sorted(range(len(words)), key=words.__getitem__)
+    return [words[i] for i in order], *(table.column(c).to_numpy()[order] for c in ("pos", "neg"))
+
+
+def document_frequencies(docs: DataFrame, words: list[str]) -> tuple[np.ndarray, int]:
+    """How many of all texts have each word, and how many texts there are."""
+    sent = docs.sparkSession.sparkContext.broadcast(words)
+
+    def make():
+        index = {w: i for i, w in enumerate(sent.value)}
+        known, total = index.keys(), np.zeros(len(index) + 1, np.int64)
+
+        def work(_, texts):
+            if texts is None:
+                some = np.flatnonzero(total)
+                for i in range(0, len(some), 100_000):
+                    yield some[i : i + 100_000].astype(np.int32), total[some[i : i + 100_000]]
+                return
+            total[-1] += len(texts)
+            found = [index[w] for text in texts for w in known & set(words_of(text))]
+            total[:-1] += np.bincount(np.array(found, np.int64), minlength=len(index))
+
+        return work
+
+    counted = scan_texts(docs, "text", [], make, [("word", "int"), ("n", "bigint")], finish=True).groupBy("word").agg(F.sum("n").alias("n")).toArrow()  # a row for each word
+    out = np.zeros(len(words) + 1, np.int64)
+    out[counted.column("word").to_numpy()] = counted.column("n").to_numpy()
+    return out[:-1], int(out[-1])
+
+
+def term_weights(pos: np.ndarray, neg: np.ndarray, positive: int, negative: int, frequencies: np.ndarray, texts: int, config: ToxicConfig) -> np.ndarray:
+    """Inverse document frequency, raised by the tie: the lower end of a 90 % interval of the
+    term's log odds ratio between toxic and other examples, where that is above 0."""
+    a, b = (pos + 0.5) / (positive + 1.0), (neg + 0.5) / (negative + 1.0)
+    tie = np.log(a * (1 - b) / (b * (1 - a))) - 1.64 * np.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
+    return np.log1p(texts / np.maximum(frequencies, 1)) * (1 + config.tie_weight * np.maximum(tie, 0.0))
+
+
 def learn_examples(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column], config: ToxicConfig) -> ToxicModel:
     """``docs`` (key, text), ``labels`` (key, label)."""
-    chosen = labels.filter(F.col("label").isNotNull() & learn(F.col("key"))).orderBy(F.xxhash64("key"), "key", "label").limit(config.examples)
-    examples = written(docs.join(F.broadcast(written(chosen, "chosen")), "key"), "examples")  # bounded: config.examples rows
+    context = docs.sparkSession.sparkContext
+    examples = bounded_examples(docs, labels, learn, config)
     positive, total = (x or 0 for x in examples.agg(F.sum("label"), F.count("*")).first())
-    found = tied_terms(examples, positive, total - positive, config)
-    terms = Terms(found, total, config)
     base = (positive + 0.5) / (total + 1.0) if total else 0.0
-    sent = docs.sparkSession.sparkContext.broadcast(terms)
+    words, pos, neg = count_terms(examples)
+    frequencies, texts = document_frequencies(docs, words)
+    terms = Terms(words, term_weights(pos, neg, positive, total - positive, frequencies, texts, config))
+    sent = context.broadcast(terms)
 
     def make():
         def work(texts):
@@ -186,11 +254,22 @@ def learn_examples(docs: DataFrame, labels: DataFrame, learn: Callable[[Column],
 
         return work
 
-    rows = map_texts(examples, "text", ["key", "label"], make, [("at", "array<bigint>"), ("values", "array<double>")])
+    rows = map_texts(examples, "text", ["key", "label"], make, [("at", "array<int>"), ("values", "array<double>")])
     some = rows.filter(F.size("at") > 0).orderBy("key").collect()  # at most config.examples sparse rows
-    vectors = [(np.array(r["at"], np.int64), np.array(r["values"])) for r in some]
-    index = BlockMaxIndex(vectors, [r["label"] for r in some], [r["key"] for r in some], len(found) + _LEVELS, config.block) if some else None
-    return ToxicModel(terms, index, base, config)
+    if not some:
+        return ToxicModel(terms, None, base, config)
+    vectors = [(np.array(r["at"], np.int32), np.array(r["values"])) for r in some]
+    index = BlockMaxIndex(vectors, [r["label"] for r in some], [r["key"] for r in some], len(words), config.block)
+    model = ToxicModel(terms, index, base, config)
+    voting = context.broadcast(model)
+
+    def judge():
+        return lambda texts: [[voting.value.held_back(t) for t in texts]]
+
+    votes = map_texts(examples, "text", ["label"], judge, [("vote", "double")]).toArrow()  # at most config.examples rows
+    values, at = np.unique(votes.column("vote").to_numpy(), return_inverse=True)
+    knots = isotonic(values, np.bincount(at, votes.column("label").to_numpy()), np.bincount(at))
+    return ToxicModel(terms, index, base, config, knots)
 
 
 def score_toxicity(
@@ -199,11 +278,12 @@ def score_toxicity(
 ) -> DataFrame:
     """``(id, score, predicted, evidence_ids, evidence_cosines)`` of every row.
 
-    Whole texts count, however long.  A text with none of the terms, as a null or empty one,
+    Whole texts count, however long.  A text with no word of the examples, as a null or empty one,
     scores the base rate of the examples, without evidence; with no labelled text that rate is
-    0.  Null labels are no examples; repeated rows are scored one by one; an empty table gives
-    an empty result.  The model is bounded by ``config`` and the only thing sent to tasks; the
-    texts are read once more to score them and are never shuffled.
+    0.  Null labels are no examples, a null id is none either; repeated rows are scored one by
+    one, and examples of equal cosine come in the order of the index; an empty table gives an
+    empty result.  The model is bounded by ``config`` and the only thing sent to tasks; the texts
+    are read to count words and once more to score them, and are never shuffled.
     """
     config = config or ToxicConfig()
     pairs = labels.select(F.col(label_id).alias("key"), F.col(label_col).cast("int").alias("label"))

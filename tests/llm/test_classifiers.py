@@ -89,6 +89,42 @@ def test_toxicity_on_held_out(labelled):
     assert all(len(e) > 0 for e in held.evidence_ids[toxic])
 
 
+def test_terms_are_all_words_of_the_examples(labelled):
+    """Weights recomputed by plain loops: frequencies over all texts, no term left out."""
+    docs, labels = labelled
+    keyed, pairs = docs.selectExpr("doc_id AS key", "text"), labels.selectExpr("doc_id AS key", "toxic AS label")
+    config = tx.ToxicConfig(examples=150)
+    model = tx.learn_examples(keyed, pairs, lambda k: remainder(k, 3) != 1, config)
+    texts = {r.key: tx.words_of(r.text) for r in keyed.collect()}
+    given = {r.key: r.label for r in pairs.collect() if r.label is not None and r.key in texts}
+    ids = set(map(int, model.index.ids))
+    assert len(ids) <= 150 and ids <= set(given)
+    assert set(model.terms.words) == {w for i in ids for w in texts[i]}
+    positive = sum(given[i] for i in ids)
+    for w, got in zip(model.terms.words, model.terms.weight, strict=True):
+        frequency = sum(w in ws for ws in texts.values())
+        pos, neg = (sum(given[i] == label and w in texts[i] for i in ids) for label in (1, 0))
+        a, b = (pos + 0.5) / (positive + 1), (neg + 0.5) / (len(ids) - positive + 1)
+        tie = np.log(a * (1 - b) / (b * (1 - a))) - 1.64 * np.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
+        assert np.isclose(got, np.log1p(len(texts) / frequency) * (1 + 5 * max(tie, 0)))
+    dense = {i: dict(zip(*model.terms.vector(" ".join(texts[i])), strict=True)) for i in texts}
+    for i in list(texts)[::40]:  # nearest examples and votes by brute force
+        cosines = {j: sum(v * dense[j].get(t, 0.0) for t, v in dense[i].items()) for j in ids}
+        score, evidence, found = model.score(" ".join(texts[i]))
+        assert np.allclose(found, sorted(cosines.values(), reverse=True)[:15])
+        assert np.allclose([cosines[int(e)] for e in evidence], found)
+    assert (np.diff(model.knots[1]) >= 0).all()
+
+
+def test_repeated_ids_stay_within_the_bound(spark):
+    docs = spark.createDataFrame([(1, f"word{i} same") for i in range(300)] + [(2, "other words"), (None, "none")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (1, 1), (None, 1)], "doc_id bigint, toxic int")
+    model = tx.learn_examples(docs.selectExpr("doc_id AS key", "text"), labels.selectExpr("doc_id AS key", "toxic AS label"), lambda k: k.isNotNull() | k.isNull(), tx.ToxicConfig(examples=61))
+    assert len(model.index.labels) == 61
+    few = tx.learn_examples(docs.selectExpr("doc_id AS key", "text"), labels.selectExpr("doc_id AS key", "toxic AS label"), lambda k: k.isNotNull(), tx.ToxicConfig(example_bytes=100))
+    assert 0 < len(few.index.labels) < 12
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(5)
     vectors = []
