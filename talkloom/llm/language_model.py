@@ -4,11 +4,13 @@
 
 * Texts are tokenized once: a block (what one task reads, or a bounded part of it) is written as
   numbers of its own vocabulary, and all later passes work on these numbers.
-* The vocabulary is never sent whole to anyone.  A block's words are joined with the counts over
-  the corpus, and the answer waits for the block as a side file.
-* The most frequent words (``core``) start the clustering on their own bigrams.  Then every word
-  seen ``least`` times or more, however many these are, is exchanged in Spark rounds against the
-  classes of all its neighbours.  Rarer words take the class likeliest under theirs at the end.
+* The vocabulary is never sent whole to anyone.  Words meet by a 64-bit hash (two of a thousand
+  million words share one with a chance of 1 in 37), are counted and classed, and the answer
+  waits for each block that has the word as a side file.
+* The most frequent words (``core``) start the clustering on their own bigrams.  Every other word
+  takes the class that is likeliest under its neighbours over the whole corpus.  Then all words
+  seen ``least`` times or more, however many these are, are exchanged in Spark rounds against
+  the classes of all their neighbours.
 * Unseen words are one event, with a class of its own whose chance after each class is that of
   words seen once.
 """
@@ -30,23 +32,20 @@ from talkloom.llm.common import SideFiles, pieces, write_side_files, written
 
 END = b""  # no word is empty; number 0 of every block
 _BLOCKS_OF_TASK = 1 << 20
-#: What bounds a block, and so the memory of a task; tokens that are worked on at once.
+#: What bounds a block, and so the memory of a task; tokens, words that are worked on at once.
 _BLOCK_WORDS, _BLOCK_TOKENS = 600_000, 3_000_000
-_STEP = 500_000
-_LISTED = 50_000
-_EVIDENCE = "h1 bigint, h2 bigint, block bigint, local int, total bigint, class int, places array<int>, counts array<int>"
-_EVIDENCE_NAMES = ["h1", "h2", "block", "local", "total", "class", "places", "counts"]
+_STEP, _LISTED = 500_000, 10_000
 
 
 @dataclass(frozen=True)
 class LmConfig:
     """``core``: words that start the clustering, for ``rounds`` rounds; ``least``: count from
-    which a word is exchanged, ``sweeps`` times after it has got its first class."""
+    which a word is exchanged; ``sweeps``: rounds over these words, each for a part of them."""
 
     classes: int = 48
     core: int = 1500
     rounds: int = 8
-    least: int = 16
+    least: int = 128
     sweeps: int = 2
     class_weight: float = 0.9
     transition_add: float = 0.5
@@ -65,124 +64,84 @@ def words_of(text: bytes | str | None) -> list[bytes]:
 
 
 def encoded_blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column) -> DataFrame:
-    """Texts as numbers: rows ``(id, learn, block, ids)``, and after a block's texts its words
-    ``(block, first, h1, h2, n)``: 128-bit hashes and training counts of the numbers from ``first``."""
+    """Texts as numbers, a row for each block: ``(block, ids, learn, sizes, tokens, hashes, n)``,
+    where ``tokens`` are the texts one after the other, ``sizes`` their lengths, and ``hashes``
+    and ``n`` the words' hashes and training counts by number (little-endian binaries)."""
     chosen = docs.select(
         F.col(id_col).alias("id"), F.coalesce(learn, F.lit(False)).alias("learn"), F.col(text_col).cast("string").cast("binary").alias("text")
     )
-    ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
+    names = ["block", "ids", "learn", "sizes", "tokens", "hashes", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, block = TaskContext.get().partitionId() * _BLOCKS_OF_TASK, None
-        names = ["id", "learn", "block", "ids", "first", "h1", "h2", "n"]
+        number = TaskContext.get().partitionId() * _BLOCKS_OF_TASK
         own: dict[bytes, int] = {END: 0}
-        counts, tokens, kind = np.zeros(1, np.int64), 0, None
-
-        def listed():
-            digest = xxhash.xxh3_128_digest
-            hashes = np.frombuffer(b"".join([digest(w) for w in own]), "<i8").reshape(-1, 2)
-            n = np.zeros(len(own), np.int64)
-            n[: len(counts)] = counts
-            for i in range(0, len(own), _LISTED):
-                part = slice(i, i + _LISTED)
-                lists = [pa.array([x], longs) for x in (hashes[part, 0], hashes[part, 1], n[part])]
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.bool_()), pa.array([block]), pa.nulls(1, ints), pa.array([i], pa.int32()), *lists], names)
+        held, tokens = [], 0
+
+        def row():
+            digest = xxhash.xxh3_64_intdigest
+            hashes = np.array([digest(w) for w in own], np.uint64)
+            sizes, flat = (np.concatenate([h[i] for h in held]) for i in (2, 3))
+            learned = np.concatenate([h[1].to_numpy(zero_copy_only=False) for h in held]).astype(bool)
+            n = np.bincount(flat[np.repeat(learned, sizes)], minlength=len(own)).astype(np.int32)
+            ids = pa.concat_arrays([h[0] for h in held])
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (ids, pa.array(learned))]
+            binaries = [pa.array([x.tobytes()], pa.binary()) for x in (sizes, flat, hashes, n)]
+            return pa.RecordBatch.from_arrays([pa.array([number]), *lists, *binaries], names)
 
         for batch in pieces(batches):
-            if block is not None and (len(own) > _BLOCK_WORDS or tokens > _BLOCK_TOKENS):
-                yield from listed()
-                own, counts, tokens, block = {END: 0}, np.zeros(1, np.int64), 0, None
-            if block is None:
-                block, number = number, number + 1
-            kind, take = batch.column(0).type, own.setdefault
+            if len(own) > _BLOCK_WORDS or tokens > _BLOCK_TOKENS:
+                yield row()
+                own, held, tokens, number = {END: 0}, [], 0, number + 1
+            take = own.setdefault
             rows = [[take(w, len(own)) for w in words_of(t)] for t in batch.column(2).to_pylist()]
-            offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
-            flat = np.fromiter((i for r in rows for i in r), np.int32, offsets[-1])
-            used = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(bool), np.diff(offsets))
-            more = np.bincount(flat[used], minlength=len(counts))
-            more[: len(counts)] += counts
-            counts, tokens = more, tokens + len(flat)
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
-            n = len(rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.full(n, block)), lists, pa.nulls(n, pa.int32()), pa.nulls(n, longs), pa.nulls(n, longs), pa.nulls(n, longs)], names
-            )
-        if block is not None:
-            yield from listed()
-
-    schema = f"id {docs.schema[id_col].dataType.simpleString()}, learn boolean, block bigint, ids array<int>, first int, h1 array<bigint>, h2 array<bigint>, n array<bigint>"
+            sizes = np.array([len(r) for r in rows], np.int32)
+            held.append((batch.column(0), batch.column(1), sizes, np.fromiter((i for r in rows for i in r), np.int32, sizes.sum())))
+            tokens += len(held[-1][3])
+        if held:
+            yield row()
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    schema = f"block bigint, ids array<{kind}>, learn array<boolean>, sizes binary, tokens binary, hashes binary, n binary"
     return written(chosen.mapInArrow(run, schema), "encoded")
 
 
-def by_block(encoded: DataFrame, keep: list[str], make: Callable, schema: str, learn: bool) -> DataFrame:
-    """``make()`` gives a generator function over ``(block, flat ids, offsets, kept columns)`` of
-    whole blocks (or of a task's share of one) that yields batches; it is called once more with
-    ``None`` for what a task has summed up.  With ``learn`` only training texts are read."""
-    rows = encoded.filter("ids IS NOT NULL AND learn" if learn else "ids IS NOT NULL").select("block", "ids", *keep)
+def _numbers(column: pa.Array, row: int, kind) -> np.ndarray:
+    return np.frombuffer(column[row].as_buffer(), kind)
 
-    def run(batches):
-        work = make()
 
-        def done(block, held):
-            table = pa.Table.from_batches(held).combine_chunks()
-            ids = table.column(1).chunk(0)
-            offsets = ids.offsets.to_numpy()
-            return work(block, ids.flatten().to_numpy(), (offsets - offsets[0]).astype(np.int64), table.columns[2:])
+def by_block(encoded: DataFrame, columns: list[str], make: Callable, schema: str, learn: bool = True) -> DataFrame:
+    """``make()`` gives a generator function over ``(block, tokens, batch, row)`` of whole blocks,
+    that yields batches; ``batch.column(2)`` and further hold ``columns``.  It is called once more
+    with ``None`` for what a task has summed up.  With ``learn`` the tokens of training texts only."""
+    rows = encoded.select("block", "tokens", *columns, *(("learn", "sizes") if learn else ()))
 
-        current, held = None, []
+    def run(batches):
+        work = make()
         for batch in batches:
-            blocks = batch.column(0).to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                if a < b:
-                    if held and blocks[a] != current:
-                        yield from done(current, held)
-                        held = []
-                    current = int(blocks[a])
-                    held.append(batch.slice(a, b - a))
-        if held:
-            yield from done(current, held)
+            for row in range(batch.num_rows):
+                flat = _numbers(batch.column(1), row, np.int32)
+                if learn:
+                    used = batch.column(batch.num_columns - 2)[row].values.to_numpy(zero_copy_only=False)
+                    flat = flat[np.repeat(used, _numbers(batch.column(batch.num_columns - 1), row, np.int32))]
+                yield from work(batch.column(0)[row].as_py(), flat, batch, row)
         yield from work(None, None, None, None)
 
     return rows.mapInArrow(run, schema)
 
 
-def shared_words(encoded: DataFrame, least: int) -> tuple[DataFrame, SideFiles]:
-    """The words that more than one block has, or that are seen ``least`` times: ``(h1, h2,
-    total)``; and for each block all its words ``(local, total, h1, h2)``, the last two only of
-    those.  What a single block has counted needs no exchange but this one."""
-    listed = encoded.filter("h1 IS NOT NULL").select("block", "first", F.posexplode(F.arrays_zip("h1", "h2", "n")).alias("at", "w"))
-    words = listed.select("block", (F.col("first") + F.col("at")).alias("local"), "w.h1", "w.h2", "w.n")
-    counted = words.groupBy("h1", "h2").agg(F.sum("n").alias("total"), F.count("*").alias("blocks"))
-    shared = written(counted.filter((F.col("blocks") > 1) | (F.col("total") >= least)).select("h1", "h2", "total"), "words")
-    known = shared.select("h1", "h2", "total", F.lit(True).alias("known")).hint("shuffle_hash")
-    joined = words.join(known, ["h1", "h2"], "left")
-    own = [F.when(F.col("known"), F.col(c)).alias(c) for c in ("h1", "h2")]
-    return shared, write_side_files(joined.select("block", "local", F.coalesce("total", "n").alias("total"), *own), "words-of-block", ["local"])
+class Blocks:
+    """The words of the block at hand: counts and classes (-1: none), as last placed."""
 
+    def __init__(self, placed: tuple[SideFiles, ...]):
+        self.placed = placed
 
-class Blocks:
-    """The words of the block at hand: counts, hashes and classes (-1: none)."""
-
-    def __init__(self, words: SideFiles, placed: tuple[SideFiles, ...] = ()):
-        self.words, self.placed = words, placed
-
-    def read(self, block: int) -> None:
-        table = self.words.read(block, ["local", "total", "h1", "h2"])
-        order, size = table.column(0).to_numpy(), len(table)
-        self.total = np.zeros(size, np.int64)
-        self.total[order] = table.column(1).to_numpy()
-        self.shared = np.zeros(size, bool)
-        self.shared[order] = table.column(2).is_valid().to_numpy()
-        # a word of this block alone goes by its place, should two tasks share the block
-        self.h1, self.h2 = np.full(size, -1 - block), np.arange(size)
-        at = order[self.shared[order]]
-        self.h1[at], self.h2[at] = (table.column(i).drop_null().to_numpy() for i in (2, 3))
-        self.classes = np.full(size, -1, np.int32)
+    def read(self, block: int, size: int) -> None:
+        self.total, self.classes = np.zeros(size, np.int64), np.full(size, -1, np.int32)
         for side in self.placed:
-            found = side.read(block, ["local", "class"])
+            found = side.read(block, ["local", "total", "class"])
             if found is not None:
-                self.classes[found.column(0).to_numpy()] = found.column(1).to_numpy()
+                at = found.column(0).to_numpy()
+                self.total[at], self.classes[at] = found.column(1).to_numpy(), found.column(2).to_numpy()
 
 
 def steps(flat: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -195,28 +154,60 @@ def steps(flat: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 # -- core words -----------------------------------------------------------------------------
 
 
-def core_bigrams(encoded: DataFrame, words: SideFiles, core: np.ndarray) -> DataFrame:
+def core_words(encoded: DataFrame, size: int) -> np.ndarray:
+    """Hashes of the ``size`` words most frequent over all training texts, most frequent first.
+
+    Exact without counting every word: the sums of the blocks' own leaders give a count that
+    ``size`` words reach; a word that reaches it has its share of it in some block, and only
+    words that do are counted everywhere.
+    """
+
+    def rows_where(chosen: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+        def run(batches):
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    hashes, n = _numbers(batch.column(0), row, np.int64), _numbers(batch.column(1), row, np.int32)
+                    some = chosen(n)
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes[some]), pa.array(n[some].astype(np.int64))], ["h", "n"])
+
+        return encoded.select("hashes", "n").mapInArrow(run, "h bigint, n bigint")
+
+    def leaders(n):
+        some = np.flatnonzero(n)
+        return some[np.argsort(-n[some], kind="stable")[:size]]
+
+    top = rows_where(leaders).groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(size)
+    reached, blocks = top.agg(F.min("n")).first()[0] or 1, max(1, encoded.count())
+    share = max(1, -(-reached // blocks))
+    asked = written(rows_where(lambda n: np.flatnonzero(n >= share)).select("h").distinct(), "candidates")
+    counted = rows_where(np.flatnonzero).join(asked, "h", "left_semi").groupBy("h").agg(F.sum("n").alias("n"))
+    return np.array([r["h"] for r in counted.orderBy(F.desc("n"), "h").limit(size).collect()], np.int64)  # bounded by ``size``
+
+
+def find_core(core: np.ndarray, order: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Numbers of words among the core ones, -1 for others; ``order`` sorts ``core``."""
+    if not len(core):
+        return np.full(len(hashes), -1, np.int32)
+    at = np.minimum(np.searchsorted(core, hashes, sorter=order), len(core) - 1)
+    return np.where(core[order[at]] == hashes, order[at], -1).astype(np.int32)
+
+
+def core_bigrams(encoded: DataFrame, core: np.ndarray) -> DataFrame:
     """``(word, next, next_n, before, before_n)``: one row for each core word with a core neighbour."""
-    order = np.lexsort((core[:, 1], core[:, 0]))
-    sent = encoded.sparkSession.sparkContext.broadcast((core[order], order))
+    sent = encoded.sparkSession.sparkContext.broadcast((core, np.argsort(core)))
 
     def make():
-        (table, order), own = sent.value, Blocks(words)
-        size = len(table)
+        size = len(sent.value[0])
         counts = np.zeros(size * size, dtype=np.int64)
 
-        def work(block, flat, offsets, _):
+        def work(block, flat, batch, row):
             if block is None:
                 some = np.flatnonzero(counts)
                 for i in range(0, len(some), 100_000):
                     part = some[i : i + 100_000]
                     yield pa.RecordBatch.from_arrays([pa.array((part // size).astype(np.int32)), pa.array((part % size).astype(np.int32)), pa.array(counts[part])], ["a", "b", "n"])
                 return
-            own.read(block)
-            at = np.searchsorted(table[:, 0], own.h1)
-            safe = np.minimum(at, size - 1)
-            hit = own.shared & (table[safe, 0] == own.h1) & (table[safe, 1] == own.h2)
-            core_id = np.where(hit, order[safe], -1).astype(np.int32)
+            core_id = find_core(*sent.value, _numbers(batch.column(2), row, np.int64))
             for before, now in steps(flat):
                 a, b = core_id[before], core_id[now]
                 both = (a >= 0) & (b >= 0)
@@ -225,7 +216,7 @@ def core_bigrams(encoded: DataFrame, words: SideFiles, core: np.ndarray) -> Data
 
         return work
 
-    rows = by_block(encoded, [], make, "a int, b int, n bigint", learn=True)
+    rows = by_block(encoded, ["hashes"], make, "a int, b int, n bigint")
     pairs = written(rows.groupBy("a", "b").agg(F.sum("n").alias("n")), "bigrams")
     after = pairs.groupBy(F.col("a").alias("word")).agg(F.collect_list("b").alias("next"), F.collect_list("n").alias("next_n"))
     before = pairs.groupBy(F.col("b").alias("word")).agg(F.collect_list("a").alias("before"), F.collect_list("n").alias("before_n"))
@@ -333,111 +324,49 @@ def _class_table(neighbours: DataFrame, classes: np.ndarray, k: int) -> np.ndarr
 
 # -- all words ------------------------------------------------------------------------------
 
+_EVIDENCE = "h bigint, block bigint, local int, total bigint, class int, places array<int>, counts array<int>"
+_PLACED = "block bigint, local int, total bigint, class int, old int, first boolean"
 
-def _batch(h1, h2, block, local, total, classes, places, counts, ends) -> pa.RecordBatch:
-    lists = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(x.astype(np.int32))) for x in (places, counts)]
-    block = np.full(len(local), block, np.int64)
-    plain = [pa.array(x) for x in (h1, h2, block, local.astype(np.int32), total, classes.astype(np.int32))]
-    return pa.RecordBatch.from_arrays([*plain, *lists], _EVIDENCE_NAMES)
-
-
-def _table_batch(table: np.ndarray) -> pa.RecordBatch:
-    """A task's class bigrams as one row without a word."""
-    some = np.flatnonzero(table)
-    nothing = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32())]
-    return pa.RecordBatch.from_arrays([*nothing, pa.array([some], pa.list_(pa.int32())), pa.array([table[some]], pa.list_(pa.int32()))], _EVIDENCE_NAMES)
-
-
-def _from_core(own: Blocks, core: tuple[np.ndarray, np.ndarray] | None) -> None:
-    """Give the block's core words their classes."""
-    if core is not None:
-        table, classes = core
-        safe = np.minimum(np.searchsorted(table[:, 0], own.h1), len(table) - 1)
-        hit = own.shared & (table[safe, 0] == own.h1) & (table[safe, 1] == own.h2)
-        own.classes[hit] = classes[safe[hit]]
 
+def evidence(encoded: DataFrame, listed: Callable[[], Callable], k: int, hashed: bool = True) -> DataFrame:
+    """For each block some of its words with the classes of their neighbours: places below k of
+    the word before, below 2k of the word after, 2k for itself.
 
-def frequent_evidence(encoded: DataFrame, words: SideFiles, placed: tuple[SideFiles, ...], core, k: int, least: int, listed: bool = True) -> DataFrame:
-    """For each block its words seen ``least`` times, with their classes and the classes of their
-    neighbours: places below k of the word before, below 2k of the word after, 2k for itself; and
-    rows without a word that hold the tasks' class bigrams (these alone, unless ``listed``)."""
-
-    def make():
-        own, table = Blocks(words, placed), np.zeros(k * k, np.int64)
-
-        def work(block, flat, offsets, _):
-            if block is None:
-                yield _table_batch(table)
-                return
-            own.read(block)
-            _from_core(own, core.value if core is not None else None)
-            some = np.flatnonzero(own.total >= least)
-            row = np.full(len(own.total), -1, np.int32)
-            row[some] = np.arange(len(some))
-            width = 2 * k + 1
-            cells = np.zeros(len(some) * width if listed else 0, np.int32)
-            for before, now in steps(flat):
-                a, b = own.classes[before], own.classes[now]
-                both = (a >= 0) & (b >= 0)
-                table[:] += np.bincount(a[both] * k + b[both], minlength=k * k)
-                if not listed:
-                    continue
-                ra, rb, same = row[before], row[now], before == now
-                one, two = (rb >= 0) & (a >= 0) & ~same, (ra >= 0) & (b >= 0) & ~same
-                codes = [rb[one] * width + a[one], ra[two] * width + (k + b[two]), rb[same & (rb >= 0)] * width + 2 * k]
-                found, n = np.unique(np.concatenate(codes), return_counts=True)
-                cells[found] += n.astype(np.int32)
-            if not listed:
-                return
-            filled = np.flatnonzero(cells)
-            ends = np.concatenate([[0], np.cumsum(np.bincount(filled // width, minlength=len(some)))])
-            for i in range(0, len(some), _LISTED // 5):
-                j = min(i + _LISTED // 5, len(some))
-                own_cells, part = filled[ends[i] : ends[j]], some[i:j]
-                yield _batch(own.h1[part], own.h2[part], block, part, own.total[part], own.classes[part], own_cells % width, cells[own_cells], ends[i : j + 1] - ends[i])
-
-        return work
-
-    return written(by_block(encoded, [], make, _EVIDENCE, learn=True), "evidence")
-
-
-def rare_evidence(encoded: DataFrame, words: SideFiles, placed: tuple[SideFiles, ...], logs, k: int) -> DataFrame:
-    """The same for the words without a class.  Where this task has seen all of a word it gives the
-    class at once; only words of several blocks have places and counts to be summed."""
+    ``listed()`` gives a function of a block, its hashes and counts to (numbers of the words,
+    their totals, their classes, classes of all words as neighbours).
+    """
+    width = 2 * k + 1
 
     def make():
-        own = Blocks(words, placed)
+        chosen = listed()
 
-        def work(block, flat, offsets, _):
+        def work(block, flat, batch, row):
             if block is None:
                 return
-            own.read(block)
-            open_ = (own.classes < 0) & (own.total > 0)
-            width, codes = 2 * k, []
+            hashes, n = _numbers(batch.column(2), row, np.int64), _numbers(batch.column(3), row, np.int32)
+            some, totals, own, classes = chosen(block, hashes, n)
+            slot = np.full(len(hashes), -1, np.int32)
+            slot[some] = np.arange(len(some))
+            codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            found = []
             for before, now in steps(flat):
-                a, b = own.classes[before], own.classes[now]
-                one, two = open_[now] & (a >= 0), open_[before] & (b >= 0)
-                codes += [now[one] * width + a[one], before[two] * width + (k + b[two])]
-            cells, n = np.unique(np.concatenate([np.zeros(0, np.int32), *codes]), return_counts=True)
-            some = np.flatnonzero(open_)
-            row = np.full(len(open_), -1, np.int64)
-            row[some] = np.arange(len(some))
-            owner = row[cells // width]
-            ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(some)))])
-            whole = ~own.shared[some] & (np.bincount(flat, minlength=len(open_))[some] == own.total[some])
-            for i in range(0, len(some), _LISTED // 5):
-                j = min(i + _LISTED // 5, len(some))
-                part, here = some[i:j], slice(ends[i], ends[j])
-                table = np.zeros((j - i, width))
-                table[owner[here] - i, cells[here] % width] = n[here]
-                classes = np.where(whole[i:j], likeliest(table, logs.value), -1)
-                left = np.repeat(~whole[i:j], np.diff(ends[i : j + 1]))
-                sizes = np.where(whole[i:j], 0, np.diff(ends[i : j + 1]))
-                yield _batch(own.h1[part], own.h2[part], block, part, own.total[part], classes, (cells[here] % width)[left], n[here][left], np.concatenate([[0], np.cumsum(sizes)]))
+                a, b, ra, rb, same = classes[before], classes[now], slot[before], slot[now], before == now
+                one, two, three = (rb >= 0) & (a >= 0) & ~same, (ra >= 0) & (b >= 0) & ~same, same & (rb >= 0)
+                found.append(np.concatenate([x.astype(np.int64) for x in (rb[one] * np.int64(width) + a[one], ra[two] * np.int64(width) + (k + b[two]), rb[three] * np.int64(width) + 2 * k)]))
+            if found:
+                codes, counts = np.unique(np.concatenate(found), return_counts=True)
+            del found
+            ends = np.concatenate([[0], np.cumsum(np.bincount(codes // width, minlength=len(some)))])
+            for i in range(0, len(some), _LISTED):
+                j = min(i + _LISTED, len(some))
+                part, here, bounds = some[i:j], slice(ends[i], ends[j]), pa.array((ends[i : j + 1] - ends[i]).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(bounds, pa.array(x.astype(np.int32))) for x in (codes[here] % width, counts[here])]
+                plain = [hashes[part], np.full(j - i, block), part.astype(np.int32), totals[i:j].astype(np.int64), own[i:j].astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in plain), *lists], ["h", "block", "local", "total", "class", "places", "counts"])
 
         return work
 
-    return written(by_block(encoded, [], make, _EVIDENCE, learn=True), "rare")
+    return by_block(encoded, ["hashes", "n"], make, _EVIDENCE)
 
 
 def likeliest(table: np.ndarray, logs: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -447,129 +376,152 @@ def likeliest(table: np.ndarray, logs: tuple[np.ndarray, np.ndarray]) -> np.ndar
     return np.argmax(table @ weights + prior, axis=1)
 
 
-def summed(evidence: DataFrame, width: int, decide: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """``(block, local, total, class, first)``: the rows of each word summed, its class decided by
-    ``decide(table, classes, hashes)`` and given to every block that has the word (``first``: one
-    of them).  A word has at most a row for each block and comes sorted, batch by batch."""
-    names = ["block", "local", "total", "class", "first"]
+def summed(rows: DataFrame, width: int, add: bool, decide: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """The rows of each word summed (its totals too, with ``add``), its class decided by
+    ``decide(hashes, table, classes)`` and given to every block that has the word, but for words
+    without a training token or whose class stays; ``first`` marks one row of each word.
 
-    def run(batches):
-        word, sums, now, total, asked = None, None, -1, 0, []
+    Words come sorted, batch by batch; a word has at most a row for each block.
+    """
+    names = ["block", "local", "total", "class", "old", "first"]
 
-        def answer(tables, classes, hashes, totals, runs):
-            """runs: blocks and locals of each word."""
-            sizes = [len(x) for x, _ in runs]
-            found = np.repeat(decide(np.array(tables), np.array(classes), np.array(hashes)), sizes)
-            first = np.zeros(sum(sizes), bool)
-            first[np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(int)] = True
-            columns = [np.concatenate([x for x, _ in runs]), np.concatenate([x for _, x in runs]), np.repeat(totals, sizes), found.astype(np.int32), first]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+    def run(batches):
+        held = None  # the word that the last batch ended with: hash, sums, class, total, its (blocks, locals)
+
+        def answer(hashes, tables, classes, totals, runs):
+            found = decide(hashes, tables, classes).astype(np.int32)
+            sizes = np.array([len(x) for x, _ in runs])
+            first = np.zeros(sizes.sum(), bool)
+            first[np.cumsum(sizes) - sizes] = True
+            columns = [np.concatenate([x for x, _ in runs]), np.concatenate([x for _, x in runs]), *(np.repeat(x, sizes) for x in (totals, found, classes)), first]
+            some = np.flatnonzero(np.repeat((totals > 0) & (found != classes), sizes))
+            return pa.RecordBatch.from_arrays([pa.array(c[some]) for c in columns], names)
+
+        def alone():
+            h, sums, now, total, asked = held
+            whole = tuple(np.concatenate([x[i] for x in asked]) for i in (0, 1))
+            return answer(np.array([h]), sums[None], np.array([now], np.int32), np.array([total]), [whole])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            h1, h2, blocks, local, totals, classes = (batch.column(i).to_numpy() for i in range(6))
-            starts = np.flatnonzero(np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]))
-            bounds = np.append(starts, len(h1))
-            lists, counts = batch.column(6), batch.column(7)
+            h, blocks, local, totals, classes = (batch.column(i).to_numpy() for i in range(5))
+            starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            bounds = np.append(starts, len(h))
+            lists, counts = batch.column(5), batch.column(6)
             ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
             places, n = lists.flatten().to_numpy(), counts.flatten().to_numpy()
             owner = np.repeat(np.arange(len(starts)), np.diff(ends[bounds]))
             tables = np.bincount(owner * width + places, n, len(starts) * width).reshape(-1, width)
+            sums = np.add.reduceat(totals, starts) if add else totals[starts].copy()
             runs = [(blocks[a:b], local[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-            hashes = np.stack([h1[starts], h2[starts]], 1)
-            if word is not None and (hashes[0] == word).all():
-                tables[0] += sums
-                runs[0] = tuple(np.concatenate([x[i] for x in (*asked, runs[0])]) for i in (0, 1))
-            elif word is not None:
-                whole = tuple(np.concatenate([x[i] for x in asked]) for i in (0, 1))
-                yield answer([sums], [now], [word], [total], [whole])
-            last = len(starts) - 1
-            if last:
-                yield answer(tables[:-1], classes[starts[:-1]], hashes[:-1], totals[starts[:-1]], runs[:-1])
-            word, sums, now, total, asked = hashes[last], tables[last], int(classes[starts[last]]), int(totals[starts[last]]), [runs[last]]
-        if word is not None:
-            yield answer([sums], [now], [word], [total], [tuple(np.concatenate([x[i] for x in asked]) for i in (0, 1))])
-
-    parts = int(evidence.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = evidence.repartition(parts, "h1", "h2").sortWithinPartitions("h1", "h2")
-    return dealt.mapInArrow(run, "block bigint, local int, total bigint, class int, first boolean")
-
-
-def collected_table(evidence: DataFrame, k: int) -> np.ndarray:
-    """The class bigrams of all tasks: at most k * k rows come here."""
-    rows = evidence.filter("h1 IS NULL").select(F.explode(F.arrays_zip("places", "counts")).alias("c"))
-    table = np.zeros(k * k)
-    for code, n in rows.groupBy("c.places").agg(F.sum("c.counts")).collect():
-        table[code] = n
-    return table.reshape(k, k)
-
-
-def place_frequent(encoded: DataFrame, words: SideFiles, core: np.ndarray, core_classes: np.ndarray, config: LmConfig) -> tuple[SideFiles, list[float]]:
-    """Classes of all words seen ``least`` times, and the likelihood before each round.
-
-    In the first round words without a class get one by the classes of their core neighbours;
-    then rounds over all of them follow, each for a part of the words, by hash.
-    """
-    context, k = encoded.sparkSession.sparkContext, config.classes
-    order = np.lexsort((core[:, 1], core[:, 0]))
-    start = context.broadcast((core[order], core_classes[order]))
-    placed: tuple[SideFiles, ...] = ()
-    likelihoods = []
+            begin = 0
+            if held is not None and held[0] == h[0]:
+                held = (held[0], held[1] + tables[0], held[2], held[3] + (sums[0] if add else 0), [*held[4], runs[0]])
+                begin = 1
+            if begin < len(starts):
+                if held is not None:
+                    yield alone()
+                last = len(starts) - 1
+                if begin < last:
+                    some = slice(begin, last)
+                    yield answer(h[starts[some]], tables[some], classes[starts[some]], sums[some], runs[some])
+                held = (h[starts[last]], tables[last].copy(), classes[starts[last]], sums[last], [runs[last]])
+        if held is not None:
+            yield alone()
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(run, _PLACED)
+
+
+def place_all(encoded: DataFrame, core: np.ndarray, core_classes: np.ndarray, core_table: np.ndarray, config: LmConfig) -> SideFiles:
+    """Counts and first classes of all training words: the core's own, and for every other word
+    the class likeliest under its core neighbours over the whole corpus."""
+    k = config.classes
+    table = core_table + config.transition_add
+    to_next = np.log(table / table.sum(1, keepdims=True))
+    prior = np.log(np.bincount(core_classes, minlength=k) + 0.5)
+    # for a word of class c: chance of c after the class before it, of the next class after c
+    logs = (np.concatenate([to_next, to_next.T]), prior)
+    sent = encoded.sparkSession.sparkContext.broadcast((core, np.argsort(core), core_classes, logs))
 
-    def mover(table, turn):
-        def decide(tables, classes, hashes):
-            out = classes.copy()
-            for i in range(len(tables)):
-                now = int(classes[i])
-                if now < 0 or turn and hashes[i, 1] % config.sweeps == turn - 1:
-                    place, gain = best_class(tables[i, k : 2 * k], tables[i, :k], tables[i, 2 * k], now, table.value)
-                    out[i] = place if now < 0 or gain > 1e-9 else now
-            return out
+    def listed():
+        core, order, placed, _ = sent.value
 
-        return decide
+        def chosen(block, hashes, n):
+            at = find_core(core, order, hashes)
+            classes = np.where(at >= 0, placed[at] if len(core) else -1, -1).astype(np.int32)
+            return np.arange(len(hashes)), n, np.full(len(hashes), -1), classes
 
-    for turn in range(config.sweeps + 1):
-        evidence = frequent_evidence(encoded, words, placed, start if not turn else None, k, config.least)
-        table = collected_table(evidence, k)
-        likelihoods.append(likelihood_of(table))
-        found = summed(evidence.filter("h1 IS NOT NULL"), 2 * k + 1, mover(context.broadcast(table), turn))
-        placed = (write_side_files(found, "frequent", ["local"]),)
-    return placed[0], likelihoods
+        return chosen
 
+    def decide(hashes, tables, classes):
+        core, order, placed, logs = sent.value
+        at = find_core(core, order, hashes)
+        found = likeliest(tables[:, : 2 * k], logs)
+        return np.where(at >= 0, placed[at], found) if len(core) else found
 
-_PLACED = "block bigint, local int, total bigint, class int, first boolean"
+    return write_side_files(summed(evidence(encoded, listed, k), 2 * k + 1, True, decide), "words", ["local"])
 
 
-def transitions(encoded: DataFrame, words: SideFiles, placed: tuple[SideFiles, ...], k: int) -> np.ndarray:
+def class_table(encoded: DataFrame, placed: tuple[SideFiles, ...], k: int) -> np.ndarray:
     """Class bigrams of all training tokens, (k + 1, k + 1): index k stands for words seen once,
     which are counted there besides their own class."""
     width = k + 1
 
     def make():
-        own, table = Blocks(words, placed), np.zeros(width * width, np.int64)
+        own, table = Blocks(placed), np.zeros(width * width, np.int64)
 
-        def work(block, flat, offsets, _):
+        def work(block, flat, batch, row):
             if block is None:
                 some = np.flatnonzero(table)
                 yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(table[some])], ["code", "n"])
                 return
-            own.read(block)
+            own.read(block, len(_numbers(batch.column(2), row, np.int32)))
             once = own.total == 1
             for before, now in steps(flat):
                 a, b, oa, ob = own.classes[before], own.classes[now], once[before], once[now]
+                start = a < 0  # before the first text, should no training text have been read yet
+                if start.any():
+                    a, b, oa, ob = a[~start], b[~start], oa[~start], ob[~start]
                 for codes in (a * width + b, a[ob] * width + k, k * width + b[oa], np.full((oa & ob).sum(), width * width - 1)):
                     table[:] += np.bincount(codes, minlength=len(table))
 
         return work
 
-    found = by_block(encoded, [], make, "code int, n bigint", learn=True)
+    found = by_block(encoded, ["n"], make, "code int, n bigint")
     table = np.zeros(width * width)
     for code, n in found.groupBy("code").agg(F.sum("n")).collect():  # at most (k + 1) squared rows
         table[code] = n
     return table.reshape(width, width)
 
 
+def sweep(encoded: DataFrame, placed: tuple[SideFiles, ...], table: np.ndarray, turn: int, config: LmConfig) -> SideFiles:
+    """One round of the exchange for all words seen ``least`` times whose turn it is: the words
+    that moved, with their new classes."""
+    k = config.classes
+    sent = encoded.sparkSession.sparkContext.broadcast(table)
+
+    def listed():
+        own = Blocks(placed)
+
+        def chosen(block, hashes, n):
+            own.read(block, len(hashes))
+            some = np.flatnonzero((own.total >= config.least) & (hashes % config.sweeps == turn % config.sweeps))
+            return some, own.total[some], own.classes[some], own.classes
+
+        return chosen
+
+    def decide(hashes, tables, classes):
+        out = classes.copy()
+        for i, now in enumerate(classes.tolist()):
+            place, gain = best_class(tables[i, k : 2 * k], tables[i, :k], tables[i, 2 * k], now, sent.value)
+            out[i] = place if gain > 1e-9 else now
+        return out
+
+    return write_side_files(summed(evidence(encoded, listed, k), 2 * k + 1, False, decide), "moved", ["local"])
+
+
 @dataclass(frozen=True)
 class LmModel:
     """What scoring needs besides the blocks' words: small tables."""
@@ -595,43 +547,44 @@ class LmModel:
         return of_base, c.class_weight * self.chances[place[before], place[flat]] * emission[flat] + (1 - c.class_weight) * of_base
 
 
-def learn_model(encoded: DataFrame, config: LmConfig) -> tuple[LmModel, SideFiles, tuple[SideFiles, ...]]:
-    """The small tables, the blocks' words and the side files of their classes."""
+def learn_model(encoded: DataFrame, config: LmConfig) -> tuple[LmModel, tuple[SideFiles, ...], list[float]]:
+    """The small tables, the side files of the blocks' words, and the likelihood before each sweep
+    and after the last."""
     spark, k = encoded.sparkSession, config.classes
-    context = spark.sparkContext
-    shared, words = shared_words(encoded, config.least)
-    top = shared.filter("total > 0").orderBy(F.desc("total"), "h1", "h2").limit(config.core).collect()  # bounded by ``core``
-    core = np.array([(r["h1"], r["h2"]) for r in top], np.int64).reshape(-1, 2)
-    placed: tuple[SideFiles, ...] = ()
-    share, table = np.zeros(k), np.zeros((k, k))
+    core = core_words(encoded, config.core)
+    core_classes, core_table = np.zeros(0, np.int64), np.zeros((k, k))
     if len(core):
-        core_classes = exchange(core_bigrams(encoded, words, core), len(core), config)
-        frequent, _ = place_frequent(encoded, words, core, core_classes, config)
-        placed = (frequent,)
-        for place, n in frequent.frame(spark, _PLACED).filter("first").groupBy("class").count().collect():  # k rows
-            share[place] = n
-        table = collected_table(frequent_evidence(encoded, words, placed, None, k, config.least, listed=False), k)
-    table = table + config.transition_add
-    to_next = np.log(table / table.sum(1, keepdims=True))
-    # for a word of class c: chance of c after the class before it, of the next class after c
-    logs = context.broadcast((np.concatenate([to_next, to_next.T]), np.log(share + 0.5)))
-    rare = rare_evidence(encoded, words, placed, logs, k)
-    decided = rare.filter("class >= 0").select("block", "local", "total", "class", F.lit(True).alias("first"))
-    later = summed(rare.filter("class < 0"), 2 * k, lambda tables, classes, hashes: likeliest(tables, logs.value))
-    placed = (*placed, write_side_files(decided.unionByName(later), "classes", ["local"]))
-
+        neighbours = core_bigrams(encoded, core)
+        core_classes = exchange(neighbours, len(core), config)
+        core_table = _class_table(neighbours, core_classes, k)
+    placed = (place_all(encoded, core, core_classes, core_table, config),)
     sizes = np.zeros((2, k))
-    for side in placed:
-        for place, tokens, kinds in side.frame(spark, _PLACED).filter("first").groupBy("class").agg(F.sum("total"), F.count("*")).collect():  # k rows
-            sizes[:, place] += tokens, kinds
-    counts = transitions(encoded, words, placed, k)
+
+    def of_firsts(side: SideFiles, column: str):
+        found = side.frame(spark, _PLACED).filter(F.col("first") & (F.col(column) >= 0)).groupBy(column).agg(F.sum("total"), F.count("*"))
+        return [(place, np.array([tokens, kinds])) for place, tokens, kinds in found.collect()]  # at most k rows
+
+    for place, n in of_firsts(placed[0], "class"):
+        sizes[:, place] += n
+    likelihoods = []
+    counts = class_table(encoded, placed, k)
+    for turn in range(config.sweeps):
+        likelihoods.append(likelihood_of(counts[:k, :k]))
+        moved = sweep(encoded, placed, counts[:k, :k], turn, config)
+        placed = (*placed, moved)
+        for column, sign in (("class", 1), ("old", -1)):
+            for place, n in of_firsts(moved, column):
+                sizes[:, place] += sign * n
+        counts = class_table(encoded, placed, k)
+    likelihoods.append(likelihood_of(counts[:k, :k]))
+
     once, plain = counts[:, k], counts[:, :k]
     unseen = (once + 0.5) / (plain.sum(1) + 1.0)
     smooth = (plain + config.transition_add) / (plain.sum(1, keepdims=True) + config.transition_add * k)
     chances = np.concatenate([(1 - unseen)[:, None] * smooth, unseen[:, None]], axis=1)
     if not sizes[1].sum():
         chances[:, :k], chances[:, k] = 0.0, 1.0
-    return LmModel(int(sizes[0].sum()), int(sizes[1].sum()), sizes[0], sizes[1], chances, config), words, placed
+    return LmModel(int(sizes[0].sum()), int(sizes[1].sum()), sizes[0], sizes[1], chances, config), placed, likelihoods
 
 
 def score_texts(docs: DataFrame, learn: Column, config: LmConfig | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -639,26 +592,26 @@ def score_texts(docs: DataFrame, learn: Column, config: LmConfig | None = None,
 
     ``(id, learn, n_tokens, n_known, train_tokens, base_score, score, perplexity)``.  Null and
     empty texts are the end token alone; whole texts count, however long.  Repeated rows count as
-    often as they occur; a null id is kept; a null ``learn`` is false.  Words of equal count and
-    evidence are ordered by hash.  With no row to learn from, every token is unseen and both
-    scores are 0.  Columns other than id, text and those of ``learn`` are not read.  An empty
-    table gives an empty result.
+    often as they occur; a null id is kept; a null ``learn`` is false.  Words of equal count are
+    ordered by hash, classes of equal chance by number.  With no row to learn from, every token is
+    unseen and both scores are 0.  Columns other than id, text and those of ``learn`` are not
+    read.  An empty table gives an empty result.
     """
     config = config or LmConfig()
-    context = docs.sparkSession.sparkContext
     encoded = encoded_blocks(docs, id_col, text_col, learn)
-    found, words, placed = learn_model(encoded, config)
-    model = context.broadcast(found)
+    found, placed, _ = learn_model(encoded, config)
+    model = docs.sparkSession.sparkContext.broadcast(found)
     names = [id_col, "learn", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]
 
     def make():
-        own = Blocks(words, placed)
+        own = Blocks(placed)
 
-        def work(block, flat, offsets, kept):
+        def work(block, flat, batch, row):
             if block is None:
                 return
-            own.read(block)
-            n, parts = np.diff(offsets), []
+            n = _numbers(batch.column(5), row, np.int32).astype(np.int64)
+            own.read(block, len(_numbers(batch.column(2), row, np.int32)))
+            offsets, parts = np.concatenate([[0], np.cumsum(n)]), []
             cuts = np.unique(np.append(np.searchsorted(offsets, np.arange(0, offsets[-1], _STEP)), len(n)))
             for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):  # whole texts, about a step of tokens
                 some, begins = flat[offsets[i] : offsets[j]], offsets[i:j] - offsets[i]
@@ -666,12 +619,11 @@ def score_texts(docs: DataFrame, learn: Column, config: LmConfig | None = None,
                 parts.append([np.add.reduceat((own.total[some] > 0).astype(np.int64), begins), *(np.add.reduceat(np.log10(x), begins) for x in chances)])
             known, base, score = (np.concatenate(x) for x in zip(*parts, strict=True))
             total = np.full(len(n), model.value.tokens)
-            columns = [x.combine_chunks() for x in kept]
-            columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns]
-            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(x) for x in (n, known, total, base, score, 10 ** (-score / n)))], names)
+            kept = [batch.column(i)[row].values for i in (3, 4)]
+            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(x) for x in (n, known, total, base, score, 10 ** (-score / n)))], names)
 
         return work
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, learn boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, perplexity double"
-    return by_block(encoded, ["id", "learn"], make, schema, learn=False)
+    return by_block(encoded, ["n", "ids", "learn", "sizes"], make, schema, learn=False)

@@ -54,41 +54,44 @@ def test_score_equals_direct_sums(spark, corpus):
     config = lm.LmConfig(classes=4, core=6, rounds=3, least=9, sweeps=2)
     learn = remainder(F.col("doc_id"), 5) != 1
     encoded = lm.encoded_blocks(corpus.repartition(5), "doc_id", "text", learn)
-    model, words, placed = lm.learn_model(encoded, config)
-    name = {xxhash.xxh3_128_digest(w): w for r in corpus.collect() for w in lm.words_of(r.text)}
-    numbered = {}  # (block, number): word
-    for r in encoded.filter("h1 IS NOT NULL").collect():
-        for i, (x, y) in enumerate(zip(r.h1, r.h2, strict=True)):
-            numbered[r.block, r.first + i] = name[np.array([x, y], "<i8").tobytes()]
-    classes = {}
-    for side in placed:
+    model, placed, _ = lm.learn_model(encoded, config)
+    name = {xxhash.xxh3_64_intdigest(w): w for r in corpus.collect() for w in lm.words_of(r.text)}
+    numbered, texts = {}, []  # (block, number): word
+    for r in encoded.collect():
+        for i, h in enumerate(np.frombuffer(r.hashes, np.uint64).tolist()):
+            numbered[r.block, i] = name[h]
+        ends = np.cumsum(np.frombuffer(r.sizes, np.int32))
+        for learned, ids in zip(r.learn, np.split(np.frombuffer(r.tokens, np.int32), ends[:-1]), strict=True):
+            texts.append((learned, [numbered[r.block, i] for i in ids.tolist()]))
+    assert encoded.count() > 1
+    found = [{}, {}, {}]
+    for classes, side in zip(found, placed, strict=True):
         for r in side.frame(spark, lm._PLACED).collect():
             word = numbered[r.block, r.local]
             assert classes.setdefault(word, r["class"]) == r["class"]  # one class in all blocks
-    texts = [(r.learn, [numbered[r.block, i] for i in r.ids]) for r in encoded.filter("ids IS NOT NULL").collect()]
+    before, classes = found[0], found[0] | found[1] | found[2]
     known = [ws for learned, ws in texts if learned]
     counts = Counter(w for ws in known for w in ws)
     assert set(classes) == set(counts)
     pairs = Counter((a, b) for ws in known for a, b in zip([lm.END, *ws], ws, strict=False))
 
     k = config.classes
-    frequent = {w for w, n in counts.items() if n >= config.least}
+    core = sorted(counts, key=lambda w: (-counts[w], np.uint64(xxhash.xxh3_64_intdigest(w)).astype(np.int64)))[: config.core]
+    assert [name[int(np.int64(h).astype(np.uint64))] for h in lm.core_words(encoded, config.core)] == core
     table = np.full((k, k), config.transition_add)
-    kinds = np.zeros(k)
-    for w in frequent:
-        kinds[classes[w]] += 1
     for (a, b), n in pairs.items():
-        if a in frequent and b in frequent:
-            table[classes[a], classes[b]] += n
+        if a in core and b in core:
+            table[before[a], before[b]] += n
     to_next = np.log(table / table.sum(1, keepdims=True))
-    for w in set(counts) - frequent:  # rare words: the likeliest class under their neighbours
-        score = np.log(kinds + 0.5)
+    for w in set(counts) - set(core):  # the likeliest class under its core neighbours
+        score = np.log(np.bincount([before[c] for c in core], minlength=k) + 0.5)
         for (a, b), n in pairs.items():
-            if b == w and a in frequent:
-                score = score + n * to_next[classes[a]]
-            if a == w and b in frequent:
-                score = score + n * to_next[:, classes[b]]
-        assert score[classes[w]] == pytest.approx(score.max())
+            if b == w and a in core:
+                score = score + n * to_next[before[a]]
+            if a == w and b in core:
+                score = score + n * to_next[:, before[b]]
+        assert score[before[w]] == pytest.approx(score.max())
+    assert all(counts[w] >= config.least for w in found[1] | found[2])  # only these were exchanged
 
     sizes, kinds, move, once = np.zeros(k), np.zeros(k), np.zeros((k + 1, k)), np.zeros(k + 1)
     for w, n in counts.items():
@@ -101,9 +104,9 @@ def test_score_equals_direct_sums(spark, corpus):
     total, vocabulary = sum(counts.values()), len(counts)
     scored = {r.doc_id: r for r in lm.score_texts(corpus.repartition(5), learn, config).collect()}
     for r in corpus.collect():
-        want, before = 0.0, lm.END
+        want, last = 0.0, lm.END
         for w in lm.words_of(r.text):
-            at = classes[before] if counts[before] else k
+            at = classes[last] if counts[last] else k
             unseen = (once[at] + 0.5) / (move[at].sum() + 1)
             base = (counts[w] + 0.5) / (total + 0.5 * (vocabulary + 1))
             if counts[w]:
@@ -112,18 +115,15 @@ def test_score_equals_direct_sums(spark, corpus):
             else:
                 chance = unseen
             want += math.log10(0.9 * chance + 0.1 * base)
-            before = w
+            last = w
         assert scored[r.doc_id].score == pytest.approx(want)
 
 
 def test_rounds_over_all_words_gain(corpus):
     config = lm.LmConfig(classes=4, core=6, rounds=1, least=2, sweeps=3)
     encoded = lm.encoded_blocks(corpus.repartition(3), "doc_id", "text", F.lit(True))
-    shared, words = lm.shared_words(encoded, config.least)
-    core = np.array([(r.h1, r.h2) for r in shared.orderBy(F.desc("total")).limit(config.core).collect()], np.int64)
-    placed = lm.exchange(lm.core_bigrams(encoded, words, core), len(core), config)
-    found, likelihoods = lm.place_frequent(encoded, words, core, placed, config)
-    assert likelihoods[-1] > likelihoods[1]  # from the first classes of all words on
+    _, placed, likelihoods = lm.learn_model(encoded, config)
+    assert len(placed) == 4 and likelihoods[-1] > likelihoods[0]
 
 
 def test_best_class_gain_is_the_change_of_likelihood():
