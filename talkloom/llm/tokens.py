@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import array
 import functools
+import os
 import re
 import struct
 import uuid
@@ -29,6 +30,10 @@ from talkloom.llm.common import new_path, open_store, written
 _OTHER_SPACE = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000\\x00\\x01]")
 _LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _CACHE = 650_000
+#: The letter that stands for each byte in vocabularies of bytes: printable Latin-1 for itself,
+#: every other byte, in order, for the letters from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_LETTERS = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
 
 
 class TextEncoder:
@@ -36,24 +41,26 @@ class TextEncoder:
 
     Both kinds of tokenizer end a piece before white space that follows other text, so a text
     is cut there, each distinct word is encoded with its leading blank, and the ids are joined.
-    Texts in which white space itself could be merged or is unusual are encoded whole.
+    Texts in which white space itself could be merged or is unusual, or in which a token that the
+    file adds to its vocabulary could occur, are encoded whole.
     """
 
     def __init__(self, path: str, code: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.code = code
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added if t.content]
+        self.folded = [t.content.lower() for t in added if t.content and t.normalized]
+        self.prefix = os.path.commonprefix(self.added)
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.firsts: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
-        self.ends, self.starts = np.zeros(max(vocabulary.values()) + 1, bool), np.zeros(max(vocabulary.values()) + 1, bool)
-        for token, i in vocabulary.items():
-            self.ends[i], self.starts[i] = token.endswith("</w>"), token.startswith("\u0120")
-        self.word_ends, self.line = bool(self.ends.any()), vocabulary.get("\u010a", -1)
-        self.marks = {m: self._whole(m) for m in ("", ",", ".")}
+        self.lower = any(t.endswith("</w>") for t in vocabulary)  # such files fold case and drop white space
+        self.tokenize = self.tokenizer.model.tokenize
+        self.marks = {m: self._whole(m) for m in ("", ",", ".", "\n")}
 
     def _ids(self, ids: list[int]) -> bytes:
         return array.array(self.code, ids).tobytes()
@@ -61,42 +68,39 @@ class TextEncoder:
     def _whole(self, text: str) -> bytes:
         return self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids) if text else b""
 
-    def _learn(self, new: list[str]) -> None:
-        """Encode unseen words, many in one text.
+    def _word(self, word: str) -> bytes:
+        """A word of Latin letters is one piece, so the merges alone give its ids."""
+        lead = "" if self.lower else _LETTERS[ord(" ")]
+        if word[0] == "\x01":
+            lead, word = "" if self.lower else _LETTERS[ord("\n")], word[1:]
+            if lead:  # a line feed before a word is a piece of its own
+                return self.marks["\n"] + self._ids([t.id for t in self.tokenize(self._letters(word))])
+        if self.lower:
+            word = word.lower()
+        return self._ids([t.id for t in self.tokenize(lead + self._letters(word))])
+
+    def _letters(self, word: str) -> str:
+        return word if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS)
 
-        A word of Latin letters is one piece, so its ids end where the vocabulary's marks say;
-        the ids of other words are told apart by where they start in the text.
-        """
-        words, spaced, lined, rest, made = self.words, {}, {}, [], []
+    def _learn(self, new: list[str]) -> None:
+        """Encode unseen words: those of Latin letters one by one, others many in one text, told
+        apart by where their ids start in it."""
+        words, rest = self.words, []
         for w in new:
             if (known := self.older.get(w)) is not None:
                 words[w] = known
                 continue
-            mark = w[-1:] if w[-1:] in (",", ".") else ""
-            body = w[: len(w) - len(mark)]
+            last = w[-1:]
+            mark = last if last == "," or last == "." else ""
+            body = w[:-1] if mark else w
             bare = body[1:] if body[:1] == "\x01" else body
-            if not _LATIN.fullmatch(bare):
+            if not (bare.isalpha() if bare.isascii() else _LATIN.fullmatch(bare)):
                 rest.append(w)
                 continue
-            if self.word_ends:  # case and white space make no difference
-                body = bare = bare.lower()
-            if body not in words:
-                (spaced if body is bare else lined)[body] = None
-            if body != w:
-                made.append((w, body, mark))
-        for part, space, ends in ((list(spaced), " ", self.word_ends), (list(lined), "", False)):
-            for i in range(0, len(part), 2000):
-                some = part[i : i + 2000]
-                joined = "".join(space + w for w in some).replace("\x01", "\n")
-                ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids)
-                if ends:
-                    cuts = np.append(0, np.flatnonzero(self.ends[ids]) + 1)
-                else:
-                    cuts = np.append(np.flatnonzero(self.starts[ids] if space else ids == self.line), len(ids))
-                data, bounds = self._ids(ids.tolist()), (cuts * array.array(self.code).itemsize).tolist()
-                words.update(zip(some, (data[a:b] for a, b in zip(bounds, bounds[1:], strict=False)), strict=True))
-        for w, body, mark in made:
-            words[w] = words[body] + self.marks[mark]
+            if (ids := words.get(body)) is None:
+                ids = words[body] = self._word(body)
+            if mark:
+                words[w] = ids + self.marks[mark]
         for i in range(0, len(rest), 1000):
             part = ["\n" + w[1:] if w[:1] == "\x01" else " " + w for w in rest[i : i + 1000]]
             done = self.tokenizer.encode("".join(part), add_special_tokens=False)
@@ -108,22 +112,26 @@ class TextEncoder:
         """The ids as little-endian bytes."""
         if not text:
             return b""
-        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[-1] in " \n" or _OTHER_SPACE.search(text):
+        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[-1] in " \n" or _OTHER_SPACE.search(text) or self._may_hold_added(text):
             return self._whole(text)
         first, *rest = text.replace("\n", " \x01").split(" ")
         if (head := self.firsts.get(first)) is None:
             if len(self.firsts) > _CACHE // 8:
                 self.firsts.clear()
             head = self.firsts[first] = self._whole(first)
-        words = self.words
-        try:
-            return head + b"".join([words[w] for w in rest])
-        except KeyError:
-            if len(words) > _CACHE:  # what is still in use moves over from the older half
-                self.older, self.words = words, {}
-                words = self.words
-            self._learn([w for w in dict.fromkeys(rest) if w not in words])
-            return head + b"".join([words[w] for w in rest])
+        parts = list(map(self.words.get, rest))
+        if None in parts:
+            if len(self.words) > _CACHE:  # what is still in use moves over from the older half
+                self.older, self.words = self.words, {}
+            words = self.words
+            self._learn([w for w in dict.fromkeys(w for w, p in zip(rest, parts, strict=True) if p is None) if w not in words])
+            parts = [words[w] if p is None else p for w, p in zip(rest, parts, strict=True)]
+        return head + b"".join(parts)
+
+    def _may_hold_added(self, text: str) -> bool:
+        if self.prefix in text and any(t in text for t in self.added):
+            return True
+        return bool(self.folded) and any(t in text.lower() for t in self.folded)
 
 
 @functools.lru_cache(maxsize=2)

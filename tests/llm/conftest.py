@@ -37,3 +37,13 @@ def odd(spark):
 @pytest.fixture(scope="session")
 def empty(odd):
     return odd.filter("false")
+
+
+@pytest.fixture(scope="session")
+def data():
+    import os
+
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables here")
+    return folder

@@ -19,7 +19,6 @@ STRANGE = [
 
 def encoded(path, text):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -27,13 +26,27 @@ def encoded(path, text):
 def test_encoder_equals_the_tokenizer(path):
     rng = random.Random(3)
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     mine = tokens.TextEncoder(path, "I")
     texts = STRANGE + ["".join(rng.choice(["a", "B", " ", ",", ".", "'s", "\n", "é", "1", "-", "́", "ß", "word"]) for _ in range(60)) for _ in range(200)]
+    letters = [chr(c) for c in range(32, 592) if chr(c).isprintable()]
+    texts += [" ".join("".join(rng.choices(letters, k=rng.randrange(1, 9))) for _ in range(20)) for _ in range(300)]
+    texts += ["\n".join("".join(rng.choices("aàâçéèêëîïôûùüÿñæœßÀÉÜ×÷bcdefg", k=rng.randrange(1, 12))) for _ in range(20)) for _ in range(100)]
     for text in texts * 2:
         assert np.frombuffer(mine(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_encoder_on_given_texts_and_a_megabyte(path, data):
+    import duckdb
+
+    t, mine = Tokenizer.from_file(path), tokens.TextEncoder(path, "I")
+    texts = [r[0] for r in duckdb.sql(f"SELECT text FROM '{data}/documents.parquet'").fetchall()]
+    texts += [" ".join(x for x in texts if x) * 3, "x" * 20_000]
+    assert len(texts[-2]) > 1_000_000
+    for text in texts:
+        assert np.frombuffer(mine(text), "<u4").tolist() == t.encode(text or "", add_special_tokens=False).ids
+
+
 def test_records_round_trip(spark, odd, empty):
     index = tokens.write_records(odd, WORDS, end_id=1, file_bytes=2000)
     found = sorted(tokens.read_records(index).collect(), key=lambda r: r.start)
