@@ -33,7 +33,7 @@ from talkloom.llm.common import SideFiles, pieces, write_side_files, written
 END = b""  # no word is empty; number 0 of every block
 _BLOCKS_OF_TASK = 1 << 20
 #: What bounds a block, and so the memory of a task; tokens, words that are worked on at once.
-_BLOCK_WORDS, _BLOCK_TOKENS = 600_000, 3_000_000
+_BLOCK_WORDS, _BLOCK_TOKENS = 300_000, 1_000_000
 _STEP, _LISTED = 500_000, 10_000
 
 
@@ -345,14 +345,15 @@ def evidence(encoded: DataFrame, listed: Callable[[], Callable], k: int, hashed:
                 return
             hashes, n = _numbers(batch.column(2), row, np.int64), _numbers(batch.column(3), row, np.int32)
             some, totals, own, classes = chosen(block, hashes, n)
-            slot = np.full(len(hashes), -1, np.int32)
+            kind = np.int32 if len(some) * width < 1 << 31 else np.int64
+            slot = np.full(len(hashes), -1, kind)
             slot[some] = np.arange(len(some))
-            codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            codes, counts = np.zeros(0, kind), np.zeros(0, np.int64)
             found = []
             for before, now in steps(flat):
                 a, b, ra, rb, same = classes[before], classes[now], slot[before], slot[now], before == now
                 one, two, three = (rb >= 0) & (a >= 0) & ~same, (ra >= 0) & (b >= 0) & ~same, same & (rb >= 0)
-                found.append(np.concatenate([x.astype(np.int64) for x in (rb[one] * np.int64(width) + a[one], ra[two] * np.int64(width) + (k + b[two]), rb[three] * np.int64(width) + 2 * k)]))
+                found += [(rb[one] * width + a[one]).astype(kind), (ra[two] * width + (k + b[two])).astype(kind), (rb[three] * width + 2 * k).astype(kind)]
             if found:
                 codes, counts = np.unique(np.concatenate(found), return_counts=True)
             del found
