@@ -1,4 +1,11 @@
-"""Language identification by words first, then ever shorter character n-grams."""
+"""Language identification by words first, then ever shorter character n-grams.
+
+A word that training texts have, however rarely, counts by its log frequency in every language; an
+unseen word counts by the mean log frequency of the longest of its n-grams that are known.  Texts
+are tokenized once, into blocks of word numbers and counts.  Words meet once with their counts over
+the corpus, and the answer waits for each block that has the word; no vocabulary and no table of
+n-grams is sent whole to anyone, and none is cut.
+"""
 
 from __future__ import annotations
 
@@ -8,24 +15,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkloom.llm.common import map_texts, scan_texts, written
+from talkloom.llm.common import SideFiles, pieces, write_side_files, written
 
 _WORD = re.compile(r"[^\W\d_]+")
-_FLUSH = 300_000
+_BLOCKS_OF_TASK = 1 << 20
+#: What bounds a block, and so the memory of a task; word counts that are worked on at once.
+_BLOCK_WORDS, _BLOCK_COUNTS = 300_000, 2_000_000
+_STEP, _LISTED = 300_000, 20_000
 
 
 @dataclass(frozen=True)
 class LangConfig:
-    """``words`` and ``grams`` bound the model (and so what is broadcast): the most frequent
-    words of a language, and n-grams of a language and length, that it keeps.  They are chosen
-    and weighed by counts over all training texts; other words go on to n-grams, other n-grams
-    to shorter ones."""
+    """``longest``: characters of the longest n-grams; ``add``: what every count is raised by."""
 
-    words: int = 30_000
-    grams: int = 10_000
     longest: int = 5
     add: float = 0.5
 
@@ -41,177 +48,233 @@ def grams_of(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(len(marked) - n + 1)] if n > 1 else list(word)
 
 
-def count_words(train: DataFrame, text: str, lang: str) -> DataFrame:
-    """``(lang, word, n)`` over all training texts; each task sums its own first."""
-
-    def make():
-        seen: dict[str, Counter] = {}
-
-        def flush():
-            for own, counts in seen.items():
-                words, n = list(counts), list(counts.values())
-                for i in range(0, len(words), 50_000):
-                    part = words[i : i + 50_000]
-                    yield [own] * len(part), part, n[i : i + 50_000]
-            seen.clear()
-
-        def work(kept, texts):
-            if texts is None:
-                yield from flush()
-                return
-            for own, t in zip(kept[0].to_pylist(), texts, strict=True):
-                seen.setdefault(own, Counter()).update(words_of(t))
-            if sum(map(len, seen.values())) > _FLUSH:
-                yield from flush()
+def _grams(word: str, n: int) -> Column:
+    """The same as a column expression."""
+    marked = F.concat(F.lit("^"), word, F.lit("$")) if n > 1 else F.col(word)
+    places = F.sequence(F.lit(1), F.length(marked) - (n - 1))
+    return F.when(F.length(marked) >= n, F.transform(places, lambda i: F.substring(marked, i, n)))
 
-        return work
 
-    fields = [("lang", "string"), ("word", "string"), ("n", "bigint")]
-    return scan_texts(train, text, [lang], make, fields, finish=True).groupBy("lang", "word").agg(F.sum("n").alias("n"))
+# -- blocks ---------------------------------------------------------------------------------
 
 
-def count_grams(words: DataFrame, longest: int) -> DataFrame:
-    """``(lang, size, gram, n)``: n-grams of all counted words, weighed by the words' counts."""
+def counted_blocks(rows: DataFrame, langs: list[str]) -> DataFrame:
+    """``rows`` (id, learn, text, lang) as counts, a row for each block: ``(block, ids, learn,
+    letters, sizes, words, counts, vocabulary, places, own, n)``: each text's distinct words
+    (``sizes`` of them) by number with their counts, the block's words, and for training texts
+    how often (``n``) a language (``own``) has a word (``places``)."""
+    sent = rows.sparkSession.sparkContext.broadcast(langs)
+    names = ["block", "ids", "learn", "letters", "sizes", "words", "counts", "vocabulary", "places", "own", "n"]
 
     def run(batches):
-        seen: Counter = Counter()
+        lang_of = {x: i for i, x in enumerate(sent.value)}
+        number = TaskContext.get().partitionId() * _BLOCKS_OF_TASK
+        own: dict[str, int] = {}
+        held, size = [], 0
+
+        def row():
+            ids, learned = (pa.concat_arrays([h[i] for h in held]) for i in (0, 1))
+            letters, sizes, words, counts, langs_ = (np.concatenate([h[i] for h in held]) for i in range(2, 7))
+            of_row = np.repeat(langs_, sizes)
+            used = of_row >= 0
+            codes, at = np.unique(words[used].astype(np.int64) * max(1, len(lang_of)) + of_row[used], return_inverse=True)
+            n = np.bincount(at, counts[used], len(codes)).astype(np.int32)
+            places, of = codes // max(1, len(lang_of)), codes % max(1, len(lang_of))
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (ids, learned, pa.array(letters))]
+            binaries = [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (sizes, words, counts)]
+            vocabulary = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), pa.array(list(own), pa.string()))
+            more = [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (places, of, n)]
+            return pa.RecordBatch.from_arrays([pa.array([number]), *lists, *binaries, vocabulary, *more], names)
+
+        for batch in pieces(batches):
+            if len(own) > _BLOCK_WORDS or size > _BLOCK_COUNTS:
+                yield row()
+                own, held, size, number = {}, [], 0, number + 1
+            take = own.setdefault
+            bags = [Counter(words_of(t)) for t in batch.column(2).to_pylist()]
+            letters = np.array([any(w.isalpha() or any(map(str.isalpha, w)) for w in bag) for bag in bags], bool)
+            words = np.array([take(w, len(own)) for bag in bags for w in bag], np.int32)
+            counts = np.array([n for bag in bags for n in bag.values()], np.int32)
+            learned, lang = batch.column(1).to_pylist(), batch.column(3).to_pylist()
+            langs_ = np.array([lang_of.get(x, -1) if ok else -1 for ok, x in zip(learned, lang, strict=True)], np.int32)
+            held.append((batch.column(0), batch.column(1), letters, np.array([len(b) for b in bags], np.int32), words, counts, langs_))
+            size += len(words)
+        if held:
+            yield row()
+
+    kind = rows.schema["id"].dataType.simpleString()
+    binaries = ", ".join(f"{n} binary" for n in ("sizes", "words", "counts"))
+    schema = f"block bigint, ids array<{kind}>, learn array<boolean>, letters array<boolean>, {binaries}, vocabulary array<string>, places binary, own binary, n binary"
+    return written(rows.select("id", "learn", "text", "lang").mapInArrow(run, schema), "blocks")
+
+
+def _numbers(column: pa.Array, row: int) -> np.ndarray:
+    return np.frombuffer(column[row].as_buffer(), np.int32)
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of several ranges, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _lists(values: list[np.ndarray], sizes: np.ndarray, kinds: list) -> list[pa.Array]:
+    bounds = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    return [pa.ListArray.from_arrays(bounds, pa.array(x.astype(k))) for x, k in zip(values, kinds, strict=True)]
+
+
+# -- words ----------------------------------------------------------------------------------
+
+
+def met_words(blocks: DataFrame, langs: int) -> DataFrame:
+    """``(block, local, word, langs, counts, first)``: for each block its words with their counts
+    in the languages that have them, over all training texts.  ``word`` itself is given once
+    (``first``), and always where no training text has it.
+
+    Words come sorted; a word has a row for each block that has it, and these are held together.
+    """
+    names = ["word", "block", "local", "langs", "counts"]
 
-        def flush():
-            keys = list(seen)
-            columns = [[k[j] for k in keys] for j in (0, 1)]
-            out = pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array([len(g) for g in columns[1]], pa.int32()), pa.array(columns[1]), pa.array([seen[k] for k in keys], pa.int64())], ["lang", "size", "gram", "n"])
-            seen.clear()
-            return out
+    def listed(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                words = batch.column(1)[row].values
+                places, own, n = (_numbers(batch.column(i), row) for i in (2, 3, 4))
+                sizes = np.bincount(places, minlength=len(words))
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                for i in range(0, len(words), _LISTED):
+                    j = min(i + _LISTED, len(words))
+                    here = slice(ends[i], ends[j])
+                    lists = _lists([own[here], n[here]], sizes[i:j], [np.int32, np.int32])
+                    block = pa.array(np.full(j - i, batch.column(0)[row].as_py(), np.int64))
+                    yield pa.RecordBatch.from_arrays([words.slice(i, j - i), block, pa.array(np.arange(i, j, dtype=np.int32)), *lists], names)
+
+    def summed(table: pa.Table) -> pa.RecordBatch:
+        columns = [c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in table.combine_chunks().columns]
+        words = columns[0]
+        starts = np.flatnonzero(np.concatenate([[True], pc.not_equal(words.slice(1), words.slice(0, len(words) - 1)).to_numpy(zero_copy_only=False)]))
+        runs = np.diff(np.append(starts, len(words)))
+        owner = np.repeat(np.repeat(np.arange(len(starts)), runs), np.diff(columns[3].offsets.to_numpy()))
+        codes, at = np.unique(owner * langs + columns[3].flatten().to_numpy(), return_inverse=True)
+        counts = np.bincount(at, columns[4].flatten().to_numpy(), len(codes))
+        sizes = np.bincount(codes // max(1, langs), minlength=len(starts))
+        begins = np.cumsum(sizes) - sizes
+        of_row = np.repeat(np.arange(len(starts)), runs)
+        some = _ranges(begins[of_row], sizes[of_row])
+        first = np.zeros(len(words), bool)
+        first[starts] = True
+        shown = words.take(pa.array(np.arange(len(words)), mask=~(first | (sizes[of_row] == 0))))
+        lists = _lists([codes[some] % max(1, langs), counts[some]], sizes[of_row], [np.int32, np.int64])
+        return pa.RecordBatch.from_arrays([columns[1], columns[2], shown, *lists, pa.array(first)], ["block", "local", "word", "langs", "counts", "first"])
 
+    def run(batches):
+        held = None
         for batch in batches:
-            for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for size in range(1, longest + 1):
-                    for gram in grams_of(word, size):
-                        seen[lang, gram] += n
-            if len(seen) > _FLUSH:
-                yield flush()
-        if seen:
-            yield flush()
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            if not len(table):
+                continue
+            words = table.column(0)
+            last = len(words) - int(pc.sum(pc.equal(words, words[-1])).as_py())  # where the last word's rows begin
+            if last:
+                yield summed(table.slice(0, last))
+            held = table.slice(last)
+        if held is not None:
+            yield summed(held)
+
+    rows = blocks.select("block", "vocabulary", "places", "own", "n").mapInArrow(listed, "word string, block bigint, local int, langs array<int>, counts array<int>")
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(parts, "word").sortWithinPartitions("word")
+    return written(dealt.mapInArrow(run, "block bigint, local int, word string, langs array<int>, counts array<bigint>, first boolean"), "met")
+
+
+def unseen_words(met: DataFrame, longest: int, add: float) -> tuple[DataFrame, dict[int, dict[int, tuple[int, int]]]]:
+    """``(word, size, langs, raised)``: for each unseen word the length of its longest known n-grams,
+    and by how much these raise each language's log frequency on average; and for each length used
+    the total and the number of kinds of each language's n-grams.
+
+    A length is only counted while words are left that no longer n-gram is known of.
+    """
+    known = met.filter("first AND size(langs) > 0").select("word", F.explode(F.arrays_zip("langs", "counts")).alias("c")).select("word", F.col("c.langs").alias("lang"), F.col("c.counts").alias("n"))
+    left = written(met.filter("first AND size(langs) = 0").select("word"), "unseen")
+    out, totals = None, {}
+    for size in range(longest, 0, -1):
+        if not left.limit(1).count():
+            break
+        grams = known.select("lang", "n", F.explode(_grams("word", size)).alias("gram")).groupBy("gram", "lang").agg(F.sum("n").alias("n"))
+        grams = written(grams, "grams")
+        totals[size] = {r["lang"]: (r["tokens"], r["kinds"]) for r in grams.groupBy("lang").agg(F.sum("n").alias("tokens"), F.count("*").alias("kinds")).collect()}  # a row for each language
+        own = left.select("word", F.explode(_grams("word", size)).alias("gram"))
+        found = own.groupBy("word", "gram").agg(F.count("*").alias("times")).join(grams, "gram")
+        raised = found.groupBy("word", "lang").agg(F.sum(F.col("times") * F.log((F.col("n") + add) / add)).alias("sum"))
+        known_grams = found.select("word", "gram", "times").distinct().groupBy("word").agg(F.sum("times").alias("grams"))
+        scored = raised.join(known_grams, "word").groupBy("word").agg(F.collect_list(F.struct("lang", (F.col("sum") / F.col("grams")).alias("raised"))).alias("c"))  # a language each
+        scored = written(scored.select("word", F.lit(size).alias("size"), F.col("c.lang").alias("langs"), F.col("c.raised").alias("raised")), "scored")
+        out = scored if out is None else out.unionByName(scored)
+        left = written(left.join(scored, "word", "left_anti"), "unseen")
+    return out, totals
 
-    rows = words.select("lang", "word", "n").mapInArrow(run, "lang string, size int, gram string, n bigint")
-    return rows.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
 
+class LangModel:
+    """Small tables: languages, their shares, and what a count of 0 gives by length (0: words)."""
 
-def _most(counted: DataFrame, by: list[str], item: str, most: int) -> list:
-    """The ``most`` items of each key, and each key's total: a bounded number of rows.
+    def __init__(self, langs: list[str], shares: list[int], totals: dict[int, dict[int, tuple[int, int]]], config: LangConfig):
+        self.langs, self.add = langs, config.add
+        share = np.array(shares, float)
+        self.prior = np.log(share / share.sum()) if len(langs) else share
+        self.least = np.zeros((config.longest + 1, len(langs)))
+        for size, of in totals.items():
+            tokens = np.array([of.get(i, (0, 0))[0] for i in range(len(langs))], float)
+            kinds = max((k for _, k in of.values()), default=0)
+            self.least[size] = np.log(config.add) - np.log(tokens + config.add * (kinds + 1))
 
-    A first cut in each task's share of a key keeps a key's items from meeting in one task.
-    """
-    parts = Window.partitionBy(*by, F.pmod(F.xxhash64(item), F.lit(64))).orderBy(F.desc("n"), item)
-    whole = Window.partitionBy(*by).orderBy(F.desc("n"), item)
-    cut = counted.withColumn("r", F.row_number().over(parts)).filter(F.col("r") <= most)
-    return cut.withColumn("r", F.row_number().over(whole)).filter(F.col("r") <= most).drop("r").collect()
 
+def score_blocks(blocks: DataFrame, model: LangModel, seen: SideFiles, unseen: SideFiles | None, id_col: str) -> DataFrame:
+    """A row for each text: the sums of its words, language by language."""
+    sent = blocks.sparkSession.sparkContext.broadcast(model)
+    names = [id_col, "learn", "lang_pred", "score"]
 
-class LangModel:
-    """Log frequencies of kept words and n-grams, one row each, a column for each language."""
-
-    def __init__(self, langs: list[str], prior: np.ndarray, words: dict[str, np.ndarray], grams: list[dict[str, np.ndarray]]):
-        self.langs, self.prior, self.words = langs, prior, words
-        self.grams: list[dict[str, int]] = []
-        rows: list[np.ndarray] = []
-        for table in grams:
-            self.grams.append({g: i for i, g in enumerate(table, len(rows))})
-            rows += table.values()
-        self.rows = np.array(rows) if rows else np.zeros((0, len(langs)))
-        self._scorer: Scorer | None = None
-
-    def unseen(self, words: list[str]) -> np.ndarray:
-        """For each word the mean log frequency of the longest of its n-grams that are known."""
-        out, flat, starts, known = np.zeros((len(words), len(self.langs))), [], [], []
-        for i, word in enumerate(words):
-            for size in range(len(self.grams), 0, -1):
-                table = self.grams[size - 1]
-                found = [table[g] for g in grams_of(word, size) if g in table]
-                if found:
-                    known.append(i)
-                    starts.append(len(flat))
-                    flat += found
-                    break
-        if known:
-            sums = np.add.reduceat(self.rows[flat], starts, axis=0)
-            out[known] = sums / np.diff([*starts, len(flat)])[:, None]
-        return out
-
-    def scorer(self) -> Scorer:
-        """One for all tasks of a worker."""
-        if self._scorer is None:
-            self._scorer = Scorer(self)
-        return self._scorer
-
-
-class Scorer:
-    """Adds up words; rows of words met again are kept in a table of bounded size."""
-
-    def __init__(self, model: LangModel, most: int = 400_000):
-        self.model, self.most = model, most
-        self._reset()
-
-    def _reset(self):
-        self.index = {w: i for i, w in enumerate(self.model.words)}
-        rows = list(self.model.words.values())
-        self.table = np.zeros((self.most + len(rows), len(self.model.langs)), np.float32)
-        if rows:
-            self.table[: len(rows)] = rows
-
-    def __call__(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text)
-        langs = self.model.langs
-        if not langs or not any(map(str.isalpha, words)):
-            return "und", 0.0
-        index = self.index
-        new = [w for w in dict.fromkeys(words) if w not in index]
-        if len(index) + len(new) > len(self.table) and len(index) > len(self.model.words):
-            self._reset()
-            index = self.index
-            new = [w for w in dict.fromkeys(words) if w not in index]
-        rest = new[max(0, len(self.table) - len(index)) :]  # more than the table holds
-        if kept := new[: len(new) - len(rest)]:
-            at = len(index)
-            self.table[at : at + len(kept)] = self.model.unseen(kept)
-            index.update(zip(kept, range(at, at + len(kept)), strict=True))
-        total = self.model.prior.copy()
-        if rest:
-            counts = Counter(words)
-            total += np.array([counts[w] for w in rest]) @ self.model.unseen(rest)
-            words = [w for w in words if w in index]
-        total += self.table[[index[w] for w in words]].sum(axis=0, dtype=np.float64)
-        best = int(np.argmax(total))
-        return langs[best], float(1 / np.exp(total - total[best]).sum())
-
-
-def learn_languages(train: DataFrame, config: LangConfig, text: str = "text", lang: str = "lang") -> LangModel:
-    words = written(count_words(train, text, lang), "words")
-    grams = written(count_grams(words, config.longest), "grams")
-    prior = {r[0]: r[1] for r in train.groupBy(lang).count().collect()}  # a row for each language
-    langs = sorted(prior)
-    column = {x: i for i, x in enumerate(langs)}
-    totals = np.zeros((config.longest + 1, len(langs), 2))
-    for x, tokens, kinds in words.groupBy("lang").agg(F.sum("n"), F.count("*")).collect():
-        totals[0, column[x]] = tokens, kinds
-    for x, size, tokens, kinds in grams.groupBy("lang", "size").agg(F.sum("n"), F.count("*")).collect():
-        totals[size, column[x]] = tokens, kinds
-
-    def table(rows, size, name):
-        counts: dict[str, np.ndarray] = {}
-        for r in rows:
-            counts.setdefault(r[name], np.zeros(len(langs)))[column[r["lang"]]] = r["n"]
-        tokens, kinds = totals[size].T
-        base = np.log(tokens + config.add * (kinds.max(initial=0) + 1) + 1e-9)
-        return {k: np.log(v + config.add) - base for k, v in counts.items()}
-
-    kept_words = table(_most(words, ["lang"], "word", config.words), 0, "word")
-    by_size: dict[int, list] = {}
-    for r in _most(grams, ["lang", "size"], "gram", config.grams):
-        by_size.setdefault(r["size"], []).append(r)
-    kept_grams = [table(by_size.get(size, []), size, "gram") for size in range(1, config.longest + 1)]
-    share = np.array([prior[x] for x in langs], float)
-    return LangModel(langs, np.log(share / share.sum()) if len(langs) else share, kept_words, kept_grams)
+    def run(batches):
+        m = sent.value
+        width = len(m.langs)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block = batch.column(0)[row].as_py()
+                ids, learned, letters = (batch.column(i)[row].values for i in (1, 2, 3))
+                sizes, words, counts = (_numbers(batch.column(i), row) for i in (4, 5, 6))
+                length, entries = np.full(int(words.max(initial=-1)) + 1, -1), []
+                for side, kind in ((seen, None), (unseen, "size")):
+                    found = side.read(block, ["local", "langs", "raised", *([kind] if kind else [])]) if side is not None else None
+                    if found is None or not len(found):
+                        continue
+                    found = found.combine_chunks()
+                    local, langs, raised = (found.column(i).chunk(0) for i in range(3))
+                    at = local.to_numpy()
+                    length[at] = found.column(3).to_numpy() if kind else 0
+                    entries.append((np.repeat(at, np.diff(langs.offsets.to_numpy())), langs.flatten().to_numpy(), raised.flatten().to_numpy()))
+                owner, lang, raised = (np.concatenate([e[i] for e in entries]) if entries else np.zeros(0, int) for i in range(3))
+                order = np.argsort(owner, kind="stable")
+                lang, raised = lang[order], raised[order]
+                each = np.bincount(owner, minlength=len(length))
+                begins = np.cumsum(each) - each
+                total = np.tile(m.prior, (len(sizes), 1))
+                text = np.repeat(np.arange(len(sizes)), sizes)
+                for i in range(0, len(words), _STEP):
+                    w, n, t = words[i : i + _STEP], counts[i : i + _STEP].astype(float), text[i : i + _STEP]
+                    known = length[w] >= 0
+                    base = np.bincount(t[known] * len(m.least) + length[w][known], n[known], len(sizes) * len(m.least)).reshape(len(sizes), -1)
+                    total += base @ m.least
+                    some = _ranges(begins[w], each[w])
+                    if len(some):
+                        total += np.bincount(np.repeat(t, each[w]) * width + lang[some], np.repeat(n, each[w]) * raised[some], len(sizes) * width).reshape(-1, width)
+                sure = letters.to_numpy(zero_copy_only=False).astype(bool) & bool(width)
+                best = total.argmax(axis=1) if width else np.zeros(len(sizes), int)
+                score = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1) if width else np.zeros(len(sizes))
+                pred = [m.langs[b] if ok else "und" for b, ok in zip(best.tolist(), sure.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([ids, learned, pa.array(pred, pa.string()), pa.array(np.where(sure, score, 0.0))], names)
+
+    kind = blocks.schema["ids"].dataType.elementType.simpleString()
+    rows = blocks.select("block", "ids", "learn", "letters", "sizes", "words", "counts")
+    return rows.mapInArrow(run, f"`{id_col}` {kind}, learn boolean, lang_pred string, score double")
 
 
 def identify_languages(
@@ -219,18 +282,29 @@ def identify_languages(
 ) -> DataFrame:
     """``(id, learn, lang_pred, score)`` of every row.
 
-    Learns from rows where ``learn`` is true and the language is known.  ``score`` is the
-    posterior of the language given.  Null texts and texts without a letter are ``und`` with
-    score 0, and so is every text if nothing was learned.  Repeated rows count as often as they
-    occur; an empty table gives an empty result.
+    Learns from rows where ``learn`` is true and the language and text are known; every language
+    that such a row names is one to choose from.  ``score`` is the posterior of the language
+    given; of equally likely ones the first by name is given.  Whole texts count, however long.
+    Null texts and texts without a letter are ``und`` with score 0, and so is every text if nothing
+    was learned.  Repeated rows count as often as they occur; a null id is kept; other columns are
+    not read; an empty table gives an empty result.
     """
     config = config or LangConfig()
-    rows = docs.select(F.col(id_col), F.coalesce(learn, F.lit(False)).alias("learn"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    model = learn_languages(rows.filter(F.col("learn") & F.col("lang").isNotNull() & F.col("text").isNotNull()), config)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def make():
-        score = sent.value.scorer()
-        return lambda texts: list(zip(*map(score, texts), strict=True)) or [[], []]
-
-    return map_texts(rows, "text", [id_col, "learn"], make, [("lang_pred", "string"), ("score", "double")])
+    text = F.col(text_col).cast("string")
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.coalesce(learn, F.lit(False)).alias("learn"), text.alias("text"), F.when(text.isNotNull(), F.col(lang_col).cast("string")).alias("lang")
+    )
+    shares = {r["lang"]: r["count"] for r in rows.filter("learn AND lang IS NOT NULL").groupBy("lang").count().collect()}  # a row for each language
+    langs = sorted(shares)
+    blocks = counted_blocks(rows, langs)
+    met = met_words(blocks, len(langs))
+    totals = met.filter("first").select(F.explode(F.arrays_zip("langs", "counts")).alias("c")).groupBy("c.langs").agg(F.sum("c.counts").alias("tokens"), F.count("*").alias("kinds"))
+    of_words = {r["langs"]: (r["tokens"], r["kinds"]) for r in totals.collect()}  # a row for each language
+    unseen, of_grams = unseen_words(met, config.longest, config.add)
+    raised = F.transform("counts", lambda n: F.log((n + config.add) / config.add).cast("float"))
+    seen = write_side_files(met.filter("size(langs) > 0").select("block", "local", "langs", raised.alias("raised")), "seen", ["local"])
+    side = None
+    if unseen is not None:
+        asked = met.filter("size(langs) = 0").select("word", "block", "local").join(unseen, "word")
+        side = write_side_files(asked.select("block", "local", "size", "langs", F.col("raised").cast("array<float>").alias("raised")), "unseen", ["local"])
+    return score_blocks(blocks, LangModel(langs, [shares[x] for x in langs], {0: of_words} | of_grams, config), seen, side, id_col)

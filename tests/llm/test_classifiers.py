@@ -1,7 +1,10 @@
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from talkloom.llm import language_id as li
 from talkloom.llm import quality_classifier as qc
@@ -171,12 +174,48 @@ def test_languages(spoken):
     assert found.lang_pred[1003] == "de" and found.score.between(0, 1).all()
 
 
-def test_unseen_words_fall_back_to_shorter_grams(spoken):
-    model = li.learn_languages(spoken.filter("lang IS NOT NULL AND text IS NOT NULL"), li.LangConfig())
-    score = li.Scorer(model)
-    assert score("zzzgarten")[0] == "de" and score("qqq wwwq")[0] in model.langs
-    small = li.Scorer(model, most=3)
-    assert small("garten haus wasser gartenhaus hausgarten mitgarten")[0] == "de"
+def test_language_scores_equal_direct_sums(spark, spoken, monkeypatch):
+    """Every prediction and score recomputed by plain loops, with several small blocks."""
+    monkeypatch.setattr(li, "_LISTED", 7)
+    rows = spoken.unionByName(spark.createDataFrame([(2000, "xgartenx half ½ 漢 garten garten", None), (None, "zz qq", "de"), (2001, "12 _ ½", "en"), (2002, "the ab b", "fr")], spoken.schema)).repartition(5)
+    learn, config = remainder(F.col("doc_id"), 3) != 1, li.LangConfig(longest=4)
+    found = {r.doc_id: r for r in li.identify_languages(rows, learn, config).collect()}
+    texts = rows.withColumn("learn", learn).collect()
+    train = [r for r in texts if r.learn and r.lang is not None and r.text is not None]
+    langs = sorted({r.lang for r in train})
+    words = {x: Counter(w for r in train if r.lang == x for w in li.words_of(r.text)) for x in langs}
+    grams = [{x: Counter() for x in langs} for _ in range(5)]
+    for x in langs:
+        for w, n in words[x].items():
+            for size in range(1, 5):
+                for g in li.grams_of(w, size):
+                    grams[size][x][g] += n
+
+    def logs(table, item):
+        kinds = max(len(c) for c in table.values())
+        return np.array([math.log((table[x][item] + 0.5) / (sum(table[x].values()) + 0.5 * (kinds + 1))) for x in langs])
+
+    def of_word(w):
+        if any(words[x][w] for x in langs):
+            return logs(words, w)
+        for size in range(4, 0, -1):
+            known = [g for g in li.grams_of(w, size) if any(grams[size][x][g] for x in langs)]
+            if known:
+                return np.mean([logs(grams[size], g) for g in known], axis=0)
+        return np.zeros(len(langs))
+
+    unseen = 0
+    for r in texts:
+        if r.text is None or not any(c.isalpha() for c in r.text):
+            assert (found[r.doc_id].lang_pred, found[r.doc_id].score) == ("und", 0.0)
+            continue
+        total = np.log([sum(t.lang == x for t in train) / len(train) for x in langs])
+        for w in li.words_of(r.text):
+            unseen += not any(words[x][w] for x in langs)
+            total = total + of_word(w)
+        assert found[r.doc_id].lang_pred == langs[int(np.argmax(total))]
+        assert found[r.doc_id].score == pytest.approx(1 / np.exp(total - total.max()).sum(), rel=1e-4)
+    assert unseen > 3
 
 
 def test_language_odd_rows(odd, empty):
