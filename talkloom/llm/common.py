@@ -138,14 +138,15 @@ def open_store(path: str):
 
 
 class SideFiles:
-    """A table dealt by ``block`` into a bounded number of folders, for tasks that scan blocks.
+    """A table dealt by block into a bounded number of folders, for tasks that scan blocks.
 
     A folder holds the rows of several blocks in order, so a block is a few row groups of a file
-    or two, and there are as many folders as shuffle partitions, not as blocks.
+    or two, and there are as many folders as shuffle partitions, not as blocks.  The block is the
+    column ``key``, without its last ``shift`` bits.
     """
 
-    def __init__(self, path: str, folders: int):
-        self.path, self.folders = path, folders
+    def __init__(self, path: str, folders: int, key: str = "block", shift: int = 0):
+        self.path, self.folders, self.key, self.shift = path, folders, key, shift
 
     def read(self, block: int, columns: list[str]) -> pa.Table | None:
         """What was written for ``block``, or None."""
@@ -155,7 +156,8 @@ class SideFiles:
         store, folder = open_store(self.path)
         found = store.get_file_info(fs.FileSelector(f"{folder}/folder={block % self.folders}", allow_not_found=True))
         files = [f.path for f in found if f.path.endswith(".parquet")]
-        tables = [pq.read_table(f, filesystem=store, columns=columns, partitioning=None, filters=[("block", "=", block)]) for f in files]
+        own = [(self.key, ">=", block << self.shift), (self.key, "<", (block + 1) << self.shift)]
+        tables = [pq.read_table(f, filesystem=store, columns=columns, partitioning=None, filters=own) for f in files]
         return pa.concat_tables(tables) if tables else None
 
     def frame(self, spark: SparkSession, columns: str) -> DataFrame:
@@ -163,10 +165,11 @@ class SideFiles:
         return spark.read.schema(columns).parquet(self.path)
 
 
-def write_side_files(df: DataFrame, name: str, order: Sequence[str] = ()) -> SideFiles:
-    """Write ``df`` by its column ``block`` (not negative), within a block by ``order``."""
+def write_side_files(df: DataFrame, name: str, order: Sequence[str] = (), key: str = "block", shift: int = 0) -> SideFiles:
+    """Write ``df`` by block (not negative), within a block by ``order``."""
     path = new_path(df.sparkSession, name)
     folders = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.withColumn("folder", (F.col("block") % folders).cast("int")).repartition(folders, "folder").sortWithinPartitions("folder", "block", *order)
+    block = F.shiftright(F.col(key), shift) if shift else F.col(key)
+    dealt = df.withColumn("folder", (block % folders).cast("int")).repartition(folders, "folder").sortWithinPartitions("folder", key, *order)
     dealt.write.partitionBy("folder").option("compression", "zstd").option("parquet.block.size", str(4 << 20)).parquet(path)
-    return SideFiles(path, folders)
+    return SideFiles(path, folders, key, shift)

@@ -31,9 +31,11 @@ from pyspark.sql import functions as F
 from talkloom.llm.common import SideFiles, pieces, write_side_files, written
 
 END = b""  # no word is empty; number 0 of every block
-_BLOCKS_OF_TASK = 1 << 20
+_BLOCKS_OF_TASK = 1 << 12
+#: A word's place is its block and, in the last bits, its number there.
+_SHIFT = 24
 #: What bounds a block, and so the memory of a task; tokens, words that are worked on at once.
-_BLOCK_WORDS, _BLOCK_TOKENS = 300_000, 1_000_000
+_BLOCK_WORDS, _BLOCK_TOKENS = 450_000, 2_000_000
 _STEP, _LISTED = 500_000, 10_000
 
 
@@ -42,7 +44,7 @@ class LmConfig:
     """``core``: words that start the clustering, for ``rounds`` rounds; ``least``: count from
     which a word is exchanged; ``sweeps``: rounds over these words, each for a part of them."""
 
-    classes: int = 48
+    classes: int = 48  # less than 8,191
     core: int = 1500
     rounds: int = 8
     least: int = 128
@@ -138,10 +140,10 @@ class Blocks:
     def read(self, block: int, size: int) -> None:
         self.total, self.classes = np.zeros(size, np.int64), np.full(size, -1, np.int32)
         for side in self.placed:
-            found = side.read(block, ["local", "total", "class"])
+            found = side.read(block, ["place", "total", "state"])
             if found is not None:
-                at = found.column(0).to_numpy()
-                self.total[at], self.classes[at] = found.column(1).to_numpy(), found.column(2).to_numpy()
+                at = found.column(0).to_numpy() - (block << _SHIFT)
+                self.total[at], self.classes[at] = found.column(1).to_numpy(), found.column(2).to_numpy() // _STATE
 
 
 def steps(flat: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -324,13 +326,17 @@ def _class_table(neighbours: DataFrame, classes: np.ndarray, k: int) -> np.ndarr
 
 # -- all words ------------------------------------------------------------------------------
 
-_EVIDENCE = "h bigint, block bigint, local int, total bigint, class int, places array<int>, counts array<int>"
-_PLACED = "block bigint, local int, total bigint, class int, old int, first boolean"
+_EVIDENCE = "h bigint, place bigint, total bigint, class int, cells array<int>"
+#: ``state``: a word's class, the one before it (by 1 higher, 0 for none), and in the last bit
+#: whether the row is the word's first.
+_PLACED = "place bigint, total bigint, state int"
+_STATE = 1 << 14
 
 
-def evidence(encoded: DataFrame, listed: Callable[[], Callable], k: int, hashed: bool = True) -> DataFrame:
-    """For each block some of its words with the classes of their neighbours: places below k of
-    the word before, below 2k of the word after, 2k for itself.
+def evidence(encoded: DataFrame, listed: Callable[[], Callable], k: int) -> DataFrame:
+    """For each block some of its words with the classes of their neighbours, as cells of count
+    and kind (``count * (2k + 1) + kind``): kinds below k for the word before, below 2k for the
+    word after, 2k for itself.
 
     ``listed()`` gives a function of a block, its hashes and counts to (numbers of the words,
     their totals, their classes, classes of all words as neighbours).
@@ -361,9 +367,9 @@ def evidence(encoded: DataFrame, listed: Callable[[], Callable], k: int, hashed:
             for i in range(0, len(some), _LISTED):
                 j = min(i + _LISTED, len(some))
                 part, here, bounds = some[i:j], slice(ends[i], ends[j]), pa.array((ends[i : j + 1] - ends[i]).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(bounds, pa.array(x.astype(np.int32))) for x in (codes[here] % width, counts[here])]
-                plain = [hashes[part], np.full(j - i, block), part.astype(np.int32), totals[i:j].astype(np.int64), own[i:j].astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in plain), *lists], ["h", "block", "local", "total", "class", "places", "counts"])
+                cells = pa.ListArray.from_arrays(bounds, pa.array((counts[here] * width + codes[here] % width).astype(np.int32)))
+                plain = [hashes[part], (block << _SHIFT) + part.astype(np.int64), totals[i:j].astype(np.int64), own[i:j].astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in plain), cells], ["h", "place", "total", "class", "cells"])
 
         return work
 
@@ -384,38 +390,35 @@ def summed(rows: DataFrame, width: int, add: bool, decide: Callable[[np.ndarray,
 
     Words come sorted, batch by batch; a word has at most a row for each block.
     """
-    names = ["block", "local", "total", "class", "old", "first"]
+    names = ["place", "total", "state"]
 
     def run(batches):
-        held = None  # the word that the last batch ended with: hash, sums, class, total, its (blocks, locals)
+        held = None  # the word that the last batch ended with: hash, sums, class, total, its places
 
         def answer(hashes, tables, classes, totals, runs):
             found = decide(hashes, tables, classes).astype(np.int32)
-            sizes = np.array([len(x) for x, _ in runs])
-            first = np.zeros(sizes.sum(), bool)
-            first[np.cumsum(sizes) - sizes] = True
-            columns = [np.concatenate([x for x, _ in runs]), np.concatenate([x for _, x in runs]), *(np.repeat(x, sizes) for x in (totals, found, classes)), first]
+            sizes = np.array([len(x) for x in runs])
+            state = np.repeat(found * _STATE + (classes + 1) * 2, sizes).astype(np.int32)
+            state[np.cumsum(sizes) - sizes] += 1
             some = np.flatnonzero(np.repeat((totals > 0) & (found != classes), sizes))
-            return pa.RecordBatch.from_arrays([pa.array(c[some]) for c in columns], names)
+            return pa.RecordBatch.from_arrays([pa.array(c[some]) for c in (np.concatenate(runs), np.repeat(totals, sizes), state)], names)
 
         def alone():
             h, sums, now, total, asked = held
-            whole = tuple(np.concatenate([x[i] for x in asked]) for i in (0, 1))
-            return answer(np.array([h]), sums[None], np.array([now], np.int32), np.array([total]), [whole])
+            return answer(np.array([h]), sums[None], np.array([now], np.int32), np.array([total]), [np.concatenate(asked)])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            h, blocks, local, totals, classes = (batch.column(i).to_numpy() for i in range(5))
+            h, places, totals, classes = (batch.column(i).to_numpy() for i in range(4))
             starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
             bounds = np.append(starts, len(h))
-            lists, counts = batch.column(5), batch.column(6)
-            ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            places, n = lists.flatten().to_numpy(), counts.flatten().to_numpy()
+            ends = batch.column(4).offsets.to_numpy() - batch.column(4).offsets[0].as_py()
+            cells = batch.column(4).flatten().to_numpy()
             owner = np.repeat(np.arange(len(starts)), np.diff(ends[bounds]))
-            tables = np.bincount(owner * width + places, n, len(starts) * width).reshape(-1, width)
+            tables = np.bincount(owner * width + cells % width, cells // width, len(starts) * width).reshape(-1, width)
             sums = np.add.reduceat(totals, starts) if add else totals[starts].copy()
-            runs = [(blocks[a:b], local[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+            runs = [places[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
             begin = 0
             if held is not None and held[0] == h[0]:
                 held = (held[0], held[1] + tables[0], held[2], held[3] + (sums[0] if add else 0), [*held[4], runs[0]])
@@ -462,7 +465,7 @@ def place_all(encoded: DataFrame, core: np.ndarray, core_classes: np.ndarray, co
         found = likeliest(tables[:, : 2 * k], logs)
         return np.where(at >= 0, placed[at], found) if len(core) else found
 
-    return write_side_files(summed(evidence(encoded, listed, k), 2 * k + 1, True, decide), "words", ["local"])
+    return write_side_files(summed(evidence(encoded, listed, k), 2 * k + 1, True, decide), "words", key="place", shift=_SHIFT)
 
 
 def class_table(encoded: DataFrame, placed: tuple[SideFiles, ...], k: int) -> np.ndarray:
@@ -520,7 +523,7 @@ def sweep(encoded: DataFrame, placed: tuple[SideFiles, ...], table: np.ndarray,
             out[i] = place if gain > 1e-9 else now
         return out
 
-    return write_side_files(summed(evidence(encoded, listed, k), 2 * k + 1, False, decide), "moved", ["local"])
+    return write_side_files(summed(evidence(encoded, listed, k), 2 * k + 1, False, decide), "moved", key="place", shift=_SHIFT)
 
 
 @dataclass(frozen=True)
@@ -561,11 +564,13 @@ def learn_model(encoded: DataFrame, config: LmConfig) -> tuple[LmModel, tuple[Si
     placed = (place_all(encoded, core, core_classes, core_table, config),)
     sizes = np.zeros((2, k))
 
-    def of_firsts(side: SideFiles, column: str):
-        found = side.frame(spark, _PLACED).filter(F.col("first") & (F.col(column) >= 0)).groupBy(column).agg(F.sum("total"), F.count("*"))
+    new, old = F.floor(F.col("state") / _STATE), F.floor(F.col("state") % _STATE / 2) - 1
+
+    def of_firsts(side: SideFiles, column: Column):
+        found = side.frame(spark, _PLACED).filter((F.col("state") % 2 == 1) & (column >= 0)).groupBy(column).agg(F.sum("total"), F.count("*"))
         return [(place, np.array([tokens, kinds])) for place, tokens, kinds in found.collect()]  # at most k rows
 
-    for place, n in of_firsts(placed[0], "class"):
+    for place, n in of_firsts(placed[0], new):
         sizes[:, place] += n
     likelihoods = []
     counts = class_table(encoded, placed, k)
@@ -573,7 +578,7 @@ def learn_model(encoded: DataFrame, config: LmConfig) -> tuple[LmModel, tuple[Si
         likelihoods.append(likelihood_of(counts[:k, :k]))
         moved = sweep(encoded, placed, counts[:k, :k], turn, config)
         placed = (*placed, moved)
-        for column, sign in (("class", 1), ("old", -1)):
+        for column, sign in ((new, 1), (old, -1)):
             for place, n in of_firsts(moved, column):
                 sizes[:, place] += sign * n
         counts = class_table(encoded, placed, k)

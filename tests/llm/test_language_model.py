@@ -67,8 +67,8 @@ def test_score_equals_direct_sums(spark, corpus):
     found = [{}, {}, {}]
     for classes, side in zip(found, placed, strict=True):
         for r in side.frame(spark, lm._PLACED).collect():
-            word = numbered[r.block, r.local]
-            assert classes.setdefault(word, r["class"]) == r["class"]  # one class in all blocks
+            word = numbered[r.place >> lm._SHIFT, r.place % (1 << lm._SHIFT)]
+            assert classes.setdefault(word, r.state // lm._STATE) == r.state // lm._STATE  # one class in all blocks
     before, classes = found[0], found[0] | found[1] | found[2]
     known = [ws for learned, ws in texts if learned]
     counts = Counter(w for ws in known for w in ws)
