@@ -87,20 +87,29 @@ def contamination(docs, items, size=10):
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
-def test_contamination_equals_brute_force(spark, block_bytes):
+@pytest.mark.parametrize("bits", [1 << 28, 1 << 15])
+def test_contamination_equals_brute_force(spark, monkeypatch, bits):
+    monkeypatch.setattr(dc, "MOST_BITS", bits)
     rng = random.Random(8)
     word = lambda: rng.choice("the a of cat dog Été x1 in on it".split())
     items = [(i, " ".join(word() for _ in range(rng.choice([1, 2, 5, 9, 10, 14])))) for i in range(12)] + [(50, None), (51, " ...!"), (52, "solo"), (10, "the cat")]
     docs = [" ".join(word() for _ in range(rng.randrange(60))) + " " + rng.choice(items[:12])[1] + ", solo!" * (i % 5 == 0) for i in range(40)] + [None, "", "THE CAT"]
     frame = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
     bench = spark.createDataFrame(items, "item_id bigint, text string")
-    found = sorted(dc.find_contamination(frame, bench, block_bytes=block_bytes).collect(), key=lambda r: r.doc_id)
+    found = sorted(dc.find_contamination(frame.repartition(3), bench).collect(), key=lambda r: r.doc_id)
     for row, (n, hit, own) in zip(found, contamination(docs, items), strict=True):
         assert (row.n_words, row.n_hit, row.item_ids) == (n, hit, own)
         assert sum(row.ends) - sum(row.starts) == hit
 
 
+def test_bit_table_of_chosen_places(spark):
+    rng = np.random.default_rng(1)
+    values = rng.integers(-(1 << 63), (1 << 63) - 1, 3000)
+    table = dc.bit_table(spark.createDataFrame([(int(v),) for v in values], "h bigint"), 3000)
+    assert len(table) * 8 == 1 << 18 and dc.has_bit(table, values.view(np.uint64)).all()
+    assert dc.has_bit(table, rng.integers(0, 1 << 63, 20_000).astype(np.uint64)).mean() < 0.03
+
+
 def test_contamination_odd_rows(spark, odd, empty):
     bench = spark.createDataFrame([(1, "two words")], "item_id bigint, text string")
     found = dc.find_contamination(odd, bench).collect()
