@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from talkloom.catalog.base import DAY, MONTH, Registry, flat_rows, messages, over, q_messages
 from talkloom.functions import texts
 from talkloom.operators import combine, coverage, filters, identity, observe, stats
+from talkloom.plans import views
 from talkloom.sources import readers
 
 query = Registry()
@@ -229,4 +230,10 @@ def safe_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.table(spark, sf_dir, "customer").select("c_custkey", texts.safe_name(c).alias("safe"), texts.partition_key(F.lit("群聊"), c).alias("part"))
 
 
+@query("""SELECT c_custkey AS uid, c_mktsegment AS contact_type FROM customer WHERE lower(c_mktsegment) IN ('building', 'machinery')""")
+def contacts_of_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    people = readers.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("uid"), F.col("c_mktsegment").alias("contact_type"))
+    return views.contacts(people, kinds=("Building", "MACHINERY"))
+
+
 QUERIES, ORACLE_SQL = query.queries, query.sql

@@ -70,17 +70,22 @@ def attach_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
   WHERE timestamp < 1704816000) WHERE r > 50 AND r <= 100"""))
 def merged_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second page of all sources as of a fixed time, by the cursor of the first."""
-    rows = messages(spark, sf_dir).filter(TimeRange.of(end="2024-01-09").holds(F.col("timestamp")))
+    rows = messages(spark, sf_dir).filter(TimeRange().clipped(1704816000).holds(F.col("timestamp")))
     scope = {"descending": True, "snapshot": 1704816000, "chats": "all"}
     first = paging.keyset_page(rows, 50, **scope)
     return paging.keyset_page(rows, 50, first.next_cursor, **scope).rows.select("source", "record_id")
 
 
-@query(r"""SELECT page_id, nullif(regexp_extract(html, '<a\b[^>]*?\shref\s*=\s*["'']([^"'']*)["'']', 1), '') AS href, nullif(regexp_extract(html, '<a\b[^>]*?\sclass\s*=\s*["'']([^"'']*)["'']', 1), '') AS class
-  FROM pages WHERE length(html) <= 2000000 AND NOT regexp_matches(upper(html), '<!(DOCTYPE|ENTITY)') AND regexp_matches(html, '<a\b')""")
+@query(r"""SELECT page_id, nullif(regexp_extract(t, '<a\b[^>]*?\shref\s*=\s*["'']([^"'']*)["'']', 1), '') AS href, nullif(regexp_extract(t, '<html\b[^>]*?\slang\s*=\s*["'']([^"'']*)["'']', 1), '') AS lang
+  FROM (SELECT page_id, CASE WHEN length(html) <= 2000000 AND NOT regexp_matches(upper(html), '<!(DOCTYPE|ENTITY)') THEN html END AS t
+    FROM (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN html ELSE regexp_replace(html, '^<!DOCTYPE html>', '') END AS html FROM pages))""")
 def node_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    node = texts.node_attributes(F.col("html"), "a", ["href", "class"])
-    return readers.table(spark, sf_dir, "pages").select("page_id", node.alias("n")).filter("n IS NOT NULL").select("page_id", "n.href", "n.class")
+    """Of a link and of the page; every other page comes without its document type, which is refused."""
+    pages = readers.table(spark, sf_dir, "pages")
+    html = F.when(F.col("page_id") % 2 == 0, F.col("html")).otherwise(F.regexp_replace("html", "^<!DOCTYPE html>", ""))
+    return pages.select(
+        "page_id", texts.node_attributes(html, "a", ["href"])["href"].alias("href"), texts.node_attributes(html, "html", ["lang"])["lang"].alias("lang")
+    )
 
 
 @query("SELECT c_custkey::VARCHAR AS uid, NULL::VARCHAR AS uin, c_name AS nick, c_mktsegment AS remark FROM customer")

@@ -53,21 +53,23 @@ def match_identities(patches: DataFrame, messages: DataFrame) -> DataFrame:
     """Patches (patch_id and identity columns) to messages by chat, time and a native id.
 
     Any known field that differs vetoes; patches without chat, time or id are skipped; more
-    than one match is ambiguous.  An equality join on (chat, time), the rest as a filter.
+    than one match is ambiguous.  An equality join for each native id, with chat and time; a
+    message that a patch has met by one id is not met again by the next.
     """
     have = [c for c in IDENTITY if c in patches.columns and c in messages.columns]
     full = F.col("chat_id").isNotNull() & F.col("timestamp").isNotNull() & (F.col("message_id").isNotNull() | F.col("local_id").isNotNull())
     asked = patches.select("patch_id", full.alias("full"), *have)
     p, m = asked.filter("full").alias("p"), messages.select("record_id", *have).alias("m")
-    joined = p.join(m, ["chat_id", "timestamp"])
-    ok, native = F.lit(True), F.lit(False)
+    consistent, met, found = F.lit(True), F.lit(False), None
     for c in have:
-        if c in ("chat_id", "timestamp"):
-            continue
-        ok = ok & ~contradicts(F.col(f"p.{c}"), F.col(f"m.{c}"))
-        if c in ("message_id", "local_id"):
-            native = native | F.coalesce(F.col(f"p.{c}") == F.col(f"m.{c}"), F.lit(False))
-    hits = joined.filter(ok & native).groupBy("patch_id").agg(F.count("*").alias("matches"), F.min("m.record_id").alias("record_id"))
+        if c not in ("chat_id", "timestamp"):
+            consistent = consistent & ~contradicts(F.col(f"p.{c}"), F.col(f"m.{c}"))
+    for c in (c for c in ("message_id", "local_id") if c in have):
+        same = [F.col(f"p.{k}") == F.col(f"m.{k}") for k in ("chat_id", "timestamp", c)]
+        part = p.join(m, same).filter(consistent & ~met).select("p.patch_id", "m.record_id")
+        met = met | F.coalesce(F.col(f"p.{c}") == F.col(f"m.{c}"), F.lit(False))
+        found = part if found is None else found.unionByName(part)
+    hits = found.groupBy("patch_id").agg(F.count("*").alias("matches"), F.min("record_id").alias("record_id"))
     out = asked.select("patch_id", "full").join(hits, "patch_id", "left")
     n = F.coalesce("matches", F.lit(0))
     status = F.when(~F.col("full"), "skipped").when(n == 0, "not_found").when(n > 1, "ambiguous").otherwise("matched")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from talkloom.sources.scratch import kept
+
 FACTS = ("message_id", "timestamp", "sender_id", "direction", "kind", "text")
 
 
@@ -48,7 +50,8 @@ def context(messages: DataFrame, targets: DataFrame, before: int = 10, after: in
     """
     if not (0 <= before <= 50 and 0 <= after <= 50):
         raise ValueError("between 0 and 50 neighbours on a side")
-    placed = positions(messages)
+    # used twice, for the targets and for their neighbours: placed once
+    placed = kept(positions(messages).select("chat_id", "record_id", "timestamp", "text", "position", "same_second"), "positions")
     mine = targets.join(placed.filter("same_second = 1").select("chat_id", "record_id", "position"), ["chat_id", "record_id"])
     wanted = mine.select("target_id", "chat_id", F.col("position").alias("__at"), F.explode(F.sequence(F.col("position") - before, F.col("position") + after)).alias("position"))
     found = wanted.join(placed, ["chat_id", "position"])

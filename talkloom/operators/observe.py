@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkloom.operators.lookup import positions
+from talkloom.sources.scratch import kept
 
 
 def fold_observations(log: DataFrame, keys: tuple[str, ...] = ("chat_id", "msg_id"), columns: tuple[str, ...] = ("text", "kind")) -> DataFrame:
@@ -43,7 +44,7 @@ def recall_context(messages: DataFrame, recall: Column, size: int = 3) -> DataFr
 
     Neighbours are joined by their place in the chat, so a huge chat is not ordered in one task.
     """
-    placed = positions(messages.withColumn("__recall", recall), "msg_id")
+    placed = kept(positions(messages.withColumn("__recall", recall), "msg_id"), "positions")
     events = placed.filter("__recall").select(*messages.columns, "position")
     steps = F.array(*[F.lit(i) for i in range(-size, size + 1) if i])
     wanted = events.select("chat_id", F.col("msg_id").alias("__event"), F.col("position").alias("__at"), F.explode(steps).alias("__step"))

@@ -402,6 +402,11 @@ def test_updates_keep_source_facts(spark):
 
 def test_views(spark, chat):
     assert views.sessions(chat).count() == 2
+    people = spark.createDataFrame([(1, "Friend"), (2, "group"), (3, "official")], "uid int, contact_type string")
+    uids = lambda **f: [r.uid for r in views.contacts(people, **f).collect()]
+    assert (uids(friends_only=True), uids(groups_only=True), uids(kinds=("OFFICIAL", "group")), uids()) == ([1], [2], [2, 3], [1, 2, 3])
+    with pytest.raises(ValueError):
+        views.contacts(people, friends_only=True, groups_only=True)
     schema = views.register(spark, {"chat_messages": chat})
     assert schema.filter("column_name = 'record_id'").first().data_type == "string" and spark.sql("SELECT count(*) AS n FROM chat_messages").first().n == 60
 
