@@ -163,8 +163,9 @@ def pack_documents(
     into pieces of ``size``, of which the first may be shorter.  The histogram of lengths (at
     most ``size`` counts) is all the driver sees; the plan maps the n-th piece of a length to a
     sequence and a place, and pieces find their n by counts of tasks and lengths, so no length,
-    however common, meets in one task.  An empty table gives an empty result; repeated rows are
-    packed one by one.
+    however common, meets in one task.  Whole texts are packed, however long; pieces of equal length
+    are taken in the order of tasks; an id may be null, and repeated rows are packed one by one;
+    other columns are not read.  An empty table gives an empty result.
     """
     pieces = written(cut_pieces(docs, tokenizer_path, size, end_id, id_col, text_col), "pieces")
     counts = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))

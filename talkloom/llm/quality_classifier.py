@@ -194,8 +194,9 @@ def score_quality(
 
     ``score`` is the calibrated probability of label 1.  Null and empty texts have zero
     statistics and are scored by them; rows without a label, or with a null one, are not
-    fitted; with no labels at all the score is 0.5.  Repeated rows are scored one by one, an
-    empty table gives an empty result.  One pass over the texts yields the small table that is
+    fitted; with no labels at all the score is 0.5.  Whole texts count, however long.  Repeated
+    rows are scored one by one, so are rows without an id, which match no label; equal scores
+    are equally judged; other columns are not read; an empty table gives an empty result.  One pass over the texts yields the small table that is
     joined with the labels, another scores; texts are never shuffled.
     """
     config = config or QualityConfig()

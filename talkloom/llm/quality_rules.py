@@ -119,7 +119,8 @@ def apply_host_rules(
 ) -> DataFrame:
     """Counts and verdicts of every document; ``kept`` needs its own base rules and its host's.
 
-    Null or empty text: no words, so ``base_failed``.  A null host is the host ``''``.  Repeated
+    Null or empty text: no words, so ``base_failed``.  Whole texts are counted, however long; an id
+    may be null.  A null host is the host ``''``.  Repeated
     rows are judged one by one; an empty table gives an empty result; other columns are not read.
     The documents are read once: counts go to the shared folder, then host sums (partial before
     the shuffle, so a hot host is one row a task) and the verdicts are joined back.
