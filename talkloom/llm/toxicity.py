@@ -26,6 +26,8 @@ from talkloom.llm.quality_classifier import isotonic
 
 _WORD = re.compile(r"[^\W\d_]+")
 _COPY = 0.999
+#: Postings that a query adds up before it looks at bounds, for each example.
+HEAD = 12
 
 
 @dataclass(frozen=True)
@@ -33,7 +35,7 @@ class ToxicConfig:
     """``examples``, ``example_bytes``: at most so many labelled texts of so many bytes in all are
     used, whole, in the order of a hash of their ids.  They bound what is sent to tasks."""
 
-    examples: int = 5_000
+    examples: int = 3_000
     example_bytes: int = 24 << 20
     tie_weight: float = 5.0
     neighbours: int = 15
@@ -69,9 +71,9 @@ class Terms:
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(coordinates, values), ascending; empty for a text without a known word."""
         get = self.index.get
-        counts = Counter([i for i in map(get, words_of(text)) if i is not None])
-        at = np.array(sorted(counts), dtype=np.int32)
-        values = (1 + np.log(np.array([counts[i] for i in at.tolist()], float))) * self.weight[at]
+        ids = np.array([get(w, -1) for w in words_of(text)], np.int32)
+        at, counts = np.unique(ids[ids >= 0], return_counts=True)
+        values = (1 + np.log(counts)) * self.weight[at]
         norm = np.linalg.norm(values)
         return (at, values / norm) if norm else (at[:0], values[:0])
 
@@ -123,7 +125,7 @@ class BlockMaxIndex:
     def nearest(self, at: np.ndarray, values: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples, nearest first, ties by place."""
         order = np.argsort(-(values * self.most[at]), kind="stable")
-        cut = 1 + int(np.searchsorted(np.cumsum(self.sizes[at[order]]), 2 * len(self.labels)))
+        cut = 1 + int(np.searchsorted(np.cumsum(self.sizes[at[order]]), HEAD * len(self.labels)))
         head, tail = order[:cut], order[cut:]
         found = self._added(at[head], values[head])
         places = np.arange(len(found))
