@@ -1,5 +1,6 @@
 import math
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -63,15 +64,54 @@ def test_features_approximate_the_kernel():
     assert np.abs(z @ z.T - np.exp(-distance / (2 * 5))).max() < 0.05
 
 
+def monotone_fit(means, weights):
+    """The least squares non-decreasing fit, by its minimax formula."""
+    mean = lambda i, j: np.average(means[i : j + 1], weights=weights[i : j + 1])
+    n = len(means)
+    return np.array([max(min(mean(i, j) for j in range(k, n)) for i in range(k + 1)) for k in range(n)])
+
+
 def test_isotonic_is_the_least_squares_monotone_fit():
     rng = np.random.default_rng(1)
-    centres, counts = np.arange(30.0), rng.integers(1, 9, 30)
+    centres, counts = np.arange(30.0), rng.integers(0, 9, 30)
     sums = rng.binomial(counts, np.clip(np.linspace(0, 1, 30) + rng.normal(0, 0.2, 30), 0, 1))
     knots, values = qc.isotonic(centres, sums, counts)
-    assert (np.diff(values) > 0).all() and (np.diff(knots) > 0).all()
-    assert np.isclose((values[:, None] >= 0).all(), True)
-    # pooled means: every prefix average of a block is no less than the block's
-    assert np.isclose(sums.sum() / counts.sum(), np.average([s / c for s, c in zip(sums, counts, strict=True)], weights=counts))
+    some = counts > 0
+    want = monotone_fit(sums[some] / counts[some], counts[some])
+    assert np.allclose(values, np.unique(np.round(want, 12)))
+    for knot, value in zip(knots, values, strict=True):  # a knot is where its block lies on average
+        block = np.isclose(want, value)
+        assert np.isclose(knot, np.average(centres[some][block], weights=counts[some][block]))
+
+
+def test_quality_scores_equal_direct_sums(labelled):
+    """Every score recomputed with plain matrices over all texts."""
+    docs, labels = labelled
+    config = qc.QualityConfig(features=12)
+    found = {r.doc_id: r for r in qc.score_quality(docs, labels, lambda k: remainder(k, 5) != 0, config=config).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    crc = lambda text: zlib.crc32(text.encode())
+    known = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None and r.doc_id in texts and crc(str(r.doc_id)) % 5}
+    ids = sorted(known)
+    stats = {i: np.array(qc.statistics(t)) for i, t in texts.items()}
+    held = [i for i in ids if crc(f"{i}/fold") % 5 == 0]
+    fitted = [i for i in ids if i not in set(held)]
+    x, y = np.array([stats[i] for i in fitted]), np.array([known[i] for i in fitted], float)
+    z = qc.Fourier(x.mean(0), np.maximum(x.std(0), 1e-6), config)
+    left = z(x).T @ z(x)
+    weights = np.linalg.solve(left + config.ridge * np.trace(left) / len(left) * np.eye(len(left)), z(x).T @ y)
+    place = lambda raw: np.clip((raw + 0.5) / 2 * config.bins, 0, config.bins - 1).astype(int)
+    raw = z(np.array([stats[i] for i in held])) @ weights
+    counts = np.bincount(place(raw), minlength=config.bins)
+    sums = np.bincount(place(raw), [known[i] for i in held], config.bins)
+    some = counts > 0
+    fit = monotone_fit(sums[some] / counts[some], counts[some])
+    centres = ((np.arange(config.bins) + 0.5) / config.bins * 2 - 0.5)[some]
+    levels = np.unique(np.round(fit, 12))
+    knots = [np.average(centres[np.isclose(fit, v)], weights=counts[some][np.isclose(fit, v)]) for v in levels]
+    for i, own in stats.items():
+        want = float(np.interp(z(own[None]) @ weights, knots, levels)[0])
+        assert found[i].score == pytest.approx(want, abs=1e-6) and found[i].predicted == int(found[i].score >= config.threshold)
 
 
 def test_quality_odd_rows(labelled, odd, empty):

@@ -54,3 +54,57 @@ def test_run_and_empty(spark, folder, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{place}/{name}.parquet").filter("false").write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_equals_brute_force(spark, folder):
+    """Near copies, cuts, leaks and pieces of a whole run recomputed from the classifier's choice."""
+    import zlib
+    from collections import Counter
+    from itertools import combinations
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from talkloom.llm.decontaminate import words_of
+    from talkloom.llm.queries import tokenizer
+
+    place, _ = folder
+    docs = spark.read.parquet(f"{place}/documents.parquet")
+    kept = {r.doc_id: r.text or "" for r in corpus_pipeline.quality(spark, docs, place).collect()}
+    grams = lambda ws, n: {tuple(ws[i : i + n]) for i in range(len(ws) - n + 1)} or ({tuple(ws)} if ws else set())
+    sets = {i: grams(t.encode().lower().split(), 5) for i, t in kept.items()}
+    root = {i: i for i in kept}
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    for i, j in combinations(sorted(kept), 2):
+        whole = len(sets[i] | sets[j])
+        if not whole or len(sets[i] & sets[j]) * 5 >= whole * 4:
+            root[max(find(i), find(j))] = min(find(i), find(j))
+    texts = {i: kept[i].encode() for i in kept if find(i) == i}
+    starts = Counter(t[i : i + 250] for t in texts.values() for i in range(len(t) - 249))
+    cut = {}
+    for key, t in texts.items():
+        hit = np.zeros(len(t), bool)
+        for i in range(len(t) - 249):
+            if starts[t[i : i + 250]] > 1:
+                hit[i : i + 250] = True
+        cut[key] = np.frombuffer(t, np.uint8)[~hit].tobytes().decode("utf-8", "ignore")
+    items = [words_of(r.text) for r in spark.read.parquet(f"{place}/benchmark.parquet").collect()]
+    windows = {tuple(w[i : i + 10]) for w in items for i in range(max(1, len(w) - 9))}
+    clean = {i: t for i, t in cut.items() if not windows & {tuple(words_of(t)[j : j + 10]) for j in range(len(words_of(t)))}}
+    assert len(texts) < len(kept) and len(clean) < len(texts) and cut != {i: t.decode() for i, t in texts.items()}
+    encoder = Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
+    want = {}
+    for i, t in clean.items():
+        ids = np.array([*encoder.encode(t, add_special_tokens=False).ids, 2], "<u4")
+        cuts = [0, *range(len(ids) % 1024 or 1024, len(ids) + 1, 1024)]
+        want |= {(i, p): (a, b - a, zlib.crc32(ids[a:b].tobytes())) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))}
+    rows = corpus_pipeline.run(spark, place).collect()
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in rows} == want and len(rows) == len(want)
+    ends = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert max(ends.values()) <= 1024
