@@ -192,15 +192,23 @@ def unseen_words(met: DataFrame, longest: int, add: float) -> tuple[DataFrame, d
     and by how much these raise each language's log frequency on average; and for each length used
     the total and the number of kinds of each language's n-grams.
 
-    A length is only counted while words are left that no longer n-gram is known of.
+    The longest n-grams are counted in all training words; of a shorter length, each is the
+    beginning of a longer one or the end of a word, so it is counted from these.
     """
     known = met.filter("first AND size(langs) > 0").select("word", F.explode(F.arrays_zip("langs", "counts")).alias("c")).select("word", F.col("c.langs").alias("lang"), F.col("c.counts").alias("n"))
     left = written(met.filter("first AND size(langs) = 0").select("word"), "unseen")
-    out, totals = None, {}
+    out, grams, totals = None, None, {}
+    marked = F.concat(F.lit("^"), "word", F.lit("$"))
     for size in range(longest, 0, -1):
         if not left.limit(1).count():
             break
-        grams = known.select("lang", "n", F.explode(_grams("word", size)).alias("gram")).groupBy("gram", "lang").agg(F.sum("n").alias("n"))
+        if grams is None:
+            found = known.select("lang", "n", F.explode(_grams("word", size)).alias("gram"))
+        else:
+            found = grams.select("lang", "n", F.substring("gram", 1, size).alias("gram"))
+            ends = known.filter(F.length(marked) >= size).select("lang", "n", F.right(marked, F.lit(size)).alias("gram"))
+            found = found.unionByName(ends) if size > 1 else found.filter("gram <> '^'")
+        grams = found.groupBy("gram", "lang").agg(F.sum("n").alias("n"))
         grams = written(grams, "grams")
         totals[size] = {r["lang"]: (r["tokens"], r["kinds"]) for r in grams.groupBy("lang").agg(F.sum("n").alias("tokens"), F.count("*").alias("kinds")).collect()}  # a row for each language
         own = left.select("word", F.explode(_grams("word", size)).alias("gram"))
