@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkloom.llm.common import map_texts, scan_texts, write_side_files, written
+from talkloom.llm.common import map_texts, scan_texts, write_side_files
 
 SEED = 42
 
