@@ -375,12 +375,14 @@ def repeated_runs(blocks: DataFrame, config: DedupConfig) -> tuple[SideFiles, Si
     anchors = runs.groupBy("anchor").agg(F.count("*").alias("uses"), F.max("several").alias("several")).filter("uses > 1 OR several")
     shared = written(runs.join(written(anchors.select("anchor"), "anchors"), "anchor", "left_semi"), "shared")
     row = F.struct("block", "rid", "first", "number")
-    contents = written(shared.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(row).alias("row")), "contents")
+    held = [F.count("*").alias("n"), F.min(row).alias("row"), F.collect_set("block").alias("blocks")]  # a number for each block at most
+    contents = written(shared.groupBy("anchor", "content").agg(*held), "contents")
     kinds = contents.groupBy("anchor").agg(F.count("*").alias("kinds"))
     stretches = written(fetch_stretches(blocks, contents.join(kinds, "anchor").select("anchor", "content", "n", "kinds", "row.*"), config.length), "stretches")
-    found = written(repeated_parts(stretches, config), "found")
-    asked = shared.select("block", "anchor", "content").distinct()
-    answers = asked.join(found, ["anchor", "content"]).select("block", "anchor", "content", "start", "number")
+    found = repeated_parts(stretches, config).groupBy("anchor", "content").agg(F.collect_list(F.struct("start", "number")).alias("parts"))
+    both = written(found, "found").join(contents.select("anchor", "content", "blocks"), ["anchor", "content"])
+    spread = both.select("anchor", "content", "parts", F.explode("blocks").alias("block")).select("block", "anchor", "content", F.explode("parts").alias("p"))
+    answers = spread.select("block", "anchor", "content", "p.start", "p.number")
     return write_side_files(shared.select("block", "rid", "first", "anchor", "content"), "runs-of-block"), write_side_files(answers, "repeats")
 
 
