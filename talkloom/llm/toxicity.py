@@ -257,11 +257,13 @@ def learn_examples(docs: DataFrame, labels: DataFrame, learn: Callable[[Column],
         return work
 
     rows = map_texts(examples, "text", ["key", "label"], make, [("at", "array<int>"), ("values", "array<double>")])
-    some = rows.filter(F.size("at") > 0).orderBy("key").collect()  # at most config.examples sparse rows
-    if not some:
+    some = rows.filter(F.size("at") > 0).orderBy("key").toArrow().combine_chunks()  # at most config.examples sparse rows
+    if not len(some):
         return ToxicModel(terms, None, base, config)
-    vectors = [(np.array(r["at"], np.int32), np.array(r["values"])) for r in some]
-    index = BlockMaxIndex(vectors, [r["label"] for r in some], [r["key"] for r in some], len(words), config.block)
+    ends = some.column("at").chunk(0).offsets.to_numpy()
+    at, values = (some.column(c).chunk(0).flatten().to_numpy() for c in ("at", "values"))
+    vectors = [(at[a:b], values[a:b]) for a, b in zip(ends[:-1] - ends[0], ends[1:] - ends[0], strict=True)]
+    index = BlockMaxIndex(vectors, some.column("label").to_pylist(), some.column("key").to_pylist(), len(words), config.block)
     model = ToxicModel(terms, index, base, config)
     voting = context.broadcast(model)
 
