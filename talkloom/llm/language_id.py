@@ -211,12 +211,14 @@ def unseen_words(met: DataFrame, longest: int, add: float) -> tuple[DataFrame, d
         grams = found.groupBy("gram", "lang").agg(F.sum("n").alias("n"))
         grams = written(grams, "grams")
         totals[size] = {r["lang"]: (r["tokens"], r["kinds"]) for r in grams.groupBy("lang").agg(F.sum("n").alias("tokens"), F.count("*").alias("kinds")).collect()}  # a row for each language
-        own = left.select("word", F.explode(_grams("word", size)).alias("gram"))
-        found = own.groupBy("word", "gram").agg(F.count("*").alias("times")).join(grams, "gram")
-        raised = found.groupBy("word", "lang").agg(F.sum(F.col("times") * F.log((F.col("n") + add) / add)).alias("sum"))
-        known_grams = found.select("word", "gram", "times").distinct().groupBy("word").agg(F.sum("times").alias("grams"))
-        scored = raised.join(known_grams, "word").groupBy("word").agg(F.collect_list(F.struct("lang", (F.col("sum") / F.col("grams")).alias("raised"))).alias("c"))  # a language each
-        scored = written(scored.select("word", F.lit(size).alias("size"), F.col("c.lang").alias("langs"), F.col("c.raised").alias("raised")), "scored")
+        # one row for each n-gram with its languages; the first of these counts the n-gram itself
+        of_gram = grams.groupBy("gram").agg(F.collect_list(F.struct("lang", "n")).alias("c"))
+        own = left.select("word", F.explode(_grams("word", size)).alias("gram")).join(of_gram, "gram")
+        rows = own.select("word", F.posexplode("c").alias("at", "c")).select("word", "at", "c.lang", F.log((F.col("c.n") + add) / add).alias("raised")).repartition("word")
+        by_lang = rows.groupBy("word", "lang").agg(F.sum("raised").alias("sum"), F.count_if(F.col("at") == 0).alias("grams"))
+        scored = by_lang.groupBy("word").agg(F.collect_list(F.struct("lang", "sum")).alias("c"), F.sum("grams").alias("grams"))  # a language each
+        mean = F.transform("c.sum", lambda x: x / F.col("grams")).alias("raised")
+        scored = written(scored.select("word", F.lit(size).alias("size"), F.col("c.lang").alias("langs"), mean), "scored")
         out = scored if out is None else out.unionByName(scored)
         left = written(left.join(scored, "word", "left_anti"), "unseen")
     return out, totals
