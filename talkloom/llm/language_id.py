@@ -25,7 +25,7 @@ from talkloom.llm.common import SideFiles, pieces, write_side_files, written
 _WORD = re.compile(r"[^\W\d_]+")
 _BLOCKS_OF_TASK = 1 << 20
 #: What bounds a block, and so the memory of a task; word counts that are worked on at once.
-_BLOCK_WORDS, _BLOCK_COUNTS = 300_000, 2_000_000
+_BLOCK_WORDS, _BLOCK_COUNTS = 500_000, 3_000_000
 _STEP, _LISTED = 300_000, 20_000
 
 
