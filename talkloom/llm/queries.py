@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.llm import decontaminate, language_id, language_model, packing, quality_classifier, quality_rules, simhash, suffix_dedup, tokens, toxicity
+from talkloom.llm import decontaminate, language_id, language_model, packing, quality_classifier, quality_rules, simhash, spelling, suffix_dedup, tokens, toxicity
 from talkloom.llm.common import remainder
 
 
@@ -143,6 +143,42 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i)) AS tab),
+run AS (
+  SELECT doc_id, run, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 5 GROUP BY ALL),
+hashed AS (
+  SELECT run, c, xor(list_reduce(list_transform(range(octet_length(k)), lambda j: ('0x' || substr(hex(k), 2 * j + 1, 2))::BIGINT), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) AS h
+  FROM (SELECT *, encode(coalesce(doc_id::VARCHAR, '') || ':' || run) AS k FROM run), crc),
+word AS (
+  SELECT word, sum(c)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+cut AS (SELECT DISTINCT word, n, left(word, i - 1) || substr(word, i + 1) AS less FROM word, unnest(range(1, length(word) + 1)) AS t(i)),
+hole AS (SELECT word, n, left(word, i - 1) || '*' || substr(word, i + 1) AS less FROM word, unnest(range(1, length(word) + 1)) AS t(i)),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS m FROM hole a JOIN hole b USING (less) WHERE a.word <> b.word
+  UNION SELECT c.word, c.n, w.word, w.n FROM cut c JOIN word w ON c.less = w.word
+  UNION SELECT w.word, w.n, c.word, c.n FROM cut c JOIN word w ON c.less = w.word),
+best AS (
+  SELECT word, other, m, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY m DESC, other) AS k FROM near),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN other END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n
+  FROM word w LEFT JOIN best b ON b.word = w.word AND k = 1),
+chain AS (
+  SELECT word, word AS root, form AS up FROM formed
+  UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON c.up = f.word)
+SELECT f.word, form, root, n, n_near, form_n FROM formed f JOIN chain c ON c.word = f.word AND c.up IS NULL
+"""
+
+
 QUERIES = {
     "op1_class_lm": op1_class_lm,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -154,6 +190,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_pack": op9_pack,
     "op10_simhash": op10_simhash,
+    "op12_spelling": op12_spelling,
 }
 
-ORACLE_SQL = {"op2_suffix_dedup": OP2_SQL, "op6_decontaminate": OP6_SQL, "op8_quality_rules": OP8_SQL}
+ORACLE_SQL = {"op2_suffix_dedup": OP2_SQL, "op6_decontaminate": OP6_SQL, "op8_quality_rules": OP8_SQL, "op12_spelling": OP12_SQL}
