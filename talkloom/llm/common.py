@@ -37,6 +37,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return kept(df, name)
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared folder that nothing will read again."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def remainder(column: Column, modulus: int) -> Column:
     """crc32 of the value as text, modulo ``modulus``; null counts as the empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % modulus

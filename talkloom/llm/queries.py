@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.llm import decontaminate, language_id, language_model, packing, quality_classifier, quality_rules, simhash, spelling, suffix_dedup, tokens, toxicity
+from talkloom.llm import decontaminate, language_id, language_model, lexical_search, packing, quality_classifier, quality_rules, simhash, spelling, suffix_dedup, tokens, toxicity
 from talkloom.llm.common import remainder
 
 
@@ -143,6 +143,30 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranked.select("item_id", "rank", "doc_id", "score")
+
+
+OP11_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents),
+item AS (
+  SELECT row_number() OVER () AS q, item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark),
+total AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS terms FROM doc WHERE len(w) > 0),
+posting AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM doc) GROUP BY ALL),
+weight AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM posting, total GROUP BY term, docs),
+asked AS (SELECT q, term, count(*) AS k FROM (SELECT q, unnest(w) AS term FROM item) GROUP BY ALL),
+scored AS (
+  SELECT q, p.r, sum(k * x.w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(d.w) * docs) // terms))))::BIGINT AS score
+  FROM asked JOIN posting p USING (term) JOIN weight x USING (term) JOIN doc d ON d.r = p.r, total GROUP BY q, p.r),
+ranked AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id)::INT AS rank FROM scored JOIN doc USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN item USING (q) WHERE rank <= 20
+"""
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(table(spark, sf_dir, "documents"))
 
@@ -190,7 +214,8 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_pack": op9_pack,
     "op10_simhash": op10_simhash,
+    "op11_lexical": op11_lexical,
     "op12_spelling": op12_spelling,
 }
 
-ORACLE_SQL = {"op2_suffix_dedup": OP2_SQL, "op6_decontaminate": OP6_SQL, "op8_quality_rules": OP8_SQL, "op12_spelling": OP12_SQL}
+ORACLE_SQL = {"op2_suffix_dedup": OP2_SQL, "op6_decontaminate": OP6_SQL, "op8_quality_rules": OP8_SQL, "op11_lexical": OP11_SQL, "op12_spelling": OP12_SQL}

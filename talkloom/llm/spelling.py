@@ -94,7 +94,7 @@ def dealt(rows: DataFrame) -> DataFrame:
     return rows.withColumn("way", F.explode(ways)).select("a", F.col("way.p").alias("p"), F.col("way.s").alias("s"), "word", "n").withColumn("key", _key())
 
 
-def groups(words: DataFrame, length: int, most: int = PILE) -> DataFrame:
+def groups(words: DataFrame, length: int, most: int) -> DataFrame:
     """All rows of groups of at most ``most`` words; only groups whose edit has one place left may
     be larger, and those have no more words than there are pairs of letters.
 
@@ -265,7 +265,7 @@ def group_variants(docs: DataFrame, text: str = "text", key: str = "doc_id", len
     columns are not read.  A table without words gives no rows.
     """
     vocabulary = written(count_words(docs, text, key, length, least), "vocabulary")
-    found = match_groups(groups(vocabulary, length))
+    found = match_groups(groups(vocabulary, length, PILE))
     best = F.min(F.struct((-F.col("best_n")).alias("least"), F.col("best").alias("word")))
     near = found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("near"))
     enough = -F.col("near.least") >= ratio * F.col("n")
