@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.llm import decontaminate, language_id, language_model, lexical_search, packing, quality_classifier, quality_rules, simhash, spelling, suffix_dedup, tokens, toxicity
+from talkloom.llm import chat, decontaminate, language_id, language_model, lexical_search, packing, quality_classifier, quality_rules, simhash, spelling, suffix_dedup, tokens, toxicity
 from talkloom.llm.common import remainder
 
 
@@ -203,6 +203,32 @@ SELECT f.word, form, root, n, n_near, form_n FROM formed f JOIN chain c ON c.wor
 """
 
 
+#: Fixed value: a conversation of control strings that the contract adds to the table.
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], "conv_id bigint, turn bigint, role string, text string")
+    rendered = chat.write_chats(chat.log_of_turns(turns.unionByName(added)))
+    return chat.digest_chats(rendered).withColumnRenamed("conv", "conv_id")
+
+
+OP13_SQL = rf"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '{CONTROL_TEXT}'),
+shown AS (
+  SELECT *, replace(replace(replace(text, '\', '\\'), '###', '\h'), '</turn>', '\e') AS t,
+         replace(replace(replace(replace(role, '\', '\\'), '###', '\h'), '</turn>', '\e'), ':', '\c') AS r FROM said),
+whole AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss, sum(length(t) + length(r) + 14)::BIGINT AS formatted_chars
+  FROM shown GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM whole
+"""
+
+
 QUERIES = {
     "op1_class_lm": op1_class_lm,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -216,6 +242,7 @@ QUERIES = {
     "op10_simhash": op10_simhash,
     "op11_lexical": op11_lexical,
     "op12_spelling": op12_spelling,
+    "op13_chat": op13_chat,
 }
 
-ORACLE_SQL = {"op2_suffix_dedup": OP2_SQL, "op6_decontaminate": OP6_SQL, "op8_quality_rules": OP8_SQL, "op11_lexical": OP11_SQL, "op12_spelling": OP12_SQL}
+ORACLE_SQL = {"op2_suffix_dedup": OP2_SQL, "op6_decontaminate": OP6_SQL, "op8_quality_rules": OP8_SQL, "op11_lexical": OP11_SQL, "op12_spelling": OP12_SQL, "op13_chat": OP13_SQL}
