@@ -93,31 +93,53 @@ def split_id(record: Column, chat: Column, native_parts: Column | int) -> Column
     return F.when(good, F.struct(base.alias("base"), digest.alias("digest")))
 
 
-def named(stem: str, endings: tuple[str, ...], ignore_case: bool = False) -> str:
-    """Pattern of a file name: its stem, a dot and one of the endings, longer ones first."""
-    listed = "|".join(sorted(endings, key=lambda e: (-len(e), e)))
-    return f"{'(?i)' if ignore_case else ''}({stem}[.](?:{listed}))"
+def in_order(found: Column) -> Column:
+    """Each once, in order of its characters; nulls are left out."""
+    return F.array_sort(F.array_distinct(F.array_compact(found)))
 
 
-def all_sorted(column: Column, pattern: str) -> Column:
-    """What matches the pattern's group, each once, in order of its characters."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(column, F.lit(pattern), 1)))
+def image_names(column: Column, endings: tuple[str, ...] = IMAGE_ENDINGS) -> Column:
+    """File names of 16 to 64 hexadecimal digits with an image ending.
+
+    The text is cut at its dots: a name is the digits that end one part (the last 64 of a longer
+    run) with the ending that the next part begins with.
+    """
+    parts = F.split(column, "[.]")
 
+    def ending(part: Column) -> Column:
+        return F.coalesce(*[F.when(part.startswith(e), e) for e in endings])
 
-def image_names(column: Column, endings: tuple[str, ...] = IMAGE_ENDINGS) -> Column:
-    """Names of 16 to 64 hexadecimal digits."""
-    return all_sorted(column, named(r"\p{XDigit}{16,64}", endings))
+    def digits(part: Column) -> Column:
+        run = F.substring(part, F.length(F.regexp_replace(part, r"\p{XDigit}+$", "")) + 1, F.length(part))
+        return F.when(F.length(run) >= 16, F.right(run, F.lit(64)))
+
+    def name(part: Column, i: Column) -> Column:
+        # an ending that completes the name before is no part of this one
+        taken = F.when((i > 0) & digits(F.get(parts, i - 1)).isNotNull(), F.length(ending(part)))
+        own = F.substring(part, F.coalesce(taken, F.lit(0)) + 1, F.length(part))
+        return F.concat_ws(".", digits(own), ending(F.get(parts, i + 1)))
+
+    return in_order(F.filter(F.transform(parts, name), lambda x: x.contains(".")))
 
 
 def file_names(column: Column, endings: tuple[str, ...] = FILE_ENDINGS) -> Column:
     """Names of up to 120 letters and digits of any script, blanks, and the signs ``_ ( ) . -``."""
-    return all_sorted(column, named(r"[\p{L}\p{N}_(). -]{1,120}", endings, ignore_case=True))
+    listed = "|".join(sorted(endings, key=lambda e: (-len(e), e)))  # longer ones first
+    return in_order(F.regexp_extract_all(column, F.lit(rf"(?i)([\p{{L}}\p{{N}}_(). -]{{1,120}}[.](?:{listed}))"), 1))
 
 
 def urls(column: Column, most: int = 6, starts: tuple[str, ...] = URL_STARTS) -> Column:
-    """Web addresses and download paths, up to the next blank, quote or angle bracket."""
-    start = "|".join(s.replace("?", "[?]") for s in starts)
-    return F.slice(all_sorted(column, f"((?:{start})[^\\s\"'<>]+)"), 1, most)
+    """Web addresses and download paths: the text is cut at blanks, quotes and angle brackets, and
+    of each piece what follows the first start in it, with that start, is one."""
+    pieces = F.split(column, r"[\s\"'<>]+")
+
+    def address(piece: Column) -> Column:
+        places = [F.struct(F.nullif(F.locate(s, piece), F.lit(0)).alias("at"), F.lit(len(s)).alias("size")) for s in starts]
+        first = F.array_min(F.filter(F.array(*places), lambda x: x["at"].isNotNull()))
+        found = F.substring(piece, first["at"], F.length(piece))
+        return F.when(F.length(found) > first["size"], found)
+
+    return F.slice(in_order(F.transform(pieces, address)), 1, most)
 
 
 def cjk_chunks(column: Column, most: int = 5) -> Column:

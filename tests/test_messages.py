@@ -346,6 +346,14 @@ def test_text_functions(spark):
     assert one(texts.chat_type(F.lit(" 群聊 "))) == "group" and one(texts.chat_type(F.lit("x"))) is None and one(texts.chat_type(F.lit(None).cast("string"))) == "private"
     assert one(texts.file_names(F.lit("see report.PDF, x"))) == ["see report.PDF"]
     assert one(texts.image_names(F.lit("0123456789abcdef.png z 0123456789abcdef.png"))) == ["0123456789abcdef.png"]
+    stem = "0123456789ABCDEF"
+    for text, found in {
+        f"x{stem}.jpg.png": [f"{stem}.jpg"], f"{stem}.gif{stem}.webp": [f"{stem}.gif", f"{stem}.webp"], f"{stem[1:]}.png": [], f"{stem}.pn g": [], f"{stem}": [],
+        f"{stem * 5}.jpeg": [f"{stem * 4}.jpeg"], f"{stem}.jpg,{stem}a.png": [f"{stem}.jpg", f"{stem}a.png"], ".": [], "": [],
+    }.items():
+        assert one(texts.image_names(F.lit(text))) == found, text
+    for text, found in {"http://": [], "xhttp://a/download?b 'https://'": ["http://a/download?b"], "https://b<http://a>": ["http://a", "https://b"], "": []}.items():
+        assert one(texts.urls(F.lit(text))) == found, text
     assert one(texts.cjk_chunks(F.lit("x 你好，世界 y"))) == ["你好，世界 y"]
     node = one(texts.node_attributes(F.lit('<msg><emoji md5="ab" len = "5"/></msg>'), "emoji", ["md5", "len", "url"]))
     assert (node.md5, node.len, node.url) == ("ab", "5", None)
