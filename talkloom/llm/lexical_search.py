@@ -28,7 +28,7 @@ from talkloom.llm.common import drop, new_path, pieces, written
 from talkloom.llm.decontaminate import words_of
 
 #: Documents and postings of a shard.
-DOCS, POSTINGS = 4096, 1 << 20
+DOCS, POSTINGS = 2048, 1 << 19
 #: Documents of a block, about; twice as many at most.
 BLOCK = 64
 #: Dimensions of the sketches that clustering compares.
@@ -160,12 +160,12 @@ def build_shard(starts: np.ndarray, terms: np.ndarray, impacts: np.ndarray, weig
         table = np.zeros(count * (width - t), np.int32)
         np.maximum.at(table, np.repeat(group, tail) * (width - t) + local[at] - t, impacts[at])
         filled = np.flatnonzero(table)
-        sums.append((filled % (width - t) + t, table[filled]))
+        sums.append(((filled % (width - t) + t).astype(np.int32), table[filled]))
         sizes_of_sums.append(np.bincount(filled // (width - t), minlength=count))
         sizes_of_blocks.append(np.bincount(group))
-        members.append(doc[own])
+        members.append(doc[own].astype(np.int16))
         blocks.append(blocks[-1] + count)
-    join = lambda parts: np.concatenate([np.zeros(0, np.int64), *parts])
+    join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
     begin = lambda parts: np.concatenate([[0], np.cumsum(join(parts))])
     return {
         "doc_starts": starts, "doc_terms": local, "doc_impacts": impacts, "lists": present, "list_most": most, "list_blocks": np.array(blocks),
@@ -181,7 +181,7 @@ def index_shards(forward: DataFrame, rank: np.ndarray, weights: np.ndarray, docu
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                read = lambda name, kind: np.frombuffer(batch.column(name)[i].as_py(), kind)  # noqa: B023, E731
+                read = lambda name, kind: np.frombuffer(batch.column(name)[i].as_buffer(), kind)  # noqa: B023, E731
                 sizes = read("sizes", np.int32)
                 if len(sizes):
                     starts = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
@@ -189,7 +189,9 @@ def index_shards(forward: DataFrame, rank: np.ndarray, weights: np.ndarray, docu
                     order = np.lexsort((own, np.repeat(np.arange(len(sizes)), sizes)))
                     value = impact(read("tfs", np.int64), np.repeat(read("lengths", np.int64), sizes), documents, terms)
                     made = build_shard(starts, own[order], value[order], weights, block)
-                    yield pa.RecordBatch.from_arrays([batch.column("keys").slice(i, 1), *(pa.array([made[n].astype(k).tobytes()], pa.binary()) for n, k in _ARRAYS.items())], names)
+                    arrays = [pa.array([made.pop(n).astype(k).tobytes()], pa.binary()) for n, k in _ARRAYS.items()]
+                    yield pa.RecordBatch.from_arrays([batch.column("keys").slice(i, 1), *arrays], names)
+                    del arrays  # one shard at a time
 
     schema = T.StructType([forward.schema["keys"], *(T.StructField(n, T.BinaryType()) for n in _ARRAYS)])
     return forward.mapInArrow(run, schema)
@@ -198,7 +200,7 @@ def index_shards(forward: DataFrame, rank: np.ndarray, weights: np.ndarray, docu
 class Shard:
     """A shard's index as read back."""
 
-    def __init__(self, arrays: dict[str, bytes], keys: pa.Array):
+    def __init__(self, arrays: dict[str, pa.Buffer], keys: pa.Array):
         for name, kind in _ARRAYS.items():
             setattr(self, name, np.frombuffer(arrays[name], kind))
         order = np.empty(len(keys), np.int64)
@@ -260,7 +262,7 @@ def search_shards(index: DataFrame, queries: list[tuple[int, np.ndarray, np.ndar
         for batch in batches:
             for i in range(batch.num_rows):
                 keys = batch.column("keys")[i].values
-                shard = Shard({n: batch.column(n)[i].as_py() for n in _ARRAYS}, keys)
+                shard = Shard({n: batch.column(n)[i].as_buffer() for n in _ARRAYS}, keys)
                 found = [(q, *shard.search(terms, weights, most, floors.get(q, 0))) for q, terms, weights in queries]
                 sizes = [len(f[1]) for f in found]
                 each = lambda values: pa.array(np.repeat(np.array(values, np.int64), sizes))  # noqa: B023, E731

@@ -48,7 +48,7 @@ def corpus(rng, count, words=300):
     return [(i, " ".join(rng.choices(topics[rng.randrange(12)], k=rng.randrange(1, 60)) + rng.choices(vocabulary[:20], k=rng.randrange(20)))) for i in range(count)]
 
 
-@pytest.mark.parametrize(("docs", "postings", "block"), [(4096, 1 << 20, 64), (40, 1 << 20, 4), (4096, 300, 3)])
+@pytest.mark.parametrize(("docs", "postings", "block"), [(2048, 1 << 19, 64), (40, 1 << 19, 4), (2048, 300, 3)])
 def test_ranking_equals_definition(spark, monkeypatch, docs, postings, block):
     monkeypatch.setattr(ls, "DOCS", docs)
     monkeypatch.setattr(ls, "POSTINGS", postings)
