@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,13 +111,25 @@ def vectors(docs: DataFrame, vocabulary: dict[bytes, int], text: str, key: str)
 
 # -- the index -----------------------------------------------------------------------------------
 
-#: Arrays of a shard's index, as stored.  Terms are ranks, the rarest first.
+#: Arrays of a shard's index, as stored: compressed one by one, so that Spark moves little and a task
+#: unpacks one shard at a time.  Terms are ranks, the rarest first; terms that ascend are stored as steps.
 _ARRAYS = {
     "doc_starts": np.int64, "doc_terms": np.int32, "doc_impacts": np.int32,  # documents: their terms in order
     "lists": np.int32, "list_most": np.int32, "list_blocks": np.int64,  # terms that have a list here, their largest impact, their first block
     "block_members": np.int64, "members": np.int16,  # a block's first member; members by block
     "block_summary": np.int64, "summary_terms": np.int32, "summary_impacts": np.int32,
 }
+_STEPS = {"doc_terms", "lists", "summary_terms"}
+
+
+def packed(name: str, values: np.ndarray) -> bytes:
+    values = values.astype(_ARRAYS[name])
+    return zstandard.ZstdCompressor(level=1).compress(np.diff(values, prepend=values.dtype.type(0)) if name in _STEPS else values)
+
+
+def unpacked(name: str, stored: pa.Buffer) -> np.ndarray:
+    values = np.frombuffer(zstandard.ZstdDecompressor().decompress(stored), _ARRAYS[name])
+    return np.cumsum(values, dtype=values.dtype) if name in _STEPS else values
 
 
 def clusters(sketches: np.ndarray, size: int) -> np.ndarray:
@@ -145,7 +158,7 @@ def build_shard(starts: np.ndarray, terms: np.ndarray, impacts: np.ndarray, weig
     present, local = np.unique(terms, return_inverse=True)
     by_term = np.argsort(local, kind="stable")
     first = np.searchsorted(local[by_term], np.arange(len(present) + 1))
-    ends, width = starts[1:][doc], len(present)
+    ends, width, small = starts[1:][doc], len(present), impacts.astype(np.int32)
     blocks, members, sums, most = [0], [], [], np.maximum.reduceat(impacts[by_term], first[:-1]) if width else np.zeros(0)
     sizes_of_blocks, sizes_of_sums = [], []
     for t in range(width):
@@ -158,7 +171,7 @@ def build_shard(starts: np.ndarray, terms: np.ndarray, impacts: np.ndarray, weig
         tail = ends[own] - own
         at = ragged(own, tail)
         table = np.zeros(count * (width - t), np.int32)
-        np.maximum.at(table, np.repeat(group, tail) * (width - t) + local[at] - t, impacts[at])
+        np.maximum.at(table, np.repeat(group, tail) * (width - t) + local[at] - t, small[at])
         filled = np.flatnonzero(table)
         sums.append(((filled % (width - t) + t).astype(np.int32), table[filled]))
         sizes_of_sums.append(np.bincount(filled // (width - t), minlength=count))
@@ -189,7 +202,7 @@ def index_shards(forward: DataFrame, rank: np.ndarray, weights: np.ndarray, docu
                     order = np.lexsort((own, np.repeat(np.arange(len(sizes)), sizes)))
                     value = impact(read("tfs", np.int64), np.repeat(read("lengths", np.int64), sizes), documents, terms)
                     made = build_shard(starts, own[order], value[order], weights, block)
-                    arrays = [pa.array([made.pop(n).astype(k).tobytes()], pa.binary()) for n, k in _ARRAYS.items()]
+                    arrays = [pa.array([packed(n, made.pop(n))], pa.binary()) for n in _ARRAYS]
                     yield pa.RecordBatch.from_arrays([batch.column("keys").slice(i, 1), *arrays], names)
                     del arrays  # one shard at a time
 
@@ -201,8 +214,8 @@ class Shard:
     """A shard's index as read back."""
 
     def __init__(self, arrays: dict[str, pa.Buffer], keys: pa.Array):
-        for name, kind in _ARRAYS.items():
-            setattr(self, name, np.frombuffer(arrays[name], kind))
+        for name in _ARRAYS:
+            setattr(self, name, unpacked(name, arrays[name]))
         order = np.empty(len(keys), np.int64)
         order[pc.sort_indices(keys, null_placement="at_end").to_numpy()] = np.arange(len(keys))
         self.key_rank, self.looked = order, np.zeros(len(self.lists), np.int64)
