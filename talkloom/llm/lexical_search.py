@@ -324,7 +324,8 @@ def build_index(docs: DataFrame, terms: list[bytes], text: str = "text", key: st
     rank = np.empty(len(df), np.int64)
     rank[order] = np.arange(len(df))
     made = index_shards(forward, rank, plain[order], documents, length)
-    made.write.option("compression", "zstd").parquet(path)
+    # a row is a few megabytes: small row groups, so that a task reads a few shards
+    made.write.option("compression", "zstd").option("parquet.block.row.count.limit", "2").parquet(path)
     drop(spark, forward_path)
     return LexicalIndex(spark.read.schema(made.schema).parquet(path), vocabulary, rank, plain[order], path)
 
