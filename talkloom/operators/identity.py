@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkloom.functions import texts
+from talkloom.operators import substrings
 from talkloom.operators.normalize import contact_name
+from talkloom.sources.scratch import kept
 
 
 def query_namespace(query: Column) -> tuple[Column, Column]:
@@ -149,34 +151,21 @@ def identity_complete(chat: Column, timestamp: Column, message_id: Column, local
 def discover(queries: DataFrame, candidates: DataFrame, limit: int, names: tuple[str, ...] = ("remark", "nick"), others: tuple[str, ...] = ("uin", "uid"), key: str = "uid") -> DataFrame:
     """Ranked candidates that contain each query (query): exact values first, then names that
     contain it, then the rest; by display name within; one row for each key; ``complete`` says
-    that no candidate is missing.  Wildcards in a query stand for themselves.
+    that no candidate is missing.  Wildcards in a query stand for themselves; blank ones find nothing.
 
-    The candidates are the large side; every query meets each of them once, in blocks.
+    Both sides may be large: queries meet candidates by their rarest substrings.
     """
     if not 1 <= limit <= 100:
         raise ValueError("limit must be between 1 and 100")
     columns = [*names, *others]
-    asked = [r[0] for r in queries.filter("trim(query) <> ''").distinct().limit(1001).collect()]
-    if len(asked) > 1000:
-        raise ValueError("at most 1000 queries at a time")
-    texts_of = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns}
     shown = contact_name(*[F.col(c) if c in candidates.columns else F.lit(None) for c in ("remark", "nick", "uin", "uid")]) if "display_name" not in candidates.columns else F.col("display_name")
-
-    def score(q: Column) -> Column:
-        exact, named, any_ = F.lit(False), F.lit(False), F.lit(False)
-        for c in columns:
-            exact, any_ = exact | (texts_of[c] == q), any_ | texts_of[c].contains(q)
-        for c in names:
-            named = named | texts_of[c].contains(q)
-        return F.when(exact, 0).when(named, 1).when(any_, 2)
-
-    scored = F.filter(F.transform(F.array(*map(F.lit, asked or [""])), lambda q: F.struct(q.alias("query"), score(q).alias("score"))), lambda s: s["score"].isNotNull())
-    rows = candidates.select(F.col(key).cast("string").alias("id"), shown.alias("display_name"), F.explode(scored).alias("s")).select("s.query", "s.score", "id", "display_name")
-    best = rows.groupBy("query", "id").agg(F.min(F.struct("score", "display_name")).alias("b")).select("query", "id", "b.*")
-    order = Window.partitionBy("query").orderBy("score", "display_name", "id")
-    ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
-    totals = best.groupBy("query").agg((F.count("*") <= limit).alias("complete"))
-    return ranked.join(totals, "query").filter(F.lit(bool(asked)))
+    rows = kept(candidates.select(F.col(key).cast("string").alias("id"), shown.alias("display_name"), F.array(*[F.col(c).cast("string") for c in columns]).alias("values"), F.monotonically_increasing_id().alias("row")), "candidates")
+    values = rows.select("row", F.posexplode("values").alias("column", "text")).filter("text <> ''").select(F.struct("row", "column").alias("id"), "text")
+    found = substrings.find(queries.filter("trim(query) <> ''"), values)
+    score = F.when(F.col("exact"), 0).when(F.col("id.column") < len(names), 1).otherwise(2)
+    scored = found.groupBy("query", F.col("id.row").alias("row")).agg(F.min(score).alias("score")).join(rows.select("row", "id", "display_name"), "row")
+    one = scored.groupBy("query", "id").agg(F.min(F.struct("score", "display_name")).alias("b")).select("query", "id", "b.*")
+    return substrings.best(one, limit, ["score", "display_name", "id"])
 
 
 def discover_everywhere(queries: DataFrame, sources: dict[str, DataFrame], limit: int) -> tuple[DataFrame, DataFrame]:

@@ -19,12 +19,16 @@ def order_columns(keys: tuple[str, ...], descending: bool) -> list[Column]:
     return [F.col(k).desc() if descending else F.col(k).asc() for k in keys]
 
 
-def after_key(keys: tuple[str, ...], position: list, descending: bool = False) -> Column:
-    """Rows strictly after a position, in the expanded form that reaches the Parquet scan."""
+def after_key(keys: tuple[str, ...], position: list, descending: bool = False, strict: bool = True) -> Column:
+    """Rows strictly after a position (or at it, if not ``strict``), in the expanded form that
+    reaches the Parquet scan."""
     found = None
     for key, value in reversed(list(zip(keys, position, strict=True))):
         beyond = F.col(key) < value if descending else F.col(key) > value
-        found = beyond if found is None else beyond | ((F.col(key) == value) & found)
+        if found is None:
+            found = beyond if strict else beyond | (F.col(key) == value)
+        else:
+            found = beyond | ((F.col(key) == value) & found)
     # the leading key alone bounds the scan
     lead = F.col(keys[0]) <= position[0] if descending else F.col(keys[0]) >= position[0]
     return lead & found
@@ -69,7 +73,8 @@ def keyset_page(
     messages: DataFrame, limit: int, cursor: str | None = None, offset: int = 0, keys: tuple[str, ...] = ORDER, descending: bool = False,
     display_descending: bool | None = None, **scope,
 ) -> Page:
-    """One page and the cursor of the next.  Looks one row ahead; brings ``limit`` keys to the driver."""
+    """One page and the cursor of the next.  Looks one row ahead; the rows of the page come to the
+    driver, so that they are read once."""
     if not 1 <= limit <= 5000:
         raise ValueError("limit must be between 1 and 5000")
     if cursor and offset:
@@ -77,12 +82,12 @@ def keyset_page(
     own = scope_hash(keys=keys, descending=descending, **scope)
     position = decode_cursor(cursor, own) if cursor else None
     ahead = keyset_rows(messages, limit + 1 + offset, position, keys, descending).offset(offset)
-    marks = ahead.select(*keys).collect()
-    rows = ahead.limit(limit)
+    found = ahead.collect()
+    rows = messages.sparkSession.createDataFrame(found[:limit], messages.schema)
     if display_descending is not None and display_descending != descending:
         rows = rows.orderBy(*order_columns(keys, display_descending))
-    more = len(marks) > limit
-    return Page(rows, more, encode_cursor(list(marks[limit - 1]), own) if more else None)
+    more = len(found) > limit
+    return Page(rows, more, encode_cursor([found[limit - 1][k] for k in keys], own) if more else None)
 
 
 def clamped(value: object, default: int, least: int, most: int) -> int:

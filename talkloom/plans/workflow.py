@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from talkloom.functions import texts, times
 from talkloom.operators import enrich, snapshot
 from talkloom.operators.paging import scope_hash
+from talkloom.plans.commits import Commit, CommitLog, Part
 from talkloom.sources.scratch import kept
 from talkloom.sources.sinks import write_chunks, write_manifest
 
@@ -24,15 +28,54 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def committed(spark: SparkSession, path: str) -> DataFrame | None:
-    """The commits of a snapshot (version, scope, rows), or None if it has none yet."""
-    return spark.read.parquet(f"{path}/commits") if _exists(spark, f"{path}/commits") else None
+def _log(spark: SparkSession, path: str) -> CommitLog:
+    return CommitLog(spark, path, ("digests",))
 
 
-def snapshot_records(spark: SparkSession, path: str) -> DataFrame:
-    """All records of committed versions; what a broken run left behind is not read."""
-    last = committed(spark, path).agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{path}/records").filter(F.col("version") <= last)
+def snapshot_records(spark: SparkSession, path: str, commit: Commit | None = None) -> DataFrame:
+    """All records of the last commit, or of the one given; what a broken run left behind is not read."""
+    log = _log(spark, path)
+    commit = commit or log.latest()
+    if not commit.version:
+        raise ValueError("nothing has been exported yet")
+    schema = T.StructType.fromJson(json.loads(commit.facts["schema"]))
+    return _records(log, schema, commit.parts)
+
+
+def _records(log: CommitLog, schema: T.StructType, parts: tuple[Part, ...] | list[Part]) -> DataFrame:
+    found = log.spark.read.schema(schema).option("basePath", f"{log.path}/parts").parquet(*map(log.folder, parts))
+    return found.select(*schema.names)
+
+
+def _digests(log: CommitLog, commit: Commit) -> DataFrame:
+    """The digests of all buckets as of a commit; those of its last part hold for the whole."""
+    return log.spark.read.schema("chat_id string, day string, n bigint, digest string").parquet(f"{log.path}/digests/{commit.facts['digests']}")
+
+
+def _write_part(log: CommitLog, new: DataFrame, digests: DataFrame) -> Part:
+    part = Part(f"part={uuid.uuid4().hex}")
+    new.write.partitionBy("day").parquet(log.folder(part))
+    digests.write.parquet(f"{log.path}/digests/{part.name}")
+    return part
+
+
+def _rebased(log: CommitLog, part: Part, schema: T.StructType, base: Commit, latest: Commit) -> Part:
+    """``part`` as it must be after what others have committed since ``base``: without records that
+    they have added too, with ids of its own where theirs are the same, and digests over both."""
+    bucket = ["chat_id", "day"]
+    theirs = _records(log, schema, [p for p in latest.parts if p not in base.parts])
+    mine = _records(log, schema, [part]).join(theirs.select("source", "fp"), ["source", "fp"], "left_anti")
+    taken = theirs.select("source", "record_id", F.lit(True).alias("__taken")).distinct()
+    clash = F.col("__taken").isNotNull() & F.col("base_record_id").isNull()
+    mine = mine.join(taken, ["source", "record_id"], "left").withColumns({
+        "base_record_id": F.when(clash, F.col("record_id")).otherwise(F.col("base_record_id")),
+        "record_id": F.when(clash, F.concat_ws(":sha256:", "record_id", "fp")).otherwise(F.col("record_id")),
+    })
+    mine = kept(mine.select(*schema.names), "rebased")
+    touched = mine.select(*bucket).distinct()
+    both = _records(log, schema, latest.parts).unionByName(mine).join(touched, bucket, "left_semi")
+    digests = _digests(log, latest).join(touched, bucket, "left_anti").unionByName(snapshot.bucket_digests(both))
+    return _write_part(log, mine, digests)
 
 
 def export_snapshot(messages: DataFrame, path: str, until: int | None = None, **scope) -> DataFrame:
@@ -44,47 +87,51 @@ def export_snapshot(messages: DataFrame, path: str, until: int | None = None, **
     added, so a last day may grow, but a record that is gone or no longer the same is changed
     history and refused (ValueError), and so is a scope other than the snapshot's own.
 
-    A run writes its records and the digests of all buckets under a version number of its own and
-    publishes both by one small commit at the end.  A run that breaks off before it leaves nothing
-    that is read, and the next run writes over it.
+    A run writes its records and the digests of all buckets as a part of its own and publishes both by
+    one commit.  A run that breaks off before it leaves nothing that is read.  Several runs may be
+    under way: the one that comes second puts its part on top of what has been committed meanwhile
+    (:func:`_rebased`) and tries again, so each record is there once and none is lost.
+    :func:`clean_snapshot` removes parts that were never committed.
     """
-    spark = messages.sparkSession
-    own = scope_hash(**scope)
+    spark, log = messages.sparkSession, _log(messages.sparkSession, path)
+    own, base = scope_hash(**scope), log.latest()
     given = messages if until is None else messages.filter(F.col("timestamp") < until)
     rows = given.withColumn("day", times.local_day(F.col("timestamp"))).withColumn("fp", texts.fingerprint(*given.columns))
     rows = snapshot.resolve_collisions(snapshot.without_duplicates(rows, ["timestamp", "seq", "record_id"]))
     digests = kept(snapshot.bucket_digests(rows), "digests")
-    commits = committed(spark, path)
     bucket, one = ["chat_id", "day"], ["chat_id", "day", "source", "fp"]
-    if commits is None:
-        version, new = 1, rows
-        verdicts = digests.select(*bucket, F.lit("added").alias("verdict"))
+    if not base.version:
+        new, verdicts = rows, digests.select(*bucket, F.lit("added").alias("verdict"))
     else:
-        last = commits.orderBy(F.desc("version")).first()
-        if last["scope"] != own:
+        if base.facts["scope"] != own:
             raise ValueError("the snapshot has another scope")
-        version = last["version"] + 1
-        old = spark.read.parquet(f"{path}/digests").filter(F.col("version") == last["version"]).drop("version")
-        verdicts = kept(snapshot.compare_digests(old, digests).replace("changed", "grown", "verdict"), "verdicts")
+        verdicts = kept(snapshot.compare_digests(_digests(log, base), digests).replace("changed", "grown", "verdict"), "verdicts")
         grown = verdicts.filter("verdict = 'grown'").select(*bucket)
-        before = snapshot_records(spark, path).withColumn("day", F.col("day").cast("string")).join(grown, bucket, "left_semi").select(*one)
+        before = snapshot_records(spark, path, base).join(grown, bucket, "left_semi").select(*one)
         lost = before.join(rows.select(*one), one, "left_anti")
         if verdicts.filter("verdict = 'removed'").limit(1).count() or lost.limit(1).count():
             raise ValueError("history has changed under the snapshot")
         new = rows.join(verdicts.filter("verdict IN ('added', 'grown')").select(*bucket), bucket, "left_semi").join(before, one, "left_anti")
-    new.write.mode("overwrite").partitionBy("day").parquet(f"{path}/records/version={version}")
-    digests.write.mode("overwrite").parquet(f"{path}/digests/version={version}")
-    _commit(spark, path, version, own)
-    records = snapshot_records(spark, path)
-    counts = records.groupBy("source").agg(F.count("*").alias("rows"), F.min("timestamp").alias("first_time"), F.max("timestamp").alias("last_time"), F.lit(True).alias("complete"))
-    write_manifest(counts, f"{path}/manifest")
-    return verdicts
-
-
-def _commit(spark: SparkSession, path: str, version: int, scope: str) -> None:
-    """One row in one file, which appears whole or not at all."""
-    row = spark.createDataFrame([(scope,)], "scope string")
-    row.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/version={version}")
+    schema = new.schema
+    part = _write_part(log, new, digests)
+    for _ in range(20):
+        counts = _records(log, schema, (*base.parts, part)).groupBy("source").agg(
+            F.count("*").alias("rows"), F.min("timestamp").alias("first_time"), F.max("timestamp").alias("last_time"), F.lit(True).alias("complete")
+        )
+        facts = {"scope": own, "digests": part.name, "schema": schema.json(), "sources": [r.asDict() for r in counts.collect()]}  # a row a source
+        if log.commit(base, (*base.parts, part), facts):
+            return verdicts
+        latest = log.latest()
+        if latest.facts["scope"] != own:
+            raise ValueError("the snapshot has another scope")
+        part, base = _rebased(log, part, schema, base, latest), latest
+    raise RuntimeError("other runs were always first")
+
+
+def clean_snapshot(spark: SparkSession, path: str, older: float = 24 * 3600) -> list[str]:
+    """Remove parts that no commit lists and that have not changed for ``older`` seconds."""
+    log = _log(spark, path)
+    return log.clean(keep=len(log.versions()), older=older)
 
 
 def media_inventory(records: DataFrame, path: str, kinds: tuple[str, ...], before: int, resume: bool = False, **scope) -> DataFrame:

@@ -90,11 +90,15 @@ def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFr
 
 
 def snapshot_sources(spark: SparkSession, path: str) -> DataFrame:
-    """A snapshot's manifest rows (source, rows, complete); ValueError if it is not complete."""
-    manifest = spark.read.parquet(f"{path}/manifest")
-    if manifest.filter("NOT complete").limit(1).count():
+    """What the last commit of a snapshot says of its sources (source, rows, first_time, last_time,
+    complete); ValueError if it is not complete or there is none."""
+    from talkloom.plans.commits import CommitLog
+
+    found = CommitLog(spark, path).latest().facts.get("sources")
+    if found is None or not all(s["complete"] for s in found):
         raise ValueError("the snapshot is not complete")
-    return manifest
+    columns = "source string, rows bigint, first_time bigint, last_time bigint, complete boolean"
+    return spark.createDataFrame([tuple(s[c.split()[0]] for c in columns.split(", ")) for s in found], columns)
 
 
 # -- the driver's tables as message tables ---------------------------------------------------

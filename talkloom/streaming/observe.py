@@ -7,28 +7,59 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from talkloom.operators.observe import fold_observations
+from talkloom.plans.commits import CommitLog, merge_levels
 
 
-def stream_cache(observations: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("chat_id", "msg_id")) -> StreamingQuery:
+def _add_batch(log: CommitLog, rows: DataFrame, number: int) -> None:
+    """A batch's rows as a part, once: a batch that is run again finds its number and adds nothing."""
+    held = lambda commit: any(p.first <= number <= p.last for p in commit.parts)
+    if not held(log.latest()):
+        part = log.write(rows.withColumn("batch", F.lit(number).cast("bigint")), 0, number, number)
+        log.update(lambda commit: None if held(commit) else ((*commit.parts, part), commit.facts))
+
+
+def _latest_rows(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    columns = [c for c in rows.columns if c not in keys]
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), "batch").alias("row"))
+    return latest.select(*keys, *[f"row.{c}" for c in columns])
+
+
+def stream_cache(observations: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("chat_id", "msg_id"), fan: int = 8) -> StreamingQuery:
     """The observation cache in update mode: the fold is an aggregate, so state is one row a
-    message, kept by Spark; each batch writes only the messages it changed, under its number.
+    message, kept by Spark; each batch adds only the messages it changed, as a part of its own.
 
-    :func:`read_cache` gives the table; a batch that is run again replaces its own rows.
+    Every ``fan`` parts of a level are merged into one of the next, so n batches leave fewer than
+    ``fan`` parts on each of log(n) levels.  :func:`read_cache` gives the table, at any time.
     """
+    log = CommitLog(observations.sparkSession, path)
 
     def commit(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        _add_batch(log, batch, number)
+        merge_cache(log.spark, path, keys, fan)
 
     folded = fold_observations(observations, keys)
     return folded.writeStream.outputMode("update").foreachBatch(commit).option("checkpointLocation", checkpoint).start()
 
 
+def merge_cache(spark: SparkSession, path: str, keys: tuple[str, ...] = ("chat_id", "msg_id"), fan: int = 8) -> None:
+    """Merge a cache's parts by level, each message to its latest row.  The stream may go on."""
+    log = CommitLog(spark, path)
+    merge_levels(log, lambda old, *place: log.write(_latest_rows(log.frame(old), keys), *place), fan)
+
+
+def clean_cache(spark: SparkSession, path: str, older: float = 24 * 3600) -> list[str]:
+    """Remove parts that merges have replaced, ``older`` seconds after they were written."""
+    return CommitLog(spark, path).clean(older=older)
+
+
 def read_cache(spark: SparkSession, path: str, keys: tuple[str, ...] = ("chat_id", "msg_id")) -> DataFrame:
-    """The latest row of each message of a cache written by :func:`stream_cache`."""
-    rows = spark.read.parquet(path)
-    columns = [c for c in rows.columns if c not in (*keys, "batch")]
-    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), "batch").alias("row"))
-    return latest.select(*keys, *[f"row.{c}" for c in columns])
+    """The latest row of each message of a cache written by :func:`stream_cache`, as of its last
+    commit; merges that go on meanwhile do not change it."""
+    log = CommitLog(spark, path)
+    rows = log.frame(log.latest().parts)
+    if rows is None:
+        raise ValueError("nothing has been committed yet")
+    return _latest_rows(rows, keys).drop("batch")
 
 
 def stream_recoveries(events: DataFrame, cached: DataFrame, window: int, late: str = "10 minutes") -> DataFrame:

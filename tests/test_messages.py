@@ -10,6 +10,7 @@ from talkloom.functions import texts
 from talkloom.functions.times import local_day
 from talkloom.operators import combine, enrich, filters, identity, lookup, media, normalize, observe, paging, payload, snapshot
 from talkloom.plans import views, workflow
+from talkloom.plans.commits import CommitLog
 from talkloom.sources import readers, sinks
 from talkloom.streaming import observe as streams
 
@@ -157,6 +158,31 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(streams.read_cache(spark, f"{tmp_path}/folded").collect()) == sorted(observe.fold_observations(log).collect())
 
 
+def test_parts_of_a_long_stream_are_merged(spark, tmp_path):
+    schema = "chat_id string, msg_id int, observed_at int, recoverable boolean, text string, kind string"
+    log = spark.createDataFrame([("c", i % 5, i, i % 3 != 0, f"t{i}", "k") for i in range(13)], schema)
+    log.repartition(13, "observed_at").write.option("maxRecordsPerFile", 1).parquet(f"{tmp_path}/in")
+    stream = lambda: streams.stream_cache(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in"), f"{tmp_path}/folded", f"{tmp_path}/cp", fan=3)
+    query = stream()
+    held = None
+    while query.isActive and query.lastProgress is None or held is None:
+        query.processAllAvailable()
+        held = streams.read_cache(spark, f"{tmp_path}/folded")
+    query.stop()
+    commits = CommitLog(spark, f"{tmp_path}/folded")
+    assert max(p.last for p in commits.latest().parts) == 12 and len(commits.latest().parts) <= 2 * 3
+    want = sorted(observe.fold_observations(log).collect())
+    assert sorted(held.collect()) == want
+    before = commits.latest()
+    streams._add_batch(commits, held.limit(1), 7)  # a batch that is run again
+    assert commits.latest() == before
+    streams.merge_cache(spark, f"{tmp_path}/folded", fan=2)
+    assert sorted(held.collect()) == want == sorted(streams.read_cache(spark, f"{tmp_path}/folded").collect())
+    assert streams.clean_cache(spark, f"{tmp_path}/folded", older=-60) and sorted(streams.read_cache(spark, f"{tmp_path}/folded").collect()) == want
+    with pytest.raises(ValueError, match="committed"):
+        streams.read_cache(spark, f"{tmp_path}/none")
+
+
 def test_stream_joins_and_duplicates(spark, tmp_path):
     spark.createDataFrame([("c", 1, 1000), ("c", 2, 5000)], "chat_id string, msg_id int, timestamp long").write.parquet(f"{tmp_path}/e")
     spark.createDataFrame([("c", 7, 990, True), ("c", 8, 800, True), ("c", 9, 4999, False)], "chat_id string, msg_id int, timestamp long, recoverable boolean").write.parquet(f"{tmp_path}/c")
@@ -176,10 +202,10 @@ def test_snapshot_resumes_and_refuses(spark, chat, tmp_path):
     path = f"{tmp_path}/snap"
     first = chat.filter(local_day(F.col("timestamp")) < "2023-11-17")
     workflow.export_snapshot(first, path, chats="all")
-    before = spark.read.parquet(f"{path}/records").count()
+    before = workflow.snapshot_records(spark, path).count()
     verdicts = {r.verdict for r in workflow.export_snapshot(chat, path, chats="all").collect()}
-    assert "added" in verdicts and spark.read.parquet(f"{path}/records").count() > before
-    assert spark.read.parquet(f"{path}/records").select("record_id").distinct().count() == 60
+    assert "added" in verdicts and workflow.snapshot_records(spark, path).count() > before
+    assert workflow.snapshot_records(spark, path).select("record_id").distinct().count() == 60
     assert readers.snapshot_sources(spark, path).first().rows == 60
     with pytest.raises(ValueError, match="scope"):
         workflow.export_snapshot(chat, path, chats="one")
@@ -192,7 +218,7 @@ def test_snapshot_grows_and_survives_a_broken_run(spark, chat, tmp_path, monkeyp
     workflow.export_snapshot(chat.filter("seq < 3"), path, chats="all")
     kept = workflow.snapshot_records(spark, path).count()
     with monkeypatch.context() as broken:
-        broken.setattr(workflow, "_commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        broken.setattr(CommitLog, "commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
             workflow.export_snapshot(chat.filter("seq < 4"), path, chats="all")
     assert workflow.snapshot_records(spark, path).count() == kept  # nothing of the broken run is read
@@ -202,6 +228,37 @@ def test_snapshot_grows_and_survives_a_broken_run(spark, chat, tmp_path, monkeyp
     assert {r.verdict for r in workflow.export_snapshot(chat, path, chats="all").collect()} == {"same"}
     with pytest.raises(ValueError, match="history"):
         workflow.export_snapshot(chat.filter("record_id <> 'c0:10'"), path, chats="all")
+    assert len(workflow.clean_snapshot(spark, path, older=-60)) == 1  # what the broken run had written
+    assert workflow.snapshot_records(spark, path).count() == 60
+
+
+def test_two_exports_at_once_lose_nothing(spark, chat, tmp_path, monkeypatch):
+    """While one run writes, another commits: records of both, common ones once, an id that both have
+    given to different contents told apart, and digests over both."""
+    path = f"{tmp_path}/snap"
+    workflow.export_snapshot(chat.filter("seq < 2"), path, chats="all")
+    mine = chat.filter("seq < 3").unionByName(chat.filter("seq = 4").limit(3))
+    other = chat.filter("seq < 2 OR seq = 3").unionByName(chat.filter("seq = 4").limit(2)).unionByName(chat.filter("seq = 2").limit(1).withColumn("text", F.lit("of the other run")))
+    write, turns = workflow._write_part, []
+
+    def slow(log, new, digests):
+        if not turns:
+            turns.append(1)
+            workflow.export_snapshot(other, path, chats="all")
+        return write(log, new, digests)
+
+    monkeypatch.setattr(workflow, "_write_part", slow)
+    workflow.export_snapshot(mine, path, chats="all")
+    assert CommitLog(spark, path).latest().version == 3
+    records = workflow.snapshot_records(spark, path)
+    columns = ["source", "timestamp", "text", "seq", "chat_id"]
+    want = {tuple(r) for df in (mine, other) for r in df.select(*columns).collect()}
+    assert records.count() == len(want) == records.select("source", "record_id").distinct().count()
+    assert {tuple(r) for r in records.select(*columns).collect()} == want
+    both = mine.unionByName(other)  # a later run finds every bucket as it is
+    assert {r.verdict for r in workflow.export_snapshot(both, path, chats="all").collect()} == {"same"}
+    assert readers.snapshot_sources(spark, path).agg(F.sum("rows")).first()[0] == len(want)
+
 
 
 def test_media_inventory(spark, chat, tmp_path):
