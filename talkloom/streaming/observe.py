@@ -10,7 +10,7 @@ from talkloom.operators.observe import fold_observations
 from talkloom.plans.commits import CommitLog, merge_levels
 
 
-def _add_batch(log: CommitLog, rows: DataFrame, number: int) -> None:
+def add_batch(log: CommitLog, rows: DataFrame, number: int) -> None:
     """A batch's rows as a part, once: a batch that is run again finds its number and adds nothing."""
     held = lambda commit: any(p.first <= number <= p.last for p in commit.parts)
     if not held(log.latest()):
@@ -34,7 +34,7 @@ def stream_cache(observations: DataFrame, path: str, checkpoint: str, keys: tupl
     log = CommitLog(observations.sparkSession, path)
 
     def commit(batch: DataFrame, number: int) -> None:
-        _add_batch(log, batch, number)
+        add_batch(log, batch, number)
         merge_cache(log.spark, path, keys, fan)
 
     folded = fold_observations(observations, keys)

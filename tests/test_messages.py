@@ -174,7 +174,7 @@ def test_parts_of_a_long_stream_are_merged(spark, tmp_path):
     want = sorted(observe.fold_observations(log).collect())
     assert sorted(held.collect()) == want
     before = commits.latest()
-    streams._add_batch(commits, held.limit(1), 7)  # a batch that is run again
+    streams.add_batch(commits, held.limit(1), 7)  # a batch that is run again
     assert commits.latest() == before
     streams.merge_cache(spark, f"{tmp_path}/folded", fan=2)
     assert sorted(held.collect()) == want == sorted(streams.read_cache(spark, f"{tmp_path}/folded").collect())
