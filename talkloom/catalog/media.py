@@ -161,6 +161,31 @@ def match_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.match_audio(rows, files.unionByName(again))
 
 
+@query("""SELECT event_id AS msg_ref,
+  CASE WHEN k < 2 OR k IN (4, 5) THEN 'ok' WHEN k = 2 THEN 'ambiguous' WHEN k = 6 THEN 'identity_unavailable' ELSE 'not_found' END AS status,
+  CASE k WHEN 0 THEN '/m/' || event_id || '.wav' WHEN 1 THEN '/m/' || event_id || '.flac' WHEN 4 THEN cache WHEN 5 THEN cache END AS path,
+  CASE k WHEN 0 THEN sha256(props) WHEN 1 THEN sha256(props || 'f') WHEN 4 THEN sha256(props || 'c') WHEN 5 THEN sha256(props || 'c') END AS sha256,
+  CASE WHEN k < 2 OR k = 5 THEN 'message' WHEN k = 4 THEN 'cache' END AS evidence, CASE k WHEN 7 THEN 'cache_identity_mismatch' END AS reason
+  FROM (SELECT *, event_id % 9 AS k, '/cache/' || md5('c' || user_id % 10) || '_' || event_id || '_' || epoch_us(ts) // 1000000 || '_' || event_id || '.silk' AS cache FROM events)""")
+def resolve_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By turns: a decoded file before its source; a trusted ending of the same rank; two contents; a
+    remote path; the cache alone; a path into the cache; no identity; another message's file; none."""
+    e, n = readers.table(spark, sf_dir, "events").withColumn("k", F.col("event_id") % 9), F.col("event_id")
+    chat, seconds = F.concat(F.lit("c"), F.col("user_id") % 10), times.epoch_of("ts")
+    own = lambda ending: F.concat(F.lit("/m/"), n, F.lit(ending))
+    cache = lambda shift: F.concat(F.lit("/cache/"), F.md5(chat), F.lit("_"), n, F.lit("_"), seconds + shift, F.lit("_"), n, F.lit(".silk"))
+    has = lambda *ks: F.col("k").isin(*ks)
+    entry = lambda path, rank, mark: F.struct(path.alias("path"), F.lit(rank).cast("int").alias("rank"), F.sha2(F.concat("props", F.lit(mark)), 256).alias("sha256"))
+    listed = F.array(
+        entry(F.when(has(0), own(".wav")), 0, ""), entry(F.when(has(0), own(".silk")), 1, "s"), entry(F.when(has(1), own(".mp3")), 1, "m"), entry(F.when(has(1), own(".flac")), 1, "f"),
+        entry(F.when(has(2), own("a.wav")), 0, "a"), entry(F.when(has(2), own("b.wav")), 0, "b"), entry(F.when(has(3), F.concat(F.lit("https://x/"), n, F.lit(".wav"))), 0, "r"),
+        entry(F.when(has(4), cache(0)), None, "c"), entry(F.when(has(5), cache(0)), 2, "c"), entry(F.when(has(7), cache(1)), 0, "o"),
+    )
+    every = e.select(n.alias("msg_ref"), F.explode(listed).alias("x")).select("msg_ref", "x.*").filter("path IS NOT NULL")
+    rows = e.select(n.alias("msg_ref"), chat.alias("chat_id"), F.when(F.col("k") != 6, n).alias("server_id"), n.alias("local_id"), seconds.alias("timestamp"))
+    return media.resolve_audio(rows, every.filter("rank IS NOT NULL").select("msg_ref", "path", "rank"), every.select("path", "sha256"))
+
+
 @query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN strftime(make_timestamp((s + 28800) * 1000000), '%Y-%m') ELSE strftime(make_timestamp((s + 28800) * 1000000), '%Y-%m') END AS month FROM (SELECT event_id, epoch_us(ts) // 1000000 AS s FROM events)")
 def message_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     seconds = times.epoch_of("ts")

@@ -106,12 +106,17 @@ def sender_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(over("""SELECT chat_id, sender_id, n, latest_name, names, row_number() OVER (PARTITION BY chat_id ORDER BY n DESC, t, s, r) AS rank FROM (
-  SELECT chat_id, sender_id, count(*) AS n, arg_max(sender_name, (timestamp, seq, record_id)) AS latest_name, array_to_string(list_sort(list(DISTINCT sender_name)), '|') AS names,
+  SELECT chat_id, sender_id, count(*) AS n, arg_max(sender_name, (timestamp, seq, record_id)) AS latest_name, coalesce(array_to_string(list_sort(list(DISTINCT sender_name) FILTER (sender_id IS NOT NULL)), '|'), '') AS names,
   min((timestamp, seq, record_id)).timestamp AS t, min((timestamp, seq, record_id)).seq AS s, min((timestamp, seq, record_id)).record_id AS r FROM (SELECT chat_id, sender_id, sender_name, timestamp, seq, record_id FROM msgs) GROUP BY ALL)""".replace("min((timestamp, seq, record_id))", "min(struct_pack(timestamp := timestamp, seq := seq, record_id := record_id))")))
 def group_senders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.sender_stats(messages(spark, sf_dir)).withColumn("names", F.array_join("names", "|"))
 
 
+@query(over("SELECT chat_id, sender_id, sender_name, count(*) AS n, min(timestamp) AS first_time, max(timestamp) AS last_time FROM msgs WHERE sender_name <> '' GROUP BY ALL"))
+def sender_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.sender_names(messages(spark, sf_dir))
+
+
 @query(over(f"SELECT chat_id, {DAY.format('timestamp')} AS day, count(*) AS n, count(*) FILTER (WHERE kind = 'system') AS system FROM msgs GROUP BY ALL"))
 def group_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.day_stats(messages(spark, sf_dir))

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from talkloom.functions import texts
+
 #: Folders of image files, best first.
 FAMILIES = ("Ori", "OriTemp", "Thumb", "ThumbTemp")
 HASH_NAME = r"(?i)^[a-f0-9]{16,64}\.(jpg|jpeg|png|gif|webp)$"
@@ -70,14 +72,19 @@ def image_references(records: DataFrame) -> DataFrame:
     return records.select("source", "record_id", F.posexplode("images").alias("position", "image")).withColumn("media_ref", F.concat(F.lit("/images/"), "position"))
 
 
-def match_name_variants(hints: DataFrame, files: DataFrame) -> DataFrame:
+def match_name_variants(hints: DataFrame, files: DataFrame, most: int | None = None) -> DataFrame:
     """Hints (hint) to files (name, bytes) by stem, whatever the size suffix or case: originals
-    first, then larger files."""
+    first, then larger files; with ``most``, the best of each hint only.
+
+    Files are ranked once for their stem, before hints meet them.
+    """
     stem = lambda c: F.lower(F.regexp_replace(F.regexp_replace(c, r"\.[^.]*$", ""), "(_0|_720)$", ""))
     original = ~F.lower(F.col("name")).rlike(r"(_720|_thumb|thumb)")
-    joined = hints.select("hint", stem(F.col("hint")).alias("stem")).join(files.select("name", "bytes", stem(F.col("name")).alias("stem"), original.alias("original")), "stem")
-    order = Window.partitionBy("hint").orderBy(F.desc("original"), F.desc("bytes"), "name")
-    return joined.withColumn("rank", F.row_number().over(order)).drop("stem")
+    order = Window.partitionBy("stem").orderBy(F.desc("original"), F.desc("bytes"), "name")
+    ranked = files.select("name", "bytes", stem(F.col("name")).alias("stem"), original.alias("original")).withColumn("rank", F.row_number().over(order))
+    if most is not None:
+        ranked = ranked.filter(F.col("rank") <= most)
+    return hints.select("hint", stem(F.col("hint")).alias("stem")).distinct().join(ranked, "stem").select("hint", "name", "bytes", "original", "rank")
 
 
 def match_resources(messages: DataFrame, resources: DataFrame, extra: tuple[str, ...] = ("digest",)) -> DataFrame:
@@ -93,12 +100,18 @@ def match_resources(messages: DataFrame, resources: DataFrame, extra: tuple[str,
 
 def match_digests(wanted: DataFrame, files: DataFrame, links: DataFrame) -> DataFrame:
     """Stickers and images (ref_id, md5, resource_id) to files (md5, path, bytes): equal content,
-    else files linked (resource_id, path) to the resource; the largest first."""
-    by_content = wanted.join(files.select("md5", "path", "bytes"), "md5").select("ref_id", "path", "bytes", F.lit(0).alias("how"))
-    by_link = wanted.join(links, "resource_id").join(files.select("path", "bytes"), "path").select("ref_id", "path", "bytes", F.lit(1).alias("how"))
-    order = Window.partitionBy("ref_id").orderBy("how", F.desc("bytes"), "path")
-    both = by_content.unionByName(by_link).distinct().withColumn("rank", F.row_number().over(order))
-    return both.filter("rank = 1").select("ref_id", "path", F.when(F.col("how") == 0, "content").otherwise("resource").alias("evidence"))
+    else files linked (resource_id, path) to the resource; the largest first.
+
+    The best file of each content and of each resource is taken before any reference meets it, so a
+    reference costs two rows, however many files share its content.
+    """
+    largest = F.min(F.struct((-F.coalesce(F.col("bytes"), F.lit(-1))).alias("order"), "path"))["path"]
+    by_content = files.groupBy("md5").agg(largest.alias("same"))
+    paths = files.groupBy("path").agg(F.max("bytes").alias("bytes"))
+    by_link = links.join(paths, "path").groupBy("resource_id").agg(largest.alias("linked"))
+    both = wanted.distinct().join(by_content, "md5", "left").join(by_link, "resource_id", "left")
+    evidence = F.when(F.col("same").isNotNull(), "content").otherwise("resource")
+    return both.select("ref_id", F.coalesce("same", "linked").alias("path"), evidence.alias("evidence")).filter("path IS NOT NULL")
 
 
 def match_videos(wanted: DataFrame, files: DataFrame) -> DataFrame:
@@ -116,21 +129,77 @@ def match_videos(wanted: DataFrame, files: DataFrame) -> DataFrame:
 
 
 AUDIO_NAME = r"^([0-9a-f]{32})_(\d+)_(\d+)_(\d+)(?:_([A-Za-z0-9]+))?\.[a-z0-9]+$"
+#: Fixed value: endings of audio files, the most trusted first.
+AUDIO_ENDINGS = (".wav", ".flac", ".silk", ".mp3", ".ogg", ".m4a", ".amr", ".opus", ".aac")
+_IDENTITY = ("chat_md5", "local_id", "timestamp", "server_id")
+
+
+def named_audio(files: DataFrame) -> DataFrame:
+    """Columns of ``files`` (name, ...) with the identity that an audio name of the cache says; null
+    for other names."""
+    part = lambda i: F.nullif(F.regexp_extract("name", AUDIO_NAME, i), F.lit(""))
+    return files.withColumns({"chat_md5": part(1), "local_id": part(2), "timestamp": part(3).cast("bigint"), "server_id": part(4)})
+
+
+def _identified(messages: DataFrame) -> DataFrame:
+    text = lambda c: F.nullif(F.col(c).cast("string"), F.lit(""))
+    return messages.select("msg_ref", F.md5(text("chat_id")).alias("chat_md5"), text("local_id").alias("local_id"), F.col("timestamp").cast("bigint").alias("timestamp"), text("server_id").alias("server_id"))
 
 
 def match_audio(messages: DataFrame, files: DataFrame) -> DataFrame:
     """Voice messages (msg_ref, chat_id, server_id, local_id, timestamp) to cached audio (name,
     sha256) whose name says ``md5(chat)_local_time_server[_account].ext``; differing contents
     are ambiguous."""
-    part = lambda i: F.regexp_extract("name", AUDIO_NAME, i)
-    parsed = files.filter(F.col("name").rlike(AUDIO_NAME)).select(
-        part(1).alias("chat_md5"), part(2).alias("local_id"), part(3).cast("bigint").alias("timestamp"), part(4).alias("server_id"), "sha256"
-    )
-    asked = messages.select("msg_ref", F.md5(F.col("chat_id")).alias("chat_md5"), F.col("local_id").cast("string").alias("local_id"), "timestamp", F.col("server_id").cast("string").alias("server_id"))
-    found = asked.join(parsed, ["chat_md5", "local_id", "timestamp", "server_id"], "left").groupBy("msg_ref").agg(F.count_distinct("sha256").alias("n"), F.min("sha256").alias("sha256"))
+    parsed = named_audio(files.select("name", "sha256")).filter("chat_md5 IS NOT NULL")
+    found = _identified(messages).join(parsed, list(_IDENTITY), "left").groupBy("msg_ref").agg(F.count_distinct("sha256").alias("n"), F.min("sha256").alias("sha256"))
     return found.select("msg_ref", F.when(F.col("n") == 0, "not_found").when(F.col("n") > 1, "ambiguous").otherwise("ok").alias("status"), F.when(F.col("n") == 1, F.col("sha256")).alias("sha256"))
 
 
+def resolve_audio(messages: DataFrame, paths: DataFrame, files: DataFrame) -> DataFrame:
+    """The audio of voice messages (msg_ref, chat_id, server_id, local_id, timestamp): a path that the
+    message itself names (``paths``: msg_ref, path, rank), else the cache by its exact name.
+
+    ``files`` (path, sha256) are those that can be read.  A named path counts if it is local, has an
+    audio ending and is one of them; a name of the cache must say the message's own identity, whole.
+    Of the paths of the least rank those with the most trusted ending count; they must have one
+    content.  One row a message: (msg_ref, status, path, sha256, evidence, reason) with status ok,
+    ambiguous, identity_unavailable (nothing named, and an identity with gaps) or not_found; the
+    shortest path of the content is given.
+    """
+    who = _identified(messages)
+    whole = F.lit(True)
+    for c in _IDENTITY:
+        whole = whole & F.col(c).isNotNull()
+    ending = F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1))
+    usable = (texts.path_kind(F.col("path")) == "local") & ending.isin(*AUDIO_ENDINGS)
+    known = named_audio(files.dropDuplicates(["path"]).withColumn("name", F.regexp_extract("path", r"([^/\\]+)$", 1)))
+    place = F.array_position(F.array(*map(F.lit, AUDIO_ENDINGS)), ending)
+    said = [F.col(c).alias(f"file_{c}") for c in _IDENTITY]
+    # what messages name themselves: equal on the path, a few rows a message
+    tried = paths.select("msg_ref", "path", "rank").filter(usable).distinct().join(known.select("path", "sha256", *said), "path").join(who, "msg_ref")
+    matches = F.lit(True)
+    for c in _IDENTITY:
+        matches = matches & (F.col(c) == F.col(f"file_{c}"))
+    cached = F.col("file_chat_md5").isNotNull()
+    reason = F.when(cached & ~whole, "cache_identity_incomplete").when(cached & ~F.coalesce(matches, F.lit(False)), "cache_identity_mismatch")
+    judged = tried.withColumn("reason", reason).withColumn("place", place)
+    shortest = F.min(F.struct(F.length("path").alias("size"), "path"))["path"].alias("path")
+    content = [F.min("sha256").alias("sha256"), F.max("sha256").alias("other"), shortest]
+    named = judged.filter("reason IS NULL").groupBy("msg_ref", "rank", "place").agg(*content)
+    named = named.groupBy("msg_ref").agg(F.min(F.struct("rank", "place", "sha256", "other", "path")).alias("named"))
+    refused = judged.filter("reason IS NOT NULL").groupBy("msg_ref").agg(F.min("reason").alias("refused"))
+    by_name = known.filter("chat_md5 IS NOT NULL").groupBy(*_IDENTITY).agg(*content).select(*_IDENTITY, F.struct("sha256", "other", "path").alias("cache"))
+    found = who.join(named, "msg_ref", "left").join(refused, "msg_ref", "left").join(by_name, list(_IDENTITY), "left")
+    one = lambda side: F.struct(F.col(f"{side}.sha256"), F.col(f"{side}.other"), F.col(f"{side}.path"), F.lit("message" if side == "named" else "cache").alias("evidence"))
+    found = found.withColumn("best", F.when(F.col("named").isNotNull(), one("named")).when(F.col("cache").isNotNull(), one("cache"))).withColumn("whole", whole)
+    status = F.when(F.col("best").isNotNull(), F.when(F.col("best.sha256") == F.col("best.other"), "ok").otherwise("ambiguous")).when(~F.col("whole"), "identity_unavailable").otherwise("not_found")
+    ok = F.col("status") == "ok"
+    return found.withColumn("status", status).select(
+        "msg_ref", "status", F.when(ok, F.col("best.path")).alias("path"), F.when(ok, F.col("best.sha256")).alias("sha256"), F.when(ok, F.col("best.evidence")).alias("evidence"),
+        F.when(F.col("best").isNull(), F.col("refused")).alias("reason"),
+    )
+
+
 def reuse_transcripts(audio: DataFrame, transcripts: DataFrame) -> DataFrame:
     """The stored transcript of each recording (audio_sha256, model_rev), best engine first."""
     place = F.array_position(F.array(*map(F.lit, ENGINES)), F.col("engine"))

@@ -41,16 +41,26 @@ def chat_breakdowns(messages: DataFrame) -> DataFrame:
 
 
 def sender_stats(messages: DataFrame) -> DataFrame:
-    """By chat and stable sender (null stays unknown): count, latest non-empty name, all names,
-    first appearance; the order within a chat is count, then first appearance."""
+    """By chat and stable sender (null stays unknown): count, latest non-empty name, all names of a
+    known sender, first appearance; the order within a chat is count, then first appearance.
+
+    Whoever stands behind an unknown sender may have any number of names; :func:`sender_names` has
+    them, and those of all others, as rows.
+    """
     order = F.struct("timestamp", "seq", "record_id")
     named = texts.filled(F.col("sender_name")).isNotNull()
     return messages.groupBy("chat_id", "sender_id").agg(
         F.count("*").alias("n"), F.max_by("sender_name", F.when(named, order)).alias("latest_name"),
-        F.array_sort(F.collect_set(F.when(named, F.col("sender_name")))).alias("names"), F.min(order).alias("first"),
+        F.array_sort(F.collect_set(F.when(named & F.col("sender_id").isNotNull(), F.col("sender_name")))).alias("names"), F.min(order).alias("first"),
     ).withColumn("rank", F.row_number().over(Window.partitionBy("chat_id").orderBy(F.desc("n"), "first"))).drop("first")
 
 
+def sender_names(messages: DataFrame) -> DataFrame:
+    """A row for each non-empty name of each sender of a chat: how often and when first and last."""
+    named = messages.filter(texts.filled(F.col("sender_name")).isNotNull())
+    return named.groupBy("chat_id", "sender_id", "sender_name").agg(F.count("*").alias("n"), F.min("timestamp").alias("first_time"), F.max("timestamp").alias("last_time"))
+
+
 def day_stats(messages: DataFrame) -> DataFrame:
     return messages.groupBy("chat_id", times.local_day(F.col("timestamp")).alias("day")).agg(
         F.count("*").alias("n"), F.count_if(F.col("kind") == "system").alias("system")

@@ -431,6 +431,14 @@ def test_media_matching(spark):
     voice = spark.createDataFrame([("a", "chat", "9", 1, 50), ("b", "chat", "8", 2, 60)], "msg_ref string, chat_id string, server_id string, local_id long, timestamp long")
     files = spark.createDataFrame([(f"{talker}_1_50_9.wav", "s1"), (f"{talker}_1_50_9_acc.wav", "s1"), (f"{talker}_2_60_8.wav", "s2"), (f"{talker}_2_60_8_x.wav", "s3"), ("junk", "s4")], "name string, sha256 string")
     assert {r.msg_ref: (r.status, r.sha256) for r in media.match_audio(voice, files).collect()} == {"a": ("ok", "s1"), "b": ("ambiguous", None)}
+    more = spark.createDataFrame([(f"/c/{n}", s) for n, s in files.collect()] + [("/a/x.WAV", "x"), ("/a/longer/x.wav", "x"), ("/a/x.flac", "y"), (r"C:\a\z.mp3", "z"), ("/a/t.txt", "t")], "path string, sha256 string")
+    given = [("a", "/a/x.flac", 0), ("a", "/a/longer/x.wav", 0), ("a", "/a/x.WAV", 0), ("b", "/a/t.txt", 0), ("b", "//far/x.wav", 0), ("b", "/not/there.wav", 0), ("c", r"C:\a\z.mp3", 5), ("d", f"/c/{talker}_1_50_9.wav", 0), ("e", f"/c/{talker}_1_50_9.wav", 0)]
+    asked = voice.unionByName(spark.createDataFrame([("c", None, None, None, None), ("d", "chat", None, 1, 50), ("e", "chat", "7", 1, 50)], voice.schema))
+    got = {r.msg_ref: (r.status, r.path, r.evidence, r.reason) for r in media.resolve_audio(asked, spark.createDataFrame(given, "msg_ref string, path string, rank int"), more).collect()}
+    assert got == {
+        "a": ("ok", "/a/x.WAV", "message", None), "b": ("ambiguous", None, None, None), "c": ("ok", r"C:\a\z.mp3", "message", None),
+        "d": ("identity_unavailable", None, None, "cache_identity_incomplete"), "e": ("not_found", None, None, "cache_identity_mismatch"),
+    }
     videos = spark.createDataFrame([("v", "r1", "2024-02"), ("w", "r2", "2024-02")], "ref_id string, resource_id string, month string")
     store = spark.createDataFrame([("r1", "2024-01", "old", False), ("r1", "2024-02", "new", False), ("r1", "2024-02", "cov", True), ("r2", "2024-02", "only", True)], "resource_id string, month string, path string, is_cover boolean")
     assert {r.ref_id: (r.video, r.cover) for r in media.match_videos(videos, store).collect()} == {"v": ("new", "cov"), "w": (None, "only")}
