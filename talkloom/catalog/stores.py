@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from talkloom.catalog.base import Registry, messages, over
 from talkloom.operators import identity, substrings
+from talkloom.plans.digest_tree import DigestTree, changed_records
 from talkloom.plans.page_store import PageStore
 from talkloom.sources import readers
 from talkloom.sources.scratch import shared_dir
@@ -61,4 +62,19 @@ def discover_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.discover(asked, readers.contacts(spark, sf_dir), 5).select("query", "id", "score", "display_name", "rank", "complete")
 
 
+@query("""WITH old AS (SELECT o_orderkey AS k, o_comment AS c FROM (SELECT o_orderkey, o_orderpriority || o_totalprice AS o_comment FROM orders) WHERE k % 97 <> 5),
+ new AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 89 = 7 THEN 'new' ELSE o_orderpriority || o_totalprice END AS c FROM orders WHERE o_orderkey % 101 <> 9)
+SELECT coalesce(old.k, new.k)::VARCHAR AS record_id, CASE WHEN old.k IS NULL THEN 'inserted' WHEN new.k IS NULL THEN 'deleted' ELSE 'changed' END AS change
+FROM old FULL JOIN new ON old.k = new.k WHERE old.k IS NULL OR new.k IS NULL OR old.c <> new.c""")
+def changes_by_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of the orders by their digest trees: only leaves that differ are compared."""
+    o, key = readers.table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    text = F.concat("o_orderpriority", F.col("o_totalprice").cast("string"))
+    record = lambda body: (F.lit("o").alias("source"), key.cast("string").alias("record_id"), F.sha2(body, 256).alias("fp"))
+    old = DigestTree.write(o.filter("o_orderkey % 97 <> 5").select(*record(text)), _place(spark, "tree"), leaf_rows=50)
+    changed = o.filter("o_orderkey % 101 <> 9").select(*record(F.when(key % 89 == 7, "new").otherwise(text)))
+    new = DigestTree.write(changed, _place(spark, "tree"), depth=old.depth())
+    return changed_records(old, new).select("record_id", "change")
+
+
 QUERIES, ORACLE_SQL = query.queries, query.sql
