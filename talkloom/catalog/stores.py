@@ -11,6 +11,7 @@ from talkloom.catalog.base import Registry, messages, over
 from talkloom.operators import identity, substrings
 from talkloom.plans.digest_tree import DigestTree, changed_records
 from talkloom.plans.page_store import PageStore
+from talkloom.plans.reader_store import ReaderStore
 from talkloom.sources import readers
 from talkloom.sources.scratch import shared_dir
 
@@ -77,4 +78,15 @@ def changes_by_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed_records(old, new).select("record_id", "change")
 
 
+@query(over("""SELECT row_number() OVER (ORDER BY g) AS chunk_id, count(*) AS n, min(timestamp) AS first_time, max(timestamp) AS last_time, CASE WHEN row_number() OVER (ORDER BY g) > 1 THEN row_number() OVER (ORDER BY g) - 1 END AS prev,
+  CASE WHEN row_number() OVER (ORDER BY g) < count(*) OVER () THEN row_number() OVER (ORDER BY g) + 1 END AS next
+  FROM (SELECT timestamp, sum(CASE WHEN ('0x' || substr(md5(source || ':' || record_id), 1, 8))::BIGINT % 500 = 0 THEN 1 ELSE 0 END) OVER (ORDER BY timestamp, source, seq, record_id) AS g FROM msgs) GROUP BY g"""))
+def reader_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index of a reader store that was made of most messages and brought up to date with all."""
+    store, rows = ReaderStore(spark, _place(spark, "reader"), 500), messages(spark, sf_dir)
+    store.update(rows.filter("seq <> 3"))
+    store.update(rows)
+    return store.index().select("chunk_id", "n", "first_time", "last_time", "prev", "next")
+
+
 QUERIES, ORACLE_SQL = query.queries, query.sql
