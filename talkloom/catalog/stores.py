@@ -12,7 +12,10 @@ from talkloom.operators import identity, substrings
 from talkloom.plans.digest_tree import DigestTree, changed_records
 from talkloom.plans.page_store import PageStore
 from talkloom.plans.reader_store import ReaderStore
+from talkloom.functions import times
+from talkloom.functions.times import TimeRange
 from talkloom.sources import readers
+from talkloom.sources.exports import read_exports
 from talkloom.sources.scratch import shared_dir
 
 query = Registry()
@@ -89,4 +92,14 @@ def reader_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.index().select("chunk_id", "n", "first_time", "last_time", "prev", "next")
 
 
+@query(over("SELECT source, chat_id, record_id, timestamp, text FROM msgs WHERE timestamp >= 1704643200 AND timestamp < 1705248000"))
+def exports_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages exported as JSON lines by local month, and a week of them read back; files of other
+    months are not opened."""
+    place, rows = _place(spark, "exports"), messages(spark, sf_dir)
+    month = times.local_month(F.col("timestamp"))
+    rows.withColumn("month", F.coalesce(month, F.lit("unknown"))).repartition("month").write.partitionBy("month").json(place)
+    return read_exports(spark, place, TimeRange(1704643200, 1705248000)).select("source", "chat_id", "record_id", "timestamp", "text")
+
+
 QUERIES, ORACLE_SQL = query.queries, query.sql
