@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkloom.catalog.base import Registry, messages, over
-from talkloom.operators import identity, substrings
+from talkloom.operators import identity, media, substrings
 from talkloom.plans.digest_tree import DigestTree, changed_records
+from talkloom.plans.known import KnownRecords
 from talkloom.plans.page_store import PageStore
 from talkloom.plans.reader_store import ReaderStore
 from talkloom.functions import times
@@ -102,4 +103,30 @@ def exports_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_exports(spark, place, TimeRange(1704643200, 1705248000)).select("source", "chat_id", "record_id", "timestamp", "text")
 
 
+@query("""SELECT doc_id FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS r FROM documents WHERE doc_id % 3 = 2) WHERE r = 1
+  AND sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 3 < 2 AND text IS NOT NULL)""")
+def new_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the documents against two earlier versions by Bloom filters of their texts."""
+    d = readers.table(spark, sf_dir, "documents").select(F.lit("d").alias("source"), "doc_id", F.sha2("text", 256).alias("fp"))
+    known = KnownRecords(spark, _place(spark, "known"))
+    known.add(d.filter("doc_id % 3 = 0"))
+    known.add(d.filter("doc_id % 3 = 1"))
+    return known.new_records(d.filter("doc_id % 3 = 2"), ["doc_id"]).select("doc_id")
+
+
+@query("""SELECT conv_id, turn, '/body/items/0' AS media_ref, 3 AS depth, 'image' AS kind FROM conversations
+  UNION ALL SELECT conv_id, turn, '/body/items/1/reply/parts/0/deep', 7, 'voice' FROM conversations WHERE turn % 2 = 0
+  UNION ALL SELECT conv_id, turn, '/a~1b', 1, 'video' FROM conversations WHERE role = 'user'""")
+def media_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Media nodes of records nested six deep, made of all turns."""
+    c = readers.table(spark, sf_dir, "conversations")
+    of = lambda **fields: F.struct(*[F.lit(v).alias(k) if isinstance(v, str) else v.alias(k) for k, v in fields.items()])
+    deep = of(deep=of(kind_name=F.when(F.col("turn") % 2 == 0, "voice").otherwise("text"), n=F.col("turn")))
+    image = of(kind="image", inner=F.array(of(kind="video")), text=F.col("text"))
+    item = of(kind="reply", kind_name="image", reply=of(parts=F.array(deep)))
+    body = of(items=F.array(F.to_json(image), F.to_json(item)))
+    text = F.concat(F.lit('{"id":'), "conv_id", F.lit(',"body":{"items":['), F.array_join(body["items"], ","), F.lit(']},"a/b":{"kind":"'), F.when(F.col("role") == "user", "video").otherwise("none"), F.lit('"}}'))
+    return media.media_nodes(c.withColumn("payload", text), "payload", ("conv_id", "turn")).select("conv_id", "turn", "media_ref", "depth", "kind")
+
+
 QUERIES, ORACLE_SQL = query.queries, query.sql

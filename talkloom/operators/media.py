@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkloom.functions import texts
+from talkloom.sources.scratch import kept
 
 #: Folders of image files, best first.
 FAMILIES = ("Ori", "OriTemp", "Thumb", "ThumbTemp")
@@ -72,6 +73,41 @@ def image_references(records: DataFrame) -> DataFrame:
     return records.select("source", "record_id", F.posexplode("images").alias("position", "image")).withColumn("media_ref", F.concat(F.lit("/images/"), "position"))
 
 
+#: Kinds of nodes that are media.
+MEDIA_KINDS = ("image", "sticker", "emoji", "voice", "video")
+
+
+def media_nodes(records: DataFrame, payload: str, keys: tuple[str, ...], kinds: tuple[str, ...] = MEDIA_KINDS, most: int = 64) -> DataFrame:
+    """Media nodes at any depth of JSON records: ``(keys, media_ref, depth, kind, node)``.
+
+    A node is an object whose ``kind``, or ``kind_name`` if it has no ``kind``, says so; what is inside
+    one is its own and not looked into.  ``media_ref`` is the node's path (``/a/0/b``, with ``~1`` for a
+    slash and ``~0`` for a tilde in a name).  Records are walked level by level as variants; a level
+    costs a job over what is left, and over ``most`` levels are an error (ValueError).  Null payloads
+    and texts that are no JSON have no nodes.
+    """
+    spark = records.sparkSession
+    left = records.select(*keys, F.lit("").alias("media_ref"), F.try_parse_json(F.col(payload).cast("string")).alias("node")).filter("node IS NOT NULL")
+    own = F.variant_get("node", "$.kind", "variant")
+    kind = F.when(own.isNotNull(), F.try_variant_get("node", "$.kind", "string")).otherwise(F.try_variant_get("node", "$.kind_name", "string"))
+    is_object = F.schema_of_variant("node").startswith("OBJECT")
+    out = None
+    for depth in range(most + 1):
+        # variants are written as text between levels, parsed once each
+        level = left.withColumn("kind", F.when(is_object, kind))
+        is_media = F.coalesce(F.col("kind").isin(*kinds), F.lit(False))
+        found = level.filter(is_media).select(*keys, "media_ref", F.lit(depth).alias("depth"), "kind", F.to_json("node").alias("node"))
+        out = found if out is None else out.unionByName(found)
+        inner = level.filter(~is_media).lateralJoin(spark.tvf.variant_explode(F.col("node").outer()))
+        name = F.coalesce(F.replace(F.replace(F.col("key"), F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1")), F.col("pos").cast("string"))
+        children = inner.select(*[level[k] for k in keys], F.concat("media_ref", F.lit("/"), name).alias("media_ref"), F.to_json("value").alias("text"))
+        children = kept(children.filter(F.substring("text", 1, 1).isin("{", "[")), "nodes")
+        if not children.limit(1).count():
+            return out
+        left = children.select(*keys, "media_ref", F.parse_json("text").alias("node"))
+    raise ValueError(f"records are nested over {most} levels deep")
+
+
 def match_name_variants(hints: DataFrame, files: DataFrame, most: int | None = None) -> DataFrame:
     """Hints (hint) to files (name, bytes) by stem, whatever the size suffix or case: originals
     first, then larger files; with ``most``, the best of each hint only.
