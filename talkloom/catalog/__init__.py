@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from talkloom.catalog import media, people, reads, rules, snapshots, stores
+from talkloom.catalog import media, people, reads, rules, shown, snapshots, stores
 
-_PARTS = (reads, people, snapshots, media, rules, stores)
+_PARTS = (reads, people, snapshots, media, rules, stores, shown)
 QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
 ORACLE_SQL = {name: sql for part in _PARTS for name, sql in part.ORACLE_SQL.items()}
 
