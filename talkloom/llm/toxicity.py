@@ -6,8 +6,9 @@ that a few telling words can outweigh many that say nothing; no term is left out
 blocks of similar ones.  A query adds up the postings of the terms that can matter most; the
 greatest weights that the other terms have in each block bound what is still open there, and only
 examples that can reach the nearest are compared in full: the result is that of comparing all.
-Votes weigh by squared cosine, and an isotonic fit on the examples themselves, each without its
-own vote and those of its copies, turns them into chances.
+Votes weigh by squared cosine, and an isotonic fit on the examples themselves turns them into
+chances: each group of copies is judged without itself, and once more, if it has several members,
+with the others, as a text is that has been seen before.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from talkloom.llm.common import map_texts, scan_texts, written
 from talkloom.llm.quality_classifier import isotonic
@@ -33,10 +35,12 @@ HEAD = 12
 @dataclass(frozen=True)
 class ToxicConfig:
     """``examples``, ``example_bytes``: at most so many labelled texts of so many bytes in all are
-    used, whole, in the order of a hash of their ids.  They bound what is sent to tasks."""
+    used, whole, in the order of a hash of their ids; a text of over ``text_bytes`` is no example, so
+    that none takes the place of many.  They bound what is sent to tasks."""
 
     examples: int = 3_000
     example_bytes: int = 24 << 20
+    text_bytes: int = 3 << 19
     tie_weight: float = 5.0
     neighbours: int = 15
     prior_weight: float = 0.2
@@ -49,13 +53,25 @@ def words_of(text: str | None) -> list[str]:
 
 
 def bounded_examples(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column], config: ToxicConfig) -> DataFrame:
-    """``(key, label, text)`` of the chosen rows; bounded after the join too, should ids repeat."""
-    order = [F.xxhash64("key"), F.col("key"), F.col("label")]
-    chosen = written(labels.filter(F.col("label").isNotNull() & learn(F.col("key"))).distinct().orderBy(*order).limit(config.examples), "chosen")
-    joined = docs.filter(F.col("text").isNotNull()).join(F.broadcast(chosen), "key").withColumn("rank", F.xxhash64("text"))
-    some = joined.orderBy(*order, "rank", "text").limit(config.examples)  # config.examples rows from here on
-    so_far = F.sum(F.octet_length("text")).over(Window.orderBy(*order, "rank", "text").rowsBetween(Window.unboundedPreceding, 0))
-    return written(some.withColumn("so_far", so_far).filter(F.col("so_far") <= config.example_bytes).select("key", "label", "text"), "examples")
+    """``(key, label, text)`` of the chosen rows: labelled texts in the order of a hash of their ids, at
+    most ``examples`` of them; one that is too long, or does not fit into what is left of the bytes, is
+    passed over and the next is looked at.
+
+    Only labels of texts that are there count.  Keys and lengths are ordered; texts are fetched for
+    the rows that were chosen.  A row that is there twice is one example.
+    """
+    wanted = labels.filter(F.col("label").isNotNull() & learn(F.col("key"))).distinct()
+    sizes = docs.filter(F.col("text").isNotNull()).select("key", F.xxhash64("text").alias("rank"), F.octet_length("text").cast("bigint").alias("bytes"))
+    some = sizes.filter(F.col("bytes") <= config.text_bytes).join(wanted, "key").distinct()
+    listed = some.orderBy(F.xxhash64("key"), "key", "label", "rank").limit(config.examples).collect()  # config.examples short rows
+    chosen, left = [], config.example_bytes
+    for row in listed:
+        if row["bytes"] <= left:
+            chosen.append((row["key"], row["rank"], row["label"]))
+            left -= row["bytes"]
+    kinds = T.StructType([some.schema["key"], some.schema["rank"], some.schema["label"]])
+    found = docs.withColumn("rank", F.xxhash64("text")).join(F.broadcast(docs.sparkSession.createDataFrame(chosen, kinds)), ["key", "rank"])
+    return written(found.select("key", "label", "text").dropDuplicates(["key", "label", "text"]), "examples")
 
 
 class Terms:
@@ -167,14 +183,18 @@ class ToxicModel:
         weights, c = cosines**2, self.config
         return float((weights @ self.index.labels[places] + c.prior_weight * self.base) / (weights.sum() + c.prior_weight))
 
-    def held_back(self, text: str | None) -> float:
-        """The vote on an example, without itself and its copies."""
+    def held_back(self, text: str | None, label: int) -> tuple[float, float | None, int]:
+        """Votes on an example, without itself and its copies and, if it has copies, without itself
+        alone; and how many there are of it."""
         at, values = self.terms.vector(text)
         if not len(at):
-            return self.base
+            return self.base, None, 1
         found = self.index.cosines(at, values)
-        found[found > _COPY] = 0.0
-        return self.vote(*self.index._best(np.arange(len(found)), found, self.config.neighbours))
+        same = found > _COPY
+        vote = lambda cosines: self.vote(*self.index._best(np.arange(len(cosines)), cosines, self.config.neighbours))
+        own = np.flatnonzero(same & (self.index.labels == label))
+        alone = vote(np.where(np.arange(len(found)) == own[0], 0.0, found)) if same.sum() > 1 and len(own) else None
+        return vote(np.where(same, 0.0, found)), alone, max(1, int(same.sum()))
 
     def score(self, text: str | None) -> tuple[float, list[str], list[float]]:
         """The calibrated chance, and the nearest examples with their cosines."""
@@ -268,11 +288,19 @@ def learn_examples(docs: DataFrame, labels: DataFrame, learn: Callable[[Column],
     voting = context.broadcast(model)
 
     def judge():
-        return lambda texts: [[voting.value.held_back(t) for t in texts]]
+        def work(texts, labels):
+            found = [voting.value.held_back(t, y) for t, y in zip(texts, labels, strict=True)]
+            return [[f[k] for f in found] for k in range(3)]
+
+        return work
 
-    votes = map_texts(examples, "text", ["label"], judge, [("vote", "double")]).toArrow()  # at most config.examples rows
-    values, at = np.unique(votes.column("vote").to_numpy(), return_inverse=True)
-    knots = isotonic(values, np.bincount(at, votes.column("label").to_numpy()), np.bincount(at))
+    judged = map_texts(examples, "text", ["label"], judge, [("vote", "double"), ("alone", "double"), ("copies", "int")], carry=["label"]).toArrow()  # at most config.examples rows
+    vote, alone, label, copies = (judged.column(c).to_numpy().astype(float) for c in ("vote", "alone", "label", "copies"))
+    # a group of copies counts once as a text of its own and once as one that has been seen before
+    seen = ~np.isnan(alone)
+    votes, label, weight = np.concatenate([vote, alone[seen]]), np.concatenate([label, label[seen]]), 1 / np.concatenate([copies, copies[seen]])
+    values, at = np.unique(votes, return_inverse=True)
+    knots = isotonic(values, np.bincount(at, label * weight), np.bincount(at, weight))
     return ToxicModel(terms, index, base, config, knots)
 
 
@@ -285,8 +313,8 @@ def score_toxicity(
     Whole texts count, however long.  A text with no word of the examples, as a null or empty one,
     scores the base rate of the examples, without evidence; with no labelled text that rate is
     0.  Null labels are no examples, a null id is none either; repeated rows are scored one by
-    one, and examples of equal cosine come in the order of the index; an empty table gives an
-    empty result.  The model is bounded by ``config`` and the only thing sent to tasks; the texts
+    one, and examples of equal cosine come in the order of the index; further columns, whatever
+    their names, are not read; an empty table gives an empty result.  The model is bounded by ``config`` and the only thing sent to tasks; the texts
     are read to count words and once more to score them, and are never shuffled.
     """
     config = config or ToxicConfig()

@@ -168,6 +168,85 @@ def test_repeated_ids_stay_within_the_bound(spark):
     assert 0 < len(few.index.labels) < 12
 
 
+def examples_of(spark, docs, labels, **config):
+    frame = spark.createDataFrame(docs, "key bigint, text string")
+    return tx.bounded_examples(frame, spark.createDataFrame(labels, "key bigint, label int"), lambda k: k.isNotNull(), tx.ToxicConfig(**config))
+
+
+def test_a_long_text_is_passed_over(spark):
+    docs = [(i, f"text number {i}") for i in range(60)]
+    labels = [(i, i % 2) for i in range(60)]
+    every = {r.key for r in examples_of(spark, docs, labels).collect()}
+    assert every == set(range(60))
+    order = [r.key for r in spark.createDataFrame([(i,) for i in range(60)], "key bigint").orderBy(F.xxhash64("key")).collect()]
+    long = [(k, "word " * 6_000_000 if k == order[0] else t) for k, t in docs]  # 30 MB, first in order
+    assert {r.key for r in examples_of(spark, long, labels).collect()} == every - {order[0]}
+    middle = [(k, "w" * 500 if k == order[3] else t) for k, t in docs]
+    assert {r.key for r in examples_of(spark, middle, labels, example_bytes=300).collect()} < every - {order[3]}
+    assert order[4] in {r.key for r in examples_of(spark, middle, labels, example_bytes=300).collect()}
+
+
+def test_labels_without_documents_take_no_place(spark):
+    docs = [(i, f"text number {i}") for i in range(60)]
+    labels = [(i, i % 2) for i in range(60)] + [(i, 1) for i in range(1000, 7000)]
+    assert examples_of(spark, docs, labels, examples=60).count() == 60
+
+
+def test_classes_of_copies_are_told_apart(spark):
+    docs = [(i, "you awful nasty thing") for i in range(30)] + [(i, "a fine day in spring") for i in range(30, 60)] + [(100, "you awful nasty thing"), (101, "a fine day in spring"), (102, "neither here nor there")]
+    labels = [(i, int(i < 30)) for i in range(60)]
+    scored = {r.doc_id: r for r in tx.score_toxicity(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int"), lambda k: k.isNotNull()).collect()}
+    assert scored[100].predicted == 1 and scored[101].predicted == 0 and scored[101].score < scored[102].score < scored[100].score
+
+
+def test_scores_recomputed_from_the_examples(spark):
+    """Votes, calibration on groups of copies and final scores by plain loops."""
+    rng = np.random.default_rng(12)
+    words = [f"w{i}" for i in range(30)]
+    text = lambda toxic: " ".join(rng.choice(words[10 * toxic : 10 * toxic + 20], rng.integers(1, 9)))
+    docs = [(i, text(i % 2)) for i in range(50)]
+    docs += [(100 + i, docs[i % 4][1]) for i in range(12)] + [(200 + i, text(i % 2)) for i in range(20)] + [(300, ""), (301, None)]
+    labels = [(k, (k + (k == 101)) % 2) for k, _ in docs if k < 200]
+    config = tx.ToxicConfig(neighbours=5)
+    keyed = spark.createDataFrame(docs, "key bigint, text string")
+    model = tx.learn_examples(keyed, spark.createDataFrame(labels, "key bigint, label int"), lambda k: k.isNotNull(), config)
+    given, body = dict(labels), dict(docs)
+    unit = {k: dict(zip(*model.terms.vector(t), strict=True)) for k, t in docs}
+    ids = [int(i) for i in model.index.ids]  # in the order in which ties come
+    base = (sum(given.values()) + 0.5) / (len(given) + 1)
+
+    def vote(cosines):
+        best = sorted((-c, i) for i, c in enumerate(cosines) if c > 0)[:5]
+        weights = [c * c for c, _ in best]
+        return (sum(w * given[ids[i]] for w, (_, i) in zip(weights, best, strict=True)) + 0.2 * base) / (sum(weights) + 0.2)
+
+    cosine = lambda a, b: sum(v * unit[b].get(t, 0.0) for t, v in unit[a].items())
+    samples = []
+    for k in given:
+        found = [cosine(k, j) for j in ids]
+        same = [c > 0.999 for c in found]
+        samples.append((vote([0.0 if s else c for c, s in zip(found, same, strict=True)]), given[k], 1 / sum(same)))
+        if sum(same) > 1:
+            own = next(i for i, s in enumerate(same) if s and given[ids[i]] == given[k])
+            samples.append((vote([0.0 if i == own else c for i, c in enumerate(found)]), given[k], 1 / sum(same)))
+    merged = {}
+    for v, y, w in samples:
+        at = next((m for m in merged if abs(m - v) < 1e-12), v)
+        s, n = merged.get(at, (0.0, 0.0))
+        merged[at] = (s + w * y, n + w)
+    blocks = []
+    for v in sorted(merged):
+        s, n = merged[v]
+        blocks.append([v * n, s, n])
+        while len(blocks) > 1 and blocks[-2][1] / blocks[-2][2] >= blocks[-1][1] / blocks[-1][2] - 1e-12:
+            last = blocks.pop()
+            blocks[-1] = [a + b for a, b in zip(blocks[-1], last, strict=True)]
+    xs, ys = [b[0] / b[2] for b in blocks], [b[1] / b[2] for b in blocks]
+    for k, t in docs:
+        want = base if not unit[k] else float(np.interp(vote([cosine(k, j) for j in ids]), xs, ys))
+        assert abs(model.score(t)[0] - want) < 1e-6, (k, body[k])
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(5)
     vectors = []
