@@ -154,3 +154,14 @@ def test_readers_during_merges_see_one_state(spark, tmp_path):
     live = {p.name for p in log.latest().parts}
     assert log.clean(older=3600) == []  # too young
     assert set(log.clean(older=-60)).isdisjoint(live) and log.frame(log.latest().parts).agg(F.sum("id")).first()[0] == total
+
+
+def test_commits_on_a_store_that_renames(spark, tmp_path):
+    """Where there are no links, a rename that must not overwrite takes their place."""
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.commits.link./in", f"file://{tmp_path}")
+    one, two = (CommitLog(spark, "viewfs://commits/in/set") for _ in range(2))
+    base = one.latest()
+    part = one.write(spark.range(3))
+    assert one.commit(base, (part,)).version == 1 and two.commit(base, ()) is None
+    assert two.update(lambda c: (c.parts, {"by": "two"})).version == 2 and one.latest().facts == {"by": "two"}
+    assert one.frame(one.latest().parts).count() == 3 and one.clean(older=-60) == [] and one.versions() == [1, 2]
