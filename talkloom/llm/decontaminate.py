@@ -160,8 +160,8 @@ def find_contamination(
     ``(*keep (the id, unless given), n_words, n_hit, starts, ends, item_ids)``; item ids as strings,
     sorted.  Null and empty texts have no words and no hits; items without words match nothing; an
     empty benchmark leaves every document clean; whole texts count, however long; repeated rows
-    give repeated results, repeated items are one; shingles of equal rarity are taken by hash; an
-    empty table gives an empty result.  The benchmark is joined as a table: what is sent to tasks
+    give repeated results, repeated items are one; shingles of equal rarity are taken by hash; columns
+    other than those named are not read, whatever their names; an empty table gives an empty result.  The benchmark is joined as a table: what is sent to tasks
     are two bit tables of ``MOST_BITS`` at most, and nothing of it passes through the driver but
     these.
     """

@@ -177,7 +177,8 @@ def write_records(
     Returns the offset index: ``(part, file, byte, <id>, n_tokens, start)``.  Null and empty
     texts give a record of the end id alone; rows that share an id follow each other ordered by
     text, null ids come first; an empty table gives an empty index.  Texts are dealt by id range
-    into files of about ``file_bytes`` of text.  A task writes under a name of its own and only
+    into files of about ``file_bytes`` of text; a longer text is one record in a file of its own
+    size, encoded whole; further columns, whatever their names, are not read.  A task writes under a name of its own and only
     the index of tasks that ended well is kept, so lost or repeated tasks leave no trace in it.
     """
     from tokenizers import Tokenizer
