@@ -42,13 +42,19 @@ _STEP, _LISTED = 500_000, 10_000
 @dataclass(frozen=True)
 class LmConfig:
     """``core``: words that start the clustering, for ``rounds`` rounds; ``least``: count from
-    which a word is exchanged; ``sweeps``: rounds over these words, each for a part of them."""
+    which a word is exchanged; ``sweeps``: rounds over these words at most, each for one of
+    ``shares`` parts of them; ``gain``: share of the log-likelihood that the last ``shares`` rounds
+    must have added for another one to follow.  A round takes all words of a part at once; one that
+    makes the texts less likely is undone (``undo``)."""
 
     classes: int = 48  # less than 8,191
     core: int = 1500
     rounds: int = 8
-    least: int = 128
-    sweeps: int = 2
+    least: int = 16
+    sweeps: int = 8
+    shares: int = 4
+    gain: float = 1e-3
+    undo: bool = True
     class_weight: float = 0.9
     transition_add: float = 0.5
     emission_add: float = 0.5
@@ -511,7 +517,7 @@ def sweep(encoded: DataFrame, placed: tuple[SideFiles, ...], table: np.ndarray,
 
         def chosen(block, hashes, n):
             own.read(block, len(hashes))
-            some = np.flatnonzero((own.total >= config.least) & (hashes % config.sweeps == turn % config.sweeps))
+            some = np.flatnonzero((own.total >= config.least) & (hashes % config.shares == turn % config.shares))
             return some, own.total[some], own.classes[some], own.classes
 
         return chosen
@@ -553,7 +559,7 @@ class LmModel:
 
 def learn_model(encoded: DataFrame, config: LmConfig) -> tuple[LmModel, tuple[SideFiles, ...], list[float]]:
     """The small tables, the side files of the blocks' words, and the likelihood before each sweep
-    and after the last."""
+    that could follow and after the last."""
     spark, k = encoded.sparkSession, config.classes
     core = core_words(encoded, config.core)
     core_classes, core_table = np.zeros(0, np.int64), np.zeros((k, k))
@@ -576,21 +582,31 @@ def learn_model(encoded: DataFrame, config: LmConfig) -> tuple[LmModel, tuple[Si
     counts = class_table(encoded, placed, k)
     for turn in range(config.sweeps):
         likelihoods.append(likelihood_of(counts[:k, :k]))
+        # every part has had its turn since the likelihood before the last ``shares`` rounds
+        if turn >= config.shares and likelihoods[-1] - likelihoods[-1 - config.shares] < config.gain * abs(likelihoods[-1]):
+            break
         moved = sweep(encoded, placed, counts[:k, :k], turn, config)
-        placed = (*placed, moved)
+        after = class_table(encoded, (*placed, moved), k)
+        if config.undo and likelihood_of(after[:k, :k]) < likelihoods[-1]:
+            continue  # words that moved at once have chased each other: the classes before stay
+        placed, counts = (*placed, moved), after
         for column, sign in ((new, 1), (old, -1)):
             for place, n in of_firsts(moved, column):
                 sizes[:, place] += sign * n
-        counts = class_table(encoded, placed, k)
     likelihoods.append(likelihood_of(counts[:k, :k]))
+    return _model(counts, sizes, config), placed, likelihoods
+
 
+def _model(counts: np.ndarray, sizes: np.ndarray, config: LmConfig) -> LmModel:
+    """Smoothed chances from class bigrams ``counts`` (index k: words seen once)."""
+    k = config.classes
     once, plain = counts[:, k], counts[:, :k]
     unseen = (once + 0.5) / (plain.sum(1) + 1.0)
     smooth = (plain + config.transition_add) / (plain.sum(1, keepdims=True) + config.transition_add * k)
     chances = np.concatenate([(1 - unseen)[:, None] * smooth, unseen[:, None]], axis=1)
     if not sizes[1].sum():
         chances[:, :k], chances[:, k] = 0.0, 1.0
-    return LmModel(int(sizes[0].sum()), int(sizes[1].sum()), sizes[0], sizes[1], chances, config), placed, likelihoods
+    return LmModel(int(sizes[0].sum()), int(sizes[1].sum()), sizes[0], sizes[1], chances, config)
 
 
 def score_texts(docs: DataFrame, learn: Column, config: LmConfig | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

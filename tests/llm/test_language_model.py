@@ -51,7 +51,7 @@ def test_probabilities_sum_to_one():
 
 def test_score_equals_direct_sums(spark, corpus):
     """Classes, transitions, emissions and scores recomputed by plain loops over all texts."""
-    config = lm.LmConfig(classes=4, core=6, rounds=3, least=9, sweeps=2)
+    config = lm.LmConfig(classes=4, core=6, rounds=3, least=9, sweeps=2, shares=2, undo=False)
     learn = remainder(F.col("doc_id"), 5) != 1
     encoded = lm.encoded_blocks(corpus.repartition(5), "doc_id", "text", learn)
     model, placed, _ = lm.learn_model(encoded, config)
@@ -120,12 +120,19 @@ def test_score_equals_direct_sums(spark, corpus):
 
 
 def test_rounds_over_all_words_gain(corpus):
-    config = lm.LmConfig(classes=4, core=6, rounds=1, least=2, sweeps=3)
+    config = lm.LmConfig(classes=4, core=6, rounds=1, least=2, sweeps=3, shares=3)
     encoded = lm.encoded_blocks(corpus.repartition(3), "doc_id", "text", F.lit(True))
     _, placed, likelihoods = lm.learn_model(encoded, config)
     assert len(placed) == 4 and likelihoods[-1] > likelihoods[0]
 
 
+def test_rounds_that_harm_are_undone(corpus):
+    encoded = lm.encoded_blocks(corpus.repartition(3), "doc_id", "text", F.lit(True))
+    _, placed, likelihoods = lm.learn_model(encoded, lm.LmConfig(classes=4, core=6, rounds=3, least=2, sweeps=6, shares=2, gain=0.0))
+    assert len(likelihoods) > len(placed) or len(placed) == 7
+    assert all(b >= a for a, b in zip(likelihoods, likelihoods[1:], strict=False))
+
+
 def test_best_class_gain_is_the_change_of_likelihood():
     rng = np.random.default_rng(3)
     n, k = 12, 3
