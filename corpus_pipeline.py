@@ -22,7 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts are scored like any other, whole texts count, repeated rows and rows
     without an id are scored one by one, further columns are left behind; with no labelled text
-    all scores are equal.  An empty table gives an empty result.
+    all scores are equal; a score equal to the threshold stays.  An empty table gives an empty result.
     """
     learn = lambda key: remainder(key, 5) != 0
     scored = quality_classifier.score_quality(docs, table(spark, sf_dir, "labels"), learn, keep=COLUMNS)
@@ -75,8 +75,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 250 bytes (about fifty words) that occur elsewhere are cut out of all texts, at
     every place, the first as well; so of repeated rows nothing is left but rows.
 
-    A null text comes back empty; shorter texts stay whole; texts of any length are cut whole; a
-    character that a cut goes through is gone.  An empty table gives an empty result.
+    A null text comes back empty; shorter texts stay whole; texts of any length are cut whole; no
+    place of a string comes before another, so there are no ties; a character that a cut goes through is gone.  An empty table gives an empty result.
     """
     config = suffix_dedup.DedupConfig(length=250)
     cut = suffix_dedup.remove_repeats(docs, config, keep=("doc_id", "lang", "source"), as_text=True)
@@ -87,7 +87,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go.
 
     Null and empty texts and an empty benchmark hold none; whole texts count, however long;
-    repeated rows go or stay together; an empty table gives an empty result.
+    repeated rows go or stay together; one window of one item is enough, so there are no ties; an
+    empty table gives an empty result.
     """
     copy = in_blocks(docs, [F.col(c) for c in COLUMNS], "documents")
     found = decontaminate.find_contamination(copy, table(spark, sf_dir, "benchmark"), keep=("block", "rid"))
@@ -98,7 +99,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 tokens, one row for each piece of a document.
 
     A null or empty text is its end token alone; longer texts are cut into pieces, all of which
-    are packed; repeated rows are packed one by one.  An empty table gives an empty result.
+    are packed; repeated rows are packed one by one; pieces of equal length take their
+    places in the order of tasks.  An empty table gives an empty result.
     """
     return packing.pack_documents(docs, tokenizer("byte_bpe_50k.json"), size=1024, end_id=2)
 
