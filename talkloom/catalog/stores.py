@@ -17,7 +17,7 @@ from talkloom.functions import times
 from talkloom.functions.times import TimeRange
 from talkloom.sources import readers
 from talkloom.sources.exports import read_exports
-from talkloom.sources.scratch import shared_dir
+from talkloom.sources.scratch import kept, shared_dir
 
 query = Registry()
 
@@ -54,8 +54,9 @@ def keywords_of_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = readers.table(spark, sf_dir, "events").select(F.expr("substring(props, int(1 + event_id % 5), int(1 + event_id % 7))").alias("query"))
     asked = pieces.unionByName(spark.createDataFrame([(q,) for q in ("key", "on_", "1", "%", "未")], "query string"))
     rows = messages(spark, sf_dir)
-    found = substrings.find(asked, rows.select(F.struct("source", "chat_id", "record_id").alias("id"), "text"))
-    return found.groupBy("query").agg(F.count("*").alias("messages"), F.count_distinct("id.chat_id").alias("chats"), F.min("id.record_id").alias("first_record"))
+    said = kept(rows.groupBy("text", "chat_id").agg(F.count("*").alias("n"), F.min("record_id").alias("first")), "said")
+    found = substrings.find_bodies(asked, said).join(said, "text")
+    return found.groupBy("query").agg(F.sum("n").alias("messages"), F.count_distinct("chat_id").alias("chats"), F.min("first").alias("first_record"))
 
 
 @query("""WITH q AS (SELECT DISTINCT substr(c_name, 10, 2 + c_custkey % 8) AS query FROM customer), c AS (SELECT 'u_' || c_custkey AS uid, c_mktsegment AS remark, c_name AS nick, (c_custkey + 10000)::VARCHAR AS uin FROM customer),

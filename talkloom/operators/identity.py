@@ -165,7 +165,7 @@ def discover(queries: DataFrame, candidates: DataFrame, limit: int, names: tuple
     score = F.when(F.col("exact"), 0).when(F.col("id.column") < len(names), 1).otherwise(2)
     scored = found.groupBy("query", F.col("id.row").alias("row")).agg(F.min(score).alias("score")).join(rows.select("row", "id", "display_name"), "row")
     one = scored.groupBy("query", "id").agg(F.min(F.struct("score", "display_name")).alias("b")).select("query", "id", "b.*")
-    return substrings.best(one, limit, ["score", "display_name", "id"])
+    return substrings.best(kept(one, "matches"), limit, ["score", "display_name", "id"])
 
 
 def discover_everywhere(queries: DataFrame, sources: dict[str, DataFrame], limit: int) -> tuple[DataFrame, DataFrame]:

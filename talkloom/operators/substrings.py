@@ -1,30 +1,57 @@
 """Many literal texts sought in many texts at once, by a table of short substrings.
 
-Every text is listed under its distinct substrings of three characters (postings).  A text that is
+Every distinct text is listed under its distinct substrings of a few sizes (postings).  A text that is
 sought can only be where all of its own are, so it meets the postings of the rarest of them alone,
-and what it meets there is compared in full.  One and two characters are sought under themselves.
+and what it meets there is compared in full.  Of the sizes it is sought by the greatest that it has:
+with three characters alone, the texts of a substring and the texts that are sought by it would both
+grow with their tables.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from talkloom.sources.scratch import kept
+
+#: Characters of a listed substring, in postings that are kept and in those made for one search.
+STORED, SIZES = (1, 2, 3), (1, 2, 3, 6, 12, 24, 48)
+_ROWS = 50_000
+
+
+def size_of(query: Column, sizes: tuple[int, ...]) -> Column:
+    """The greatest of ``sizes`` that ``query`` has characters for."""
+    return F.greatest(*[F.when(F.char_length(query) >= n, n).otherwise(sizes[0]) for n in sizes], F.lit(sizes[0]))
+
 
-#: Characters of a listed substring.
-SIZE = 3
+def postings(texts: DataFrame, sizes: tuple[int, ...] = STORED, greatest: bool = False) -> DataFrame:
+    """``texts`` (id, text) -> ``(gram, id)``, each once for an id; null texts have none.  With
+    ``greatest`` only substrings of the greatest size that a text has."""
+    rows = texts.filter("text IS NOT NULL").select("id", F.make_valid_utf8(F.col("text")).alias("text"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams, places = [], []
 
-def grams(text: Column, size: int) -> Column:
-    """The distinct substrings of ``size`` characters; none of shorter texts."""
-    letters = F.split(text, "")
-    cut = F.transform(F.sequence(F.lit(1), F.size(letters) - size + 1), lambda i: F.array_join(F.slice(letters, i, size), ""))
-    return F.when(F.char_length(text) >= size, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
+            def out():
+                return pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), batch.column(0).take(pa.array(places, pa.int64()))], ["gram", "id"])
 
+            for place, text in enumerate(batch.column(1).to_pylist()):
+                fitting = [n for n in sizes if n <= len(text)]
+                own = {text[i : i + n] for n in (fitting[-1:] if greatest else fitting) for i in range(len(text) - n + 1)}
+                grams += own
+                places += [place] * len(own)
+                if len(grams) >= _ROWS:
+                    yield out()
+                    grams, places = [], []
+            if grams:
+                yield out()
 
-def postings(texts: DataFrame, sizes: tuple[int, ...] = (1, 2, SIZE)) -> DataFrame:
-    """``texts`` (id, text) -> ``(gram, id)``, each once for an id; null texts have none."""
-    listed = F.explode(F.concat(*[grams(F.col("text"), n) for n in sizes]))
-    return texts.filter("text IS NOT NULL").select(listed.alias("gram"), "id")
+    return rows.mapInArrow(run, T.StructType([T.StructField("gram", T.StringType()), rows.schema["id"]]))
 
 
 def write_postings(texts: DataFrame, path: str) -> None:
@@ -37,6 +64,37 @@ def read_postings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _candidates(asked: DataFrame, listed: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
+    """``(query, id)``: each of ``asked`` (query) with what its rarest substring is ``listed`` (gram, id) for."""
+    wanted = kept(postings(asked.select(F.col("query").alias("id"), F.col("query").alias("text")), sizes, greatest=True).withColumnRenamed("id", "query"), "wanted")
+    held = kept(listed.join(wanted.select("gram").distinct(), "gram", "left_semi"), "postings")
+    counts = held.groupBy("gram").agg(F.count("*").alias("texts"))
+    # a query with a substring that no text has is found nowhere
+    ranked = wanted.join(counts, "gram", "left").withColumn("texts", F.coalesce("texts", F.lit(0)))
+    rarest = ranked.groupBy("query").agg(F.min(F.struct("texts", "gram")).alias("least")).filter("least.texts > 0").select("query", F.col("least.gram").alias("gram"))
+    return held.join(kept(rarest, "rarest"), "gram").select("query", "id")
+
+
+def _asked(queries: DataFrame) -> DataFrame:
+    return kept(queries.select(F.col("query").cast("string").alias("query")).filter("query <> ''").distinct(), "queries")
+
+
+def _checked(candidates: DataFrame, texts: DataFrame, *columns: str) -> DataFrame:
+    body = F.col("text")
+    return candidates.join(texts, "id").filter(body.contains(F.col("query"))).select("query", *columns, (body == F.col("query")).alias("exact"))
+
+
+def find_bodies(queries: DataFrame, texts: DataFrame) -> DataFrame:
+    """``queries`` (query) in the distinct ``texts`` (text) -> ``(query, text, exact)``, each pair once:
+    for callers who count by text, so that a text which a million rows share is compared once."""
+    asked = _asked(queries)
+    sizes = tuple(sorted(r[0] for r in asked.select(size_of(F.col("query"), SIZES)).distinct().collect())) or STORED  # one of SIZES each
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # short texts are few bytes but many substrings: dealt, so that all tasks list some
+    bodies = kept(texts.select("text").filter("text <> ''").distinct().repartition(parts).withColumn("id", F.monotonically_increasing_id()), "bodies")
+    return _checked(_candidates(asked, postings(bodies.select("id", "text"), sizes), sizes), bodies, "text")
+
+
 def find(queries: DataFrame, texts: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """``queries`` (query) in ``texts`` (id, text) -> ``(query, id, exact)``: every pair where the text
     contains the query, and whether it is nothing else.
@@ -49,20 +107,9 @@ def find(queries: DataFrame, texts: DataFrame, stored: DataFrame | None = None)
     A frequent substring is the rarest of a query only if all of the query is frequent; its rows
     then meet the few queries that share it, and Spark may split them, as one side has a row a query.
     """
-    asked = queries.select(F.col("query").cast("string").alias("query")).filter("query <> ''").distinct()
-    length = F.char_length("query")
-    own = F.when(length >= SIZE, grams(F.col("query"), SIZE)).otherwise(F.array("query"))
-    wanted = asked.select("query", F.explode(own).alias("gram"))
-    if stored is None:
-        sizes = sorted(r[0] for r in wanted.select(F.char_length("gram")).distinct().collect())  # three at most
-        stored = postings(texts, tuple(sizes) or (SIZE,))
-    counts = stored.join(wanted.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("texts"))
-    # a query with a substring that no text has is found nowhere
-    ranked = wanted.join(counts, "gram", "left").withColumn("texts", F.coalesce("texts", F.lit(0)))
-    rarest = ranked.groupBy("query").agg(F.min(F.struct("texts", "gram")).alias("least")).filter("least.texts > 0").select("query", F.col("least.gram").alias("gram"))
-    candidates = stored.join(rarest, "gram").select("query", "id")
-    body = F.col("text")
-    return candidates.join(texts.select("id", "text"), "id").filter(body.contains(F.col("query"))).select("query", "id", (body == F.col("query")).alias("exact"))
+    if stored is not None:
+        return _checked(_candidates(_asked(queries), stored, STORED), texts.select("id", "text"), "id")
+    return find_bodies(queries, texts).join(texts.select("id", "text"), "text").select("query", "id", "exact")
 
 
 def best(found: DataFrame, limit: int, order: list[str]) -> DataFrame:

@@ -73,3 +73,22 @@ def test_discovery_ranks_without_a_bound_on_queries(spark):
     assert not [r for r in got if r.query == " "]
     with pytest.raises(ValueError):
         identity.discover(contacts.select("uid"), contacts, 0)
+
+
+def test_texts_of_one_task_are_listed_by_several(spark):
+    """A file that one task reads holds many substrings: texts are dealt before they are listed."""
+    texts = spark.range(0, 400, numPartitions=1).selectExpr("id", "concat('text ', id) AS text")
+    listed = []
+    plain = substrings.postings
+
+    def seen(rows, *args, **more):
+        listed.append(rows)
+        return plain(rows, *args, **more)
+
+    substrings.postings = seen
+    try:
+        assert found(spark, ["xt 39"], texts.collect()) == by_hand(["xt 39"], [tuple(r) for r in texts.collect()])
+        assert substrings.find(spark.createDataFrame([("xt 39",)], "query string"), texts).count() == 11
+    finally:
+        substrings.postings = plain
+    assert listed[2].selectExpr("spark_partition_id() AS p").distinct().count() > 1
