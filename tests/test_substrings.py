@@ -92,3 +92,23 @@ def test_texts_of_one_task_are_listed_by_several(spark):
     finally:
         substrings.postings = plain
     assert listed[2].selectExpr("spark_partition_id() AS p").distinct().count() > 1
+
+
+def test_candidates_grow_with_the_queries_not_their_square(spark):
+    """Numbers sought among numbers: by three characters each would meet hundreds of the others."""
+    texts = [(i, f"{i * 7919 % 1_000_000:09d}") for i in range(3000)]
+    asked = spark.createDataFrame([(t,) for _, t in texts], "query string")
+    rows = spark.createDataFrame(texts, "id bigint, text string")
+    met = []
+    plain = substrings._checked
+
+    def counted(candidates, *args):
+        met.append(candidates.count())
+        return plain(candidates, *args)
+
+    substrings._checked = counted
+    try:
+        assert sorted(r.id for r in substrings.find(asked, rows).filter("exact").collect()) == list(range(3000))
+    finally:
+        substrings._checked = plain
+    assert met[0] <= 2 * len(texts)
