@@ -112,3 +112,9 @@ def test_candidates_grow_with_the_queries_not_their_square(spark):
     finally:
         substrings._checked = plain
     assert met[0] <= 2 * len(texts)
+
+
+def test_a_text_of_many_rows_is_compared_once(spark):
+    texts = spark.range(5000).selectExpr("concat('said ', id % 3) AS text")
+    got = substrings.find_bodies(spark.createDataFrame([("said",), ("d 1",)], "query string"), texts).collect()
+    assert sorted(map(tuple, got)) == [("d 1", "said 1", False), *[("said", f"said {i}", False) for i in range(3)]]
