@@ -66,26 +66,36 @@ def recall_candidates(events: DataFrame, cache: DataFrame, live: DataFrame, wind
     records (chat_id, msg_id, timestamp) that are no longer live, at most ``window`` seconds
     older, nearest first, ``most`` of them.
 
-    An interval join kept an equality join.  Of the records of one second, and of one step (a
-    64th of the window), no event can need more than the nearest ``most``; these alone are kept.
-    An event meets the seconds of its own step and the kept records of the steps before it, so
-    a hot chat or second costs an event a bounded number of rows.
+    Records in order of their time, and in a second by falling id: an event needs the last
+    ``most`` before it.  They are numbered in each step (a 64th of the window), behind the last
+    ``most`` of the steps before, so an event meets ``most`` records by their numbers and no others.
+    Events of one second need the same ones and are asked for once; of the records of one second
+    the nearest ``most`` are kept.  So a step holds a bounded number of rows, however hot the chat.
     """
     step = max(1, window // 64)
+    of_step = F.floor(F.col("timestamp") / step)
     exact = exact_recoveries(events, cache).select("chat_id", "msg_id")
-    open_ = events.filter("timestamp > 0").join(exact, ["chat_id", "msg_id"], "left_anti")
-    open_ = open_.select("chat_id", F.col("msg_id").alias("event_id"), F.col("timestamp").alias("event_ts"), F.floor(F.col("timestamp") / step).alias("at"))
-    gone = cache.filter("recoverable").join(live, ["chat_id", "msg_id"], "left_anti").select("chat_id", "msg_id", "timestamp", F.floor(F.col("timestamp") / step).alias("step"))
+    open_ = events.filter("timestamp > 0").join(exact, ["chat_id", "msg_id"], "left_anti").select("chat_id", F.col("msg_id").alias("event_id"), F.col("timestamp").alias("event_ts"))
+    open_ = kept(open_, "withdrawals")
+    gone = cache.filter("recoverable AND timestamp IS NOT NULL").join(live, ["chat_id", "msg_id"], "left_anti").select("chat_id", "msg_id", "timestamp", of_step.alias("step"))
 
     def nearest(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
         return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("__r") <= most).drop("__r")
 
-    seconds = nearest(gone, ["chat_id", "timestamp"], ["msg_id"])
-    steps = nearest(seconds, ["chat_id", "step"], [F.desc("timestamp"), "msg_id"])
-    first = F.floor((F.col("event_ts") - window) / step)
-    earlier = open_.filter(first < F.col("at")).select("chat_id", "event_id", "event_ts", F.explode(F.sequence(first, F.col("at") - 1)).alias("step")).join(steps, ["chat_id", "step"])
-    own = open_.withColumnRenamed("at", "step").join(seconds, ["chat_id", "step"]).select(*earlier.columns)
-    pairs = own.unionByName(earlier).withColumn("seconds", F.col("event_ts") - F.col("timestamp")).filter(F.col("seconds").between(0, window))
+    seconds = kept(nearest(gone, ["chat_id", "timestamp"], ["msg_id"]), "seconds")
+    back = [F.desc("timestamp"), "msg_id"]
+    moments = open_.select("chat_id", F.col("event_ts").alias("timestamp")).distinct().withColumn("step", of_step)
+    first = F.floor((F.col("least") - window) / step)
+    asked = moments.groupBy("chat_id", F.col("step").alias("at")).agg(F.min("timestamp").alias("least")).filter(first < F.col("at"))
+    earlier = asked.select("chat_id", "at", F.explode(F.sequence(first, F.col("at") - 1)).alias("step")).join(nearest(seconds, ["chat_id", "step"], back), ["chat_id", "step"])
+    carried = nearest(earlier.drop("step").withColumnRenamed("at", "step"), ["chat_id", "step"], back)
+    rows = seconds.unionByName(carried).withColumn("asks", F.lit(0)).unionByName(moments.withColumn("asks", F.lit(1)), allowMissingColumns=True)
+    so_far = Window.partitionBy("chat_id", "step").orderBy("timestamp", "asks", F.desc("msg_id")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = kept(rows.withColumn("number", F.count_if(F.col("asks") == 0).over(so_far)), "placed")
+    numbers = F.explode(F.sequence(F.greatest(F.col("number") - most + 1, F.lit(1)), F.col("number")))
+    wanted = placed.filter("asks = 1 AND number > 0").select("chat_id", "step", F.col("timestamp").alias("event_ts"), numbers.alias("number"))
+    answers = wanted.join(placed.filter("asks = 0").drop("asks"), ["chat_id", "step", "number"]).withColumn("seconds", F.col("event_ts") - F.col("timestamp")).filter(F.col("seconds").between(0, window))
+    pairs = open_.join(answers, ["chat_id", "event_ts"])
     order = Window.partitionBy("chat_id", "event_id").orderBy("seconds", "msg_id")
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most).select("chat_id", "event_id", "rank", "msg_id", "seconds")
 

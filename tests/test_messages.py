@@ -536,3 +536,22 @@ def test_small_projections(spark):
     none = F.lit(None).cast("string")
     chat = lambda kind, uid, group: one(normalize.canonical_chat_id(F.lit(kind), F.lit(uid).cast("string"), F.lit(group).cast("string"), none, F.lit("other")))
     assert chat("private", " ", "g") is None and chat("private", "u", None) == "u" and chat("group", None, "7") == "7" and chat("group", None, None) == "other"
+
+
+def test_recall_candidates_equal_every_pair_where_a_second_is_hot(spark):
+    """Events of one second, hot seconds, records just inside and outside the window, repeated steps."""
+    import random
+
+    rng = random.Random(5)
+    cache = [("a", i, 1000 + rng.choice([0, 7, 7, 7, 63, 64, 65, 400, 900]), "t", i % 9 != 0) for i in range(300)] + [("b", 1, 5000, "t", True), ("a", 900, None, "t", True)]
+    events = [("a", 1000 + i, 1000 + rng.choice([0, 7, 70, 128, 400, 464, 1300])) for i in range(80)] + [("b", 2, 4999), ("b", 3, 5000), ("b", 4, 5064), ("b", 5, 5065), ("c", 6, 5000)]
+    live = [("a", i) for i in range(0, 300, 5)]
+    got = observe.recall_candidates(
+        spark.createDataFrame(events, "chat_id string, msg_id bigint, timestamp bigint"), spark.createDataFrame(cache, "chat_id string, msg_id bigint, timestamp bigint, text string, recoverable boolean"),
+        spark.createDataFrame(live, "chat_id string, msg_id bigint"), 64,
+    ).collect()
+    want = []
+    for chat, event, at in events:
+        near = sorted((at - t, m) for c, m, t, _, ok in cache if ok and c == chat and t is not None and 0 <= at - t <= 64 and (c, m) not in live)
+        want += [(chat, event, rank, m, s) for rank, (s, m) in enumerate(near[:5], 1)]
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) > 100
