@@ -100,7 +100,8 @@ def exports_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     months are not opened."""
     place, rows = _place(spark, "exports"), messages(spark, sf_dir)
     month = times.local_month(F.col("timestamp"))
-    rows.withColumn("month", F.coalesce(month, F.lit("unknown"))).repartition("month").write.partitionBy("month").json(place)
+    # rows of a month together, but a large month in several tasks and files
+    rows.withColumn("month", F.coalesce(month, F.lit("unknown"))).hint("rebalance", F.col("month")).write.partitionBy("month").json(place)
     return read_exports(spark, place, TimeRange(1704643200, 1705248000)).select("source", "chat_id", "record_id", "timestamp", "text")
 
 

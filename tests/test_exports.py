@@ -77,3 +77,22 @@ def test_stream_goes_on_where_it_stopped(spark, folder, tmp_path):
     last.write_bytes(whole + b"\r\n" + line(9000, 5).encode() + b"\n")
     (pathlib.Path(folder) / "s.jsonl").write_text(line(9001, 6) + "\n")
     assert run() == rows(read(spark, folder)) and len(run()) == 308
+
+
+def test_a_large_month_is_written_by_several_tasks(spark, data, monkeypatch):
+    from pathlib import Path
+
+    from talkloom.catalog import stores
+    from talkloom.sources import scratch
+
+    places = []
+    monkeypatch.setattr(stores, "_place", lambda s, name: places.append(f"{scratch.shared_dir(s)}/large-month") or places[-1])
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        stores.exports_in_range(spark, data)
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    assert len(list(Path(places[0]).glob("month=2024-01/*.json"))) > 1
