@@ -32,7 +32,7 @@ def page_from_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three pages of 100 from a place deep in a store of all messages, which was filled in three parts
     and merged; each page opens the files around its place."""
     store = PageStore(spark, _place(spark, "pages"), file_rows=20_000)
-    rows = messages(spark, sf_dir)
+    rows = kept(messages(spark, sf_dir), "messages")  # read by all three
     for part in range(3):
         store.append(rows.filter(F.pmod(F.crc32("record_id"), F.lit(3)) == part))
     store.merge(fan=2)

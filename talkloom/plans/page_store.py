@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from talkloom.operators.paging import ORDER, Page, after_key, decode_cursor, encode_cursor, order_columns, scope_hash
 from talkloom.plans.commits import CommitLog, Part, merge_levels
+from talkloom.sources.scratch import kept
 
 
 class PageStore:
@@ -27,12 +28,8 @@ class PageStore:
 
     # -- writing ----------------------------------------------------------------------------------
 
-    def _write(self, messages: DataFrame, level: int = 0, first: int = 0, last: int = 0) -> Part:
-        """A sorted part with its zone map beside the rows."""
-        missing = F.count_if(F.greatest(*[F.col(k).isNull() for k in self.keys]))
-        rows, without = messages.agg(F.count("*"), missing).first()
-        if without:
-            raise ValueError(f"{without} rows lack a part of their key")
+    def _write(self, messages: DataFrame, rows: int, level: int = 0, first: int = 0, last: int = 0) -> Part:
+        """A sorted part with its zone map beside the ``rows`` rows."""
         files = max(1, round(rows / self.file_rows))
         part = self.log.write(messages.repartitionByRange(files, *self.keys).sortWithinPartitions(*self.keys), level, first, last)
         key = F.struct(*self.keys)
@@ -47,7 +44,12 @@ class PageStore:
 
     def append(self, messages: DataFrame) -> None:
         """Add a part.  Writers may run at once; each adds its own."""
-        part = self._write(messages)
+        messages = kept(messages, "appended")  # counted, sampled for its ranges and dealt, but computed once
+        missing = F.count_if(F.greatest(*[F.col(k).isNull() for k in self.keys]))
+        rows, without = messages.agg(F.count("*"), missing).first()
+        if without:
+            raise ValueError(f"{without} rows lack a part of their key")
+        part = self._write(messages, rows)
         facts = {"schema": messages.schema.json(), "keys": list(self.keys)}
 
         def add(commit):
@@ -60,7 +62,7 @@ class PageStore:
 
     def merge(self, fan: int = 4) -> None:
         """Merge parts by level; pages go on meanwhile and see the same rows."""
-        merge_levels(self.log, lambda old, *place: self._write(self.log.frame(old), *place), fan)
+        merge_levels(self.log, lambda old, *place: self._write(self.log.frame(old), sum(p.rows for p in old), *place), fan)
 
     # -- reading ----------------------------------------------------------------------------------
 

@@ -165,3 +165,17 @@ def test_commits_on_a_store_that_renames(spark, tmp_path):
     assert one.commit(base, (part,)).version == 1 and two.commit(base, ()) is None
     assert two.update(lambda c: (c.parts, {"by": "two"})).version == 2 and one.latest().facts == {"by": "two"}
     assert one.frame(one.latest().parts).count() == 3 and one.clean(older=-60) == [] and one.versions() == [1, 2]
+
+
+def test_what_is_appended_is_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = messages(spark, random.Random(4), 300)
+    store = PageStore(spark, str(tmp_path / "s"), file_rows=100)
+    store.append(rows.mapInArrow(passed, rows.schema))
+    assert seen.value == 300 and store.rows().count() == 300
