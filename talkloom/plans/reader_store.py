@@ -9,13 +9,17 @@ order, with their neighbours, and the part that holds each.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkloom.functions import texts
-from talkloom.operators.snapshot import dealt_by_range, numbered, set_digest
+from talkloom.operators.snapshot import numbered, set_digest
 from talkloom.plans.commits import CommitLog, Part
 from talkloom.sources.scratch import kept
 
@@ -33,29 +37,38 @@ class ReaderStore:
     def _chunked(self, records: DataFrame) -> DataFrame:
         """Records with ``chunk``, the name of the chunk: the hash of the key that begins it.
 
-        Names are carried along within parts by range of the order, and from part to part by one
-        row a part, so no task sees more than its own records.
+        Names are carried along within parts by range of the order as they are dealt, and from part
+        to part by one row a part, so no task sees more than its own records and none are dealt twice.
         """
         key = F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in self.keys]))
-        rows = dealt_by_range(records.withColumn("__key", key), list(self.order))
-        begins = F.when(F.conv(F.substring("__key", 1, 8), 16, 10).cast("bigint") % self.size == 0, F.col("__key"))
-        so_far = Window.partitionBy("__part").orderBy(*self.order).rowsBetween(Window.unboundedPreceding, 0)
-        named = rows.withColumn("__own", F.last(begins, ignorenulls=True).over(so_far))
-        place = F.struct(*self.order)
-        ends = rows.groupBy("__part").agg(F.max_by(begins, F.when(begins.isNotNull(), place)).alias("__last"))
+        begins = F.when(F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint") % self.size == 0, key)
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        dealt = records.withColumn("__begins", begins).repartitionByRange(parts, *self.order).sortWithinPartitions(*self.order)
+
+        def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            part, last = TaskContext.get().partitionId(), None
+            for batch in batches:
+                own = pc.fill_null_forward(pa.concat_arrays([pa.array([last], pa.string()), batch.column(batch.num_columns - 1).cast(pa.string())]))[1:]
+                last = own[-1].as_py() if len(own) else last
+                columns = [*batch.columns[:-1], own, pa.array([part] * len(own), pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "__own", "__part"])
+
+        schema = T.StructType([*records.schema, T.StructField("__own", T.StringType()), T.StructField("__part", T.IntegerType())])
+        named = kept(dealt.mapInArrow(carry, schema), "dealt")
+        ends = named.groupBy("__part").agg(F.max_by("__own", F.when(F.col("__own").isNotNull(), F.struct(*self.order))).alias("__last"))
         before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-        carried = ends.select("__part", F.last("__last", ignorenulls=True).over(before).alias("__before"))
-        found = named.join(carried, "__part", "left").withColumn("chunk", F.coalesce("__own", "__before", F.lit("")))
-        return found.drop("__part", "__key", "__own", "__before")
+        carried = kept(ends.select("__part", F.last("__last", ignorenulls=True).over(before).alias("__before")), "carried")
+        found = named.join(F.broadcast(carried), "__part", "left").withColumn("chunk", F.coalesce("__own", "__before", F.lit("")))
+        return found.drop("__part", "__own", "__before")
 
     def update(self, records: DataFrame) -> int:
         """Make ``records`` the contents of the store; returns how many chunks were written.  Another
         update that was committed meanwhile is an error (RuntimeError): the later one begins again."""
         base = self.log.latest()
         columns = records.columns
-        rows = kept(self._chunked(records.withColumn("__fp", texts.fingerprint(*columns))), "chunked")
+        rows = self._chunked(records)
         first = F.min(F.struct(*self.order)).alias("lo")
-        stats = rows.groupBy("chunk").agg(F.count("*").alias("n"), F.min("timestamp").alias("first_time"), F.max("timestamp").alias("last_time"), set_digest("__fp").alias("digest"), first)
+        stats = rows.withColumn("__fp", texts.fingerprint(*columns)).groupBy("chunk").agg(F.count("*").alias("n"), F.min("timestamp").alias("first_time"), F.max("timestamp").alias("last_time"), set_digest("__fp").alias("digest"), first)
         placed = numbered(stats.select("chunk", "n", "first_time", "last_time", "digest", *[F.col(f"lo.{c}").alias(f"lo_{c}") for c in self.order]), [f"lo_{c}" for c in self.order])
         placed = kept(placed.withColumnRenamed("position", "chunk_id").drop(*[f"lo_{c}" for c in self.order]), "chunk_stats")
         old = self._index(base)
@@ -66,7 +79,7 @@ class ReaderStore:
         written = new.count()
         if base.version and not written and placed.count() == old.count():
             return 0
-        fresh = rows.drop("__fp").join(new, "chunk", "left_semi").repartitionByRange("chunk", *self.order).sortWithinPartitions("chunk", *self.order)
+        fresh = rows.join(new, "chunk", "left_semi").repartitionByRange("chunk", *self.order).sortWithinPartitions("chunk", *self.order)
         part = self.log.write(fresh.select("chunk", *columns), first=base.version + 1, last=base.version + 1)
         held = same.withColumn("part", F.coalesce("part", F.lit(part.name)))
         held.repartitionByRange("chunk_id").sortWithinPartitions("chunk_id").write.parquet(f"{self.log.path}/index/{part.name}")

@@ -93,3 +93,13 @@ def test_two_updates_at_once_and_odd_stores(spark, tmp_path, monkeypatch):
     assert single.index().agg(F.max("n")).first()[0] == 1
     with pytest.raises(ValueError):
         ReaderStore(spark, str(tmp_path), size=0)
+
+
+def test_records_are_named_as_they_are_dealt(spark, tmp_path):
+    """Chunk names need no second deal of the records and no window over a part."""
+    rows = rows_of(random.Random(3), 500)
+    store = ReaderStore(spark, str(tmp_path / "s"), 7)
+    found = store._chunked(spark.createDataFrame(rows, SCHEMA))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning(__part" not in plan
+    assert found.count() == 500 and found.select("chunk").distinct().count() > 20
