@@ -166,8 +166,10 @@ def core_words(encoded: DataFrame, size: int) -> np.ndarray:
     """Hashes of the ``size`` words most frequent over all training texts, most frequent first.
 
     Exact without counting every word: the sums of the blocks' own leaders give a count that
-    ``size`` words reach; a word that reaches it has its share of it in some block, and only
-    words that do are counted everywhere.
+    ``size`` words reach; a word that reaches it has its share of it in some block.  The sums of
+    such shares give a higher count that ``size`` words reach, and only words that may reach it with
+    less than a share from every other block are counted everywhere: about ``size`` of them, however
+    many blocks there are.
     """
 
     def rows_where(chosen: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
@@ -187,7 +189,11 @@ def core_words(encoded: DataFrame, size: int) -> np.ndarray:
     top = rows_where(leaders).groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(size)
     reached, blocks = top.agg(F.min("n")).first()[0] or 1, max(1, encoded.count())
     share = max(1, -(-reached // blocks))
-    asked = written(rows_where(lambda n: np.flatnonzero(n >= share)).select("h").distinct(), "candidates")
+    parts = rows_where(lambda n: np.flatnonzero(n >= share)).groupBy("h").agg(F.sum("n").alias("n"), F.count("*").alias("blocks"))
+    parts = written(parts, "candidates")
+    higher = parts.orderBy(F.desc("n"), "h").limit(size).agg(F.min("n")).first()[0] or 1
+    reached = max(reached, higher) if top.count() >= size else 1
+    asked = written(parts.filter(F.col("n") + (blocks - F.col("blocks")) * (share - 1) >= reached).select("h"), "asked")
     counted = rows_where(np.flatnonzero).join(asked, "h", "left_semi").groupBy("h").agg(F.sum("n").alias("n"))
     return np.array([r["h"] for r in counted.orderBy(F.desc("n"), "h").limit(size).collect()], np.int64)  # bounded by ``size``
 

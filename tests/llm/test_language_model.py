@@ -164,3 +164,21 @@ def test_odd_rows(odd, empty):
     assert lm.score_texts(empty, learn, config).count() == 0
     nothing = lm.score_texts(odd, F.lit(False), config).collect()
     assert {(r.n_known, r.base_score, round(r.score, 9)) for r in nothing} == {(0, 0.0, 0.0)}
+
+
+def test_core_words_are_the_most_frequent_of_all_blocks(spark):
+    """Over several blocks: frequent everywhere, in one only, and ties."""
+    import collections
+    import random
+
+    import xxhash
+
+    rng = random.Random(11)
+    texts = [(i, " ".join(f"w{int(rng.paretovariate(0.8))}" for _ in range(40)) + f" own{i % 8} own{i % 8}") for i in range(240)]
+    rows = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(8)
+    encoded = lm.encoded_blocks(rows, "doc_id", "text", F.lit(True))
+    counts = collections.Counter(w for _, t in texts for w in lm.words_of(t))
+    found = lm.core_words(encoded, 20)
+    hashed = {xxhash.xxh3_64_intdigest(w): n for w, n in counts.items()}
+    got = [hashed[int(h) % (1 << 64)] for h in found]
+    assert got == sorted(counts.values(), reverse=True)[:20]
