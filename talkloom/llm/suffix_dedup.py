@@ -369,7 +369,7 @@ def repeated_parts(stretches: DataFrame, config: DedupConfig) -> DataFrame:
 
 def repeated_runs(blocks: DataFrame, config: DedupConfig) -> tuple[SideFiles, SideFiles]:
     """For each block its runs of anchors that recur ``(rid, first, anchor, content)``, and what
-    repeats of their contents ``(anchor, content, start, number)``."""
+    repeats of their contents ``(anchor, content, start, number)``, the last two arrays."""
     runs = written(anchor_runs(blocks, config), "runs")
     # written by itself, so that the join below is between plain exchanges and a hot anchor can be split
     anchors = runs.groupBy("anchor").agg(F.count("*").alias("uses"), F.max("several").alias("several")).filter("uses > 1 OR several")
@@ -381,8 +381,8 @@ def repeated_runs(blocks: DataFrame, config: DedupConfig) -> tuple[SideFiles, Si
     stretches = written(fetch_stretches(blocks, contents.join(kinds, "anchor").select("anchor", "content", "n", "kinds", "row.*"), config.length), "stretches")
     found = repeated_parts(stretches, config).groupBy("anchor", "content").agg(F.collect_list(F.struct("start", "number")).alias("parts"))
     both = written(found, "found").join(contents.select("anchor", "content", "blocks"), ["anchor", "content"])
-    spread = both.select("anchor", "content", "parts", F.explode("blocks").alias("block")).select("block", "anchor", "content", F.explode("parts").alias("p"))
-    answers = spread.select("block", "anchor", "content", "p.start", "p.number")
+    # one row for each content of a block, whatever the number of its parts
+    answers = both.select(F.explode("blocks").alias("block"), "anchor", "content", "parts.start", "parts.number")
     return write_side_files(shared.select("block", "rid", "first", "anchor", "content"), "runs-of-block"), write_side_files(answers, "repeats")
 
 
@@ -391,7 +391,7 @@ def _repeats_of(block: int, runs: SideFiles, repeats: SideFiles) -> dict[int, li
     parts: dict[tuple, list[tuple[int, int]]] = {}
     found = repeats.read(block, ["anchor", "content", "start", "number"])
     for anchor, content, start, number in zip(*(c.to_pylist() for c in found.columns), strict=True) if found is not None else ():
-        parts.setdefault((anchor, content), []).append((start, number))
+        parts[anchor, content] = list(zip(start, number, strict=True))
     rows: dict[int, list[tuple[int, int]]] = {}
     own = runs.read(block, ["rid", "first", "anchor", "content"]) if parts else None
     for rid, first, anchor, content in zip(*(c.to_pylist() for c in own.columns), strict=True) if own is not None else ():
