@@ -88,3 +88,14 @@ def test_odd_rows(odd, empty):
     assert sd.remove_repeats(empty).count() == 0
     text = sd.remove_repeats(odd, sd.DedupConfig(length=160), keep=("doc_id", "word"), as_text=True).filter("doc_id = 6").first()
     assert text.kept == "ÄÖ ß é ñ 漢字" and text.word == "word"
+
+
+def test_a_content_has_one_row_in_a_block(spark):
+    """However many parts of it repeat."""
+    from talkloom.llm import common, suffix_dedup
+
+    texts = [(i, "".join(f"{i} {j} unlike anything {i * j} " + "same words here and there " * 20 for j in range(6))) for i in range(12)]
+    rows = common.in_blocks(spark.createDataFrame(texts, "doc_id bigint, text string"), ["doc_id", "text"], "few")
+    _, repeats = suffix_dedup.repeated_runs(rows, suffix_dedup.DedupConfig(length=160))
+    found = spark.read.parquet(repeats.path).select("block", "anchor", "content")
+    assert found.count() == found.distinct().count() > 0
