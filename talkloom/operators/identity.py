@@ -163,7 +163,7 @@ def discover(queries: DataFrame, candidates: DataFrame, limit: int, names: tuple
     values = rows.select("row", F.posexplode("values").alias("column", "text")).filter("text <> ''").select(F.struct("row", "column").alias("id"), "text")
     found = substrings.find(queries.filter("trim(query) <> ''"), values)
     score = F.when(F.col("exact"), 0).when(F.col("id.column") < len(names), 1).otherwise(2)
-    scored = found.groupBy("query", F.col("id.row").alias("row")).agg(F.min(score).alias("score")).join(rows.select("row", "id", "display_name"), "row")
+    scored = found.select("query", F.col("id.row").alias("row"), score.alias("score")).join(rows.select("row", "id", "display_name"), "row")
     one = scored.groupBy("query", "id").agg(F.min(F.struct("score", "display_name")).alias("b")).select("query", "id", "b.*")
     return substrings.best(kept(one, "matches"), limit, ["score", "display_name", "id"])
 

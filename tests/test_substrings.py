@@ -118,3 +118,41 @@ def test_a_text_of_many_rows_is_compared_once(spark):
     texts = spark.range(5000).selectExpr("concat('said ', id % 3) AS text")
     got = substrings.find_bodies(spark.createDataFrame([("said",), ("d 1",)], "query string"), texts).collect()
     assert sorted(map(tuple, got)) == [("d 1", "said 1", False), *[("said", f"said {i}", False) for i in range(3)]]
+
+
+def test_candidates_of_saturated_substrings(spark):
+    """Where all strings of six letters are in use, nine letters sought by six would each meet many texts."""
+    texts = [(i, "".join("ab"[i >> j & 1] for j in range(9))) for i in range(512)]
+    asked = spark.createDataFrame([(t,) for _, t in texts], "query string")
+    met = []
+    plain = substrings._checked
+
+    def counted(candidates, *args):
+        met.append(candidates.count())
+        return plain(candidates, *args)
+
+    substrings._checked = counted
+    try:
+        found = substrings.find(asked, spark.createDataFrame(texts, "id bigint, text string")).count()
+    finally:
+        substrings._checked = plain
+    assert found == met[0] == 512
+
+
+def test_tasks_list_only_what_is_sought(spark):
+    texts = spark.range(3000).selectExpr("id", "concat('some words and ', id) AS text")
+    asked = spark.createDataFrame([("and 17",), ("words and 2999",)], "query string")
+    listed = substrings.postings(texts, (6, 12), sought=asked)
+    want = spark.createDataFrame([(1, "and 17"), (2, "words and 29"), (2, "ords and 299"), (2, "rds and 2999")], "id long, text string")
+    grams = {r.gram for r in substrings.postings(want, (6, 12), greatest=True).collect()}
+    assert len(grams) == 4 and grams <= {r.gram for r in listed.collect()}
+    assert listed.count() < 300 < substrings.postings(texts, (6, 12)).count()
+
+
+def test_hashes_of_a_text_are_its_own_whatever_lies_around_it(spark):
+    rows = [(0, "ab漢😀cdefghijklmnop"), (1, ""), (2, "b漢😀c"), (3, "x" * 60)]
+    together = substrings.postings(spark.createDataFrame(rows, "id long, text string").coalesce(1), substrings.SIZES).collect()
+    alone = [r for row in rows for r in substrings.postings(spark.createDataFrame([row], "id long, text string"), substrings.SIZES).collect()]
+    assert sorted(map(tuple, together)) == sorted(map(tuple, alone))
+    for i, text in rows:
+        assert sum(r.id == i for r in together) == len({text[a : a + n] for n in substrings.SIZES for a in range(len(text) - n + 1)})
