@@ -99,3 +99,19 @@ def test_a_content_has_one_row_in_a_block(spark):
     _, repeats = suffix_dedup.repeated_runs(rows, suffix_dedup.DedupConfig(length=160))
     found = spark.read.parquet(repeats.path).select("block", "anchor", "content")
     assert found.count() == found.distinct().count() > 0
+
+
+@pytest.mark.parametrize("size", [399, 400])
+def test_the_query_counts_bytes_not_words(spark, tmp_path, size):
+    """A passage of over fifty words stays below 400 bytes; with the pipeline's 250 it goes."""
+    from talkloom.llm.queries import op2_suffix_dedup
+
+    rng = random.Random(400)
+    passage = "".join(" " if i % 7 == 6 else rng.choice("abcdefgh") for i in range(size))
+    assert len(passage.split()) > 50
+    rows = spark.createDataFrame([(0, f"1{passage}2"), (1, f"3{passage}4")], "doc_id bigint, text string")
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    removed = {r.doc_id: r.n_removed for r in op2_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert removed == dict.fromkeys((0, 1), size if size >= 400 else 0)
+    shorter = sd.remove_repeats(rows, sd.DedupConfig(length=250)).collect()
+    assert [r.n_removed for r in shorter] == [size, size]
