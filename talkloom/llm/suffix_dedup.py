@@ -12,7 +12,8 @@ suffixes mostly share an anchor: text goes to buckets in stretches, not byte by
 3. An anchor with more distinct stretches than a bucket should hold (a passage in very many
    documents, at its edges) is dealt again by the anchors of another hash function.  What even
    those leave together is settled suffix by suffix, by digests counted by Spark, so that no
-   bucket grows with the number of documents that share a passage.
+   bucket grows with the number of documents that share a passage.  Long stretches (periodic text
+   is one run, whatever its length) are cut into parts first, and equal parts count as one.
 4. What was found of a stretch goes to the blocks that hold it, once for each block.
 """
 
@@ -51,6 +52,11 @@ class DedupConfig:
     def gram(self) -> int:
         return self.length * 8 // 25
 
+    @property
+    def part(self) -> int:
+        """Suffixes of a stretch that are sorted as one; only periodic text has longer runs."""
+        return self.length * 4
+
 
 # -- sorting within a bucket ----------------------------------------------------------------
 
@@ -349,6 +355,42 @@ def count_suffixes(stretches: DataFrame, length: int) -> DataFrame:
     return suffixes.join(several, "suffix", "left_semi").select("anchor", "content", "start", F.lit(1).alias("number"))
 
 
+def in_parts(stretches: DataFrame, config: DedupConfig) -> tuple[DataFrame, DataFrame | None]:
+    """``stretches`` with the long ones cut into parts, each distinct part of an anchor as a content of
+    its own, and the places of the parts: ``(anchor, part, content, base)``, None if none is long."""
+    import pyarrow as pa
+
+    length, size = config.length, config.part
+    is_long = F.octet_length("bytes") >= size + length
+    long = stretches.filter(is_long)
+    if not long.limit(1).count():
+        return stretches, None
+    names = ["anchor", "content", "n", "kinds", "part", "base", "bytes"]
+
+    def cut(batches):
+        digest = xxhash.xxh3_128_digest
+        for batch in pieces(batches):
+            for anchor, content, n, kinds, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                bases = range(0, len(data) - length + 1, size)
+                own, count = [data[b : b + size + length - 1] for b in bases], len(bases)
+                columns = [
+                    pa.array([anchor] * count, pa.int64()), pa.array([content] * count, pa.binary()), pa.array([n] * count, pa.int64()), pa.array([kinds] * count, pa.int64()),
+                    pa.array([digest(x) for x in own], pa.binary()), pa.array(bases, pa.int32()), pa.array(own, pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    rows = long.select("anchor", "content", "n", "kinds", "bytes").mapInArrow(cut, "anchor bigint, content binary, n bigint, kinds bigint, part binary, base int, bytes binary")
+    parts = written(rows, "parts")
+    distinct = parts.groupBy("anchor", F.col("part").alias("content")).agg(F.sum("n").alias("n"), F.max("kinds").alias("kinds"), F.min("bytes").alias("bytes"))
+    distinct = written(distinct, "distinct-parts")
+    # all of an anchor go the same way, so its parts count in place of the stretches they are of
+    change = distinct.select("anchor", F.lit(1).alias("one")).unionByName(parts.filter("base = 0").select("anchor", F.lit(-1).alias("one")))
+    more = written(change.groupBy("anchor").agg(F.sum("one").alias("more")), "more")
+    both = stretches.filter(~is_long).unionByName(distinct).join(more, "anchor", "left")
+    both = both.withColumn("kinds", F.col("kinds") + F.coalesce("more", F.lit(0))).drop("more")
+    return written(both, "in-parts"), parts.select("anchor", "part", "content", "base")
+
+
 def repeated_parts(stretches: DataFrame, config: DedupConfig) -> DataFrame:
     """``(anchor, content, start, number)`` of all distinct stretches."""
 
@@ -379,7 +421,13 @@ def repeated_runs(blocks: DataFrame, config: DedupConfig) -> tuple[SideFiles, Si
     contents = written(shared.groupBy("anchor", "content").agg(*held), "contents")
     kinds = contents.groupBy("anchor").agg(F.count("*").alias("kinds"))
     stretches = written(fetch_stretches(blocks, contents.join(kinds, "anchor").select("anchor", "content", "n", "kinds", "row.*"), config.length), "stretches")
-    found = repeated_parts(stretches, config).groupBy("anchor", "content").agg(F.collect_list(F.struct("start", "number")).alias("parts"))
+    short, places = in_parts(stretches, config)
+    found = repeated_parts(short, config)
+    if places is not None:
+        found = written(found, "found-parts")
+        again = found.withColumnRenamed("content", "part").join(places, ["anchor", "part"])
+        found = found.unionByName(again.select("anchor", "content", (F.col("start") + F.col("base")).alias("start"), "number"))
+    found = found.groupBy("anchor", "content").agg(F.collect_list(F.struct("start", "number")).alias("parts"))
     both = written(found, "found").join(contents.select("anchor", "content", "blocks"), ["anchor", "content"])
     # one row for each content of a block, whatever the number of its parts
     answers = both.select(F.explode("blocks").alias("block"), "anchor", "content", "parts.start", "parts.number")

@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from talkloom.llm import suffix_dedup as sd
 
@@ -115,3 +116,26 @@ def test_the_query_counts_bytes_not_words(spark, tmp_path, size):
     assert removed == dict.fromkeys((0, 1), size if size >= 400 else 0)
     shorter = sd.remove_repeats(rows, sd.DedupConfig(length=250)).collect()
     assert [r.n_removed for r in shorter] == [size, size]
+
+
+@pytest.mark.parametrize("most", [2048, 3])
+def test_periodic_texts_of_many_lengths_fill_no_bucket(spark, monkeypatch, most):
+    """Runs of one anchor, each of another length: a bucket gets their distinct parts, not their sum."""
+    rng = random.Random(12)
+    units = ["z", "ab-", "-=-=-=*", "lorem ipsum dolor. "]
+    texts = [f"{rng.random()}" + units[i % 4] * ((20_000 + 97 * i) // len(units[i % 4])) + f"{rng.random()}" for i in range(60)]
+    texts += [units[0] * (640 + 159 + i) for i in range(3)] + [units[1] * 300 + units[0] * 2000, "short"]
+    filled = []
+    sort = sd.sort_buckets
+
+    def seen(stretches, buckets, length):
+        filled.extend(r.size for r in stretches.groupBy("key").agg(F.sum(F.octet_length("bytes")).alias("size")).collect())
+        return sort(stretches, buckets, length)
+
+    monkeypatch.setattr(sd, "sort_buckets", seen)
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    found = {r.doc_id: r for r in sd.remove_repeats(rows, sd.DedupConfig(length=160, most=most)).collect()}
+    assert max(filled) < 60_000 < sum(map(len, texts)) / 20
+    for i, want in enumerate(by_hand([t.encode() for t in texts], 160)):
+        r = found[i]
+        assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want
