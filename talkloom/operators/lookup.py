@@ -29,7 +29,8 @@ def positions(messages: DataFrame, record: str = "record_id") -> DataFrame:
     occurs within its second.
 
     Chats are counted by day first, so a huge chat is numbered in many tasks: the place in the
-    day by a window of that day, plus all earlier days of the chat.
+    day by a window of that day, plus all earlier days of the chat.  Days are merged in, not sent
+    to all tasks, since they grow with the chats; the rows are dealt by day already.
     """
     day = F.floor(F.col("timestamp") / 86400)
     rows = messages.withColumn("__day", day)
@@ -39,7 +40,7 @@ def positions(messages: DataFrame, record: str = "record_id") -> DataFrame:
     order = Window.partitionBy("chat_id", "__day").orderBy("timestamp", "seq", record)
     same = Window.partitionBy("chat_id", "__day", "timestamp", record)
     placed = rows.withColumn("__r", F.row_number().over(order)).withColumn("same_second", F.count("*").over(same))
-    return placed.join(starts, ["chat_id", "__day"]).withColumn("position", F.col("__before") + F.col("__r")).drop("__day", "__n", "__before", "__r")
+    return placed.join(starts.hint("merge"), ["chat_id", "__day"]).withColumn("position", F.col("__before") + F.col("__r")).drop("__day", "__n", "__before", "__r")
 
 
 def context(messages: DataFrame, targets: DataFrame, before: int = 10, after: int = 10) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Observations of messages over time, and what they recover after a withdrawal."""
+"""Observations of messages over time, and what they recover after a withdrawal.
+
+Joins whose sides grow with the messages ask for a merge.  Spark judges a side by its compressed
+files and by what it was before ``explode``, and would send millions of rows through the driver.
+"""
 
 from __future__ import annotations
 
@@ -48,17 +52,17 @@ def recall_context(messages: DataFrame, recall: Column, size: int = 3) -> DataFr
     events = placed.filter("__recall").select(*messages.columns, "position")
     steps = F.array(*[F.lit(i) for i in range(-size, size + 1) if i])
     wanted = events.select("chat_id", F.col("msg_id").alias("__event"), F.col("position").alias("__at"), F.explode(steps).alias("__step"))
-    near = wanted.withColumn("position", F.col("__at") + F.col("__step")).join(placed.select("chat_id", "position", "msg_id"), ["chat_id", "position"])
+    near = wanted.withColumn("position", F.col("__at") + F.col("__step")).join(placed.select("chat_id", "position", "msg_id").hint("merge"), ["chat_id", "position"])
     side = lambda mine, name: F.transform(F.array_sort(F.collect_list(F.when(mine, F.struct("__step", "msg_id")))), lambda x: x["msg_id"]).alias(name)
     found = near.groupBy("chat_id", "__at").agg(side(F.col("__step") < 0, "preceding"), side(F.col("__step") > 0, "following"))
-    joined = events.join(found.withColumnRenamed("__at", "position"), ["chat_id", "position"], "left")
+    joined = events.join(found.withColumnRenamed("__at", "position").hint("merge"), ["chat_id", "position"], "left")
     none = F.array().cast(f"array<{messages.schema['msg_id'].dataType.simpleString()}>")
     return joined.select(*messages.columns, F.coalesce("preceding", none).alias("preceding"), F.coalesce("following", none).alias("following"))
 
 
 def exact_recoveries(events: DataFrame, cache: DataFrame) -> DataFrame:
     """Withdrawn messages whose own cached record is recoverable."""
-    return events.select("chat_id", "msg_id").join(cache.filter("recoverable").select("chat_id", "msg_id", "text"), ["chat_id", "msg_id"])
+    return events.select("chat_id", "msg_id").join(cache.filter("recoverable").select("chat_id", "msg_id", "text").hint("merge"), ["chat_id", "msg_id"])
 
 
 def recall_candidates(events: DataFrame, cache: DataFrame, live: DataFrame, window: int = 3600, most: int = 5) -> DataFrame:
@@ -75,9 +79,9 @@ def recall_candidates(events: DataFrame, cache: DataFrame, live: DataFrame, wind
     step = max(1, window // 64)
     of_step = F.floor(F.col("timestamp") / step)
     exact = exact_recoveries(events, cache).select("chat_id", "msg_id")
-    open_ = events.filter("timestamp > 0").join(exact, ["chat_id", "msg_id"], "left_anti").select("chat_id", F.col("msg_id").alias("event_id"), F.col("timestamp").alias("event_ts"))
+    open_ = events.filter("timestamp > 0").join(exact.hint("merge"), ["chat_id", "msg_id"], "left_anti").select("chat_id", F.col("msg_id").alias("event_id"), F.col("timestamp").alias("event_ts"))
     open_ = kept(open_, "withdrawals")
-    gone = cache.filter("recoverable AND timestamp IS NOT NULL").join(live, ["chat_id", "msg_id"], "left_anti").select("chat_id", "msg_id", "timestamp", of_step.alias("step"))
+    gone = cache.filter("recoverable AND timestamp IS NOT NULL").join(live.hint("merge"), ["chat_id", "msg_id"], "left_anti").select("chat_id", "msg_id", "timestamp", of_step.alias("step"))
 
     def nearest(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
         return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("__r") <= most).drop("__r")
@@ -87,15 +91,15 @@ def recall_candidates(events: DataFrame, cache: DataFrame, live: DataFrame, wind
     moments = open_.select("chat_id", F.col("event_ts").alias("timestamp")).distinct().withColumn("step", of_step)
     first = F.floor((F.col("least") - window) / step)
     asked = moments.groupBy("chat_id", F.col("step").alias("at")).agg(F.min("timestamp").alias("least")).filter(first < F.col("at"))
-    earlier = asked.select("chat_id", "at", F.explode(F.sequence(first, F.col("at") - 1)).alias("step")).join(nearest(seconds, ["chat_id", "step"], back), ["chat_id", "step"])
+    earlier = asked.select("chat_id", "at", F.explode(F.sequence(first, F.col("at") - 1)).alias("step")).join(nearest(seconds, ["chat_id", "step"], back).hint("merge"), ["chat_id", "step"])
     carried = nearest(earlier.drop("step").withColumnRenamed("at", "step"), ["chat_id", "step"], back)
     rows = seconds.unionByName(carried).withColumn("asks", F.lit(0)).unionByName(moments.withColumn("asks", F.lit(1)), allowMissingColumns=True)
     so_far = Window.partitionBy("chat_id", "step").orderBy("timestamp", "asks", F.desc("msg_id")).rowsBetween(Window.unboundedPreceding, 0)
     placed = kept(rows.withColumn("number", F.count_if(F.col("asks") == 0).over(so_far)), "placed")
     numbers = F.explode(F.sequence(F.greatest(F.col("number") - most + 1, F.lit(1)), F.col("number")))
     wanted = placed.filter("asks = 1 AND number > 0").select("chat_id", "step", F.col("timestamp").alias("event_ts"), numbers.alias("number"))
-    answers = wanted.join(placed.filter("asks = 0").drop("asks"), ["chat_id", "step", "number"]).withColumn("seconds", F.col("event_ts") - F.col("timestamp")).filter(F.col("seconds").between(0, window))
-    pairs = open_.join(answers, ["chat_id", "event_ts"])
+    answers = wanted.join(placed.filter("asks = 0").drop("asks").hint("merge"), ["chat_id", "step", "number"]).withColumn("seconds", F.col("event_ts") - F.col("timestamp")).filter(F.col("seconds").between(0, window))
+    pairs = open_.join(answers.hint("merge"), ["chat_id", "event_ts"])
     order = Window.partitionBy("chat_id", "event_id").orderBy("seconds", "msg_id")
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most).select("chat_id", "event_id", "rank", "msg_id", "seconds")
 
@@ -117,4 +121,4 @@ def recall_report(messages: DataFrame, recall: Column, cache: DataFrame, live: D
     events = recall_context(messages, recall, size).select("chat_id", "msg_id", "timestamp", "preceding", "following")
     exact = exact_recoveries(events, cache).withColumnRenamed("text", "recovered_text")
     near = recall_candidates(events, cache, live, window, most).groupBy("chat_id", F.col("event_id").alias("msg_id")).agg(F.array_sort(F.collect_list(F.struct("rank", "msg_id", "seconds"))).alias("candidates"))
-    return events.join(exact, ["chat_id", "msg_id"], "left").join(near, ["chat_id", "msg_id"], "left")
+    return events.join(exact.hint("merge"), ["chat_id", "msg_id"], "left").join(near.hint("merge"), ["chat_id", "msg_id"], "left")

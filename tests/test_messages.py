@@ -555,3 +555,21 @@ def test_recall_candidates_equal_every_pair_where_a_second_is_hot(spark):
         near = sorted((at - t, m) for c, m, t, _, ok in cache if ok and c == chat and t is not None and 0 <= at - t <= 64 and (c, m) not in live)
         want += [(chat, event, rank, m, s) for rank, (s, m) in enumerate(near[:5], 1)]
     assert sorted(map(tuple, got)) == sorted(want) and len(want) > 100
+
+
+def test_recall_report_sends_nothing_that_grows_through_the_driver(spark, tmp_path, monkeypatch):
+    """Tables in small files, which Spark would broadcast: every table kept on the way and the report itself are merged."""
+    rows = [("c", i, 1000 + i // 2, i % 3, f"t{i}", i % 10 == 0) for i in range(200)]
+    spark.createDataFrame(rows, "chat_id string, msg_id bigint, timestamp bigint, seq bigint, text string, gone boolean").write.parquet(f"{tmp_path}/messages")
+    messages = spark.read.parquet(f"{tmp_path}/messages")
+    cache = messages.select("chat_id", "msg_id", "timestamp", "text", (F.col("msg_id") % 4 != 0).alias("recoverable"))
+    live = messages.filter("msg_id % 5 <> 0").select("chat_id", "msg_id")
+    frames, kept = [], observe.kept
+    monkeypatch.setattr(observe, "kept", lambda df, name: (frames.append((name, df)), kept(df, name))[1])
+    report = observe.recall_report(messages, F.col("gone"), cache, live, 64)
+    frames.append(("report", report))
+    assert [name for name, df in frames if "Broadcast" in df._jdf.queryExecution().executedPlan().toString()] == []
+    assert len(frames) == 5
+    old = [(i, t) for _, i, t, *_ in rows if i % 4 and i % 5 == 0]
+    want = {i: (text if i % 4 else None, [] if i % 4 else [m for _, m in sorted((at - t, m) for m, t in old if 0 <= at - t <= 64)][:5]) for _, i, at, _, text, gone in rows if gone}
+    assert {r.msg_id: (r.recovered_text, [c.msg_id for c in r.candidates or []]) for r in report.collect()} == want
