@@ -20,7 +20,8 @@ def merge_primary_index(primary: DataFrame, index: DataFrame) -> DataFrame:
     shared = [c for c in index.columns if c in primary.columns and c not in KEYS]
     main = primary.withColumn("__main", F.lit(True))
     side = index.withColumnsRenamed({c: f"__index_{c}" for c in shared})
-    both = main.join(side, KEYS, "full_outer")
+    # with a filter on texts Spark makes this an outer join of one side and would broadcast the other by its small files
+    both = main.join(side.hint("merge"), KEYS, "full_outer")
     known = F.coalesce(F.col("__main"), F.lit(False))
     merged = both.withColumns({c: F.when(known, F.col(c)).otherwise(F.col(f"__index_{c}")) for c in shared})
     return merged.withColumn("fts_only", ~known).drop("__main", *[f"__index_{c}" for c in shared])

@@ -573,3 +573,13 @@ def test_recall_report_sends_nothing_that_grows_through_the_driver(spark, tmp_pa
     old = [(i, t) for _, i, t, *_ in rows if i % 4 and i % 5 == 0]
     want = {i: (text if i % 4 else None, [] if i % 4 else [m for _, m in sorted((at - t, m) for m, t in old if 0 <= at - t <= 64)][:5]) for _, i, at, _, text, gone in rows if gone}
     assert {r.msg_id: (r.recovered_text, [c.msg_id for c in r.candidates or []]) for r in report.collect()} == want
+
+
+def test_merged_texts_are_not_broadcast(spark, tmp_path):
+    """A filter on the index's text makes the full join an outer join of the index alone."""
+    spark.createDataFrame([("c", i, i) for i in range(0, 40, 2)], "chat_id string, msg_id bigint, timestamp bigint").write.parquet(f"{tmp_path}/primary")
+    spark.createDataFrame([("c", i, i + 5, f"t{i}") for i in range(0, 40, 5)], "chat_id string, msg_id bigint, timestamp bigint, text string").write.parquet(f"{tmp_path}/index")
+    merged = combine.merge_primary_index(spark.read.parquet(f"{tmp_path}/primary"), spark.read.parquet(f"{tmp_path}/index")).filter("text IS NOT NULL")
+    assert "Broadcast" not in merged._jdf.queryExecution().executedPlan().toString()
+    want = [(i, i if i % 2 == 0 else i + 5, f"t{i}", i % 2 == 1) for i in range(0, 40, 5)]
+    assert sorted((r.msg_id, r.timestamp, r.text, r.fts_only) for r in merged.collect()) == want
